@@ -69,8 +69,11 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8), off
 
 
-def _hash_slice(data: np.ndarray, starts_at: np.ndarray, gaps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes, starts and ends of the words of data; starts_at: offsets in data where another text begins."""
+def _hash_slice(data: np.ndarray, starts_at: np.ndarray, gaps: np.ndarray, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and starts of the words of data; starts_at: offsets in data where another text begins.
+
+    With prefixes, a row of hashes for the words and one for the first p bytes of each; 0 where a word is shorter.
+    """
     gap = gaps[data]
     before = np.empty(len(data) + 1, dtype=bool)
     before[0] = True
@@ -87,13 +90,20 @@ def _hash_slice(data: np.ndarray, starts_at: np.ndarray, gaps: np.ndarray) -> tu
     total = np.empty(len(data) + 1, dtype=np.uint64)
     total[0] = 0
     np.cumsum(_VALUE[data] * power[: len(data)], out=total[1:])
-    return mix((total[ends] - total[starts]) * back[starts]), starts, ends
+    h = mix((total[ends] - total[starts]) * back[starts])
+    if not prefixes:
+        return h, starts
+    rows = [h]
+    for p in prefixes:
+        to = np.minimum(starts + p, ends)
+        rows.append(np.where(ends - starts >= p, mix((total[to] - total[starts]) * back[starts] + np.uint64(p * 0x51ED2701)), np.uint64(0)))
+    return np.stack(rows), starts
 
 
-def word_hashes(texts: pa.Array, gaps: np.ndarray = SPACE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def word_hashes(texts: pa.Array, gaps: np.ndarray = SPACE, prefixes: tuple[int, ...] = ()) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Yield (first, end, hashes, counts): texts[first:end] have these word hashes, counts[i] of them in text first+i.
 
-    One text longer than SLICE is cut at separators, so memory follows the number of its words.
+    With prefixes, hashes has a row for the words and one for their first bytes of each length. One text longer than SLICE is cut at separators, so memory follows the number of its words.
     """
     data, off = buffers(texts)
     n, i = len(off) - 1, 0
@@ -102,7 +112,7 @@ def word_hashes(texts: pa.Array, gaps: np.ndarray = SPACE) -> Iterator[tuple[int
         if j > i:
             part = data[off[i] : off[j]]
             inner = off[i:j] - off[i]
-            h, starts, _ = _hash_slice(part, inner[inner < len(part)], gaps)
+            h, starts = _hash_slice(part, inner[inner < len(part)], gaps, prefixes)
             where = np.searchsorted(off[i : j + 1] - off[i], starts, side="right") - 1
             yield i, j, h, np.bincount(where, minlength=j - i)
             i = j
@@ -118,10 +128,10 @@ def word_hashes(texts: pa.Array, gaps: np.ndarray = SPACE) -> Iterator[tuple[int
                 more = np.flatnonzero(gaps[data[to : to + SLICE]])
                 to = min(to + (int(more[0]) if len(more) else SLICE), end)
             to = max(to, at + 1)
-            found.append(_hash_slice(data[at:to], np.zeros(0, np.int64), gaps)[0])
+            found.append(_hash_slice(data[at:to], np.zeros(0, np.int64), gaps, prefixes)[0])
             at = to
-        h = np.concatenate(found) if found else np.zeros(0, np.uint64)
-        yield i, i + 1, h, np.array([len(h)])
+        h = np.concatenate(found, -1) if found else np.zeros((1 + len(prefixes), 0) if prefixes else 0, np.uint64)
+        yield i, i + 1, h, np.array([h.shape[-1]])
         i += 1
 
 
