@@ -10,5 +10,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+def query(sql: str | None = None):
+    """Register a query under its function's name; sql: the same rows from DuckDB."""
+
+    def add(f: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    return QUERIES["flagship_event_decisions"](spark, sf_dir)
+
+
+from cutlight.plans import narrative, observe, operations, publish, shots, streams  # noqa: E402, F401
