@@ -1 +1,150 @@
+"""Queries over observations, records and decisions, and over detection boxes."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cutlight import fixtures as fx
+from cutlight.fixtures import with_
+from cutlight.operators import geometry as geo
+from cutlight.operators import intervals as iv
+from cutlight.operators import policy as po
+from cutlight.registry import query
+
+_r = lambda c: F.round(F.col(c) + 1e-7, 4).alias(c)
+
+_USEFUL = "('exchange', 'gesture', 'listening_reaction', 'object_handling', 'physical_contact', 'posture_change')"
+_DECIDE = f"""CASE WHEN len(flags) > 0 THEN 'REJECT' WHEN utility IN ('generic_dialogue_only', 'generic_presence_only') AND signal NOT IN {_USEFUL} THEN 'REJECT' WHEN utility = 'unclear' OR complete = 'unclear' OR context = 'unclear' THEN 'REVIEW'
+ WHEN context = 'high' THEN 'REJECT' WHEN complete = 'false' THEN 'REJECT' WHEN utility IN ('concrete_action', 'object_activity') AND n_actions = 0 THEN 'REVIEW' ELSE 'KEEP' END"""
+_REASONS = f"""CASE WHEN len(flags) > 0 THEN list_transform(flags, lambda f: 'hard_exclusion:' || f) WHEN utility IN ('generic_dialogue_only', 'generic_presence_only') AND signal NOT IN {_USEFUL} THEN ['generic_dialogue_or_presence_without_independent_visual_signal'] WHEN utility = 'unclear' OR complete = 'unclear' OR context = 'unclear' THEN ['insufficient_observation']
+ WHEN context = 'high' THEN ['high_context_dependency'] WHEN complete = 'false' THEN ['incomplete_moment_without_reusable_state'] WHEN utility IN ('concrete_action', 'object_activity') AND n_actions = 0 THEN ['action_utility_without_canonical_action_evidence']
+ ELSE list_filter(['useful_visual_utility:' || utility, CASE WHEN signal IN {_USEFUL} THEN 'independent_conversation_signal:' || signal END], lambda x: x IS NOT NULL) END"""
+
+
+def _records(spark: SparkSession, d: str) -> DataFrame:
+    return fx.records(spark, d).withColumn("fingerprint", F.sha2(F.concat_ws(":", F.col("event_id").cast("string"), F.col("r").cast("string")).cast("binary"), 256))
+
+
+@query(with_(f"SELECT movie_id, event_id, {_DECIDE} AS decision, {_REASONS} AS reasons FROM ob", "ob"))
+def p03_policy_v1(spark: SparkSession, d: str) -> DataFrame:
+    return po.decide(fx.observations(spark, d))
+
+
+@query(with_("SELECT movie_id, event_id, r, contract, created_us FROM rec WHERE valid QUALIFY row_number() OVER (PARTITION BY movie_id, event_id ORDER BY CASE contract WHEN 'visual_reuse' THEN 1 WHEN 'temporal_v2' THEN 2 ELSE 3 END, created_us DESC) = 1", "rec"))
+def w09_latest_record(spark: SparkSession, d: str) -> DataFrame:
+    return po.latest_records(_records(spark, d)).select("movie_id", "event_id", F.col("r").cast("bigint").alias("r"), "contract", "created_us")
+
+
+@query(with_("SELECT movie_id, event_id FROM ob WHERE NOT EXISTS (SELECT 1 FROM rec WHERE rec.event_id = ob.event_id AND valid)", "ob", "rec"))
+def j10_events_without_record(spark: SparkSession, d: str) -> DataFrame:
+    return po.without_valid_record(fx.observations(spark, d).select("movie_id", "event_id"), fx.records(spark, d))
+
+
+@query(with_("SELECT movie_id, CASE WHEN rich THEN 'COMPLETED' WHEN anyv THEN 'RESOLVED' ELSE 'PAID' END AS bucket, count(*) AS n FROM (SELECT movie_id, event_id, bool_or(valid AND contract <> 'v1') AS rich, bool_or(valid) AS anyv FROM rec GROUP BY ALL) GROUP BY ALL", "rec"))
+def p14_enrichment_plan(spark: SparkSession, d: str) -> DataFrame:
+    return po.enrichment_plan(fx.observations(spark, d), fx.records(spark, d))
+
+
+@query(with_(f"SELECT old_decision, new_decision, count(*) AS n, list(event_id ORDER BY event_id) AS event_ids FROM (SELECT event_id, {_DECIDE} AS old_decision FROM ob) JOIN (SELECT event_id, {_DECIDE} AS new_decision FROM (SELECT * REPLACE (CASE WHEN context = 'unclear' THEN 'low' ELSE context END AS context) FROM ob)) USING (event_id) GROUP BY ALL", "ob"))
+def a12_transition_matrix(spark: SparkSession, d: str) -> DataFrame:
+    ob = fx.observations(spark, d)
+    return po.transitions(po.decide(ob), po.decide(ob.withColumn("context", F.when(F.col("context") == "unclear", "low").otherwise(F.col("context")))))
+
+
+@query(with_("SELECT movie_id, event_id, list_filter([CASE WHEN utility IS NULL THEN 'missing:utility' WHEN utility = 'unclear' THEN 'unknown:utility' END, CASE WHEN context IS NULL THEN 'missing:context' END], lambda x: x IS NOT NULL) AS errors FROM (SELECT movie_id, event_id, CASE WHEN k <> 44 THEN utility END AS utility, CASE WHEN k <> 45 THEN context END AS context FROM ob)", "ob"))
+def v14_observation_contract(spark: SparkSession, d: str) -> DataFrame:
+    ob = fx.observations(spark, d).withColumn("utility", F.when(F.col("k") != 44, F.col("utility"))).withColumn("context", F.when(F.col("k") != 45, F.col("context")))
+    known = tuple(u for u in fx.UTILITIES if u != "unclear")
+    return ob.select("movie_id", "event_id", po.observation_errors(known, fx.SIGNALS, ("true", "false", "unclear"), ("low", "medium", "high", "unclear")).alias("errors"))
+
+
+@query(with_(f"SELECT movie_id, event_id, CASE WHEN k % 17 = 0 THEN NULL WHEN k % 9 = 0 THEN 'REVIEW' ELSE {_DECIDE} END AS effective FROM ob", "ob"))
+def v13_effective_decision(spark: SparkSession, d: str) -> DataFrame:
+    ob = fx.observations(spark, d)
+    x = po.decide(ob).join(ob.select("event_id", "k"), "event_id")
+    proposed = F.when(F.col("k") % 17 != 0, F.col("decision"))
+    wrong = F.when(F.col("k") % 9 == 0, F.array(F.lit("invalid"))).otherwise(F.array().cast("array<string>"))
+    return x.select("movie_id", "event_id", po.effective_decision(proposed, wrong).alias("effective"))
+
+
+@query(with_("SELECT movie_id, shot_id, CAST(sample AS INTEGER) AS sample, CAST(person AS INTEGER) AS person, 'P' || row_number() OVER (PARTITION BY movie_id, shot_id, sample ORDER BY x + w / 2, y + h / 2, confidence DESC, person) AS label FROM bx", "bx"))
+def b01_person_numbers(spark: SparkSession, d: str) -> DataFrame:
+    return geo.number_persons(fx.boxes(spark, d)).select("movie_id", "shot_id", "sample", "person", "label")
+
+
+@query(with_("SELECT movie_id, shot_id, CAST(sample AS INTEGER) AS sample, CAST(person AS INTEGER) AS person, round((x + w / 2) / 1920 + 1e-7, 4) AS cx, CASE WHEN (x + w / 2) / 1920 < 0.4 THEN 'left' WHEN (x + w / 2) / 1920 > 0.6 THEN 'right' ELSE 'center' END AS \"where\" FROM bx", "bx"))
+def b02_position(spark: SparkSession, d: str) -> DataFrame:
+    return geo.position(fx.boxes(spark, d), 1920.0).select("movie_id", "shot_id", "sample", "person", _r("cx"), "where")
+
+
+@query(with_("""SELECT movie_id, shot_id, CAST(sample AS INTEGER) AS sample, CAST(pa AS INTEGER) AS person_a, CAST(pb AS INTEGER) AS person_b, round(i / (u - i) + 1e-7, 4) AS iou FROM (SELECT a.movie_id, a.shot_id, a.sample, a.person AS pa, b.person AS pb, greatest(0, least(a.x + a.w, b.x + b.w) - greatest(a.x, b.x)) * greatest(0, least(a.y + a.h, b.y + b.h) - greatest(a.y, b.y)) AS i, a.w * a.h + b.w * b.h AS u
+FROM bx a JOIN bx b ON a.movie_id = b.movie_id AND a.shot_id = b.shot_id AND a.sample = b.sample AND a.person < b.person) WHERE i / (u - i) >= 0.2""", "bx"))
+def b04_box_overlap(spark: SparkSession, d: str) -> DataFrame:
+    return geo.overlapping_pairs(fx.boxes(spark, d), 0.2).select("movie_id", "shot_id", "sample", "person_a", "person_b", _r("iou"))
+
+
+@query(with_("""SELECT movie_id, shot_id, CAST(sample AS INTEGER) AS sample, round(least(lo, 1320) + 1e-7, 4) AS low, round(greatest(hi, 0) + 1e-7, 4) AS high, lo > hi OR x - m < 0 OR x + w + m > 1920 AS limited FROM (SELECT *, greatest(0, x + w + m - 600) AS lo, least(1320, x - m) AS hi FROM (SELECT *, greatest(w * 0.12::DOUBLE, 8) AS m FROM bx WHERE person = 1))""", "bx"))
+def b12_crop_interval(spark: SparkSession, d: str) -> DataFrame:
+    b = fx.boxes(spark, d).where("person = 1")
+    x = b.withColumn("i", geo.crop_interval(F.col("x"), F.col("w"), geo.required_margin(F.col("w")), 600.0, 1920.0))
+    return x.select("movie_id", "shot_id", "sample", F.round(F.col("i.low") + 1e-7, 4).alias("low"), F.round(F.col("i.high") + 1e-7, 4).alias("high"), F.col("i.limited").alias("limited"))
+
+
+@query(with_("SELECT movie_id, shot_id, CAST(sample AS INTEGER) AS sample, 600::BIGINT AS crop, CAST(floor(greatest(0, least(1320, x + w / 2 - 300)) + 0.5::DOUBLE) AS BIGINT) AS crop_x FROM bx WHERE person = 1", "bx"))
+def b20_crop_position(spark: SparkSession, d: str) -> DataFrame:
+    b = fx.boxes(spark, d).where("person = 1")
+    crop = geo.crop_width(F.lit(800), F.lit(1920))
+    return b.select("movie_id", "shot_id", "sample", crop.cast("bigint").alias("crop"), geo.crop_start(F.col("x") + F.col("w") / 2, crop, F.lit(1920)).cast("bigint").alias("crop_x"))
+
+
+@query(with_("SELECT movie_id, shot_id, state, reasons FROM (SELECT movie_id, shot_id, ['PASS', 'SOURCE_LIMIT', 'AMBIGUOUS', 'REPAIR', 'ERROR'][max(s) + 1] AS state, list_sort(list_distinct(list('code_' || s) FILTER (s > 0))) AS r FROM (SELECT movie_id, shot_id, CASE WHEN k = 3 THEN 4 ELSE (event_id + sample * k) % 4 END AS s FROM bx WHERE person = 1) GROUP BY ALL) t, (SELECT 1) WHERE true".replace("state, reasons FROM", "state, coalesce(r, []::VARCHAR[]) AS reasons FROM"), "bx"))
+def a17_worst_severity(spark: SparkSession, d: str) -> DataFrame:
+    b = fx.boxes(spark, d).where("person = 1")
+    s = F.when(F.col("k") == 3, 4).otherwise((F.col("event_id") + F.col("sample") * F.col("k")) % 4)
+    x = b.select("movie_id", "shot_id", fx.pick(geo.SEVERITY, s).alias("state"), F.when(s > 0, F.array(F.concat(F.lit("code_"), s.cast("string")))).otherwise(F.array().cast("array<string>")).alias("reasons"))
+    return geo.worst(x, ["movie_id", "shot_id"])
+
+
+@query(with_("SELECT movie_id, shot_id, t, CAST(arg_min(sample, (abs(t - st), sample)) AS INTEGER) AS sample, round(arg_min(x, (abs(t - st), sample)) + 1e-7, 4) AS x FROM (SELECT movie_id, shot_id, sample, x, sample * 1.0::DOUBLE AS st, event_id % 9 / 2 AS t FROM bx WHERE person = 1) GROUP BY ALL", "bx"))
+def j08_nearest_sample(spark: SparkSession, d: str) -> DataFrame:
+    b = fx.boxes(spark, d).where("person = 1").withColumn("st", F.col("sample").cast("double"))
+    points = fx.shots(spark, d).select("movie_id", "shot_id", (F.col("event_id") % 9 / 2).alias("t"))
+    x = iv.nearest(points, b.select("movie_id", "shot_id", "sample", "st", "x"), ["movie_id", "shot_id"], "t", "st", ["sample"])
+    return x.select("movie_id", "shot_id", "t", "sample", _r("x"))
+
+
+@query(with_("""SELECT movie_id, shot_id, round(t, 4) AS t, round(x0 + (x1 - x0) * (t - s) + 1e-7, 4) AS x FROM (SELECT p.*, s0.x AS x0, coalesce(s1.x, s0.x) AS x1 FROM (SELECT movie_id, shot_id, event_id % 9 / 2 AS t, CAST(floor(event_id % 9 / 2) AS BIGINT) AS s FROM sh) p
+JOIN bx s0 ON s0.movie_id = p.movie_id AND s0.shot_id = p.shot_id AND s0.person = 1 AND s0.sample = s LEFT JOIN bx s1 ON s1.movie_id = p.movie_id AND s1.shot_id = p.shot_id AND s1.person = 1 AND s1.sample = s + 1)""", "bx"))
+def b10_anchor_interpolation(spark: SparkSession, d: str) -> DataFrame:
+    b = fx.boxes(spark, d).where("person = 1").select("movie_id", "shot_id", F.col("sample").cast("double").alias("t"), "x")
+    points = fx.shots(spark, d).select("movie_id", "shot_id", (F.col("event_id") % 9 / 2).alias("t"))
+    return iv.value_at(points, b, ["movie_id", "shot_id"]).select("movie_id", "shot_id", _r("t"), _r("x"))
+
+
+@query(with_(""", a AS (SELECT movie_id, shot_id, sample, x, greatest(0, x - 200) AS lo, x + 100 AS hi FROM bx WHERE person = 1), f AS (
+ SELECT movie_id, shot_id, sample, greatest(lo, least(hi, x)) AS x FROM a WHERE sample = 0
+ UNION ALL SELECT a.movie_id, a.shot_id, a.sample, greatest(lo, least(hi, CASE WHEN abs(a.x - f.x) <= 0.06::DOUBLE * 1920 THEN f.x ELSE f.x + greatest(-0.08::DOUBLE * 1920, least(0.08::DOUBLE * 1920, a.x - f.x)) END)) FROM f JOIN a ON a.movie_id = f.movie_id AND a.shot_id = f.shot_id AND a.sample = f.sample + 1)
+SELECT movie_id, shot_id, CAST(sample AS INTEGER) AS t, round(x + 1e-7, 4) AS x FROM f""", "bx").replace("\n, a AS", ", a AS"))
+def b09_smoothed_anchors(spark: SparkSession, d: str) -> DataFrame:
+    b = fx.boxes(spark, d).where("person = 1").select("movie_id", "shot_id", F.col("sample").alias("t"), "x", F.greatest(F.lit(0.0), F.col("x") - 200).alias("low"), (F.col("x") + 100).alias("high"))
+    return geo.smooth_anchors(b, ["movie_id", "shot_id"], 1920.0).select("movie_id", "shot_id", "t", _r("x"))
+
+
+@query(with_("""SELECT movie_id, shot_id, count(*) AS samples, round(avg(CASE WHEN x >= l AND x + w <= l + 600 THEN 1 ELSE 0 END) + 1e-7, 4) AS visible, round(median(abs(cx - 0.5::DOUBLE)) + 1e-7, 4) AS center, round(avg(w / 600) + 1e-7, 4) AS occupancy, count(*) FILTER (abs(cx - lag) > 0.15) AS jumps
+FROM (SELECT *, lag(cx) OVER (PARTITION BY movie_id, shot_id ORDER BY sample) AS lag FROM (SELECT *, (x + w / 2 - l) / 600 AS cx FROM (SELECT *, event_id % 7 * 200 AS l FROM bx WHERE person = 1))) GROUP BY movie_id, shot_id""", "bx"))
+def a18_editorial_geometry(spark: SparkSession, d: str) -> DataFrame:
+    crop = fx.shots(spark, d).select("movie_id", "shot_id", (F.col("event_id") % 7 * 200).alias("left"), F.lit(600).alias("width"))
+    x = geo.editorial_geometry(fx.boxes(spark, d).where("person = 1"), crop)
+    return x.select("movie_id", "shot_id", "samples", _r("visible"), _r("center"), _r("occupancy"), "jumps")
+
+
+@query(with_(""", c AS (SELECT movie_id, event_id, start_s, setting_id, row_number() OVER (PARTITION BY movie_id ORDER BY value DESC, start_s, event_id) AS o FROM sh),
+m AS (SELECT a.movie_id, a.o, b.o AS p FROM c a JOIN c b ON a.movie_id = b.movie_id AND b.o < a.o AND a.setting_id IS NOT DISTINCT FROM b.setting_id AND abs(a.start_s - b.start_s) <= 12),
+n AS (SELECT movie_id, max(o) AS n FROM c GROUP BY movie_id),
+f(movie_id, o, kept) AS (SELECT movie_id, 0::BIGINT, []::BIGINT[] FROM n UNION ALL SELECT f.movie_id, f.o + 1, CASE WHEN EXISTS (SELECT 1 FROM m WHERE m.movie_id = f.movie_id AND m.o = f.o + 1 AND list_contains(f.kept, m.p)) THEN f.kept ELSE list_append(f.kept, f.o + 1) END FROM f JOIN n ON n.movie_id = f.movie_id AND f.o < n.n)
+SELECT c.movie_id, event_id, list_contains(k, o) AS kept FROM c JOIN (SELECT f.movie_id, kept AS k FROM f JOIN n ON n.movie_id = f.movie_id AND f.o = n.n) q USING (movie_id)""", "sh").replace("\n, c AS", ", c AS"))
+def g14_scarcity(spark: SparkSession, d: str) -> DataFrame:
+    """Every event speaks of the same thing here, so time and setting alone decide."""
+    x = fx.shots(spark, d).select("movie_id", "event_id", "start_s", F.col("setting_id").alias("setting"), F.array(F.lit("door"), F.lit("open")).alias("tokens"), F.col("value").alias("priority"))
+    return po.scarce(x)
