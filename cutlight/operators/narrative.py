@@ -18,12 +18,15 @@ BOUNDARY_ALIASES = {
     "participant_group_change": "participant_change",
     "therapy_phase_change": "phase_change",
 }
-_TITLE = Window.partitionBy("movie_id")
+
+
+def _title():
+    return Window.partitionBy("movie_id")
 
 
 def cue_statistics(cues: DataFrame) -> DataFrame:
     """Per title: cue_count, first_start, last_end, covered_s, average_s, average_gap_s, maximum_gap_s."""
-    before = F.lag("end_s").over(_TITLE.orderBy("cue_ord"))
+    before = F.lag("end_s").over(_title().orderBy("cue_ord"))
     x = cues.withColumn("gap", F.when(before.isNotNull(), F.greatest(F.lit(0.0), F.col("start_s") - before)))
     return x.groupBy("movie_id").agg(
         F.count(F.lit(1)).alias("cue_count"), F.min_by("start_s", "cue_ord").alias("first_start"), F.max_by("end_s", "cue_ord").alias("last_end"),
@@ -37,7 +40,7 @@ def validate_timeline(cues: DataFrame, durations: DataFrame, tolerance: float =
 
     ERROR: a cue that starts after its end, before zero or before the cue ahead of it; WARNING: the last cue ends after the title.
     """
-    before = F.lag("start_s").over(_TITLE.orderBy("cue_ord"))
+    before = F.lag("start_s").over(_title().orderBy("cue_ord"))
     found = errors((F.col("start_s") > F.col("end_s"), "reversed"), (F.col("start_s") < -tolerance, "before_zero"), (F.col("start_s") < before, "regression"))
     per = cues.withColumn("_e", F.size(found)).groupBy("movie_id").agg(F.sum("_e").alias("n_errors"), F.max_by("end_s", "cue_ord").alias("_end"))
     x = per.join(durations, "movie_id", "left").withColumn("n_warnings", F.when(F.col("_end") > F.col("duration_s") + tolerance, 1).otherwise(0))
@@ -70,7 +73,7 @@ def chunk_cues(cues: DataFrame, window: float = 600.0, overlap: float = 60.0, ta
     Empty windows don't count. A last chunk of one cue joins the one before it, if that grows by tail or overlap at most.
     """
     step = window - overlap
-    last = F.max("end_s").over(_TITLE)
+    last = F.max("end_s").over(_title())
     first_w = F.greatest(F.lit(0), F.floor((F.col("start_s") - window) / step) + 1)
     last_w = F.ceil(F.col("end_s") / step) - 1
     x = cues.withColumn("last_end", last).where(last_w >= first_w)
@@ -78,13 +81,13 @@ def chunk_cues(cues: DataFrame, window: float = 600.0, overlap: float = 60.0, ta
     x = x.withColumn("a", F.col("w") * step).withColumn("b", F.least(F.col("w") * step + window, F.col("last_end")))
     x = x.where((F.col("a") < F.col("last_end")) & (F.col("end_s") > F.col("a")) & (F.col("start_s") < F.col("b")))
     sizes = x.groupBy("movie_id", "w", "a", "b").agg(F.count(F.lit(1)).alias("n"))
-    down = _TITLE.orderBy(F.desc("w"))
+    down = _title().orderBy(F.desc("w"))
     sizes = sizes.withColumn("back", F.row_number().over(down)).withColumn("b_before", F.lead("b").over(down))
     lonely = (F.col("back") == 1) & (F.col("n") == 1) & F.col("b_before").isNotNull() & (F.col("b") - F.col("b_before") <= max(tail, overlap))
     sizes = sizes.withColumn("absorbed", lonely)
     final = sizes.withColumn("grown", F.lag("absorbed").over(down)).withColumn("b_next", F.lag("b").over(down))
     final = final.where(~F.col("absorbed")).withColumn("end", F.when(F.coalesce("grown", F.lit(False)), F.col("b_next")).otherwise(F.col("b")))
-    final = final.withColumn("chunk", F.row_number().over(_TITLE.orderBy("w")).cast("bigint"))
+    final = final.withColumn("chunk", F.row_number().over(_title().orderBy("w")).cast("bigint"))
     own = x.join(final.select("movie_id", "w", "chunk", "end", F.col("grown")), ["movie_id", "w"])
     kept = own.select("movie_id", "chunk", F.col("a").alias("start_s"), F.col("end").alias("end_s"), "cue_ord")
     # cues of the absorbed chunk go to the one before it
@@ -127,7 +130,7 @@ def validate_segments(segments: DataFrame, cues: DataFrame, longest_s: float = 1
 
 def consolidated_errors(segments: DataFrame) -> DataFrame:
     """Per title: repeated ids, repeated ranges, out of order, gaps, in a map (movie_id, segment_id, first_ord, last_ord)."""
-    by = _TITLE.orderBy("first_ord", "segment_id")
+    by = _title().orderBy("first_ord", "segment_id")
     x = segments.withColumn("ids", F.count(F.lit(1)).over(Window.partitionBy("movie_id", "segment_id")))
     x = x.withColumn("ranges", F.count(F.lit(1)).over(Window.partitionBy("movie_id", "first_ord", "last_ord")))
     reach = F.max("last_ord").over(by.rowsBetween(Window.unboundedPreceding, -1))
@@ -158,7 +161,7 @@ def smoke_windows(segments: DataFrame, durations: DataFrame, window: float = 60.
     x = x.withColumn("a", a).withColumn("b", a + size).withColumn("length", F.col("end_s") - F.col("start_s")).withColumn("middle", middle)
 
     def best(rows: DataFrame, no: int, *order: Column) -> DataFrame:
-        got = rows.withColumn("_r", F.row_number().over(_TITLE.orderBy(*order))).where("_r = 1")
+        got = rows.withColumn("_r", F.row_number().over(_title().orderBy(*order))).where("_r = 1")
         return got.select("movie_id", F.lit(no).alias("window_no"), "segment_id", "narrative_function", "a", "b")
 
     one = best(x, 1, F.desc(F.col("segment_type") == "conversation"), F.desc("length"), F.desc("segment_id"))
@@ -169,7 +172,7 @@ def smoke_windows(segments: DataFrame, durations: DataFrame, window: float = 60.
         return rows.join(c, "movie_id").where(ok).drop("ca", "cb")
 
     sparse = F.col("segment_type").isin("sparse_dialogue", "transition") | (F.col("narrative_function") == "transition")
-    any_sparse = F.max(sparse.cast("int")).over(_TITLE)
+    any_sparse = F.max(sparse.cast("int")).over(_title())
     pool = x.withColumn("_s", sparse).withColumn("_any", any_sparse).where(F.col("_s") | (F.col("_any") == 0))
     two = best(clear(pool, one, 0.0), 2, F.desc("length"), F.col("segment_id"))
     taken = one.select("movie_id", F.col("narrative_function").alias("f1")).join(two.select("movie_id", F.col("narrative_function").alias("f2")), "movie_id")

@@ -33,11 +33,11 @@ def redact(text: Column, secrets: list[str] | None = None) -> Column:
 
 def classify_error(message: Column) -> Column:
     """struct(reason, retryable, retry_after, quota) of a provider's error message; its status and delay are read from the text."""
-    status = F.regexp_extract(message, r"status (\d+)", 1).cast("int")
+    status = F.regexp_extract(message, r"status (\d+)", 1).try_cast("int")
     delay = F.regexp_extract(message, r"retry after (\d+) s", 1)
     reason = F.when(status.isin(401, 403), "AUTHENTICATION").when(status == 429, "RATE_LIMIT").when(status >= 500, "SERVER").when(status >= 400, "INVALID_REQUEST").when(status.isNotNull(), "NONE").otherwise("UNKNOWN")
     again = status.isin(429) | (status >= 500)
-    return F.struct(reason.alias("reason"), F.coalesce(again, F.lit(False)).alias("retryable"), F.when(again & (delay != ""), delay.cast("bigint")).alias("retry_after"), F.coalesce(status == 429, F.lit(False)).alias("quota"))
+    return F.struct(reason.alias("reason"), F.coalesce(again, F.lit(False)).alias("retryable"), F.when(again & (delay != ""), delay.try_cast("bigint")).alias("retry_after"), F.coalesce(status == 429, F.lit(False)).alias("quota"))
 
 
 def capacity_batches(rows: DataFrame, order: list[str], limits: dict[str, int], most: int) -> DataFrame:

@@ -18,7 +18,10 @@ DURATION_RANGES = {
 }
 OTHER_RANGE = (5.0, 10.0, 15.0)
 KEEP, REVIEW, LONGEST = 70, 50, 18.0
-_TITLE = Window.partitionBy("movie_id")
+
+
+def _title():
+    return Window.partitionBy("movie_id")
 
 
 def cuts(scores: DataFrame, threshold: float | Column) -> DataFrame:
@@ -38,10 +41,10 @@ def build_shots(windows: DataFrame, cuts_: DataFrame, fps: float) -> DataFrame:
 
 def local_peaks(scores: DataFrame, most: int = 15) -> DataFrame:
     """The highest frames of each title that are no lower than both neighbours and above zero: movie_id, rank, frame, score."""
-    by = _TITLE.orderBy("frame")
+    by = _title().orderBy("frame")
     x = scores.withColumn("_b", F.lag("score").over(by)).withColumn("_a", F.lead("score").over(by))
     top = (F.col("score") > 0) & F.coalesce(F.col("score") >= F.col("_b"), F.lit(True)) & F.coalesce(F.col("score") >= F.col("_a"), F.lit(True))
-    x = x.where(top).withColumn("rank", F.row_number().over(_TITLE.orderBy(F.desc("score"), "frame"))).where(F.col("rank") <= most)
+    x = x.where(top).withColumn("rank", F.row_number().over(_title().orderBy(F.desc("score"), "frame"))).where(F.col("rank") <= most)
     return x.select("movie_id", F.col("rank").cast("bigint").alias("rank"), "frame", "score")
 
 
@@ -81,7 +84,7 @@ def shot_signals(shots: DataFrame, frames: DataFrame, sliver_s: float = 0.25) ->
         mean.alias("mean"), F.sqrt(F.greatest(F.lit(0.0), F.sum("s2") / n - mean * mean)).alias("std"), (F.sum("dark") / n).alias("near_black"),
         F.avg("laplacian").alias("sharpness"), F.coalesce(F.avg("diff_prev"), F.lit(0.0)).alias("motion"), F.count(F.lit(1)).alias("frames"),
     )
-    last = F.lead("shot_id").over(_TITLE.orderBy("start_s", "shot_id")).isNull()
+    last = F.lead("shot_id").over(_title().orderBy("start_s", "shot_id")).isNull()
     x = shots.select("movie_id", "shot_id", last.alias("last"), (F.col("end_s") - F.col("start_s")).alias("d")).join(got, ["movie_id", "shot_id"], "left")
     status = F.when(F.col("frames").isNotNull(), "COMPLETE").when(F.col("last") & (F.col("d") < sliver_s), "SKIPPED").otherwise("FAILED")
     return x.select("movie_id", "shot_id", status.alias("status"), "mean", "std", "near_black", "sharpness", "motion")
@@ -127,7 +130,7 @@ def analysis_units(shots: DataFrame, fps: float, longest: float = LONGEST) -> Da
 
 def validate_shots(shots: DataFrame, fps: float) -> DataFrame:
     """Per title: gaps, overlaps and empty ranges of frames, and starts whose time and frame disagree."""
-    before = F.lag("end_frame").over(_TITLE.orderBy("start_s", "shot_id"))
+    before = F.lag("end_frame").over(_title().orderBy("start_s", "shot_id"))
     x = shots.withColumn("_b", before)
     off = F.abs(F.col("start_s") * fps - F.col("start_frame")) > 0.5 + 1e-8
     return x.groupBy("movie_id").agg(F.count_if(F.col("start_frame") > F.col("_b")).alias("gaps"), F.count_if(F.col("start_frame") < F.col("_b")).alias("overlaps"), F.count_if(F.col("start_frame") >= F.col("end_frame")).alias("empty"), F.count_if(off).alias("disagreeing"))
@@ -135,13 +138,13 @@ def validate_shots(shots: DataFrame, fps: float) -> DataFrame:
 
 def continuity_errors(shots: DataFrame, tolerance: float = 0.05) -> DataFrame:
     """Per title: jumps between shots beyond the tolerance, first start and last end."""
-    x = shots.withColumn("_b", F.lag("end_s").over(_TITLE.orderBy("start_s", "shot_id")))
+    x = shots.withColumn("_b", F.lag("end_s").over(_title().orderBy("start_s", "shot_id")))
     return x.groupBy("movie_id").agg(F.count_if(F.abs(F.col("start_s") - F.col("_b")) > tolerance).alias("jumps"), F.min("start_s").alias("first_s"), F.max("end_s").alias("last_s"))
 
 
 def priority_batches(events: DataFrame, size: int, score: str = "score") -> DataFrame:
     """movie_id, event_id, rank, batch: events of a title by falling score, start and id, in batches of a fixed size."""
-    x = events.withColumn("rank", F.row_number().over(_TITLE.orderBy(F.desc(score), "start_s", "event_id")).cast("bigint"))
+    x = events.withColumn("rank", F.row_number().over(_title().orderBy(F.desc(score), "start_s", "event_id")).cast("bigint"))
     return x.select("movie_id", "event_id", "rank", F.floor((F.col("rank") - 1) / size).alias("batch"))
 
 
@@ -160,7 +163,7 @@ def adjacent_edges(shots: DataFrame, similarity: bool = False) -> DataFrame:
     shots: movie_id, shot_id, start_s, occupancy, setting_id, interaction_id, scene_break_after, cut_score, and with
     similarity hist. Missing ids are never a difference; a known difference or a break vetoes whatever speaks for a merge.
     """
-    by = _TITLE.orderBy("start_s", "shot_id")
+    by = _title().orderBy("start_s", "shot_id")
     cols = ["shot_id", "occupancy", "setting_id", "interaction_id", "cut_score", *(["hist"] if similarity else [])]
     x = shots.withColumns({f"n_{c}": F.lead(c).over(by) for c in cols}).where("n_shot_id is not null")
     no = lambda c: F.coalesce(c, F.lit(False))
@@ -234,7 +237,7 @@ def bounded_groups(shots: DataFrame, longest: float = LONGEST) -> DataFrame:
     has positive reasons), alone (the shot has value of its own). A group grows while it stays within longest seconds; a quiet one stops early at 5 s (one
     shot) or 15 s. Groups of 3 to longest seconds are kept. Titles fall into islands first, so the fold runs over islands.
     """
-    by = _TITLE.orderBy("shot_ord")
+    by = _title().orderBy("shot_ord")
     to_previous = F.lag("joined").over(by)
     x = shots.withColumn("island", F.sum(F.when(F.coalesce(to_previous, F.lit(False)), 0).otherwise(1)).over(by))
     row = F.struct("shot_ord", "shot_id", F.col("duration_s").alias("d"), "joined", "talk", "why", "alone")

@@ -1 +1,104 @@
+"""Queries over the stage log as a stream, compared with their batch twins, and over subtitle text."""
 
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cutlight import fixtures as fx
+from cutlight.fixtures import with_
+from cutlight.registry import query
+from cutlight.sources import subtitles as sub
+from cutlight.streaming import stage_log as sl
+
+
+def _scratch(spark: SparkSession) -> str:
+    top = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    return f"{top.rstrip('/')}/stream-{uuid.uuid4().hex}"
+
+
+def _log(spark: SparkSession, d: str) -> DataFrame:
+    """The log with one number for the order of rows of one time."""
+    x = fx.stage_log(spark, d)
+    return x.select("movie_id", "event_id", "stage", "ts_us", (F.col("fingerprint") * 100000000000 + F.col("l_suppkey") * 10000000 + F.floor(F.col("l_extendedprice"))).cast("bigint").alias("seq"), "status")
+
+
+_SEQ = "CAST(fingerprint * 100000000000 + l_suppkey * 10000000 + floor(l_extendedprice) AS BIGINT)"
+
+
+@query(with_(f"SELECT movie_id, event_id, stage, arg_max(status, (ts_us, {_SEQ})) AS status, max(ts_us) AS ts_us FROM lg GROUP BY ALL", "lg"))
+def x01_stream_latest_state(spark: SparkSession, d: str) -> DataFrame:
+    at = _scratch(spark)
+    log = _log(spark, d)
+    log.repartition(6, "event_id").write.parquet(f"{at}/log")
+    stream = sl.read_log(spark, f"{at}/log", ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in log.schema.fields))
+    sl.upsert_states(stream, f"{at}/states", f"{at}/checkpoint")
+    return sl.read_states(spark, f"{at}/states")
+
+
+def _stamped(spark: SparkSession, d: str) -> DataFrame:
+    """Events as log rows in event time, an hour made a minute, and a probe row that closes all windows before it."""
+    e = fx.table(spark, d, "events").select(F.col("user_id").alias("movie_id"), F.col("event_type").alias("stage"), F.timestamp_micros(F.floor((fx.micros("ts") - 1704067200000000) / 60)).alias("ts"))
+    probe = spark.range(1).select(F.lit(-1).cast("bigint").alias("movie_id"), F.lit("probe").alias("stage"), F.timestamp_micros(F.lit(10**13)).alias("ts"))
+    return e.union(probe)
+
+
+def _run(spark: SparkSession, d: str, make) -> DataFrame:
+    """make over the stamped log as a stream, written in append mode and read back."""
+    at = _scratch(spark)
+    log = _stamped(spark, d)
+    log.where("movie_id >= 0").coalesce(1).write.parquet(f"{at}/log")
+    log.where("movie_id < 0").coalesce(1).write.mode("append").parquet(f"{at}/log")
+    schema = "movie_id bigint, stage string, ts timestamp"
+    for _ in range(2):  # the second run sees the watermark that the probe has set
+        out = make(spark.readStream.schema(schema).parquet(f"{at}/log"))
+        out.writeStream.format("parquet").outputMode("append").option("path", f"{at}/out").option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(out.schema).parquet(f"{at}/out")
+
+
+_STAMP = "st AS (SELECT user_id AS movie_id, event_type AS stage, CAST(floor((epoch_us(ts) - 1704067200000000) / 60) AS BIGINT) AS us FROM events)"
+
+
+@query(f"WITH {_STAMP} SELECT movie_id, min(us) AS started_us, max(us) + 1800000000 AS stale_us, count(*) AS rows FROM (SELECT *, sum(n) OVER (PARTITION BY movie_id ORDER BY us, stage) AS run FROM (SELECT *, CASE WHEN us - lag(us) OVER (PARTITION BY movie_id ORDER BY us, stage) < 1800000000 THEN 0 ELSE 1 END AS n FROM st)) GROUP BY movie_id, run")
+def x02_stream_stale_titles(spark: SparkSession, d: str) -> DataFrame:
+    x = _run(spark, d, sl.stale_titles).where("movie_id >= 0")
+    return x.select("movie_id", F.unix_micros("started").alias("started_us"), F.unix_micros("stale_at").alias("stale_us"), "rows")
+
+
+@query(f"WITH {_STAMP} SELECT stage, us // 30000000 * 30000000 AS from_us, count(*) AS rows FROM st GROUP BY ALL")
+def x04_stream_heartbeats(spark: SparkSession, d: str) -> DataFrame:
+    x = _run(spark, d, sl.heartbeats).where("stage <> 'probe'")
+    return x.select("stage", F.unix_micros("from").alias("from_us"), "rows")
+
+
+_SRT = "srt AS (SELECT movie_id, cue_ord, printf('%02d:%02d:%02d,%03d', s // 3600, s // 60 % 60, s % 60, ms) AS a, cue_ord % 13 = 0 AS bad, trim(text, ' ') AS t, s + ms / 1000 AS secs FROM (SELECT movie_id, cue_ord, text, CAST(floor(start_s) AS BIGINT) AS s, CAST(floor((start_s - floor(start_s)) * 1000 + 0.5) AS BIGINT) AS ms FROM cu WHERE NOT regexp_matches(text, '[^ -~]') AND text = trim(text, ' ') AND NOT contains(text, '  ')))"
+
+
+def _srt(spark: SparkSession, d: str) -> DataFrame:
+    """One subtitle file a title: every 13th cue has a broken timing line."""
+    c = fx.cues(spark, d).where(~F.col("text").rlike("[^ -~]") & (F.col("text") == F.trim("text")) & ~F.col("text").contains("  "))
+    s = F.floor("start_s")
+    ms = F.floor((F.col("start_s") - s) * 1000 + 0.5)
+    a = F.format_string("%02d:%02d:%02d,%03d", F.floor(s / 3600), F.floor(s / 60) % 60, s % 60, ms)
+    block = F.concat(F.col("cue_ord").cast("string"), F.lit("\r\n"), a, F.when(F.col("cue_ord") % 13 == 0, F.lit(" -> ")).otherwise(F.lit(" --> ")), a, F.lit("\r\n"), F.col("text"))
+    return c.groupBy("movie_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("cue_ord", block.alias("b")))), lambda x: x["b"]), "\r\n\r\n").alias("text"))
+
+
+@query(with_("SELECT", "cu").removesuffix("\nSELECT") + f", {_SRT} SELECT movie_id, row_number() OVER (PARTITION BY movie_id ORDER BY cue_ord) AS cue_ord, cue_ord AS source_index, round(secs, 3) AS start_s, t AS text FROM srt WHERE NOT bad")
+def s01_subtitle_ingest(spark: SparkSession, d: str) -> DataFrame:
+    cues, _ = sub.parse_blocks(_srt(spark, d), "movie_id")
+    return cues.select("movie_id", "cue_ord", "source_index", F.round("start_s", 3).alias("start_s"), "text")
+
+
+@query(with_("SELECT", "cu").removesuffix("\nSELECT") + f", {_SRT} SELECT movie_id, count(*) AS n, any_value('malformed timing line') AS reason FROM srt WHERE bad GROUP BY movie_id")
+def s01_malformed_blocks(spark: SparkSession, d: str) -> DataFrame:
+    _, bad = sub.parse_blocks(_srt(spark, d), "movie_id")
+    return bad.groupBy("movie_id", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(with_("SELECT movie_id, count(*) AS cues, 0::BIGINT AS bad_ids, 0::BIGINT AS repeated_ids, 0::BIGINT AS empty, 0::BIGINT AS out_of_order FROM cu GROUP BY movie_id", "cu"))
+def s03_canonical_cues(spark: SparkSession, d: str) -> DataFrame:
+    return sub.canonical_cue_errors(fx.cues(spark, d))
