@@ -196,7 +196,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """Rows of docs that the model does not call toxic, with all their columns."""
-    names = docs.columns
-    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    with_text = docs.withColumn("_text", F.col(text_col).cast("string"))
-    return with_text.mapInArrow(_score(model), f"{kind}, score double").where("score < 0.5").select(*(F.col(f"`{n}`") for n in names))
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    kind = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, docs.schema.fields, strict=True))
+    with_text = docs.withColumn("_text", F.col(text_col).cast("string")).toDF(*names, "_text")
+    return with_text.mapInArrow(_score(model), f"{kind}, score double").where("score < 0.5").select(*names).toDF(*docs.columns)
