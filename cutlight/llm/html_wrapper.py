@@ -239,12 +239,12 @@ def align(x: list, y: list, memo: dict) -> list[tuple[list | None, list | None]]
             i, j = i - 1, j - 1
             out.append((x[i], y[j]))
     out += [(c, None) for c in reversed(x[:i])] + [(None, d) for d in reversed(y[:j])]
+    out.reverse()
     # what stands elsewhere in the other tree is still one node
-    ones = {d[_SIG]: k for k, (c, d) in enumerate(out) if c is None}
-    for k, (c, d) in enumerate(out):
-        if d is None and c[_SIG] in ones and out[ones[c[_SIG]]] is not None:
-            out[k], out[ones.pop(c[_SIG])] = (c, out[ones[c[_SIG]]][1]), (None, None)
-    return [p for p in reversed(out) if p != (None, None)]
+    moved = {d[_SIG]: d for c, d in out if c is None}
+    lone = {c[_SIG] for c, d in out if d is None}
+    out = [(c, moved.get(c[_SIG])) if d is None else (c, d) for c, d in out if c is not None or d[_SIG] not in lone]
+    return out
 
 
 def _texts(a: dict, b: dict) -> dict:
