@@ -13,7 +13,8 @@ Stages:
 4. pairs of sets that share a prefix token are filtered and verified on their shared tokens.
 
 Groups of near copies are not expanded into all pairs: rounds of stars (every set of a token against one leader) link
-most of a group, then only pairs across different components are left, and all of those are tried.
+most of a group, then only pairs across different components are left, and all of those are tried. Before a pair leaves
+the join of its token, bitmaps of both sets bound what they can share.
 """
 
 from __future__ import annotations
@@ -35,11 +36,13 @@ SHINGLE, PERCENT = 5, 75
 FLUSH, BUCKET = 1_500_000, 1_500_000
 #: A token is its bucket's number and this many further bits of its hash.
 REST = 40
+#: 64-bit words of a set's bitmap.
+BITS = 8
 STAR_ROUNDS = 4
 
 _BLOCK = "bucket int, cls binary, n binary, lens binary, lo binary, hi binary, ids array<bigint>, id_cls binary, id_n binary"
 _SHARED = "doc_id bigint, cls bigint, n int, part int, classes binary, sizes binary, lens binary, lo binary, hi binary, df binary"
-_SETS = "cls bigint, n int, toks array<bigint>, p1 array<bigint>, p2 array<bigint>, p3 array<bigint>"
+_SETS = "cls bigint, n int, s int, bits array<bigint>, toks array<bigint>, p1 array<bigint>, p2 array<bigint>, p3 array<bigint>"
 
 
 def prefix_length(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
@@ -186,9 +189,12 @@ def _prefixes(n_buckets: int, percent: int):
             if k > 0:
                 t, d = tok[x : x + m], df[x : x + m]
                 orders = (np.lexsort((words.mix(t), d)), np.argsort(words.mix(t ^ np.uint64(0xA5A5A5A5))), np.argsort(words.mix(t ^ np.uint64(0x5C5C5C5C3C3C))))
-                rows.append([int(cls[x]), int(size[x]), t.view(np.int64), *(np.sort(t[o[:k]]).view(np.int64) for o in orders)])
-        kinds = [pa.int64(), pa.int32(), *[pa.list_(pa.int64())] * 4]
-        return pa.Table.from_arrays([pa.array([r[i] for r in rows], kinds[i]) for i in range(6)], names=[x.split()[0] for x in _SETS.split(", ")])
+                spot = words.mix(t ^ np.uint64(0x3333333377777777)) & np.uint64(64 * BITS - 1)
+                bitmap = np.zeros(BITS, np.uint64)
+                np.bitwise_or.at(bitmap, (spot >> np.uint64(6)).astype(np.int64), np.uint64(1) << (spot & np.uint64(63)))
+                rows.append([int(cls[x]), int(size[x]), int(m), bitmap.view(np.int64), t.view(np.int64), *(t[o[:k]].view(np.int64) for o in orders)])
+        kinds = [pa.int64(), pa.int32(), pa.int32(), *[pa.list_(pa.int64())] * 5]
+        return pa.Table.from_arrays([pa.array([r[i] for r in rows], kinds[i]) for i in range(8)], names=[x.split()[0] for x in _SETS.split(", ")])
 
     return cut
 
@@ -205,8 +211,23 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _fits(a: str, b: str, percent: int):
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+def _could(percent: int):
+    """Can sets a and b, from their sizes n, numbers s of tokens shared with anyone, and bitmaps, be similar enough?
+
+    A bit that only a has stands for a token at least that b lacks, so what both share is bounded from above. So it is by
+    what follows their first common token in order 1: a later one may fail this for a pair, the first one never does.
+    """
+
+    def most(x: str, y: str):
+        lacks = sum((F.bit_count(F.get(f"bits_{x}", i).bitwiseAND(F.bitwise_not(F.get(f"bits_{y}", i)))) for i in range(BITS)), F.lit(0))
+        return F.col(f"s_{x}") - lacks
+
+    after = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
+    return ((100 + percent) * after >= percent * (F.col("n_a") + F.col("n_b"))) & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & ((100 + percent) * F.least(most("a", "b"), most("b", "a")) >= percent * (F.col("n_a") + F.col("n_b")))
+
+
+def _side(rows: DataFrame, x: str, *more: str) -> DataFrame:
+    return rows.select("tok", F.col("cls").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("n", "s", "bits", "pos", "comp", *more)))
 
 
 def links_and_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -227,22 +248,21 @@ def links_and_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     packed = found.where("part is not null").drop("doc_id", "cls", "n")
     sets = materialise(packed.groupBy("part").applyInArrow(_prefixes(n_buckets, percent), _SETS), "sets")
 
-    tokens = materialise(sets.select(F.explode("p1").alias("tok"), "cls", "n"), "prefix")
+    tokens = materialise(sets.select(F.posexplode("p1").alias("at", "tok"), "cls", "n", "s", "bits").withColumn("pos", F.col("n") - F.col("s") + F.col("at")).drop("at"), "prefix")
     component = None
     links = None
 
     def labelled() -> DataFrame:
         if component is None:
             return tokens.withColumn("comp", F.col("cls"))
-        return tokens.join(component.withColumnRenamed("node", "cls"), "cls", "left").select("tok", "cls", "n", F.coalesce("component", "cls").alias("comp"))
+        return tokens.join(component.withColumnRenamed("node", "cls"), "cls", "left").select("tok", "cls", "n", "s", "bits", "pos", F.coalesce("component", "cls").alias("comp"))
 
     for turn in range(STAR_ROUNDS):
         now = labelled()
-        rank = F.struct(F.xxhash64(F.lit(turn), "cls").alias("r"), "cls", "n", "comp")
+        rank = F.struct(F.xxhash64(F.lit(turn), "cls").alias("r"), "cls", "n", "s", "bits", "pos", "comp")
         heads = now.groupBy("tok").agg(F.min(rank).alias("head"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-        heads = heads.select("tok", F.col("head.cls").alias("b"), F.col("head.n").alias("n_b"), F.col("head.comp").alias("comp_b"))
-        pairs = now.join(heads, "tok").where((F.col("comp") != F.col("comp_b")) & _fits("n", "n_b", percent))
-        new = materialise(_verified(pairs.select(F.col("cls").alias("a"), "b").distinct(), sets, percent), "links")
+        pairs = _side(now, "a").join(_side(heads.select("tok", "head.*"), "b"), "tok").where((F.col("comp_a") != F.col("comp_b")) & _could(percent))
+        new = materialise(_verified(pairs.select("a", "b").distinct(), sets, percent), "links")
         if new.isEmpty():
             break
         links = new if links is None else links.union(new)
@@ -253,9 +273,8 @@ def links_and_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     sizes = now.groupBy("tok", "comp").agg(F.count("*").alias("c"))
     major = sizes.groupBy("tok").agg(F.max(F.struct("c", "comp")).alias("m"), F.count("*").alias("comps")).where("comps > 1")
     open_ = materialise(now.join(major.select("tok", F.col("m.comp").alias("major")), "tok"), "open")
-    few = open_.where("comp <> major").select("tok", F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("comp").alias("comp_a"))
-    rest = open_.select("tok", F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"), (F.col("comp") == F.col("major")).alias("at_major"))
-    pairs = few.join(rest, "tok").where((F.col("comp_a") != F.col("comp_b")) & (F.col("at_major") | (F.col("a") < F.col("b"))) & _fits("n_a", "n_b", percent))
+    open_ = open_.withColumn("in", F.col("comp") == F.col("major"))
+    pairs = _side(open_.where(~F.col("in")), "a").join(_side(open_, "b", "in"), "tok").where((F.col("comp_a") != F.col("comp_b")) & (F.col("in_b") | (F.col("a") < F.col("b"))) & _could(percent))
     new = materialise(_verified(pairs.select("a", "b").distinct(), sets, percent), "links")
     if not new.isEmpty():
         links = new if links is None else links.union(new)
