@@ -44,13 +44,9 @@ def node_of(url: Column) -> Column:
 
 def rule_of(host: Column, path: Column, rules=RULES) -> Column:
     """struct(rule, verdict) of the longest fitting rule, else null. Rules are few, so they are part of the plan."""
-    out = F.lit(None)
-    chain = None
-    for verdict, h, p in sorted(rules, key=lambda r: -len(r[1] + r[2])):
-        fits = ((host == h) | host.endswith("." + h)) & path.startswith(p)
-        then = F.struct(F.lit(h + p).alias("rule"), F.lit(verdict).alias("verdict"))
-        chain = F.when(fits, then) if chain is None else chain.when(fits, then)
-    return out.cast("struct<rule:string,verdict:string>") if chain is None else chain
+    ordered = sorted(rules, key=lambda r: -len(r[1] + r[2]))
+    table = F.array(*[F.struct(F.lit(h).alias("host"), F.lit(p).alias("path"), F.lit(h + p).alias("rule"), F.lit(v).alias("verdict")) for v, h, p in ordered])
+    return F.get(F.filter(table, lambda r: ((host == r["host"]) | host.endswith(F.concat(F.lit("."), r["host"]))) & path.startswith(r["path"])), 0)
 
 
 _TAG = r"(?is)<(?:link|meta)\b[^>]*>"
@@ -70,7 +66,9 @@ def links_in(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
     href = F.regexp_extract("tag", r"(?is)\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", 0)
     href = F.regexp_replace(href, r"(?is)^href\s*=\s*[\"']?|[\"']$", "")
     to = F.regexp_extract("tag", r"(?is)\burl\s*=\s*['\"]?([^'\">]*)", 1)
-    tags = tags.withColumn("to", F.trim(F.regexp_replace(F.when(F.col("tag").rlike(_REL) & F.col("tag").rlike(r"(?i)^<link"), href).when(F.col("tag").rlike(_REFRESH), to), "&amp;", "&")))
+    target = F.when(F.col("tag").rlike(_REL) & F.col("tag").rlike(r"(?i)^<link"), href).when(F.col("tag").rlike(_REFRESH), to)
+    # explode keeps what it makes as a column: written into each other these expressions would grow without end
+    tags = tags.select("url", F.explode(F.array(F.trim(F.regexp_replace(target, "&amp;", "&")))).alias("to"))
     scheme, host, path = F.regexp_extract("url", r"^(.*?)://", 1), host_of(F.col("url")), path_of(F.col("url"))
     full = (
         F.when(F.col("to").rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), F.col("to"))
@@ -78,7 +76,7 @@ def links_in(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
         .when(F.col("to").startswith("/"), F.concat(scheme, F.lit("://"), host, F.col("to")))
         .when(F.col("to") != "", F.concat(scheme, F.lit("://"), host, F.regexp_replace(path, r"[^/]*$", ""), F.when(path == "", F.lit("/")).otherwise(F.lit("")), F.col("to")))
     )
-    return tags.select(node_of(F.col("url")).alias("src"), node_of(full).alias("dst")).where("src is not null and dst is not null")
+    return tags.select("url", F.explode(F.array(full)).alias("to")).select(node_of(F.col("url")).alias("src"), node_of(F.col("to")).alias("dst")).where("src is not null and dst is not null")
 
 
 def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str | None = "html", redirects: DataFrame | None = None, rules=RULES) -> DataFrame:
