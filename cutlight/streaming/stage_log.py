@@ -2,14 +2,8 @@
 
 from __future__ import annotations
 
-
-from collections.abc import Iterator
-from typing import Any
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 #: How late a row may come where time closes a window (latest states take rows of any age).
 LATENESS = "10 minutes"
@@ -20,39 +14,29 @@ def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(path)
 
 
-def latest_states(log: DataFrame) -> DataFrame:
-    """movie_id, event_id, stage, ts_us, seq, status: updates of the latest row of each stage, in update mode.
-
-    log: movie_id, event_id, stage, ts_us, seq, status. State is the greatest (ts_us, seq) seen, so the order of arrival and
-    replays don't matter; the last update of a key is its state.
-    """
-    out = "movie_id bigint, event_id bigint, stage string, ts_us bigint, seq bigint, status string"
-
-    def step(key: tuple[Any, ...], frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        best = state.get if state.exists else None
-        for f in frames:
-            for row in f[["ts_us", "seq", "status"]].itertuples(index=False, name=None):
-                if best is None or row[:2] > tuple(best[:2]):
-                    best = row
-        state.update(best)
-        yield pd.DataFrame({"movie_id": [key[0]], "event_id": [key[1]], "stage": [key[2]], "ts_us": [best[0]], "seq": [best[1]], "status": [best[2]]})
-
-    return log.groupBy("movie_id", "event_id", "stage").applyInPandasWithState(step, out, "ts_us bigint, seq bigint, status string", "update", GroupStateTimeout.NoTimeout)
+def latest(rows: DataFrame) -> DataFrame:
+    """movie_id, event_id, stage, ts_us, seq, status: the row of each stage with the greatest (ts_us, seq)."""
+    at = F.struct("ts_us", "seq")
+    g = rows.groupBy("movie_id", "event_id", "stage").agg(F.max(at).alias("at"), F.max_by("status", at).alias("status"))
+    return g.select("movie_id", "event_id", "stage", "at.ts_us", "at.seq", "status")
 
 
 def upsert_states(log: DataFrame, target: str, checkpoint: str) -> None:
-    """Run latest_states over all there is and keep one row a key under target (Parquet, one folder a batch)."""
+    """Reduce each micro-batch of all there is to the latest row a stage, under target (Parquet, one folder a batch).
+
+    State is the greatest (ts_us, seq), so neither the order of arrival nor a replayed batch changes it: a batch
+    that runs again overwrites its own folder.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
+        latest(batch).write.mode("overwrite").parquet(f"{target}/batch={number}")
 
-    latest_states(log).writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    log.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def read_states(spark: SparkSession, target: str) -> DataFrame:
-    """The latest update of each key that upsert_states has written."""
-    rows = spark.read.parquet(target)
-    return rows.groupBy("movie_id", "event_id", "stage").agg(F.max_by("status", F.struct("ts_us", "seq")).alias("status"), F.max("ts_us").alias("ts_us"))
+    """movie_id, event_id, stage, status, ts_us: the latest of what upsert_states has written."""
+    return latest(spark.read.parquet(target)).select("movie_id", "event_id", "stage", "status", "ts_us")
 
 
 def stale_titles(log: DataFrame, after: str = "1800 seconds") -> DataFrame:
