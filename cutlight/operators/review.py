@@ -145,3 +145,81 @@ def coherence(events: DataFrame, edges: DataFrame) -> DataFrame:
     g = x.groupBy("movie_id", "event", "n").agg(F.count("merge").alias("known"), F.count_if(F.col("merge")).alias("merged"))
     status = F.when((F.col("n") <= 1) | (F.col("merged") == F.col("n") - 1), "PASS").when(F.col("known") == 0, "LEGACY_UNVERIFIED").otherwise("SPLIT_REQUIRED")
     return g.select("movie_id", "event", status.alias("status"))
+
+
+def optimal_partition(items: DataFrame, scores: DataFrame) -> DataFrame:
+    """The split of each run into consecutive parts with the greatest sum of scores: movie_id, run, part_start, part_end.
+
+    items: movie_id, run, n (length); scores: movie_id, run, i, j, score of the part i..j (from 1, both included), for the parts that are
+    allowed. Of equal sums the one whose last part begins earliest wins. Parts are bounded in length, so a run has few of them; the
+    best sum up to each end is a fold over the run's ends.
+    """
+    by_end = scores.groupBy("movie_id", "run", "j").agg(F.sort_array(F.collect_list(F.struct("i", "score"))).alias("parts"))
+    rows = by_end.groupBy("movie_id", "run").agg(F.sort_array(F.collect_list(F.struct("j", "parts"))).alias("rows"))
+    # best[k]: (sum, begin of the last part) of the first k items; best[0] = (0, 0)
+    start = F.array(F.struct(F.lit(0.0).alias("total"), F.lit(0).cast("bigint").alias("i")))
+
+    def step(best: Column, r: Column) -> Column:
+        options = F.transform(r["parts"], lambda p: F.struct((F.element_at(best, p["i"].cast("int"))["total"] + p["score"]).alias("total"), p["i"].cast("bigint").alias("i")))
+        first = F.get(options, 0)
+        top = F.aggregate(options, first, lambda a, b: F.when(b["total"] > a["total"], b).otherwise(a))
+        return F.concat(best, F.array(top))
+
+    best = rows.withColumn("best", F.aggregate("rows", start, step)).select("movie_id", "run", "best")
+    ends = best.withColumn("n", F.size("best") - 1)
+
+    def back(path: Column, _: Column) -> Column:
+        at = F.element_at(path["best"], path["at"].cast("int") + 1)["i"]
+        return F.when(path["at"] <= 0, path).otherwise(F.struct(path["best"].alias("best"), (at - 1).alias("at"), F.concat(path["out"], F.array(F.struct(at.alias("i"), path["at"].alias("j")))).alias("out")))
+
+    seed = F.struct(F.col("best"), F.col("n").cast("bigint").alias("at"), F.array().cast("array<struct<i:bigint,j:bigint>>").alias("out"))
+    walked = ends.withColumn("w", F.aggregate(F.sequence(F.lit(1), F.col("n")), seed, back))
+    return walked.select("movie_id", "run", F.explode("w.out").alias("p")).select("movie_id", "run", F.col("p.i").alias("part_start"), F.col("p.j").alias("part_end"))
+
+
+def stale_fingerprints(current: DataFrame, stored: DataFrame, keys: list[str], parts: list[str]) -> DataFrame:
+    """keys, state: FRESH, STALE (a part has changed) or NEW, by the digest of strings and whole numbers in the order of their names."""
+    mark = F.sha2(F.to_json(F.struct(*sorted(parts)), {"ignoreNullFields": "false"}).cast("binary"), 256)
+    a, b = current.select(*keys, mark.alias("a")), stored.select(*keys, mark.alias("b"))
+    return a.join(b, keys, "left").select(*keys, F.when(F.col("b").isNull(), "NEW").when(F.col("a") == F.col("b"), "FRESH").otherwise("STALE").alias("state"))
+
+
+def requeue_batches(batches: DataFrame, state: DataFrame, terminal: list[str]) -> DataFrame:
+    """movie_id, batch, open: batches (movie_id, batch, event_id) that have events without a terminal state, and how many."""
+    done = state.where(F.col("status").isin(*terminal)).select("movie_id", "event_id").distinct()
+    left = batches.join(done, ["movie_id", "event_id"], "left_anti")
+    return left.groupBy("movie_id", "batch").agg(F.count(F.lit(1)).alias("open"))
+
+
+def repair_list(audits: DataFrame, files: DataFrame) -> DataFrame:
+    """asset, state: REPAIR for assets whose audit says so and whose file is the one audited, STALE where the file has changed."""
+    x = audits.where("decision = 'REPAIR'").join(files.select("asset", F.col("sha").alias("now")), "asset", "left")
+    return x.select("asset", F.when(F.col("sha").eqNullSafe(F.col("now")), "REPAIR").otherwise("STALE").alias("state"))
+
+
+def combined_audit(audits: DataFrame) -> DataFrame:
+    """movie_id, n by decision of audits (face, person): a face that passes beside a person that does not is ambiguous; else the face's decision, if any."""
+    d = F.when((F.col("face") == "PASS") & (F.col("person") != "PASS"), "AMBIGUOUS").otherwise(F.coalesce("face", "person"))
+    return audits.withColumn("d", d).groupBy("movie_id", F.col("d").alias("decision")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def observation_status(events: DataFrame, records: DataFrame) -> DataFrame:
+    """movie_id, cached, missing, records, and records of each contract."""
+    has = records.where("valid").select("movie_id", "event_id").distinct().withColumn("hit", F.lit(1))
+    a = events.join(has, ["movie_id", "event_id"], "left").groupBy("movie_id").agg(F.count("hit").alias("cached"), F.count_if(F.col("hit").isNull()).alias("missing"))
+    b = records.groupBy("movie_id").agg(F.count(F.lit(1)).alias("records"), *[F.count_if(F.col("contract") == c).alias(c) for c in ("v1", "temporal_v2", "visual_reuse")])
+    return a.join(b, "movie_id", "left")
+
+
+def bind_labels(mentions: DataFrame, catalog: DataFrame, prefix: str) -> DataFrame:
+    """mentions (movie_id, event_id, ord, label) with id: the catalog's id of the label (trimmed, any case), else a new one from its number."""
+    norm = lambda c: F.lower(F.trim(c))
+    c = catalog.groupBy("movie_id", norm(F.col("label")).alias("_l")).agg(F.min("id").alias("_id"))
+    x = mentions.withColumn("_l", norm(F.col("label"))).join(c, ["movie_id", "_l"], "left")
+    return x.select("movie_id", "event_id", "ord", "label", F.coalesce("_id", F.format_string(prefix + "_%03d", "ord")).alias("id"))
+
+
+def forbidden_keys(rows: DataFrame, json_col: str, keys: list[str]) -> DataFrame:
+    """rows with found: the forbidden keys that stand anywhere in a JSON text, in order."""
+    names = F.regexp_extract_all(F.col(json_col), F.lit(r'"([A-Za-z0-9_]+)"\s*:'), F.lit(1))
+    return rows.withColumn("found", F.array_sort(F.array_distinct(F.filter(names, lambda n: n.isin(*keys)))))

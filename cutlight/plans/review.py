@@ -104,3 +104,66 @@ def v21_event_coherence(spark: SparkSession, d: str) -> DataFrame:
     x = fx.shots(spark, d).groupBy("movie_id", F.floor((F.col("shot_ord") - 1) / 3).alias("event")).agg(F.transform(F.sort_array(F.collect_list(F.struct("shot_ord", "shot_id"))), lambda s: s["shot_id"]).alias("shot_ids"))
     edges = sh.adjacent_edges(_shots_with_context(spark, d)).where((F.col("movie_id") + F.substring("shot_id", 11, 9).cast("bigint")) % 6 != 0)
     return rv.coherence(x, edges)
+
+
+@query(with_("SELECT", "sh").removesuffix("\nSELECT") + """, it AS (SELECT movie_id, (shot_ord - 1) // 12 AS run, (shot_ord - 1) % 12 + 1 AS p, start_s, end_s, k FROM sh),
+sc AS (SELECT a.movie_id, a.run, a.p AS i, b.p AS j, CAST((b.k * 7 + a.k * 3 + (b.p - a.p) * 11) % 50 - 5 AS DOUBLE) AS s FROM it a JOIN it b ON a.movie_id = b.movie_id AND a.run = b.run AND b.p >= a.p AND (b.p = a.p OR b.end_s - a.start_s <= 20)),
+n AS (SELECT movie_id, run, max(p) AS n FROM it GROUP BY ALL),
+f(movie_id, run, e, best) AS (SELECT movie_id, run, 0::BIGINT, [{'t': 0.0::DOUBLE, 'i': 0::BIGINT}] FROM n
+ UNION ALL SELECT f.movie_id, f.run, f.e + 1, list_append(f.best, (SELECT arg_min(struct_pack(t := f.best[sc.i].t + sc.s, i := sc.i), (-(f.best[sc.i].t + sc.s), sc.i)) FROM sc WHERE sc.movie_id = f.movie_id AND sc.run = f.run AND sc.j = f.e + 1)) FROM f JOIN n ON n.movie_id = f.movie_id AND n.run = f.run AND f.e < n.n),
+g(movie_id, run, i, j) AS (SELECT f.movie_id, f.run, f.best[n.n + 1].i, n.n FROM f JOIN n ON n.movie_id = f.movie_id AND n.run = f.run AND f.e = n.n
+ UNION ALL SELECT g.movie_id, g.run, f.best[g.i].i, g.i - 1 FROM g JOIN n ON n.movie_id = g.movie_id AND n.run = g.run JOIN f ON f.movie_id = g.movie_id AND f.run = g.run AND f.e = n.n WHERE g.i > 1)
+SELECT movie_id, run, i AS part_start, j AS part_end FROM g""")
+def g09_optimal_partition(spark: SparkSession, d: str) -> DataFrame:
+    it = fx.shots(spark, d).select("movie_id", F.floor((F.col("shot_ord") - 1) / 12).alias("run"), ((F.col("shot_ord") - 1) % 12 + 1).alias("p"), "start_s", "end_s", "k")
+    a = it.select("movie_id", "run", F.col("p").alias("i"), F.col("start_s").alias("a"), F.col("k").alias("ka"))
+    b = it.select("movie_id", "run", F.col("p").alias("j"), F.col("end_s").alias("b"), F.col("k").alias("kb"))
+    pairs = a.join(b, ["movie_id", "run"]).where((F.col("j") >= F.col("i")) & ((F.col("j") == F.col("i")) | (F.col("b") - F.col("a") <= 20)))
+    scores = pairs.select("movie_id", "run", "i", "j", ((F.col("kb") * 7 + F.col("ka") * 3 + (F.col("j") - F.col("i")) * 11) % 50 - 5).cast("double").alias("score"))
+    return rv.optimal_partition(it, scores)
+
+
+@query("SELECT p_partkey AS asset, CASE WHEN p_partkey % 6 = 0 THEN 'NEW' WHEN p_partkey % 5 = 0 OR p_partkey % 7 = 0 THEN 'STALE' ELSE 'FRESH' END AS state FROM part")
+def p17_fingerprint_staleness(spark: SparkSession, d: str) -> DataFrame:
+    now = fx.assets(spark, d).select("asset", "name", "size")
+    then = now.where("asset % 6 <> 0").withColumn("size", F.when(F.col("asset") % 5 == 0, F.col("size") + 1).otherwise(F.col("size"))).withColumn("name", F.when(F.col("asset") % 7 == 0, F.lit(None)).otherwise(F.col("name")))
+    return rv.stale_fingerprints(now, then, ["asset"], ["name", "size"])
+
+
+@query(with_("SELECT movie_id, batch, count(*) AS open FROM (SELECT DISTINCT movie_id, event_id, event_id % 40 AS batch FROM lg) e WHERE NOT EXISTS (SELECT 1 FROM lg WHERE lg.movie_id = e.movie_id AND lg.event_id = e.event_id AND status IN ('COMPLETE', 'FAILED_FINAL')) GROUP BY ALL", "lg"))
+def l09_requeue_batches(spark: SparkSession, d: str) -> DataFrame:
+    log = fx.stage_log(spark, d)
+    return rv.requeue_batches(log.select("movie_id", "event_id", (F.col("event_id") % 40).alias("batch")).distinct(), log, ["COMPLETE", "FAILED_FINAL"])
+
+
+@query(with_("SELECT asset, CASE WHEN asset % 13 = 0 OR n IS NULL THEN 'STALE' ELSE 'REPAIR' END AS state FROM ass LEFT JOIN (SELECT asset AS n FROM fil WHERE name = 'vertical.mp4') f ON n = asset WHERE size % 3 = 0", "ass", "fil"))
+def l12_repair_list(spark: SparkSession, d: str) -> DataFrame:
+    audits = fx.assets(spark, d).where("size % 3 = 0").select("asset", F.lit("REPAIR").alias("decision"), F.when(F.col("asset") % 13 == 0, F.lit("x")).otherwise(F.sha2(F.concat(F.col("asset").cast("string"), F.lit("vertical.mp4")).cast("binary"), 256)).alias("sha"))
+    return rv.repair_list(audits, fx.asset_files(spark, d).where("name = 'vertical.mp4'"))
+
+
+@query(with_("SELECT movie_id, CASE WHEN f = 'PASS' AND p <> 'PASS' THEN 'AMBIGUOUS' ELSE coalesce(f, p) END AS decision, count(*) AS n FROM (SELECT movie_id, CASE WHEN size % 5 = 0 THEN NULL WHEN size % 2 = 0 THEN 'PASS' ELSE 'REPAIR' END AS f, CASE WHEN size % 3 = 0 THEN 'RETRY' ELSE 'PASS' END AS p FROM ass) GROUP BY ALL", "ass"))
+def b21_combined_audit(spark: SparkSession, d: str) -> DataFrame:
+    s = F.col("size")
+    x = fx.assets(spark, d).select("movie_id", F.when(s % 5 != 0, F.when(s % 2 == 0, "PASS").otherwise("REPAIR")).alias("face"), F.when(s % 3 == 0, "RETRY").otherwise("PASS").alias("person"))
+    return rv.combined_audit(x)
+
+
+@query(with_("SELECT a.movie_id, cached, missing, records, v1, temporal_v2, visual_reuse FROM (SELECT movie_id, count(*) FILTER (h) AS cached, count(*) FILTER (NOT h) AS missing FROM (SELECT movie_id, event_id IN (SELECT event_id FROM rec WHERE valid) AS h FROM ob) GROUP BY movie_id) a LEFT JOIN (SELECT movie_id, count(*) AS records, count(*) FILTER (contract = 'v1') AS v1, count(*) FILTER (contract = 'temporal_v2') AS temporal_v2, count(*) FILTER (contract = 'visual_reuse') AS visual_reuse FROM rec GROUP BY movie_id) b USING (movie_id)", "ob", "rec"))
+def a23_observation_status(spark: SparkSession, d: str) -> DataFrame:
+    return rv.observation_status(fx.observations(spark, d).select("movie_id", "event_id"), fx.records(spark, d))
+
+
+@query(with_("SELECT movie_id, event_id, shot_ord AS ord, label, CASE WHEN k % 10 IN (1, 3) THEN printf('ACT_%03d', movie_id * 10 + k % 10) ELSE printf('NEW_%03d', shot_ord) END AS id FROM (SELECT *, CASE WHEN k % 2 = 0 THEN ' Act ' ELSE 'aCT ' END || k % 10 || ' ' AS label FROM sh)", "sh"))
+def j12_evidence_binding(spark: SparkSession, d: str) -> DataFrame:
+    s = fx.shots(spark, d)
+    m = s.select("movie_id", "event_id", F.col("shot_ord").alias("ord"), F.concat(F.when(F.col("k") % 2 == 0, " Act ").otherwise("aCT "), (F.col("k") % 10).cast("string"), F.lit(" ")).alias("label"))
+    c = s.select("movie_id").distinct().select("movie_id", F.explode(F.array(F.lit(1), F.lit(3))).alias("n")).select("movie_id", F.concat(F.lit("ACT "), F.col("n").cast("string")).alias("label"), F.format_string("ACT_%03d", F.col("movie_id") * 10 + F.col("n")).alias("id"))
+    return rv.bind_labels(m, c, "NEW")
+
+
+@query("SELECT event_id, CASE WHEN CAST(json_extract(props, '$.k') AS BIGINT) % 4 = 0 THEN ['color_palette', 'shot_scale'] WHEN CAST(json_extract(props, '$.k') AS BIGINT) % 4 = 1 THEN ['shot_scale'] ELSE []::VARCHAR[] END AS found FROM events")
+def v06_forbidden_keys(spark: SparkSession, d: str) -> DataFrame:
+    e = fx.table(spark, d, "events").withColumn("k", F.get_json_object("props", "$.k").cast("bigint") % 4)
+    deep = F.when(F.col("k") == 0, F.lit('{"a":[{"shot_scale":1,"b":{"color_palette" :null}}]}')).when(F.col("k") == 1, F.lit('{"x":{"shot_scale":"color_palette"}}')).otherwise(F.col("props"))
+    return rv.forbidden_keys(e.withColumn("j", deep), "j", ["shot_scale", "color_palette"]).select("event_id", "found")
