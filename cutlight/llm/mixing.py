@@ -10,7 +10,7 @@ from cutlight.llm.scratch import materialise
 #: Weights of the sources in code-point order, repeating; words of the mix for each word there is; most copies of a word.
 WEIGHTS, SHARE, EPOCHS = (5, 2, 1), 1.5, 2
 #: Rows of one source that one range of keys should get.
-RANGE_ROWS = 20_000
+RANGE_ROWS = 2_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
