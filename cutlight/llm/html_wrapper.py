@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cutlight.llm.scratch import materialise
+from cutlight.llm.scratch import materialise, ship
 
 #: Elements without content, elements whose content is no text, and elements that never hold an article's text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -372,6 +372,7 @@ def _merged(final: bool):
 
 def templates(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(host, template) of all pages: each task merges its own pages, then a host's partial templates meet in two steps."""
+    ship(pages.sparkSession)
     rows = pages.select(F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
     part = rows.mapInArrow(_induce, "host string, template string").withColumn("deal", F.pmod(F.xxhash64("template"), F.lit(16)))
 
@@ -411,7 +412,6 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     content. Pages with a null url, or one without ://, form one host. A host with few pages has no constant texts, and
     its slot is that of the page itself. Pages that repeat are aligned like any others.
     """
-    spark = pages.sparkSession
     found = materialise(templates(pages, url_col, html_col), "templates")
     rows = pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
     kind = "page_id bigint, url string, text string"

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from cutlight.llm import words
 from cutlight.llm.graph import connected_components
-from cutlight.llm.scratch import materialise
+from cutlight.llm.scratch import materialise, ship
 
 #: Words of a shingle, and the similarity in hundredths.
 SHINGLE, PERCENT = 5, 75
@@ -237,6 +237,7 @@ def links_and_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     component): for every class with a link to another one, the least class that links reach.
     """
     spark = docs.sparkSession
+    ship(spark)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     chars = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))

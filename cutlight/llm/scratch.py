@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,3 +29,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package's source to the executors, once a session: tasks import it wherever the driver found it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_cutlight_sent", False):
+        return
+    package = Path(__file__).resolve().parent.parent
+    path = str(Path(tempfile.mkdtemp(prefix="cutlight-")).resolve() / "cutlight.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, str(f.relative_to(package.parent)))
+    sc.addPyFile(path)
+    sc._cutlight_sent = True

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cutlight.llm.scratch import materialise
+from cutlight.llm.scratch import materialise, ship
 
 KINDS = ("assign", "access", "hex", "entropy")
 #: Case counts for nothing in the ASCII letters of the key only, so the class of each letter is spelled out.
@@ -77,6 +77,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     strings only where they look alive. A null text counts as empty, null owners or repositories as one more holder. repository_col:
     by default each doc_id is a repository of its own.
     """
+    ship(docs.sparkSession)
     repository = F.col(repository_col).cast("string") if repository_col else F.col(id_col).cast("string")
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("bigint").alias("doc_id"), F.col(owner_col).cast("string").alias("owner"), repository.alias("repository"), F.col(text_col).cast("string").alias("text"))
     found = materialise(rows.mapInArrow(_scan, _FOUND), "secrets")

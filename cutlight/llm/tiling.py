@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cutlight.llm import words
-from cutlight.llm.scratch import materialise
+from cutlight.llm.scratch import materialise, ship
 
 #: Least words of a tile (an item with fewer words is one tile of its own length); least share of an item's words.
 MATCH, COVERAGE = 5, 0.5
@@ -117,6 +117,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
                 block, held = [], 0
     if block:
         blocks.append(block)
+    ship(docs.sparkSession)
     kind = "row bigint, item_id bigint, covered bigint, item_words bigint"
     out = docs.sparkSession.createDataFrame([], kind)
     for b in blocks:

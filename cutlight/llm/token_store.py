@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cutlight.llm.scratch import new_path
+from cutlight.llm.scratch import new_path, ship
 
 MAGIC = b"RPR1"
 #: Id that ends a document; ids of a shard; rounds, most pairs of a round and least count of a pair.
@@ -244,6 +244,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
     Null and empty texts hold the end id only. Rows that repeat a doc_id stay rows of their own, next to each other.
     """
     spark = docs.sparkSession
+    ship(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     ordered = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
@@ -267,6 +268,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_index(spark, path: str) -> DataFrame:
     """One row per document of the shards under path, decoded: doc_id, start (ids of all documents before it), n_tokens, ids_crc32."""
+    ship(spark)
     shards = spark.read.schema("part int, shard int, n_ids bigint, data binary").parquet(path)
     docs = shards.select("part", "shard", "data").mapInArrow(_read, "part int, shard int, doc_id bigint, at bigint, n_tokens bigint, ids_crc32 bigint")
     parts = shards.groupBy("part").agg(F.sum("n_ids").alias("n"))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cutlight.llm import words
-from cutlight.llm.scratch import materialise
+from cutlight.llm.scratch import materialise, ship
 
 #: Bytes of a word's beginning that are terms of their own.
 PREFIXES = (4, 5, 6)
@@ -145,6 +145,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     A doc_id with several labels is toxic if one of them says so; null labels and ids are left out. Without rows of both classes every
     score is the share of toxic rows.
     """
+    ship(docs.sparkSession)
     known = labels.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(label_col).cast("int").alias("toxic")).where("doc_id is not null and toxic is not null")
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(~held_out("doc_id"))
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -189,6 +190,7 @@ def _score(model: Model):
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, held_out, score, predicted. Null and empty texts have no terms: their score is the bias alone."""
+    ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     scored = rows.mapInArrow(_score(model), "doc_id bigint, score double")
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
@@ -196,6 +198,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """Rows of docs that the model does not call toxic, with all their columns."""
+    ship(docs.sparkSession)
     names = [f"_c{i}" for i in range(len(docs.columns))]
     kind = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, docs.schema.fields, strict=True))
     with_text = docs.withColumn("_text", F.col(text_col).cast("string")).toDF(*names, "_text")
