@@ -38,7 +38,7 @@ FLUSH, BUCKET = 1_500_000, 1_500_000
 REST = 40
 #: 64-bit words of a set's bitmap.
 BITS = 8
-STAR_ROUNDS = 4
+STAR_ROUNDS = 2
 
 _BLOCK = "bucket int, cls binary, n binary, lens binary, lo binary, hi binary, ids array<bigint>, id_cls binary, id_n binary"
 _SHARED = "doc_id bigint, cls bigint, n int, part int, classes binary, sizes binary, lens binary, lo binary, hi binary, df binary"
