@@ -68,7 +68,7 @@ def g11_seam_choice(spark: SparkSession, d: str) -> DataFrame:
     return rv.choose_seams(b, o, cues)
 
 
-@query(with_("SELECT movie_id, min(c) AS next FROM (SELECT DISTINCT movie_id, unnest(range(1, (SELECT count(*) FROM sh b WHERE b.movie_id = a.movie_id) + 2)) AS c FROM sh a) WHERE NOT EXISTS (SELECT 1 FROM sh WHERE sh.movie_id = movie_id AND false) AND (movie_id, c) NOT IN (SELECT movie_id, shot_ord FROM sh WHERE k % 9 <> 0) GROUP BY movie_id", "sh"))
+@query(with_("SELECT movie_id, min(c) AS next FROM (SELECT DISTINCT movie_id, unnest(range(1, (SELECT count(*) FROM sh b WHERE b.movie_id = a.movie_id) + 2)) AS c FROM sh a) WHERE (movie_id, c) NOT IN (SELECT movie_id, shot_ord FROM sh WHERE k % 9 <> 0) GROUP BY movie_id", "sh"))
 def w12_next_free_number(spark: SparkSession, d: str) -> DataFrame:
     return rv.next_free_number(fx.shots(spark, d).where("k % 9 <> 0"), "movie_id", "shot_ord")
 
