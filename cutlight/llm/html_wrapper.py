@@ -40,6 +40,8 @@ _ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)
 MOST_NODES, MOST_TEXTS, DEPTH = 600, 24, 60
 #: A text is template if at least so many pages of the host, and this share of them, hold it.
 LEAST_PAGES, SHARE = 6, 0.5
+#: The slot lies under a child that holds this share of the varying text.
+CENTRE = 0.6
 #: Characters of all templates that may go along with the tasks; beyond, pages meet their template in a join.
 MOST_BROADCAST = 16_000_000
 
@@ -286,11 +288,12 @@ def prune(root: list) -> list:
 
 
 def finish(root: list) -> dict:
-    """What extraction needs of a host's template: pages, constant texts, and the path of the content slot."""
+    """What extraction needs of a host's template: pages, constant texts, and of each node its pages, varying characters, and those of its own."""
     total = root[_PAGES]
     constant: set[str] = set()
+    weight: dict[str, list[int]] = {}
 
-    def varying(node: list) -> int:
+    def varying(node: list, path: str) -> int:
         """Characters of the subtree that are neither noise nor template."""
         if node[_NOISE]:
             return 0
@@ -299,35 +302,64 @@ def finish(root: list) -> dict:
             if pages >= LEAST_PAGES and pages >= SHARE * total:
                 constant.add(text)
                 fixed += pages * chars
-        mass = max(0, node[_CHARS] - fixed) + sum(varying(c) for c in node[_CHILDREN])
-        weight[id(node)] = mass
+        own = max(0, node[_CHARS] - fixed)
+        mass = own + sum(varying(c, f"{path} {c[_SIG]}") for c in node[_CHILDREN])
+        weight[path] = [node[_PAGES], mass, own]
         return mass
 
-    weight: dict[int, int] = {}
-    all_ = varying(root)
-    path, node = [root[_SIG]], root
-    while all_:
-        below = max(node[_CHILDREN], key=lambda c: weight.get(id(c), 0), default=None)
-        if below is None or weight.get(id(below), 0) < 0.6 * all_ or below[_SIG].split(".")[0] in ("p", "li", "td", "blockquote") or not below[_CHILDREN]:
+    varying(root, root[_SIG])
+    return {"pages": total, "constant": sorted(constant), "weight": weight}
+
+
+def slot(weight: dict[str, list[int]], found: list) -> tuple[str, ...]:
+    """The node of a page under which varying text gathers, by the average that the host's pages have under each node.
+
+    Only nodes that the page has compete, so every layout of a host finds its own slot. An <article> on the way down is
+    taken whole.
+    """
+    below: dict[tuple[str, ...], dict[str, None]] = {}
+    for path, *_ in (b for b in found if not b[3]):
+        for i in range(1, min(len(path), DEPTH)):
+            below.setdefault(path[:i], {})[path[i]] = None
+
+    def average(path: tuple[str, ...], which: int) -> float:
+        w = weight.get(" ".join(path))
+        return w[which] / w[0] if w else 0.0
+
+    path, whole = ("html",), None
+    while path in below:
+        parts = {sig: average((*path, sig), 1) for sig in below[path]}
+        best = max(parts, key=parts.get)
+        all_ = sum(parts.values()) + average(path, 2)
+        if parts[best] <= 0 or parts[best] < CENTRE * all_ or best.split(".")[0] in ("p", "li", "td", "blockquote") or (*path, best) not in below:
             break
-        node = below
-        path.append(node[_SIG])
-    return {"pages": total, "constant": sorted(constant), "slot": path}
+        path = (*path, best)
+        if best.split(".")[0] == "article":
+            whole = path
+    return whole or path
 
 
 def main_text(page: str | None, template: dict | None) -> str:
-    """The content of a page: its blocks inside the host's slot that are neither noise nor template."""
+    """The content of a page: its blocks inside the host's slot that are neither noise nor template.
+
+    Tags decide only where the host does not: with one page, without varying text, or where no node of this page holds
+    most of it, blocks inside <article> or <main> are taken, and without those the slot of the page itself.
+    """
     if not page:
         return ""
     found = blocks(parse(page))
-    own = finish(shape(found))
-    marked = [b for b in found if not b[3] and ("article" in (tags := {s.split(".")[0] for s in b[0]}) or "main" in tags)]
-    slots = [template["slot"], own["slot"]] if template else [own["slot"]]
-    inside = marked
-    for slot in slots:
-        if inside:
-            break
-        inside = [b for b in found if not b[3] and b[0][: len(slot)] == tuple(slot)]
+    open_ = [b for b in found if not b[3]]
+    inside = []
+    if template and template["pages"] > 1:
+        at = slot(template["weight"], found)
+        if len(at) > 1:
+            # a title may stand beside the slot
+            inside = [b for b in open_ if b[0][: len(at)] == at or b[4] == "h1" and len(b[0]) - 1 < len(at) and b[0][:-1] == at[: len(b[0]) - 1]]
+    if not inside:
+        inside = [b for b in open_ if any(s.split(".")[0] in ("article", "main") for s in b[0])]
+    if not inside:
+        at = slot(finish(shape(found))["weight"], found)
+        inside = [b for b in open_ if b[0][: len(at)] == at]
     constant = set(template["constant"]) if template else set()
     kept = [b for b in inside if digest(b[1]) not in constant and not (b[2] > 0.8 * len(b[1]) and b[4] not in HEADINGS and b[4] != "p")]
     return " ".join(b[1] for b in (kept or inside))

@@ -277,6 +277,16 @@ def test_wrapper_finds_the_slot_and_drops_the_template(spark):
     assert html_wrapper.extract(spark.createDataFrame([], "page_id int, url string, html string")).count() == 0
 
 
+def test_the_slot_decides_not_the_tag(spark):
+    body = "<div class=content><h1>Head {n}</h1><p>Body of page {n} with a good many words of its own, word {n} and word {n} again</p></div>"
+    page = f"<div>{body}<article class=teaser><p>Teaser {{n}}</p></article><article class=teaser><p>More {{n}}</p></article></div>"
+    other = "<section class=story><div class=text>Another layout of the same host, its text number {n}, without a paragraph<div><p>end {n}</p></div></div></section><article><p>Read {n}</p></article>"
+    rows = [(n, f"http://h.org/{n}", (page if n < 9 else other).format(n=n)) for n in range(15)]
+    got = {r.page_id: r.text for r in html_wrapper.extract(spark.createDataFrame(rows, "page_id int, url string, html string")).collect()}
+    assert got[3] == "Head 3 Body of page 3 with a good many words of its own, word 3 and word 3 again"
+    assert got[12] == "Another layout of the same host, its text number 12, without a paragraph end 12"
+
+
 def test_wrapper_by_join(spark, monkeypatch):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     one = rows_of(html_wrapper.extract(pages))
