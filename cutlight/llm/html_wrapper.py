@@ -1,10 +1,9 @@
 """Main text of web pages by wrapper induction: the pages of a host are aligned by simple tree matching.
 
 Each page becomes a small tree: siblings of one tag and class are one node that repeats, with the texts of all its
-occurrences. The trees of a host are merged pair by pair along the best alignment of simple tree matching, first within
-each task, then across tasks. A merged node knows how many pages have it, how much text it held, and its commonest
-texts. Texts that most pages of the host repeat are template; the node under which the varying text gathers, outside
-menus, forms and the like, is the slot of the content.
+occurrences. Each task merges its trees of a host pair by pair along the best alignment of simple tree matching; what the
+tasks found is added up by host, node and text. Texts that most pages with the same parent node repeat are template; the
+node under which the varying text gathers, outside menus, forms and the like, is the slot of the content.
 """
 
 from __future__ import annotations
@@ -35,11 +34,12 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
-#: Nodes of a template at most (the rarest go, their pages are then read without it), texts counted of a node, and levels:
-#: what lies deeper counts as part of its ancestor in the template (in texts nothing is cut).
-MOST_NODES, MOST_TEXTS, DEPTH = 600, 24, 60
-#: A text is template if at least so many pages of the host, and this share of them, hold it.
-LEAST_PAGES, SHARE = 6, 0.5
+#: Levels of a template: what lies deeper counts as part of its ancestor there (in texts nothing is cut).
+DEPTH = 60
+#: Counts of nodes and texts that a task holds before it hands them on.
+MOST_HELD = 100_000
+#: A text is template if this share of the pages with its parent node hold it; where those are fewer than FEW, if all do.
+FEW, SHARE = 6, 0.5
 #: The slot lies under a child that holds this share of the varying text.
 CENTRE = 0.6
 #: Characters of all templates that may go along with the tasks; beyond, pages meet their template in a join.
@@ -178,8 +178,8 @@ def blocks(root: Node) -> list[tuple[tuple[str, ...], str, int, bool, str]]:
     return out
 
 
-# A template node: [sig, pages, characters, noise, {text digest: [pages, characters]}, children]
-_SIG, _PAGES, _CHARS, _NOISE, _TEXTS, _CHILDREN = range(6)
+# A template node: [sig, pages, characters, characters of the subtree, {text digest: [pages, characters]}, children]
+_SIG, _PAGES, _CHARS, _BELOW, _TEXTS, _CHILDREN = range(6)
 
 
 def digest(text: str) -> str:
@@ -187,17 +187,20 @@ def digest(text: str) -> str:
 
 
 def shape(found: list[tuple[tuple[str, ...], str, int, bool, str]]) -> list:
-    """The template of one page: equal siblings in one node."""
-    root = ["html", 1, 0, False, {}, []]
+    """The template of one page: equal siblings in one node, without noise."""
+    root = ["html", 1, 0, 0, {}, []]
     for path, text, _, noise, _ in found:
+        if noise:
+            continue
         node = root
+        node[_BELOW] += len(text)
         for sig in path[1:DEPTH]:
             child = next((c for c in node[_CHILDREN] if c[_SIG] == sig), None)
             if child is None:
-                child = [sig, 1, 0, noise, {}, []]
+                child = [sig, 1, 0, 0, {}, []]
                 node[_CHILDREN].append(child)
             node = child
-        node[_NOISE] = noise
+            node[_BELOW] += len(text)
         node[_CHARS] += len(text)
         node[_TEXTS].setdefault(digest(text), [1, len(text)])
     return root
@@ -249,66 +252,46 @@ def align(x: list, y: list, memo: dict) -> list[tuple[list | None, list | None]]
     return out
 
 
-def _texts(a: dict, b: dict) -> dict:
-    out = {k: list(v) for k, v in a.items()}
-    for k, v in b.items():
-        if k in out:
-            out[k][0] += v[0]
-        else:
-            out[k] = list(v)
-    if len(out) > 4 * MOST_TEXTS:
-        out = dict(sorted(out.items(), key=lambda kv: (-kv[1][0], kv[0]))[: 2 * MOST_TEXTS])
-    return out
-
-
 def merge(a: list, b: list) -> list:
-    """The template of the pages of both."""
-    memo: dict = {}
-    children = [c if d is None else d if c is None else merge(c, d) for c, d in align(a[_CHILDREN], b[_CHILDREN], memo)]
-    return [a[_SIG], a[_PAGES] + b[_PAGES], a[_CHARS] + b[_CHARS], a[_NOISE] and b[_NOISE], _texts(a[_TEXTS], b[_TEXTS]), children]
-
-
-def _nodes(node: list) -> Iterator[list]:
-    yield node
-    for c in node[_CHILDREN]:
-        yield from _nodes(c)
-
-
-def prune(root: list) -> list:
-    """At most MOST_NODES nodes: the rarest subtrees go."""
-    pages = sorted((n[_PAGES] for n in _nodes(root)), reverse=True)
-    if len(pages) <= MOST_NODES:
-        return root
-    least = pages[MOST_NODES] + 1
-
-    def kept(node: list) -> list:
-        return [*node[:_CHILDREN], [kept(c) for c in node[_CHILDREN] if c[_PAGES] >= least]]
+    """The template of the pages of both, in the place of a."""
+    a[_CHILDREN] = [c if d is None else d if c is None else merge(c, d) for c, d in align(a[_CHILDREN], b[_CHILDREN], {})]
+    for i in (_PAGES, _CHARS, _BELOW):
+        a[i] += b[i]
+    for k, v in b[_TEXTS].items():
+        if k in a[_TEXTS]:
+            a[_TEXTS][k][0] += v[0]
+        else:
+            a[_TEXTS][k] = v
+    return a
 
-    return kept(root)
 
+def counts(root: list) -> Iterator[tuple[str, str, int, int, int]]:
+    """(path, digest, pages, characters, characters of the subtree) of every node, its digest empty, and of every text."""
+    stack = [(root, root[_SIG])]
+    while stack:
+        node, path = stack.pop()
+        yield path, "", node[_PAGES], node[_CHARS], node[_BELOW]
+        for text, (pages, chars) in node[_TEXTS].items():
+            yield path, text, pages, pages * chars, 0
+        stack += [(c, f"{path} {c[_SIG]}") for c in node[_CHILDREN]]
 
-def finish(root: list) -> dict:
-    """What extraction needs of a host's template: pages, constant texts, and of each node its pages, varying characters, and those of its own."""
-    total = root[_PAGES]
-    constant: set[str] = set()
-    weight: dict[str, list[int]] = {}
 
-    def varying(node: list, path: str) -> int:
-        """Characters of the subtree that are neither noise nor template."""
-        if node[_NOISE]:
-            return 0
-        fixed = 0
-        for text, (pages, chars) in node[_TEXTS].items():
-            if pages >= LEAST_PAGES and pages >= SHARE * total:
-                constant.add(text)
-                fixed += pages * chars
-        own = max(0, node[_CHARS] - fixed)
-        mass = own + sum(varying(c, f"{path} {c[_SIG]}") for c in node[_CHILDREN])
-        weight[path] = [node[_PAGES], mass, own]
-        return mass
+def finish(rows: list[tuple[str, str, int, int, int]]) -> dict:
+    """What extraction needs of a host, from the counts of its nodes and constant texts.
 
-    varying(root, root[_SIG])
-    return {"pages": total, "constant": sorted(constant), "weight": weight}
+    constant: pages that hold a text at a node. weight: of each node its pages, the characters of its subtree that are not
+    template, and those of its own.
+    """
+    weight = {path: [pages, below, own] for path, text, pages, own, below in rows if not text}
+    constant = {}
+    for path, text, pages, chars, _ in rows:
+        if text:
+            constant[f"{path} {text}"] = pages
+            weight[path][2] -= chars
+            while path:
+                weight[path][1] -= chars
+                path = path.rpartition(" ")[0]
+    return {"constant": constant, "weight": weight}
 
 
 def slot(weight: dict[str, list[int]], found: list) -> tuple[str, ...]:
@@ -342,6 +325,7 @@ def slot(weight: dict[str, list[int]], found: list) -> tuple[str, ...]:
 def main_text(page: str | None, template: dict | None) -> str:
     """The content of a page: its blocks inside the host's slot that are neither noise nor template.
 
+    Texts that fewer than FEW pages hold stay where more than half of the content would go: such a page is a copy of another.
     Tags decide only where the host does not: with one page, without varying text, or where no node of this page holds
     most of it, blocks inside <article> or <main> are taken, and without those the slot of the page itself.
     """
@@ -350,7 +334,7 @@ def main_text(page: str | None, template: dict | None) -> str:
     found = blocks(parse(page))
     open_ = [b for b in found if not b[3]]
     inside = []
-    if template and template["pages"] > 1:
+    if template:
         at = slot(template["weight"], found)
         if len(at) > 1:
             # a title may stand beside the slot
@@ -358,10 +342,14 @@ def main_text(page: str | None, template: dict | None) -> str:
     if not inside:
         inside = [b for b in open_ if any(s.split(".")[0] in ("article", "main") for s in b[0])]
     if not inside:
-        at = slot(finish(shape(found))["weight"], found)
+        at = slot(finish([c for c in counts(shape(found)) if not c[1]])["weight"], found)
         inside = [b for b in open_ if b[0][: len(at)] == at]
-    constant = set(template["constant"]) if template else set()
-    kept = [b for b in inside if digest(b[1]) not in constant and not (b[2] > 0.8 * len(b[1]) and b[4] not in HEADINGS and b[4] != "p")]
+    inside = [b for b in inside if not (b[2] > 0.8 * len(b[1]) and b[4] not in HEADINGS and b[4] != "p")] or inside
+    repeated = [template["constant"].get(" ".join((*b[0][:DEPTH], digest(b[1]))), 0) if template else 0 for b in inside]
+    often = [b for b, n in zip(inside, repeated, strict=True) if n < FEW]
+    kept = [b for b, n in zip(inside, repeated, strict=True) if not n]
+    if 2 * sum(len(b[1]) for b in kept) < sum(len(b[1]) for b in often):
+        kept = often
     return " ".join(b[1] for b in (kept or inside))
 
 
@@ -371,52 +359,51 @@ def host(url: str | None) -> str:
 
 
 def _induce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One partial template for each host of the task."""
+    """The counts of each host's merged template, of all pages of the task or of as many as MOST_HELD lets it hold."""
     partial: dict[str, list] = {}
+    held = 0
 
     def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(partial)), pa.array([json.dumps(t) for t in partial.values()], pa.string())], names=["host", "template"])
+        rows = [(h, *c) for h, t in partial.items() for c in counts(t)]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), [pa.string()] * 3 + [pa.int64()] * 3, strict=True)], names=["host", "path", "digest", "pages", "chars", "below"])
 
     for batch in batches:
         for url, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             if page:
-                h, one = host(url), shape(blocks(parse(page)))
-                partial[h] = prune(merge(partial[h], one)) if h in partial else one
-        if len(partial) > 2000:
-            yield out()
-            partial = {}
+                found = blocks(parse(page))
+                h, one = host(url), shape(found)
+                partial[h] = merge(partial[h], one) if h in partial else one
+                held += 1 + 2 * len(found)
+            if held > MOST_HELD:
+                yield out()
+                partial, held = {}, 0
     if partial:
         yield out()
 
 
-def _merged(final: bool):
-    def merged(keys: tuple, rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole = None
-        for batch in rows:
-            for t in batch.column(batch.schema.get_field_index("template")).to_pylist():
-                t = json.loads(t)
-                whole = t if whole is None else prune(merge(whole, t))
-        said = json.dumps(finish(whole) if final else whole)
-        yield pa.RecordBatch.from_arrays([pa.array([keys[0].as_py()]), pa.array([said])], names=["host", "template"])
-
-    return merged
+def _finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        said = [json.dumps(finish([tuple(r.values()) for r in rows])) for rows in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(said, pa.string())], names=["host", "template"])
 
 
 def templates(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, template) of all pages: each task merges its own pages, then a host's partial templates meet in two steps."""
+    """(host, template) of all hosts with two pages or more.
+
+    Nodes and texts are counted by host over all tasks. What one page alone has tells nothing of the others and goes after that.
+    """
     ship(pages.sparkSession)
     rows = pages.select(F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
-    part = rows.mapInArrow(_induce, "host string, template string").withColumn("deal", F.pmod(F.xxhash64("template"), F.lit(16)))
-
-    def step(df: DataFrame, keys: list[str], final: bool) -> DataFrame:
-        one = _merged(final)
-
-        def table(key: tuple, t: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            yield from one(key, t)
-
-        return df.groupBy(*keys).applyInArrow(lambda key, t: pa.Table.from_batches(list(table(key, t.to_batches()))), "host string, template string")
-
-    return step(step(part, ["host", "deal"], False), ["host"], True)
+    part = rows.mapInArrow(_induce, "host string, path string, digest string, pages bigint, chars bigint, below bigint")
+    sums = [F.sum(c).alias(c) for c in ("pages", "chars", "below")]
+    found = materialise(part.groupBy("host", "path", "digest").agg(*sums).where("pages > 1"), "counts")
+    nodes = found.where("digest = ''")
+    parent = F.when(F.instr("path", " ") == 0, F.col("path")).otherwise(F.expr("left(path, length(path) - length(substring_index(path, ' ', -1)) - 1)"))
+    above = nodes.select("host", F.col("path").alias("parent"), F.col("pages").alias("whole"))
+    least = F.when(F.col("whole") < FEW, F.col("whole")).otherwise(F.greatest(F.lit(3.0), SHARE * F.col("whole")))
+    texts = found.where("digest <> ''").withColumn("parent", parent).join(above, ["host", "parent"]).where(F.col("pages") >= least).select(*nodes.columns)
+    of_host = nodes.unionAll(texts).groupBy("host").agg(F.sort_array(F.collect_list(F.struct("path", "digest", "pages", "chars", "below"))).alias("rows"))
+    return of_host.mapInArrow(_finished, "host string, template string")
 
 
 def _extract(known: dict[str, str] | None):
@@ -441,8 +428,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """One row per row of pages: page_id, url, text, n_chars.
 
     text is the page's article, blocks in page order joined by one space; empty for null or empty pages and pages without
-    content. Pages with a null url, or one without ://, form one host. A host with few pages has no constant texts, and
-    its slot is that of the page itself. Pages that repeat are aligned like any others.
+    content. Pages with a null url, or one without ://, form one host. Pages that repeat are aligned like any others.
     """
     found = materialise(templates(pages, url_col, html_col), "templates")
     rows = pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))

@@ -287,6 +287,43 @@ def test_the_slot_decides_not_the_tag(spark):
     assert got[12] == "Another layout of the same host, its text number 12, without a paragraph end 12"
 
 
+def test_templates_are_counted_in_full(spark):
+    many = lambda n: "".join(f"<div class=c{chr(97 + k // 26)}{chr(97 + k % 26)}><div><p>Fixed {k}</p></div></div>" for k in range(400))
+    lines = "".join(f"<p>Line {k}</p>" for k in range(120))
+    own = "<p>Body of page {n}, " + "word {n} and " * 400 + "end</p>"
+    kinds = {
+        "nodes.org": (8, lambda n: f"<div class=body>{own.format(n=n)}{many(n)}</div>"),  # over 600 nodes
+        "texts.org": (8, lambda n: f"<div class=body>{own.format(n=n)}{lines}</div>"),  # over 96 texts of a node
+        "small.org": (2, lambda n: f"<div class=body><p>Same line</p>{own.format(n=n)}</div>"),
+        "part.org": (40, lambda n: f"<div class=body>{own.format(n=n)}" + ("<section><p>Same line</p></section>" if n < 8 else "") + "</div>"),  # a fifth of the pages
+    }
+    rows = [(i, f"http://{h}/{n}", page(n)) for h, (pages, page) in kinds.items() for i, n in enumerate(range(pages))]
+    got = html_wrapper.extract(spark.createDataFrame(rows, "page_id int, url string, html string")).collect()
+    assert len(got) == len(rows)
+    assert [r.url for r in got if r.text != own.format(n=r.page_id)[3:-4]] == []
+
+
+def test_copies_keep_their_text(spark):
+    rows = [(n, f"http://two.org/{n}", "<div><p>A body that both pages have, word for word</p><p>and its end</p></div>") for n in range(2)]
+    got = html_wrapper.extract(spark.createDataFrame(rows, "page_id int, url string, html string")).collect()
+    assert [r.text for r in got] == ["A body that both pages have, word for word and its end"] * 2
+
+
+def test_counts_do_not_depend_on_what_a_task_holds(monkeypatch):
+    batch = pa.RecordBatch.from_pylist([{"url": f"http://h{n % 3}.org/", "html": PAGE.format(n=n % 5)} for n in range(30)])
+
+    def added():
+        out = {}
+        for b in html_wrapper._induce(iter([batch])):
+            for h, path, text, *numbers in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                out[h, path, text] = np.add(out.get((h, path, text), 0), numbers).tolist()
+        return out
+
+    whole = added()
+    monkeypatch.setattr(html_wrapper, "MOST_HELD", 20)
+    assert added() == whole and whole["h0.org", "html", ""][0] == 10
+
+
 def test_wrapper_by_join(spark, monkeypatch):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     one = rows_of(html_wrapper.extract(pages))
