@@ -1,7 +1,8 @@
 """Toxicity by a factorization machine over hashed terms: weights of terms and of their pairs.
 
 Terms are words (letters and digits, A-Z lower-cased) and the beginnings of words, as 64-bit hashes, so that no two terms share
-a weight. Which terms carry evidence is counted over the training rows; the machine is fitted on those.
+a weight. Every term of enough training rows, toxic or clean, is in the machine: whether a term counts, alone or in pairs, is
+found by the fit, which draws weights and factors without evidence to zero and then fits the others freely.
 """
 
 from __future__ import annotations
@@ -21,10 +22,10 @@ from cutlight.llm.scratch import materialise, ship
 PREFIXES = (4, 5, 6)
 #: Labelled rows that the fit uses of each class, picked by a hash of doc_id: the bound of the sample.
 MOST_TOXIC, MOST_CLEAN = 3000, 6000
-#: A term needs so many toxic training rows, and so many standard errors between the classes; the best are kept.
-LEAST_ROWS, LEAST_Z, MOST_TERMS = 5, 4.0, 20_000
-#: Terms seen in toxic rows that are counted among the clean ones.
-MOST_CANDIDATES = 400_000
+#: A term is in the machine if so many training rows have it.
+LEAST_ROWS = 5
+#: Standard errors of its gradient by which a weight, or a factor, is drawn to zero in the first PICKING epochs.
+DRAWN_W, DRAWN_V, PICKING = 4.0, 6.0, 15
 FACTORS, EPOCHS, RATE, DECAY, SEED = 6, 40, 0.1, 1e-4, 7
 _FILTER = 1 << 20
 
@@ -79,59 +80,75 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(total.view(np.int64)), pa.array(count)], names=["term", "n"])
 
 
-def _among(terms: np.ndarray):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(terms), np.int64)
-        for batch in batches:
-            for _, _, _, of in _present(batch.column(0), terms):
-                total += np.bincount(of, minlength=len(terms))
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(terms[seen].view(np.int64)), pa.array(total[seen])], names=["term", "n"])
-
-    return count
-
-
 def _encode(terms: np.ndarray):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists: list[list[int]] = []
+            lists: list[bytes] = []
             for first, end, rows, of in _present(batch.column(0), terms):
                 cuts = np.searchsorted(rows, np.arange(end - first + 1)).tolist()
-                lists += [of[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(lists, pa.list_(pa.int32())), batch.column(1)], names=["terms", "toxic"])
+                lists += [of[a:b].astype("<i4").tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(lists, pa.binary()), batch.column(1)], names=["terms", "toxic"])
 
     return encode
 
 
 def _fit(lists: list[np.ndarray], y: np.ndarray, terms: np.ndarray) -> Model:
-    """Stochastic gradients with Adagrad steps on the logistic loss; a bounded number of rows, each of few terms."""
+    """Stochastic gradients with Adagrad steps on the logistic loss; a bounded number of rows.
+
+    In the first epochs each step is proximal, by a threshold in standard errors of the gradient of a term without evidence,
+    so that frequent and rare terms are held alike; what is not zero then is fitted without it.
+    """
     rng = np.random.default_rng(SEED)
     base = (y.sum() + 0.5) / (len(y) + 1)
     bias, w, v = float(np.log(base / (1 - base))), np.zeros(len(terms)), rng.normal(0, 0.01, (len(terms), FACTORS))
-    gw, gv, gb = np.full(len(terms), 1e-6), np.full(v.shape, 1e-6), 1e-6
     if not len(terms) or y.min() == y.max():
         return Model(terms, bias, w, v)
-    for _ in range(EPOCHS):
-        order = rng.permutation(len(y))
-        for part in np.array_split(order, max(1, len(order) // 256)):
-            n = np.array([len(lists[i]) for i in part])
-            of = np.concatenate([lists[i] for i in part]).astype(np.int64)
-            rows = np.repeat(np.arange(len(part)), n)
-            sums = np.stack([np.bincount(rows, v[of, f], minlength=len(part)) for f in range(FACTORS)], 1)
-            error = Model(terms, bias, w, v).score(rows, of, len(part)) - y[part]
-            e = error[rows]
-            used, back = np.unique(of, return_inverse=True)
-            dw = np.bincount(back, e, minlength=len(used)) / len(part) + DECAY * w[used]
-            inner = e[:, None] * (sums[rows] - v[of])
-            dv = np.stack([np.bincount(back, inner[:, f], minlength=len(used)) for f in range(FACTORS)], 1) / len(part) + DECAY * v[used]
-            db = error.mean()
-            gw[used] += dw**2
-            gv[used] += dv**2
-            gb += db**2
-            w[used] -= RATE * dw / np.sqrt(gw[used])
-            v[used] -= RATE / 4 * dv / np.sqrt(gv[used])
-            bias -= RATE * db / np.sqrt(gb)
-    return Model(terms, bias, w, v)
+    lists = [np.asarray(x, np.int32) for x in lists]
+    share = np.bincount(np.concatenate(lists), minlength=len(terms)) / len(y)
+    error = np.sqrt(share * base * (1 - base) / len(y) * np.maximum(1 - share, 0.05))
+    for picking in (True, False):
+        if not picking:  # terms that are left, and their numbers
+            left = np.flatnonzero((w != 0) | (v != 0).any(1))
+            number = np.full(len(terms), -1)
+            number[left] = np.arange(len(left))
+            lists = [n[n >= 0] for n in (number[x] for x in lists)]
+            all_w, all_v, w, v, share, error = w, v, w[left], v[left], share[left], error[left]
+            free_w, free_v = w != 0, v != 0
+        gw, gv, gb = np.full(len(w), 1e-4), np.full(v.shape, 1e-4), 1e-4
+        for _ in range(PICKING if picking else EPOCHS - PICKING):
+            order = rng.permutation(len(y))
+            for part in np.array_split(order, max(1, len(order) // 256)):
+                n = np.array([len(lists[i]) for i in part])
+                of = np.concatenate([lists[i] for i in part])
+                some, first = n > 0, (np.cumsum(n) - n)[n > 0]
+                sums, z = np.zeros((len(part), FACTORS)), np.full(len(part), bias)
+                if len(of):
+                    sums[some] = np.add.reduceat(v[of], first, axis=0)
+                    z[some] += np.add.reduceat((w - (v**2).sum(1) / 2)[of], first)
+                z += (sums**2).sum(1) / 2
+                e = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[part]
+                seen = np.bincount(of, minlength=len(w))
+                used = np.flatnonzero(seen)
+                raw = np.bincount(of, np.repeat(e, n), minlength=len(w))[used]
+                inner = np.stack([np.bincount(of, np.repeat(e * sums[:, f], n), minlength=len(w))[used] for f in range(FACTORS)], 1)
+                dw, dv = raw / len(part), (inner - v[used] * raw[:, None]) / len(part)
+                if not picking:
+                    dw, dv = (dw + DECAY * w[used]) * free_w[used], (dv + DECAY * v[used]) * free_v[used]
+                gw[used] += dw**2
+                gv[used] += dv**2
+                step_w, step_v = RATE / np.sqrt(gw[used]), RATE / 4 / np.sqrt(gv[used])
+                w[used] -= step_w * dw
+                v[used] -= step_v * dv
+                if picking:
+                    drawn = error[used] * seen[used] / len(part) / share[used]
+                    size_w, size_v = step_w * DRAWN_W * drawn, step_v * DRAWN_V * drawn[:, None] * np.sqrt((sums**2).mean(0))
+                    w[used] -= np.clip(w[used], -size_w, size_w)
+                    v[used] -= np.clip(v[used], -size_v, size_v)
+                db = e.mean()
+                gb += db**2
+                bias -= RATE * db / np.sqrt(gb)
+    all_w[left], all_v[left] = w, v
+    return Model(terms, float(bias), all_w, all_v)
 
 
 def held_out(id_col: str = "doc_id"):
@@ -158,24 +175,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     terms = np.zeros(0, np.uint64)
     if n_toxic and n_clean:
         kind = "term bigint, n bigint"
-        of_toxic = sample.where("toxic = 1").select("text").mapInArrow(_terms, kind).groupBy("term").agg(F.sum("n").alias("n"))
-        # any term that could pass: even if no clean row has it, its rows must suffice
-        often = of_toxic.where(F.col("n") >= LEAST_ROWS).orderBy(F.col("n").desc(), "term").limit(MOST_CANDIDATES).toPandas()
-        candidates = often["term"].to_numpy(np.int64).view(np.uint64)
-        order = np.argsort(candidates)
-        candidates, a = candidates[order], often["n"].to_numpy(np.float64)[order]
-        among = sample.where("toxic = 0").select("text").mapInArrow(_among(candidates), kind).groupBy("term").agg(F.sum("n").alias("n")).toPandas()
-        b = np.zeros(len(candidates))
-        b[np.searchsorted(candidates, among["term"].to_numpy(np.int64).view(np.uint64))] = among["n"]
-        pooled = (a + b + 1) / (n_toxic + n_clean + 2)
-        z = (a / n_toxic - b / n_clean) / np.sqrt(pooled * (1 - pooled) * (1 / n_toxic + 1 / n_clean))
-        best = np.argsort(-z, kind="stable")[:MOST_TERMS]
-        terms = np.sort(candidates[best[z[best] >= LEAST_Z]])
-    encoded = sample.mapInArrow(_encode(terms), "terms array<int>, toxic int").toPandas()
+        often = sample.select("text").mapInArrow(_terms, kind).groupBy("term").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_ROWS)
+        terms = np.sort(often.select("term").toPandas()["term"].to_numpy(np.int64).view(np.uint64))
+    encoded = sample.mapInArrow(_encode(terms), "terms binary, toxic int").collect()
     # rows come in no certain order: sort them, so that every run fits the same model
-    keyed = sorted(((int(y), sorted(t)) for t, y in zip(encoded["terms"], encoded["toxic"], strict=True)), key=lambda r: (r[0], len(r[1]), r[1]))
-    lists, y = [np.array(t, np.int64) for _, t in keyed], np.array([y for y, _ in keyed], np.float64)
-    return _fit(lists, y, terms)
+    keyed = sorted((r["toxic"], len(r["terms"]), bytes(r["terms"])) for r in encoded)
+    lists, y = [np.frombuffer(t, "<i4") for _, _, t in keyed], np.array([y for y, _, _ in keyed], np.float64)
+    model = _fit(lists, y, terms)
+    left = np.flatnonzero((model.w != 0) | (model.v != 0).any(1))
+    return Model(model.terms[left], model.bias, model.w[left], model.v[left])
 
 
 def _score(model: Model):

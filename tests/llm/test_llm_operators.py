@@ -369,6 +369,18 @@ def test_pairs_count_in_the_machine():
     assert both > 0.5 > one and none < 0.5
 
 
+def test_terms_that_matter_only_together(spark):
+    rng = np.random.default_rng(2)
+    rows, marks = [], []
+    for i in range(3000):
+        a, b = (rng.random(2) < 0.5).tolist()
+        rows.append((i, " ".join([*(f"f{k}" for k in rng.integers(0, 40, 6)), *["aa"] * a, *["bb"] * b]), "en", "a", 1))
+        marks.append((i, int(a == b)))  # neither word alone tells anything
+    d, labels = docs(spark, rows), spark.createDataFrame(marks, "doc_id bigint, toxic int")
+    got = toxicity.score(d, toxicity.train(d, labels)).where("held_out").join(labels, "doc_id").collect()
+    assert len(got) > 400 and np.mean([r.predicted == r.toxic for r in got]) > 0.95
+
+
 def test_chat_examples(spark):
     rows = [(1, 0, "system", "s"), (1, 1, "user", "[INST]"), (1, 2, "assistant", "</s>\\"), (1, 3, "assistant", "two"), (1, 4, "user", "end")]
     out = chat.formatted(chat.expand(spark.createDataFrame(rows, "conv_id int, turn int, role string, text string"))).orderBy("loss_start").collect()
