@@ -44,9 +44,8 @@ REST = 40
 #: 64-bit words of a set's bitmap.
 BITS = 8
 STAR_ROUNDS = 2
-#: A token of more sets of one block leaves their places with the block; a token with more sets outside its commonest
-#: component is joined together with the prefix of order 2.
-OFTEN, CROWD = 64, 256
+#: A token of more sets of one block leaves their places with the block.
+OFTEN = 64
 
 _IN = "bucket int, block bigint, lo binary, hi binary, many binary, idx binary, often binary"
 _DICT = "ids array<bigint>, id_cls binary, id_n binary, id_new binary, cls binary, n binary, hot binary, hot_many binary, hot_idx binary"
@@ -287,7 +286,7 @@ def _bounded(percent: int) -> F.Column:
 
 
 def _side(rows: DataFrame, x: str, *names: str) -> DataFrame:
-    return rows.select(*[c for c in ("tok", "second") if c in rows.columns], F.col("cls").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in names))
+    return rows.select(*[c for c in ("tok",) if c in rows.columns], F.col("cls").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in names))
 
 
 def _star_pairs(now: DataFrame, sets: DataFrame, turn: int, percent: int) -> DataFrame:
@@ -301,20 +300,14 @@ def _star_pairs(now: DataFrame, sets: DataFrame, turn: int, percent: int) -> Dat
     return pairs.where(_bounded(percent)).select("a", "b")
 
 
-def _open_pairs(now: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of each token's sets those outside its commonest component against all that lie elsewhere.
-
-    Where many lie outside, sets must also share a token of the prefix under order 2 to be paired at all.
-    """
+def _open_pairs(now: DataFrame, percent: int) -> DataFrame:
+    """Of each token's sets those outside its commonest component against all that lie elsewhere."""
     sizes = now.groupBy("tok", "comp").agg(F.count("*").alias("c"))
-    tokens = sizes.groupBy("tok").agg(F.max(F.struct("c", "comp")).alias("m"), F.count("*").alias("comps"), F.sum("c").alias("all")).where("comps > 1")
-    tokens = tokens.select("tok", F.col("m.comp").alias("major"), (F.col("all") - F.col("m.c") > CROWD).alias("crowded"))
-    rows = materialise(now.join(tokens, "tok").withColumn("in", F.col("comp") == F.col("major")).drop("major"), "open")
-    crowd = rows.where("crowded").join(sets.select("cls", F.explode("p2").alias("second")), "cls")
-    both = rows.where("not crowded").withColumn("second", F.lit(0).cast("bigint")).unionByName(crowd)
+    tokens = sizes.groupBy("tok").agg(F.max(F.struct("c", "comp")).alias("m"), F.count("*").alias("comps")).where("comps > 1")
+    rows = materialise(now.join(tokens.select("tok", F.col("m.comp").alias("major")), "tok").withColumn("in", F.col("comp") == F.col("major")).drop("major"), "open")
     names = ("n", "s", "bits", "pos", "comp", "in")
     apart = (F.col("comp_a") != F.col("comp_b")) & (F.col("in_b") | (F.col("a") < F.col("b")))
-    joined = _side(both.where(~F.col("in")), "a", *names).join(_side(both, "b", *names), ["tok", "second"])
+    joined = _side(rows.where(~F.col("in")), "a", *names).join(_side(rows, "b", *names), "tok")
     return joined.where(apart & _alike(percent) & _bounded(percent)).select("a", "b").distinct()
 
 
@@ -345,7 +338,7 @@ def links_and_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         return tokens.join(component.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("component", "cls")).drop("component")
 
     for turn in range(STAR_ROUNDS + 1):
-        pairs = _star_pairs(labelled(), sets, turn, percent) if turn < STAR_ROUNDS else _open_pairs(labelled(), sets, percent)
+        pairs = _star_pairs(labelled(), sets, turn, percent) if turn < STAR_ROUNDS else _open_pairs(labelled(), percent)
         new = materialise(_verified(materialise(pairs, "pairs"), sets, percent), "links")
         if not new.isEmpty():
             links = new if links is None else links.union(new)
