@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-UTILITIES = ("action_reaction", "concrete_action", "emotional_reaction", "environment_detail", "generic_dialogue_only", "generic_presence_only", "movement", "object_activity", "physical_interaction", "reflective_state", "unclear")
-SIGNALS = ("exchange", "gesture", "listening_reaction", "none", "object_handling", "physical_contact", "posture_change", "unclear")
+# The vocabulary of observations.
+UTILITIES = ("clear_reaction", "concrete_action", "environment", "generic_dialogue_only", "generic_presence_only", "movement", "object_activity", "physical_interaction", "strong_nonverbal_interaction", "unclear", "useful_state")
+SIGNALS = ("clear_reaction", "concrete_activity", "generic_dialogue_only", "none", "physical_interaction", "strong_body_language", "unclear", "useful_environment_or_composition")
 COMPLETE = ("true", "true", "false", "unclear", "true")
 CONTEXT = ("low", "medium", "high", "unclear", "low")
-FLAGS = ("credits", "explicit_content", "graphic_violence", "overlay_text", "studio_logo", "unusable_image")
+FLAGS = ("title_card", "credits", "logo", "dominant_text", "black_or_empty", "corrupt_or_unusable")
 TYPES = ("argument", "conversation", "monologue", "montage", "sparse_dialogue", "transition")
 TONES = ("comic", "dramatic", "neutral", "tense")
 FUNCTIONS = ("conflict", "exposition", "resolution", "revelation", "transition")
@@ -70,7 +71,9 @@ def shots(spark: SparkSession, d: str) -> DataFrame:
         F.col("user_id").alias("movie_id"), F.col("event_id"), F.col("n").cast("bigint").alias("shot_ord"), F.format_string("FULL_SHOT_%04d", "n").alias("shot_id"), "start_s", "end_s",
         frame("start_s").alias("start_frame"), frame("end_s").alias("end_frame"), (60 + F.col("value") / 5).alias("brightness"), F.col("value").alias("sharpness"), (k / 4).alias("motion"),
         (k % 10 / 20).alias("near_black"), F.when(k % 3 != 0, k % 5).alias("setting_id"), F.when(k % 4 == 0, F.floor(k / 10)).alias("interaction_id"),
-        (k == 99).alias("scene_break_after"), (k / 100).alias("cut_score"), "k", "value",
+        (k == 99).alias("scene_break_after"), (k == 98).alias("scene_break_before"), (k / 100).alias("cut_score"), F.when(k % 7 == 1, F.floor(k / 20)).alias("action_id"),
+        F.when(k % 6 == 2, F.floor(k / 50)).alias("scene_id"), F.when(k % 9 == 3, F.lit(1)).alias("establishing_id"), F.when(k % 2 == 0, k % 3).alias("participants"),
+        F.when(k % 5 < 3, k % 4).alias("subject_id"), F.when(k % 3 == 1, k % 6).alias("composition"), (k % 8 == 5).alias("reverse_shot"), "k", "value",
     )
 
 
@@ -158,7 +161,7 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {
     "sg": (("sg_g",), f"SELECT movie_id, printf('NARR_%06d', n + 1) AS segment_id, first_ord, last_ord, start_s, end_s, {_list(TYPES)}[first_ord * 3 % {len(TYPES)} + 1] AS segment_type, {_list(TONES)}[first_ord * 3 % {len(TONES)} + 1] AS narrative_tone, {_list(FUNCTIONS)}[first_ord * 3 % {len(FUNCTIONS)} + 1] AS narrative_function, CASE WHEN first_ord % 4 = 0 THEN 'new_interaction' ELSE 'unknown' END AS continuity_next FROM sg_g"),
     "ev": ((), f"SELECT *, {_K} AS k, epoch_us(ts) AS us FROM events"),
     "sh_e": (("ev",), "SELECT *, (us - 1704067200000000) / 3.6e9 AS start_s, (lead(us) OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1704067200000000) / 3.6e9 AS end_s, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM ev"),
-    "sh": (("sh_e",), "SELECT user_id AS movie_id, event_id, n AS shot_ord, printf('FULL_SHOT_%04d', n) AS shot_id, start_s, end_s, CAST(floor(start_s * 24 + 0.5) AS BIGINT) AS start_frame, CAST(floor(end_s * 24 + 0.5) AS BIGINT) AS end_frame, 60 + value / 5 AS brightness, value AS sharpness, k / 4 AS motion, k % 10 / 20 AS near_black, CASE WHEN k % 3 <> 0 THEN k % 5 END AS setting_id, CASE WHEN k % 4 = 0 THEN k // 10 END AS interaction_id, k = 99 AS scene_break_after, k / 100 AS cut_score, k, value FROM sh_e WHERE end_s IS NOT NULL"),
+    "sh": (("sh_e",), "SELECT user_id AS movie_id, event_id, n AS shot_ord, printf('FULL_SHOT_%04d', n) AS shot_id, start_s, end_s, CAST(floor(start_s * 24 + 0.5) AS BIGINT) AS start_frame, CAST(floor(end_s * 24 + 0.5) AS BIGINT) AS end_frame, 60 + value / 5 AS brightness, value AS sharpness, k / 4 AS motion, k % 10 / 20 AS near_black, CASE WHEN k % 3 <> 0 THEN k % 5 END AS setting_id, CASE WHEN k % 4 = 0 THEN k // 10 END AS interaction_id, k = 99 AS scene_break_after, k = 98 AS scene_break_before, k / 100 AS cut_score, CASE WHEN k % 7 = 1 THEN k // 20 END AS action_id, CASE WHEN k % 6 = 2 THEN k // 50 END AS scene_id, CASE WHEN k % 9 = 3 THEN 1 END AS establishing_id, CASE WHEN k % 2 = 0 THEN k % 3 END AS participants, CASE WHEN k % 5 < 3 THEN k % 4 END AS subject_id, CASE WHEN k % 3 = 1 THEN k % 6 END AS composition, k % 8 = 5 AS reverse_shot, k, value FROM sh_e WHERE end_s IS NOT NULL"),
     "ob": (("ev",), f"SELECT user_id AS movie_id, event_id, ts, k, {_list(UTILITIES)}[k % {len(UTILITIES)} + 1] AS utility, {_list(SIGNALS)}[(event_id * 7 + k) % {len(SIGNALS)} + 1] AS signal, {_list(COMPLETE)}[event_id % 5 + 1] AS complete, {_list(CONTEXT)}[event_id // 5 % 5 + 1] AS context, CASE WHEN k < 6 THEN [{_list(FLAGS)}[k + 1]] ELSE []::VARCHAR[] END AS flags, event_id % 2 AS n_actions FROM ev"),
     "rec": (("ev",), "SELECT user_id AS movie_id, event_id, CAST(r AS BIGINT) AS r, ['v1', 'temporal_v2', 'visual_reuse'][r + 1] AS contract, us + r * 60000000 AS created_us, (event_id + r) % 7 <> 0 AS valid FROM ev, unnest(range(0, 3)) t(r) WHERE r <= event_id % 3"),
     "bx_p": (("sh",), "SELECT movie_id, shot_id, event_id, k, sample, person, value * 3 + 97 * person + 11 * sample AS pos, 120 + event_id % 5 * 40 AS w FROM sh, unnest(range(0, 5)) s(sample), unnest(range(1, 4)) q(person) WHERE person <= 1 + k % 3"),

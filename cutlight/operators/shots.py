@@ -157,30 +157,52 @@ def histogram_similarity(a: Column, b: Column) -> Column:
     return clamp((F.when(under > 0, dot(a, ma, b, mb) / under).otherwise(1.0) + 1) / 2, 0.0, 1.0)
 
 
-def adjacent_edges(shots: DataFrame, similarity: bool = False) -> DataFrame:
-    """Continuity of each shot with the next one of its title: next_id, merge, reasons, breaks, dialogue, similarity.
+#: What a shot must say about itself for its continuity with another one; hist (its histogram) where similarity counts.
+EDGE_COLUMNS = ("shot_id", "occupancy", "interaction_id", "action_id", "scene_id", "establishing_id", "setting_id", "participants", "subject_id", "composition", "reverse_shot", "scene_break_after", "scene_break_before", "cut_score")
+STRONG_CUT, TALK, LIKE = 0.65, 0.45, 0.12
 
-    shots: movie_id, shot_id, start_s, occupancy, setting_id, interaction_id, scene_break_after, cut_score, and with
-    similarity hist. Missing ids are never a difference; a known difference or a break vetoes whatever speaks for a merge.
+
+def continuity(pairs: DataFrame) -> DataFrame:
+    """pairs with merge, reasons, breaks, dialogue and similarity of a shot and a later one.
+
+    pairs: EDGE_COLUMNS of the first shot, and of the second under n_<name>; with hist and n_hist, the similarity of both.
+    Missing ids and flags are never a difference; a known difference or a break vetoes whatever speaks for a merge.
     """
-    by = _title().orderBy("start_s", "shot_id")
-    cols = ["shot_id", "occupancy", "setting_id", "interaction_id", "cut_score", *(["hist"] if similarity else [])]
-    x = shots.withColumns({f"n_{c}": F.lead(c).over(by) for c in cols}).where("n_shot_id is not null")
     no = lambda c: F.coalesce(c, F.lit(False))
-    same_talk = no(F.col("interaction_id") == F.col("n_interaction_id"))
-    dialogue = F.col("occupancy") + F.col("n_occupancy") >= 0.45
-    other_place = no(F.col("setting_id") != F.col("n_setting_id"))
-    strong = no(F.col("cut_score") >= 0.65) | no(F.col("n_cut_score") >= 0.65)
-    reasons = errors((same_talk, "same_interaction"))
-    breaks = errors((F.col("scene_break_after"), "explicit_scene_or_time_break"), (other_place, "setting_or_location_discontinuity"), (strong & ~same_talk, "strong_scene_change_without_continuity"))
-    x = x.withColumn("reasons", reasons).withColumn("breaks", breaks).withColumn("dialogue", dialogue).withColumn("merge", F.size("breaks") == 0)
-    like = histogram_similarity(F.col("hist"), F.col("n_hist")) if similarity else F.lit(None).cast("double")
-    return x.withColumn("similarity", like).select("movie_id", "shot_id", F.col("n_shot_id").alias("next_id"), "merge", "reasons", "breaks", "dialogue", "similarity")
-
-
-def baseline_join(edges: DataFrame, least: float = 0.12) -> DataFrame:
+    same = {c: no(F.col(c) == F.col(f"n_{c}")) for c in EDGE_COLUMNS}
+    other = {c: no(F.col(c) != F.col(f"n_{c}")) for c in EDGE_COLUMNS}
+    reverse = no(F.col("reverse_shot")) & no(F.col("n_reverse_shot"))
+    reasons = errors(
+        (same["interaction_id"] | reverse, "same_interaction"), (reverse, "validated_shot_reverse_shot"), (same["action_id"], "continuous_action"), (same["scene_id"], "same_scene"),
+        (same["establishing_id"], "establishing_or_insert_continuity"), (same["setting_id"] & same["participants"], "stable_setting_and_participants"),
+        (same["setting_id"] & ~same["participants"] & same["subject_id"], "stable_setting_and_shared_subject"),
+    )
+    strong = no(F.col("cut_score") >= STRONG_CUT) | no(F.col("n_cut_score") >= STRONG_CUT)
+    x = pairs.withColumn("reasons", reasons).withColumn("dialogue", F.col("occupancy") + F.col("n_occupancy") >= TALK)
+    bare = F.size("reasons") == 0
+    breaks = errors(
+        (no(F.col("scene_break_after")) | no(F.col("n_scene_break_before")), "explicit_scene_or_time_break"), (other["setting_id"], "setting_or_location_discontinuity"),
+        (other["participants"], "participant_set_discontinuity"), (strong & bare, "strong_scene_change_without_continuity"),
+        (other["composition"] & bare & ~F.col("dialogue"), "major_composition_change_without_interaction"), (other["subject_id"] & bare & ~F.col("dialogue"), "major_subject_identity_change_without_interaction"),
+    )
+    like = histogram_similarity(F.col("hist"), F.col("n_hist")) if "hist" in pairs.columns else F.lit(None).cast("double")
+    return x.withColumn("breaks", breaks).withColumn("merge", F.size("breaks") == 0).withColumn("similarity", like)
+
+
+def adjacent_edges(shots: DataFrame) -> DataFrame:
+    """Continuity of each shot with the next one of its title: movie_id, shot_id, next_id, merge, reasons, breaks, dialogue, similarity.
+
+    shots: movie_id, shot_ord, EDGE_COLUMNS, and hist where similarity counts. One window over a title, no join.
+    """
+    by = _title().orderBy("shot_ord")
+    cols = [*EDGE_COLUMNS, *(["hist"] if "hist" in shots.columns else [])]
+    x = continuity(shots.withColumns({f"n_{c}": F.lead(c).over(by) for c in cols}).where("n_shot_id is not null"))
+    return x.select("movie_id", "shot_id", F.col("n_shot_id").alias("next_id"), "merge", "reasons", "breaks", "dialogue", "similarity")
+
+
+def baseline_join(edges: DataFrame, least: float = LIKE) -> DataFrame:
     """edges with joined: a merge that likeness, speech or a reason supports."""
-    return edges.withColumn("joined", F.col("merge") & ((F.col("similarity") >= least) | F.col("dialogue") | (F.size("reasons") > 0)))
+    return edges.withColumn("joined", F.col("merge") & (F.coalesce(F.col("similarity") >= least, F.lit(False)) | F.col("dialogue") | (F.size("reasons") > 0)))
 
 
 def duration_fit(duration: Column, kind: Column) -> Column:
@@ -209,12 +231,12 @@ def score_events(events: DataFrame) -> DataFrame:
 def event_rollup(shots: DataFrame, group: str) -> DataFrame:
     """One event for each group of a title's shots: bounds, mean signals, shot ids in order, narrative ids, reasons, kind.
 
-    Needs shot_ord, occupancy and ids (narrative segments) beside the signals.
+    Needs shot_ord, occupancy, ids (narrative segments) and similarity (to the shot before in the event) beside the signals.
     """
     order = F.sort_array(F.collect_list(F.struct("shot_ord", "shot_id", "ids")))
     g = shots.groupBy("movie_id", group).agg(
         F.min("start_s").alias("start_s"), F.max("end_s").alias("end_s"), F.count(F.lit(1)).alias("n_shots"), *[F.avg(c).alias(c) for c in ("brightness", "sharpness", "motion", "near_black", "occupancy")],
-        order.alias("_l"), F.avg("joined_share").alias("continuity"),
+        order.alias("_l"), F.coalesce(F.avg("similarity"), F.lit(1.0)).alias("continuity"),
     )
     g = g.withColumn("shot_ids", F.transform("_l", lambda x: x["shot_id"])).withColumn("narrative_ids", F.array_distinct(F.flatten(F.transform("_l", lambda x: x["ids"])))).drop("_l")
     many, talk = F.col("n_shots") > 1, F.col("occupancy") >= 0.22
@@ -223,6 +245,15 @@ def event_rollup(shots: DataFrame, group: str) -> DataFrame:
     return g.withColumn("reasons", reasons).withColumn("kind", kind).withColumn("duration_s", F.col("end_s") - F.col("start_s"))
 
 
+def scene_runs(shots: DataFrame) -> DataFrame:
+    """Runs of consecutive shots (as for adjacent_edges) whose continuity allows a merge: movie_id, run (from 1), n_shots, shot_ids."""
+    by = _title().orderBy("shot_ord")
+    x = continuity(shots.withColumns({f"n_{c}": F.lead(c).over(by) for c in EDGE_COLUMNS})).select("movie_id", "shot_ord", "shot_id", "merge")
+    x = x.withColumn("run", F.sum(F.when(F.coalesce(F.lag("merge").over(by), F.lit(False)), 0).otherwise(1)).over(by))
+    g = x.groupBy("movie_id", "run").agg(F.count(F.lit(1)).alias("n_shots"), F.sort_array(F.collect_list(F.struct("shot_ord", "shot_id"))).alias("_l"))
+    return g.select("movie_id", "run", "n_shots", F.transform("_l", lambda r: r["shot_id"]).alias("shot_ids"))
+
+
 def event_health(events: DataFrame) -> DataFrame:
     """Events by bucket of duration: events, multi_shot, median and mean seconds."""
     d = F.col("duration_s")
@@ -230,32 +261,88 @@ def event_health(events: DataFrame) -> DataFrame:
     return events.withColumn("bucket", bucket).groupBy("bucket").agg(F.count(F.lit(1)).alias("events"), F.count_if(F.col("n_shots") > 1).alias("multi_shot"), F.median(d).alias("median_s"), F.avg(d).alias("mean_s"))
 
 
-def bounded_groups(shots: DataFrame, longest: float = LONGEST) -> DataFrame:
-    """Greedy groups of shots within islands of joined neighbours: movie_id, island, group_no, shot_ids, duration_s.
+def grouping_rows(shots: DataFrame) -> DataFrame:
+    """shots (as for adjacent_edges, with start_s, end_s, alone) as bounded_groups reads them: joined, talk and why tell of the edge to the next shot."""
+    by = _title().orderBy("shot_ord")
+    cols = [*EDGE_COLUMNS, *(["hist"] if "hist" in shots.columns else [])]
+    x = baseline_join(continuity(shots.withColumns({f"n_{c}": F.lead(c).over(by) for c in cols})))
+    next_ = F.col("n_shot_id").isNotNull()
+    no = lambda c: next_ & F.coalesce(c, F.lit(False))
+    return x.select("movie_id", "shot_ord", "shot_id", (F.col("end_s") - F.col("start_s")).alias("duration_s"), no(F.col("joined")).alias("joined"), no(F.col("dialogue")).alias("talk"), no(F.size("reasons") > 0).alias("why"), "alone")
+
+
+def _fold(rows: DataFrame, order: str, columns: list[str], state: str, start: str, step) -> DataFrame:
+    """movie_id, island, order and no: what step(state, row) gives as no to each row of an island, in order."""
+    row = F.struct(order, *columns)
+    lists = rows.groupBy("movie_id", "island").agg(F.sort_array(F.collect_list(row)).alias("rows"))
+    kind = f"struct<s:struct<{state}>,out:array<int>>"
+
+    def go(acc: Column, r: Column) -> Column:
+        s = step(acc["s"], r)
+        return F.struct(s.alias("s"), F.concat(acc["out"], F.array(s["no"])).alias("out"))
+
+    done = lists.withColumn("no", F.aggregate("rows", F.from_json(F.lit('{"s":' + start + ',"out":[]}'), kind), go)["out"])
+    return done.select("movie_id", "island", F.explode(F.arrays_zip(F.col(f"rows.{order}").alias(order), F.col("no").alias("no"))).alias("z")).select("movie_id", "island", f"z.{order}", "z.no")
+
+
+def bounded_groups(rows: DataFrame, longest: float = LONGEST) -> DataFrame:
+    """Greedy groups of shots: movie_id, group_no (from 1), first_ord, duration_s, alone, shot_ids.
 
-    shots: movie_id, shot_ord, shot_id, duration_s, joined (to the next shot), talk (that join is a conversation), why (it
-    has positive reasons), alone (the shot has value of its own). A group grows while it stays within longest seconds; a quiet one stops early at 5 s (one
-    shot) or 15 s. Groups of 3 to longest seconds are kept. Titles fall into islands first, so the fold runs over islands.
+    rows: movie_id, shot_ord, shot_id, duration_s, joined (to the next shot), talk (that join is a conversation), why (it
+    has positive reasons), alone (the shot has value of its own). A group grows while it stays within longest seconds; a
+    quiet one stops early at 5 s (one shot) or 15 s. Groups of 3 to longest seconds are kept. Titles fall into islands of
+    joined neighbours first, so the fold runs over islands.
     """
     by = _title().orderBy("shot_ord")
-    to_previous = F.lag("joined").over(by)
-    x = shots.withColumn("island", F.sum(F.when(F.coalesce(to_previous, F.lit(False)), 0).otherwise(1)).over(by))
-    row = F.struct("shot_ord", "shot_id", F.col("duration_s").alias("d"), "joined", "talk", "why", "alone")
-    rows = x.groupBy("movie_id", "island").agg(F.sort_array(F.collect_list(row)).alias("rows"))
-    kind = "struct<no:int,n:int,d:double,quiet:boolean,closed:boolean,out:array<struct<no:int,shot_id:string,d:double>>>"
-    start = F.from_json(F.lit('{"no":0,"n":0,"d":0.0,"quiet":false,"closed":true,"out":[]}'), kind)
+    x = rows.withColumn("island", F.sum(F.when(F.coalesce(F.lag("joined").over(by), F.lit(False)), 0).otherwise(1)).over(by))
 
     def step(s: Column, r: Column) -> Column:
         """quiet: the edge that leads to the next row is neither speech nor reasoned; closed: that row begins a group."""
-        fresh = s["closed"] | (s["d"] + r["d"] > longest)
-        no = F.when(fresh, s["no"] + 1).otherwise(s["no"])
-        n = F.when(fresh, 1).otherwise(s["n"] + 1)
-        d = F.when(fresh, r["d"]).otherwise(s["d"] + r["d"])
-        quiet = ~r["talk"] & ~r["why"]
-        closed = (~fresh & (d >= 15) & s["quiet"]) | (r["alone"] & (n == 1)) | ((d >= 5) & quiet & (n == 1))
-        out = F.concat(s["out"], F.array(F.struct(no.alias("no"), r["shot_id"].alias("shot_id"), r["d"].alias("d"))))
-        return F.struct(no.alias("no"), n.alias("n"), d.alias("d"), F.coalesce(quiet, F.lit(True)).alias("quiet"), F.coalesce(closed, F.lit(False)).alias("closed"), out.alias("out"))
-
-    folded = rows.withColumn("f", F.aggregate("rows", start, step)).select("movie_id", "island", F.posexplode("f.out").alias("at", "o"))
-    g = folded.groupBy("movie_id", "island", F.col("o.no").cast("bigint").alias("group_no")).agg(F.sum("o.d").alias("duration_s"), F.transform(F.sort_array(F.collect_list(F.struct("at", "o.shot_id"))), lambda s: s["shot_id"]).alias("shot_ids"))
-    return g.where((F.col("duration_s") >= 3) & (F.col("duration_s") <= longest))
+        d, quiet = r["duration_s"], ~r["talk"] & ~r["why"]
+        fresh = s["closed"] | (s["d"] + d > longest)
+        total = F.when(fresh, d).otherwise(s["d"] + d)
+        closed = (~fresh & (total >= 15) & s["quiet"]) | (fresh & (r["alone"] | ((d >= 5) & quiet)))
+        return F.struct((s["no"] + F.when(fresh, 1).otherwise(0)).alias("no"), total.alias("d"), quiet.alias("quiet"), closed.alias("closed"))
+
+    state = "no:int,d:double,quiet:boolean,closed:boolean"
+    no = _fold(x.select("movie_id", "island", "shot_ord", "duration_s", "talk", "why", "alone"), "shot_ord", ["duration_s", "talk", "why", "alone"], state, '{"no":0,"d":0.0,"quiet":false,"closed":true}', step)
+    g = x.join(no.drop("island"), ["movie_id", "shot_ord"]).groupBy("movie_id", "island", "no").agg(
+        F.min("shot_ord").alias("first_ord"), F.sort_array(F.collect_list(F.struct("shot_ord", "shot_id", "duration_s"))).alias("_l"), F.max("alone").alias("alone")
+    )
+    g = g.withColumn("duration_s", F.aggregate("_l", F.lit(0.0), lambda s, r: s + r["duration_s"])).where((F.col("duration_s") >= 3) & (F.col("duration_s") <= longest))
+    group_no = F.row_number().over(_title().orderBy("first_ord")).cast("bigint")
+    return g.select("movie_id", group_no.alias("group_no"), "first_ord", "duration_s", "alone", F.transform("_l", lambda r: r["shot_id"]).alias("shot_ids"))
+
+
+def rescue_orphans(groups: DataFrame, shots: DataFrame, low: float = 3.0, high: float = 4.5, longest: float = LONGEST) -> DataFrame:
+    """Groups after those of low to high seconds have gone to a neighbour: movie_id, event_no, first_ord, duration_s, shot_ids.
+
+    groups: as bounded_groups gives them; shots: as for adjacent_edges. A short group goes to the one before it, else to the one after it, if
+    neither holds a shot of its own value, both together stay within longest seconds, and the shots at the seam would be
+    joined. What a merge has made longer is no orphan any more, so one pass in order settles a title; it runs over islands of
+    groups whose seams would be joined.
+    """
+    cols = [*EDGE_COLUMNS, *(["hist"] if "hist" in shots.columns else [])]
+    by = _title().orderBy("group_no")
+    g = groups.withColumns({"next_d": F.lead("duration_s").over(by), "next_alone": F.lead("alone").over(by), "_left": F.element_at("shot_ids", -1), "_right": F.lead(F.element_at("shot_ids", 1)).over(by)})
+    seams = g.where("_right is not null").select("movie_id", "group_no", "_left", "_right")
+    left = shots.select("movie_id", F.col("shot_id").alias("_left"), *cols)
+    right = shots.select("movie_id", F.col("shot_id").alias("_right"), *[F.col(c).alias(f"n_{c}") for c in cols])
+    joined = baseline_join(continuity(seams.join(left, ["movie_id", "_left"]).join(right, ["movie_id", "_right"]))).select("movie_id", "group_no", F.col("joined").alias("link"))
+    g = g.join(joined, ["movie_id", "group_no"], "left").withColumn("link", F.coalesce("link", F.lit(False)))
+    g = g.withColumn("island", F.sum(F.when(F.coalesce(F.lag("link").over(by), F.lit(False)), 0).otherwise(1)).over(by))
+
+    def step(s: Column, r: Column) -> Column:
+        """take: the next row goes to this one's number."""
+        d = r["duration_s"]
+        orphan = (d >= low) & (d <= high) & ~r["alone"]
+        back = s["take"] | (orphan & (s["no"] > 0) & ~s["alone"] & (s["d"] + d <= longest))
+        ahead = ~back & orphan & r["link"] & ~r["next_alone"] & (d + r["next_d"] <= longest)
+        no = s["no"] + F.when(back, 0).otherwise(1)
+        return F.struct(no.alias("no"), F.when(back, s["d"] + d).otherwise(d).alias("d"), F.when(back, s["alone"]).otherwise(r["alone"]).alias("alone"), F.coalesce(ahead, F.lit(False)).alias("take"))
+
+    names = ["duration_s", "alone", "link", "next_d", "next_alone"]
+    no = _fold(g.select("movie_id", "island", "group_no", *names), "group_no", names, "no:int,d:double,alone:boolean,take:boolean", '{"no":0,"d":0.0,"alone":false,"take":false}', step)
+    e = g.join(no.drop("island"), ["movie_id", "group_no"]).groupBy("movie_id", "island", "no").agg(F.min("first_ord").alias("first_ord"), F.sort_array(F.collect_list(F.struct("group_no", "duration_s", "shot_ids"))).alias("_l"))
+    event_no = F.row_number().over(_title().orderBy("first_ord")).cast("bigint")
+    return e.select("movie_id", event_no.alias("event_no"), "first_ord", F.aggregate("_l", F.lit(0.0), lambda s, r: s + r["duration_s"]).alias("duration_s"), F.flatten(F.transform("_l", lambda r: r["shot_ids"])).alias("shot_ids"))

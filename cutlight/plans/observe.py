@@ -14,7 +14,7 @@ from cutlight.registry import query
 
 _r = lambda c: F.round(F.col(c) + 1e-7, 4).alias(c)
 
-_USEFUL = "('exchange', 'gesture', 'listening_reaction', 'object_handling', 'physical_contact', 'posture_change')"
+_USEFUL = "('clear_reaction', 'strong_body_language', 'physical_interaction', 'concrete_activity', 'useful_environment_or_composition')"
 _DECIDE = f"""CASE WHEN len(flags) > 0 THEN 'REJECT' WHEN utility IN ('generic_dialogue_only', 'generic_presence_only') AND signal NOT IN {_USEFUL} THEN 'REJECT' WHEN utility = 'unclear' OR complete = 'unclear' OR context = 'unclear' THEN 'REVIEW'
  WHEN context = 'high' THEN 'REJECT' WHEN complete = 'false' THEN 'REJECT' WHEN utility IN ('concrete_action', 'object_activity') AND n_actions = 0 THEN 'REVIEW' ELSE 'KEEP' END"""
 _REASONS = f"""CASE WHEN len(flags) > 0 THEN list_transform(flags, lambda f: 'hard_exclusion:' || f) WHEN utility IN ('generic_dialogue_only', 'generic_presence_only') AND signal NOT IN {_USEFUL} THEN ['generic_dialogue_or_presence_without_independent_visual_signal'] WHEN utility = 'unclear' OR complete = 'unclear' OR context = 'unclear' THEN ['insufficient_observation']

@@ -99,7 +99,7 @@ def p19_retry_allowance(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(_with_edges(""", e AS (SELECT * FROM edge WHERE (movie_id + CAST(substr(shot_id, 11) AS BIGINT)) % 6 <> 0), g AS (SELECT movie_id, (shot_ord - 1) // 3 AS event, shot_id, lead(shot_id) OVER (PARTITION BY movie_id, (shot_ord - 1) // 3 ORDER BY shot_ord) AS nx, count(*) OVER (PARTITION BY movie_id, (shot_ord - 1) // 3) AS n FROM sh)
-SELECT movie_id, event, CASE WHEN n <= 1 OR m = n - 1 THEN 'PASS' WHEN kn = 0 THEN 'LEGACY_UNVERIFIED' ELSE 'SPLIT_REQUIRED' END AS status FROM (SELECT g.movie_id, event, n, count(*) FILTER (e.shot_id IS NOT NULL) AS kn, count(*) FILTER (len(e.breaks) = 0) AS m FROM g LEFT JOIN e ON e.movie_id = g.movie_id AND e.shot_id = g.shot_id AND e.next_id = nx GROUP BY ALL)"""))
+SELECT movie_id, event, CASE WHEN n <= 1 OR m = n - 1 THEN 'PASS' WHEN kn = 0 THEN 'LEGACY_UNVERIFIED' ELSE 'SPLIT_REQUIRED' END AS status FROM (SELECT g.movie_id, event, n, count(*) FILTER (e.shot_id IS NOT NULL) AS kn, count(*) FILTER (len(e.breaks) = 0) AS m FROM g LEFT JOIN e ON e.movie_id = g.movie_id AND e.shot_id = g.shot_id AND e.n_shot_id = nx GROUP BY ALL)"""))
 def v21_event_coherence(spark: SparkSession, d: str) -> DataFrame:
     x = fx.shots(spark, d).groupBy("movie_id", F.floor((F.col("shot_ord") - 1) / 3).alias("event")).agg(F.transform(F.sort_array(F.collect_list(F.struct("shot_ord", "shot_id"))), lambda s: s["shot_id"]).alias("shot_ids"))
     edges = sh.adjacent_edges(_shots_with_context(spark, d)).where((F.col("movie_id") + F.substring("shot_id", 11, 9).cast("bigint")) % 6 != 0)

@@ -11,6 +11,7 @@ from cutlight.operators import geometry as geo
 from cutlight.operators import intervals as iv
 from cutlight.operators import shots as sh
 from cutlight.registry import query
+from cutlight.session import cut
 
 _r = lambda c: F.round(c, 4).alias(c)
 #: Means of few values lie on the edge of rounding; both engines are moved off it.
@@ -150,12 +151,39 @@ def _shots_with_context(spark: SparkSession, d: str) -> DataFrame:
     return x.withColumn("occupancy", F.coalesce("occupancy", F.lit(0.0)))
 
 
-_CTX = """, occ AS (SELECT sh.movie_id, shot_id, coalesce(least(1, CASE WHEN any_value(sh.end_s) > any_value(sh.start_s) THEN sum(CASE WHEN cu.cue_id IS NULL THEN 0 ELSE greatest(0, least(sh.end_s, cu.end_s) - greatest(sh.start_s, cu.start_s)) END) / (any_value(sh.end_s) - any_value(sh.start_s)) END), 0) AS occupancy
+def _with_hist(spark: SparkSession, d: str) -> DataFrame:
+    """Shots with occupancy and the histogram of the vector at their event's number, counted round all vectors."""
+    e = fx.table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("hist"))
+    x = _shots_with_context(spark, d).withColumn("vec_id", F.col("event_id") % max(1, e.count())).withColumn("alone", F.col("k") == 7)
+    return x.join(e, "vec_id", "left").drop("vec_id")
+
+
+_EDGE_COLUMNS = ", ".join(f"{{a}}.{c} AS {{n}}{c}" for c in (*sh.EDGE_COLUMNS, "vec_id"))
+
+
+def _edge_sql(name: str, pairs: str) -> str:
+    """CTEs that end in one of this name: the continuity of the rows of pairs, with all their columns."""
+    given = "lambda x: x IS NOT NULL"
+    same = lambda c: f"coalesce({c} = n_{c}, false)"
+    other = lambda c: f"coalesce({c} <> n_{c}, false)"
+    return f"""{name}_r AS (SELECT *, occupancy + n_occupancy >= 0.45 AS dialogue, list_filter([CASE WHEN {same("interaction_id")} OR (reverse_shot AND n_reverse_shot) THEN 'same_interaction' END, CASE WHEN reverse_shot AND n_reverse_shot THEN 'validated_shot_reverse_shot' END,
+  CASE WHEN {same("action_id")} THEN 'continuous_action' END, CASE WHEN {same("scene_id")} THEN 'same_scene' END, CASE WHEN {same("establishing_id")} THEN 'establishing_or_insert_continuity' END,
+  CASE WHEN setting_id = n_setting_id AND {same("participants")} THEN 'stable_setting_and_participants' WHEN setting_id = n_setting_id AND {same("subject_id")} THEN 'stable_setting_and_shared_subject' END], {given}) AS reasons FROM ({pairs})),
+{name}_b AS (SELECT *, list_filter([CASE WHEN scene_break_after OR n_scene_break_before THEN 'explicit_scene_or_time_break' END, CASE WHEN {other("setting_id")} THEN 'setting_or_location_discontinuity' END, CASE WHEN {other("participants")} THEN 'participant_set_discontinuity' END,
+  CASE WHEN greatest(cut_score, n_cut_score) >= 0.65 AND len(reasons) = 0 THEN 'strong_scene_change_without_continuity' END, CASE WHEN {other("composition")} AND len(reasons) = 0 AND NOT dialogue THEN 'major_composition_change_without_interaction' END,
+  CASE WHEN {other("subject_id")} AND len(reasons) = 0 AND NOT dialogue THEN 'major_subject_identity_change_without_interaction' END], {given}) AS breaks FROM {name}_r),
+{name} AS (SELECT p.*, greatest(0, least(1, (CASE WHEN a.q * b.q > 0 THEN list_dot_product(a.c, b.c) / sqrt(a.q * b.q) ELSE 1 END + 1) / 2)) AS similarity, len(breaks) = 0 AS merge,
+  len(breaks) = 0 AND (greatest(0, least(1, (CASE WHEN a.q * b.q > 0 THEN list_dot_product(a.c, b.c) / sqrt(a.q * b.q) ELSE 1 END + 1) / 2)) >= 0.12 OR dialogue OR len(reasons) > 0) AS joined FROM {name}_b p JOIN hc a ON a.vec_id = p.vec_id JOIN hc b ON b.vec_id = p.n_vec_id)"""
+
+
+_CTX = f""", hm AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS h FROM embeddings),
+hl AS (SELECT vec_id, h, list_sum(h) / len(h) AS m FROM hm),
+hx AS (SELECT vec_id, list_transform(h, lambda x: x - m) AS c FROM hl),
+hc AS (SELECT vec_id, c, list_dot_product(c, c) AS q FROM hx),
+occ AS (SELECT sh.movie_id, shot_id, coalesce(least(1, CASE WHEN any_value(sh.end_s) > any_value(sh.start_s) THEN sum(CASE WHEN cu.cue_id IS NULL THEN 0 ELSE greatest(0, least(sh.end_s, cu.end_s) - greatest(sh.start_s, cu.start_s)) END) / (any_value(sh.end_s) - any_value(sh.start_s)) END), 0) AS occupancy
   FROM sh LEFT JOIN cu ON cu.movie_id = sh.movie_id AND sh.start_s < cu.end_s AND cu.start_s < sh.end_s GROUP BY sh.movie_id, shot_id),
-ctx AS (SELECT sh.*, occupancy FROM sh JOIN occ USING (movie_id, shot_id)),
-nb AS (SELECT *, lead(shot_id) OVER w AS next_id, lead(occupancy) OVER w AS n_occ, lead(setting_id) OVER w AS n_set, lead(interaction_id) OVER w AS n_int, lead(cut_score) OVER w AS n_cut FROM ctx WINDOW w AS (PARTITION BY movie_id ORDER BY start_s, shot_id)),
-ed AS (SELECT movie_id, shot_id, next_id, coalesce(interaction_id = n_int, false) AS talk, occupancy + n_occ >= 0.45 AS dialogue, scene_break_after AS brk, coalesce(setting_id <> n_set, false) AS away, coalesce(cut_score >= 0.65, false) OR coalesce(n_cut >= 0.65, false) AS strong FROM nb WHERE next_id IS NOT NULL),
-edge AS (SELECT movie_id, shot_id, next_id, dialogue, CASE WHEN talk THEN ['same_interaction'] ELSE []::VARCHAR[] END AS reasons, list_filter([CASE WHEN brk THEN 'explicit_scene_or_time_break' END, CASE WHEN away THEN 'setting_or_location_discontinuity' END, CASE WHEN strong AND NOT talk THEN 'strong_scene_change_without_continuity' END], lambda x: x IS NOT NULL) AS breaks FROM ed)
+ctx AS MATERIALIZED (SELECT sh.*, occupancy, event_id % (SELECT count(*) FROM embeddings) AS vec_id FROM sh JOIN occ USING (movie_id, shot_id)),
+{_edge_sql("edge", f"SELECT a.movie_id, {_EDGE_COLUMNS.format(a='a', n='')}, {_EDGE_COLUMNS.format(a='b', n='n_')} FROM ctx a JOIN ctx b ON b.movie_id = a.movie_id AND b.shot_ord = a.shot_ord + 1")}
 """
 
 
@@ -163,51 +191,72 @@ def _with_edges(body: str) -> str:
     return with_("SELECT", "sh", "cu").removesuffix("\nSELECT") + _CTX + body
 
 
-@query(_with_edges("SELECT movie_id, shot_id, next_id, len(breaks) = 0 AS merge, reasons, breaks, dialogue FROM edge"))
+@query(_with_edges("SELECT movie_id, shot_id, n_shot_id AS next_id, merge, reasons, breaks, dialogue FROM edge"))
 def g02_adjacent_continuity(spark: SparkSession, d: str) -> DataFrame:
     return sh.adjacent_edges(_shots_with_context(spark, d)).drop("similarity")
 
 
-def _edges_with_likeness(spark: SparkSession, d: str) -> DataFrame:
-    e = fx.table(spark, d, "embeddings").select(F.col("vec_id"), F.col("embedding").cast("array<double>").alias("hist"))
-    x = _shots_with_context(spark, d).withColumn("vec_id", F.col("event_id") % 500).join(e, "vec_id")
-    return sh.baseline_join(sh.adjacent_edges(x, similarity=True))
+@query(_with_edges("SELECT movie_id, shot_id, n_shot_id AS next_id, merge, joined, round(similarity, 4) AS similarity FROM edge"))
+def g03_baseline_join(spark: SparkSession, d: str) -> DataFrame:
+    return sh.baseline_join(sh.adjacent_edges(_with_hist(spark, d))).select("movie_id", "shot_id", "next_id", "merge", "joined", F.round("similarity", 4).alias("similarity"))
+
 
+_GROUPS = f""", seq AS MATERIALIZED (SELECT ctx.movie_id, ctx.shot_ord AS i, ctx.shot_id, end_s - start_s AS d, k = 7 AS alone, coalesce(joined, false) AS joined, NOT coalesce(dialogue, false) AND coalesce(len(reasons), 0) = 0 AS quiet FROM ctx LEFT JOIN edge ON edge.movie_id = ctx.movie_id AND edge.shot_id = ctx.shot_id),
+g4 AS (SELECT movie_id, i, shot_id, d AS own, alone, 1 AS no, d, quiet, NOT joined OR alone OR (d >= 5 AND quiet) AS closed FROM seq WHERE i = 1
+ UNION ALL SELECT movie_id, i, shot_id, own, alone, CASE WHEN f THEN no + 1 ELSE no END, total, quiet, NOT joined OR (NOT f AND total >= 15 AND before) OR (f AND (alone OR (own >= 5 AND quiet)))
+ FROM (SELECT s.movie_id, s.i, s.shot_id, s.d AS own, s.alone, s.joined, s.quiet, g.no, g.quiet AS before, g.closed OR g.d + s.d > 18 AS f, CASE WHEN g.closed OR g.d + s.d > 18 THEN s.d ELSE g.d + s.d END AS total FROM g4 g JOIN seq s ON s.movie_id = g.movie_id AND s.i = g.i + 1)),
+grp AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY movie_id ORDER BY first_ord) AS group_no FROM (SELECT movie_id, no, min(i) AS first_ord, max(i) AS last_ord, max(d) AS duration_s, bool_or(alone) AS alone, list(shot_id ORDER BY i) AS shot_ids FROM g4 GROUP BY ALL) WHERE duration_s >= 3 AND duration_s <= 18),
+{_edge_sql("seam", f"SELECT x.movie_id, x.group_no, {_EDGE_COLUMNS.format(a='a', n='')}, {_EDGE_COLUMNS.format(a='b', n='n_')} FROM grp x JOIN grp y ON y.movie_id = x.movie_id AND y.group_no = x.group_no + 1 JOIN ctx a ON a.movie_id = x.movie_id AND a.shot_ord = x.last_ord JOIN ctx b ON b.movie_id = x.movie_id AND b.shot_ord = y.first_ord")},
+gl AS MATERIALIZED (SELECT grp.*, coalesce(joined, false) AS link, lead(duration_s) OVER w AS next_d, lead(alone) OVER w AS next_alone, duration_s BETWEEN 3 AND 4.5 AND NOT alone AS orphan FROM (SELECT movie_id, group_no AS n, joined FROM seam) s RIGHT JOIN (SELECT movie_id AS m, * EXCLUDE (movie_id) FROM grp) g ON s.movie_id = g.m AND s.n = g.group_no WINDOW w AS (PARTITION BY m ORDER BY group_no)),
+g5 AS (SELECT m, group_no, 1 AS no, duration_s AS d, alone, link, coalesce(orphan AND link AND NOT next_alone AND duration_s + next_d <= 18, false) AS take FROM gl WHERE group_no = 1
+ UNION ALL SELECT m, group_no, CASE WHEN back THEN no ELSE no + 1 END, CASE WHEN back THEN d + own ELSE own END, CASE WHEN back THEN was ELSE alone END, link, NOT back AND coalesce(orphan AND link AND NOT next_alone AND own + next_d <= 18, false)
+ FROM (SELECT s.m, s.group_no, s.duration_s AS own, s.alone, s.link, s.orphan, s.next_d, s.next_alone, g.no, g.d, g.alone AS was, g.take OR (s.orphan AND g.link AND NOT g.alone AND g.d + s.duration_s <= 18) AS back FROM g5 g JOIN gl s ON s.m = g.m AND s.group_no = g.group_no + 1)),
+evt AS MATERIALIZED (SELECT g5.m AS movie_id, CAST(g5.no AS BIGINT) AS event_no, min(first_ord) AS first_ord, sum(gl.duration_s) AS duration_s, flatten(list(shot_ids ORDER BY g5.group_no)) AS shot_ids FROM g5 JOIN gl ON gl.m = g5.m AND gl.group_no = g5.group_no GROUP BY ALL)
+""".replace("grp.*, coalesce(joined", "g.*, coalesce(joined")
 
-@query()
-def g03_baseline_join(spark: SparkSession, d: str) -> DataFrame:
-    return _edges_with_likeness(spark, d).select("movie_id", "shot_id", "next_id", "merge", "joined", F.round("similarity", 4).alias("similarity"))
 
+def _with_groups(body: str) -> str:
+    return _with_edges(_GROUPS + body)
 
-@query()
+
+def _groups(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(shots with context, bounded groups of them)."""
+    x = cut(_with_hist(spark, d), "shots")
+    return x, cut(sh.bounded_groups(sh.grouping_rows(x)), "groups")
+
+
+@query(_with_groups("SELECT movie_id, group_no, round(duration_s, 4) AS duration_s, shot_ids FROM grp"))
 def g04_bounded_groups(spark: SparkSession, d: str) -> DataFrame:
-    """Greedy groups within islands; tested against the loop on small rows."""
-    x = _grouping_input(spark, d)
-    return sh.bounded_groups(x).select("movie_id", "island", "group_no", F.round("duration_s", 4).alias("duration_s"), "shot_ids")
+    return _groups(spark, d)[1].select("movie_id", "group_no", F.round("duration_s", 4).alias("duration_s"), "shot_ids")
 
 
-def _grouping_input(spark: SparkSession, d: str) -> DataFrame:
-    e = sh.adjacent_edges(_shots_with_context(spark, d))
-    joined = F.col("merge") & (F.col("dialogue") | (F.size("reasons") > 0))
-    e = e.select("movie_id", "shot_id", joined.alias("joined"), F.col("dialogue").alias("talk"), (F.size("reasons") > 0).alias("why"))
-    no = lambda c: F.coalesce(c, F.lit(False)).alias(c)
-    return fx.shots(spark, d).select("movie_id", "shot_ord", "shot_id", (F.col("end_s") - F.col("start_s")).alias("duration_s"), (F.col("k") == 7).alias("alone")).join(e, ["movie_id", "shot_id"], "left").select("movie_id", "shot_ord", "shot_id", "duration_s", no("joined"), no("talk"), no("why"), "alone")
+@query(_with_groups("SELECT movie_id, event_no, round(duration_s, 4) AS duration_s, shot_ids FROM evt"))
+def g05_rescued_groups(spark: SparkSession, d: str) -> DataFrame:
+    x, groups = _groups(spark, d)
+    return sh.rescue_orphans(groups, x).select("movie_id", "event_no", F.round("duration_s", 4).alias("duration_s"), "shot_ids")
+
+
+@query(_with_edges("SELECT movie_id, CAST(run AS BIGINT) AS run, count(*) AS n_shots, list(shot_id ORDER BY shot_ord) AS shot_ids FROM (SELECT ctx.movie_id, ctx.shot_id, ctx.shot_ord, sum(CASE WHEN coalesce(merge, false) THEN 0 ELSE 1 END) OVER (PARTITION BY ctx.movie_id ORDER BY ctx.shot_ord) AS run FROM ctx LEFT JOIN edge ON edge.movie_id = ctx.movie_id AND edge.n_shot_id = ctx.shot_id) GROUP BY ALL"))
+def g06_scene_runs(spark: SparkSession, d: str) -> DataFrame:
+    return sh.scene_runs(_shots_with_context(spark, d))
 
 
 def _events(spark: SparkSession, d: str) -> DataFrame:
-    """Scene runs of merged shots, rolled up and scored."""
-    x = _shots_with_context(spark, d)
-    edges = sh.adjacent_edges(x).select("movie_id", F.col("next_id").alias("shot_id"), F.col("merge").alias("to_previous"))
+    """Bounded events after the rescue of orphans, rolled up and scored."""
+    x, groups = _groups(spark, d)
+    events = cut(sh.rescue_orphans(groups, x), "events")
+    of = events.select("movie_id", F.col("event_no").alias("run"), F.posexplode("shot_ids").alias("at", "shot_id"))
+    by = Window.partitionBy("movie_id", "run").orderBy("at")
+    x = x.join(of, ["movie_id", "shot_id"]).withColumn("before", F.lag("hist").over(by))
+    x = x.withColumn("similarity", F.when(F.col("at") > 0, sh.histogram_similarity(F.col("before"), F.col("hist")))).drop("hist", "before", "at")
     ids = iv.overlapped_ids(x, fx.segments(spark, d), ["shot_id"], "segment_id")
-    x = x.join(edges, ["movie_id", "shot_id"], "left").join(ids, ["movie_id", "shot_id"])
-    run = F.sum(F.when(F.coalesce("to_previous", F.lit(False)), 0).otherwise(1)).over(Window.partitionBy("movie_id").orderBy("start_s", "shot_id"))
-    x = x.withColumn("run", run).withColumn("joined_share", F.coalesce(F.col("to_previous").cast("double"), F.lit(1.0)))
-    return sh.score_events(sh.event_rollup(x, "run"))
+    return sh.score_events(sh.event_rollup(x.join(ids, ["movie_id", "shot_id"]), "run"))
 
 
-_RUN = """, prev AS (SELECT movie_id, next_id AS shot_id, len(breaks) = 0 AS m FROM edge),
-rn AS (SELECT ctx.*, m, sum(CASE WHEN coalesce(m, false) THEN 0 ELSE 1 END) OVER (PARTITION BY ctx.movie_id ORDER BY start_s, ctx.shot_id) AS run FROM ctx LEFT JOIN prev ON prev.movie_id = ctx.movie_id AND prev.shot_id = ctx.shot_id),
-roll AS (SELECT movie_id, run, min(start_s) AS start_s, max(end_s) AS end_s, count(*) AS n_shots, avg(brightness) AS brightness, avg(sharpness) AS sharpness, avg(motion) AS motion, avg(near_black) AS near_black, avg(occupancy) AS occupancy, avg(CASE WHEN m IS NULL OR m THEN 1.0 ELSE 0.0 END) AS continuity, list(shot_id ORDER BY shot_ord) AS shot_ids FROM rn GROUP BY ALL),
+_RUN = _GROUPS + """, sho AS (SELECT movie_id, event_no, unnest(shot_ids) AS shot_id, generate_subscripts(shot_ids, 1) AS nth FROM evt),
+rn AS (SELECT ctx.*, event_no AS run, nth, lag(vec_id) OVER (PARTITION BY ctx.movie_id, event_no ORDER BY nth) AS was FROM ctx JOIN sho ON sho.movie_id = ctx.movie_id AND sho.shot_id = ctx.shot_id),
+rs AS (SELECT rn.*, greatest(0, least(1, (CASE WHEN a.q * b.q > 0 THEN list_dot_product(a.c, b.c) / sqrt(a.q * b.q) ELSE 1 END + 1) / 2)) AS similarity FROM rn LEFT JOIN hc b ON b.vec_id = rn.vec_id AND nth > 1 LEFT JOIN hc a ON a.vec_id = rn.was),
+roll AS (SELECT movie_id, run, min(start_s) AS start_s, max(end_s) AS end_s, count(*) AS n_shots, avg(brightness) AS brightness, avg(sharpness) AS sharpness, avg(motion) AS motion, avg(near_black) AS near_black, avg(occupancy) AS occupancy, coalesce(avg(CASE WHEN nth > 1 THEN similarity END), 1) AS continuity, list(shot_id ORDER BY shot_ord) AS shot_ids FROM rs GROUP BY ALL),
 nar AS (SELECT rn.movie_id, run, count(DISTINCT segment_id) AS n_nar FROM rn LEFT JOIN sg ON sg.movie_id = rn.movie_id AND rn.start_s < sg.end_s AND sg.start_s < rn.end_s GROUP BY ALL),
 ev2 AS (SELECT roll.*, n_nar, end_s - start_s AS d, CASE WHEN n_shots > 1 AND occupancy >= 0.22 THEN 'conversation' WHEN n_shots > 1 THEN 'interaction' ELSE 'action' END AS kind FROM roll JOIN nar USING (movie_id, run)),
 fit AS (SELECT *, CASE WHEN kind = 'action' THEN 4 ELSE 7 END AS lo, CASE WHEN kind = 'action' THEN 9 ELSE 15 END AS hi, CASE WHEN kind = 'action' THEN 12 ELSE 18 END AS al FROM ev2),
@@ -223,11 +272,6 @@ def _with_runs(body: str) -> str:
     return with_("SELECT", "sh", "cu", "sg").removesuffix("\nSELECT") + _CTX + _RUN + body
 
 
-@query(_with_runs("SELECT movie_id, CAST(run AS BIGINT) AS run, n_shots, shot_ids FROM roll"))
-def g06_scene_runs(spark: SparkSession, d: str) -> DataFrame:
-    return _events(spark, d).select("movie_id", "run", "n_shots", "shot_ids")
-
-
 @query(_with_runs("SELECT movie_id, CAST(run AS BIGINT) AS run, kind, n_shots, round(d + 1e-7, 3) AS duration_s, round(brightness + 1e-7, 3) AS brightness, round(sharpness + 1e-7, 3) AS sharpness, round(motion + 1e-7, 3) AS motion, round(occupancy + 1e-7, 3) AS occupancy, list_filter(['technical_shot_continuity', CASE WHEN n_shots > 1 THEN 'camera_cut_not_treated_as_asset_boundary' END, CASE WHEN n_nar = 1 THEN 'same_narrative_segment' END, CASE WHEN occupancy >= 0.22 THEN 'subtitle_continuity' END], lambda x: x IS NOT NULL) AS reasons FROM ev2"))
 def a06_event_rollup(spark: SparkSession, d: str) -> DataFrame:
     x = _events(spark, d)
@@ -251,7 +295,7 @@ def a11_event_health(spark: SparkSession, d: str) -> DataFrame:
     return x.select("bucket", "events", "multi_shot", F.round(F.col("median_s") + _OFF, 3).alias("median_s"), F.round(F.col("mean_s") + _OFF, 3).alias("mean_s"))
 
 
-@query(_with_runs("""SELECT movie_id, decision, structural, count(*) AS events, round(avg(total) + 1e-7, 1) AS mean_total FROM (SELECT scored.movie_id, CASE WHEN len(flags) > 0 THEN 'REJECT' WHEN utility IN ('generic_dialogue_only', 'generic_presence_only') AND signal NOT IN ('exchange', 'gesture', 'listening_reaction', 'object_handling', 'physical_contact', 'posture_change') THEN 'REJECT'
+@query(_with_runs("""SELECT movie_id, decision, structural, count(*) AS events, round(avg(total) + 1e-7, 1) AS mean_total FROM (SELECT scored.movie_id, CASE WHEN len(flags) > 0 THEN 'REJECT' WHEN utility IN ('generic_dialogue_only', 'generic_presence_only') AND signal NOT IN ('clear_reaction', 'strong_body_language', 'physical_interaction', 'concrete_activity', 'useful_environment_or_composition') THEN 'REJECT'
  WHEN utility = 'unclear' OR complete = 'unclear' OR context = 'unclear' THEN 'REVIEW' WHEN context = 'high' THEN 'REJECT' WHEN complete = 'false' THEN 'REJECT' WHEN utility IN ('concrete_action', 'object_activity') AND n_actions = 0 THEN 'REVIEW' ELSE 'KEEP' END AS decision, CASE WHEN total >= 70 THEN 'KEEP' WHEN total >= 50 THEN 'REVIEW' ELSE 'REJECT' END AS structural, total
  FROM scored JOIN sh ON sh.movie_id = scored.movie_id AND sh.shot_id = shot_ids[1] JOIN ob USING (event_id)) GROUP BY ALL""").replace("WITH RECURSIVE ", "WITH RECURSIVE ob AS (" + fx.CTE["ob"][1].replace("FROM ev", "FROM (" + fx.CTE["ev"][1] + ")") + "),\n", 1))
 def flagship_event_decisions(spark: SparkSession, d: str) -> DataFrame:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(master: str = "local[*]", shuffle_partitions: int = 8, **more: str) -> SparkSession:
@@ -19,3 +22,22 @@ def session(master: str = "local[*]", shuffle_partitions: int = 8, **more: str)
     for k, v in (settings | more).items():
         b = b.config(k, v)
     return b.getOrCreate()
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder named in spark.checkpoint.dir, which driver and executors share; on one machine a temporary one will do."""
+    sc = spark.sparkContext
+    named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not named:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        named = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+        sc.setCheckpointDir(named)
+    return named.rstrip("/")
+
+
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """df written to the shared folder and read back: for what several branches of a plan use, so that it is computed once and plans stay short."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
