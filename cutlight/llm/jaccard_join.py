@@ -43,9 +43,12 @@ FLUSH, BUCKET = 1_500_000, 1_500_000
 REST = 40
 #: 64-bit words of a set's bitmap.
 BITS = 8
-STAR_ROUNDS = 2
+#: Leaders that a set is tried against in a round of stars; rounds go on until one adds under a fiftieth of all links, or so many.
+LEADERS, STAR_ROUNDS = 4, 8
 #: A token of more sets of one block leaves their places with the block.
 OFTEN = 64
+#: Tokens of a prefix that a row of the last round carries at most.
+LISTED = 64
 
 _IN = "bucket int, block bigint, lo binary, hi binary, many binary, idx binary, often binary"
 _DICT = "ids array<bigint>, id_cls binary, id_n binary, id_new binary, cls binary, n binary, hot binary, hot_many binary, hot_idx binary"
@@ -286,27 +289,33 @@ def _bounded(percent: int) -> F.Column:
 
 
 def _side(rows: DataFrame, x: str, *names: str) -> DataFrame:
-    return rows.select(*[c for c in ("tok",) if c in rows.columns], F.col("cls").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in names))
+    return rows.select("tok", F.col("cls").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in names))
 
 
 def _star_pairs(now: DataFrame, sets: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Each set of a token against one leader in another component: the least class of the token, or in odd turns the greatest."""
-    end, by = (F.min, F.min_by) if turn % 2 == 0 else (F.max, F.max_by)
+    """Each set of a token against a leader in another component; each turn and each residue of tokens has leaders of its own."""
+    rows = now.withColumn("r", F.xxhash64(F.lit(turn), F.pmod("tok", F.lit(LEADERS)), "cls"))
     # numbers only, so that hash aggregation does for it
-    heads = now.groupBy("tok").agg(end("cls").alias("b"), by("n", "cls").alias("n_b"), by("pos", "cls").alias("pos_b"), by("comp", "cls").alias("comp_b"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").drop("lo", "hi")
+    heads = rows.groupBy("tok").agg(*[F.min_by(c, "r").alias(x) for c, x in (("cls", "b"), ("n", "n_b"), ("pos", "pos_b"), ("comp", "comp_b"))], F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").drop("lo", "hi")
     pairs = _side(now, "a", "n", "pos", "comp").join(heads, "tok").where((F.col("comp_a") != F.col("comp_b")) & _alike(percent)).select("a", "b").distinct()
     for x in ("a", "b"):
-        pairs = pairs.join(_side(sets, x, "n", "s", "bits"), x)
+        pairs = pairs.join(sets.select(F.col("cls").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("n", "s", "bits"))), x)
     return pairs.where(_bounded(percent)).select("a", "b")
 
 
-def _open_pairs(now: DataFrame, percent: int) -> DataFrame:
-    """Of each token's sets those outside its commonest component against all that lie elsewhere."""
+def _open_pairs(now: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of each token's sets those outside its commonest component against all that lie elsewhere.
+
+    A pair meets on the first of its common tokens alone: rows carry what stands before their token in the prefix. Prefixes
+    of more than LISTED tokens do without; their pairs may meet more than once.
+    """
     sizes = now.groupBy("tok", "comp").agg(F.count("*").alias("c"))
     tokens = sizes.groupBy("tok").agg(F.max(F.struct("c", "comp")).alias("m"), F.count("*").alias("comps")).where("comps > 1")
-    rows = materialise(now.join(tokens.select("tok", F.col("m.comp").alias("major")), "tok").withColumn("in", F.col("comp") == F.col("major")).drop("major"), "open")
-    names = ("n", "s", "bits", "pos", "comp", "in")
-    apart = (F.col("comp_a") != F.col("comp_b")) & (F.col("in_b") | (F.col("a") < F.col("b")))
+    rows = now.join(tokens.select("tok", F.col("m.comp").alias("major")), "tok").withColumn("in", F.col("comp") == F.col("major")).drop("major")
+    before = F.when(F.size("p1") <= LISTED, F.slice("p1", F.lit(1), F.col("pos") - (F.col("n") - F.col("s")))).otherwise(F.array().cast("array<bigint>"))
+    rows = materialise(rows.join(sets.select("cls", "p1"), "cls").withColumn("before", before).drop("p1"), "open")
+    names = ("n", "s", "bits", "pos", "comp", "in", "before")
+    apart = (F.col("comp_a") != F.col("comp_b")) & (F.col("in_b") | (F.col("a") < F.col("b"))) & ~F.arrays_overlap("before_a", "before_b")
     joined = _side(rows.where(~F.col("in")), "a", *names).join(_side(rows, "b", *names), "tok")
     return joined.where(apart & _alike(percent) & _bounded(percent)).select("a", "b").distinct()
 
@@ -337,12 +346,18 @@ def links_and_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             return tokens.withColumn("comp", F.col("cls"))
         return tokens.join(component.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("component", "cls")).drop("component")
 
-    for turn in range(STAR_ROUNDS + 1):
-        pairs = _star_pairs(labelled(), sets, turn, percent) if turn < STAR_ROUNDS else _open_pairs(labelled(), percent)
+    total, turn, stars = 0, 0, True
+    while True:
+        pairs = _star_pairs(labelled(), sets, turn, percent) if stars else _open_pairs(labelled(), sets, percent)
         new = materialise(_verified(materialise(pairs, "pairs"), sets, percent), "links")
-        if not new.isEmpty():
+        found = new.count()
+        if found:
             links = new if links is None else links.union(new)
             component = materialise(connected_components(links, "a", "b"), "components")
+        if not stars:
+            break
+        total, turn = total + found, turn + 1
+        stars = turn < STAR_ROUNDS and found * 50 > total
     if component is None:
         component = spark.createDataFrame([], "node bigint, component bigint")
     return members.drop("block"), component.select(F.col("node").alias("cls"), "component")
