@@ -13,6 +13,7 @@ Shards are written by Spark, one row a shard, so any store that Spark writes to
 
 from __future__ import annotations
 
+import json
 import struct
 import zlib
 from collections.abc import Iterator
@@ -23,14 +24,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cutlight.llm import words
 from cutlight.llm.scratch import new_path, ship
 
 MAGIC = b"RPR1"
-#: Id that ends a document; ids of a shard; rounds, most pairs of a round and least count of a pair.
-END, SHARD, ROUNDS, PAIRS, LEAST = 1, 1 << 21, 7, 2300, 12
+#: Id that ends a document; ids of a shard; pairs that a round replaces at most, and the least count at which a pair pays: each place
+#: saves 2 bytes, a rule takes 8.
+END, SHARD, PAIRS, LEAST = 1, 1 << 21, 2300, 5
 _SLOTS = 18
-#: Encoded words that a task keeps before it begins anew.
-CACHE = 400_000
+#: Distinct words that a task keeps before it begins anew.
+CACHE = 1_000_000
 
 
 def _slot(key: np.ndarray) -> np.ndarray:
@@ -38,15 +41,17 @@ def _slot(key: np.ndarray) -> np.ndarray:
 
 
 def compress(ids: np.ndarray, counts: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols uint16, symbols of each document, rules (n, 2), first rule of each round) of ids < terminals."""
+    """(symbols uint16, symbols of each document, rules (n, 2), first rule of each round) of ids < terminals.
+
+    Rounds go on until no pair pays or all 65,536 symbols are in use. Of two pairs in one slot of a round's counts the
+    commoner is counted exactly and replaced; the other one has its turn in a later round.
+    """
     x = ids.astype(np.uint16)
     last = np.zeros(len(x), bool)
     last[np.cumsum(counts) - 1] = True
     rules, firsts, top = [np.zeros((0, 2), np.uint16)], [0], terminals
-    for _ in range(ROUNDS):
+    while len(x) > 1 and top < 1 << 16:
         room = min(PAIRS, (1 << 16) - top)
-        if len(x) < 2 or room <= 0:
-            break
         key = (x[:-1].astype(np.uint32) << np.uint32(16)) | x[1:]
         slot = _slot(key)
         count = np.bincount(slot[~last[:-1]], minlength=1 << _SLOTS)
@@ -143,95 +148,119 @@ class Shard:
         return expand(self.symbols, self.table)
 
 
-#: Byte-level models name the bytes that print by themselves, the others by the code points from 256 on.
-_PRINT = {*range(33, 127), *range(161, 173), *range(174, 256)}
-_BYTE_NAMES = {b: b if b in _PRINT else 256 + sum(x not in _PRINT for x in range(b)) for b in range(256)}
+#: Settings of a tokenizer under which a text's ids are those of its words, A-Z lower-cased, one after the other (fixed values).
+_LOWER_WORDS = (
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+)
 
 
 class Encoder:
-    """Ids of texts. Words (between ASCII white space) are encoded once and kept; the tokenizer never joins across white space.
+    """Ids of texts by a tokenizers file.
 
-    Of a text without "<|" (which may begin a special token) A-Z are lower-cased first, as the tokenizer does itself.
+    Where the file says that white space only separates words and letters are lower-cased (_LOWER_WORDS), each distinct
+    word is encoded once and found again by its 64-bit hash; texts that hold "<|", which may begin a special token, and files
+    with other settings go through the library text by text.
     """
 
     def __init__(self, tokenizer_path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.model = self.tokenizer.model
         self.terminals = self.tokenizer.get_vocab_size()
         if self.terminals > 1 << 16:
             raise ValueError("the file format holds ids of 16 bits")
-        self.known: dict[bytes, bytes] = {}
-
-    def _one(self, word: bytes) -> bytes:
-        return np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, np.uint16).tobytes()
-
-    @staticmethod
-    def _piece(word: bytes) -> str | None:
-        """The word as the tokenizer's normaliser leaves it, if it is one piece of Latin letters; else None."""
-        if word.isalpha():
-            return word.decode().lower()
-        text = word.decode()
-        return text.lower() if text.isalpha() and max(text) < "\u0250" and "\u0130" not in text else None
-
-    def _learn(self, new: set[bytes]) -> None:
-        known, model = self.known, self.model
-        for w in new:
-            last = w[-1:] if w[-1:] in (b",", b".") else b""
-            piece = self._piece(w[:-1] if last else w)
-            if piece is None:
-                known[w] = self._one(w)
+        said = json.loads(self.tokenizer.to_str())
+        special = all("<|" in t["content"] for t in said.get("added_tokens") or [])
+        self.by_word = (said["normalizer"], said["pre_tokenizer"]) == _LOWER_WORDS and said["post_processor"] is None and said["model"]["type"] == "BPE" and not said["model"].get("dropout") and special
+        self._forget()
+
+    def _forget(self) -> None:
+        self.slots: dict[int, int] = {}
+        self.pool, self.offset, self.length = np.zeros(0, np.uint16), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint16)
+
+    def _learn(self, keys: list[int], new: list[bytes]) -> None:
+        """Ids of words not met before, encoded as one text; a token belongs to the word where it starts."""
+        text = [w.decode() for w in new]
+        got = self.tokenizer.encode(" ".join(text), add_special_tokens=False)
+        begins = np.cumsum([0, *[len(w) + 1 for w in text[:-1]]])
+        n = np.bincount(np.searchsorted(begins, np.array([a for a, _ in got.offsets], np.int64), side="right") - 1, minlength=len(text))
+        self.slots.update(zip(keys, range(len(self.slots), len(self.slots) + len(keys)), strict=True))
+        self.offset = np.concatenate((self.offset, len(self.pool) + np.cumsum(n) - n))
+        self.length = np.concatenate((self.length, n))
+        self.pool = np.concatenate((self.pool, np.array(got.ids, np.uint16)))
+
+    def encode(self, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """Yield (first, end, ids uint16, counts): texts[first:end] have these ids, counts[i] of them text first+i. Null counts as empty."""
+        if not self.by_word:
+            for at in range(0, len(texts), 200):
+                got = [np.array(e.ids, np.uint16) for e in self.tokenizer.encode_batch([t or "" for t in texts.slice(at, 200).to_pylist()], add_special_tokens=False)]
+                yield at, at + len(got), np.concatenate(got), np.array([len(g) for g in got], np.int64)
+            return
+        data = words.buffers(texts)[0]
+        for first, end, h, counts, starts, ends in words.word_spans(texts, tails=True):
+            if len(starts) and ((data[starts[0] : ends[-1] - 1] == 60) & (data[starts[0] + 1 : ends[-1]] == 124)).any():
+                got = [self._ids(t or "") for t in texts.slice(first, end - first).to_pylist()]
+                yield first, end, np.concatenate(got), np.array([len(g) for g in got], np.int64)
                 continue
-            raw = piece.encode()
-            got = known.get(raw)
-            if got is None:
-                # the merges alone: what comes before them in the tokenizer would not change such a word
-                got = known[raw] = b"".join([t.id.to_bytes(2, "little") for t in model.tokenize(raw.decode("latin-1").translate(_BYTE_NAMES))])
-            if last and last not in known:
-                known[last] = self._one(last)
-            known[w] = got + known[last] if last else got
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """uint16 ids of each text."""
-        known, out = self.known, []
-        for t in texts:
-            if len(known) > CACHE:
-                known.clear()
-            raw = (t or "").encode()
-            words = (raw if b"<|" in raw else raw.lower()).split()
-            if missing := [w for w in words if w not in known]:
-                self._learn(set(missing))
-            out.append(b"".join(map(known.__getitem__, words)))
-        return out
+            if len(self.slots) > CACHE:
+                self._forget()
+            u, at, inverse = np.unique(h, return_index=True, return_inverse=True)
+            missing = [i for i, key in enumerate(u.tolist()) if key not in self.slots]
+            if missing:
+                self._learn(u[missing].tolist(), [data[a:b].tobytes().lower() for a, b in zip(starts[at[missing]].tolist(), ends[at[missing]].tolist(), strict=True)])
+            slot = np.fromiter(map(self.slots.__getitem__, u.tolist()), np.int64, len(u))[inverse]
+            n = self.length[slot]
+            upto = np.concatenate(([0], np.cumsum(n)))
+            ids = self.pool[np.repeat(self.offset[slot] - upto[:-1], n) + np.arange(int(upto[-1]))]
+            yield first, end, ids, np.diff(upto[np.concatenate(([0], np.cumsum(counts)))])
+
+
+def _ended(ids: np.ndarray, counts: np.ndarray, end: int) -> np.ndarray:
+    """ids with end behind those of each text."""
+    out = np.empty(len(ids) + len(counts), np.uint16)
+    ends = np.cumsum(counts + 1) - 1
+    text = np.ones(len(out), bool)
+    text[ends] = False
+    out[ends], out[text] = end, ids
+    return out
 
 
 def _write(tokenizer_path: str, end: int, shard: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer_path)
         task, number = TaskContext.get().partitionId(), 0
-        tail = np.array([end], np.uint16).tobytes()
         docs: list = []
-        parts: list[bytes] = []
+        parts: list[np.ndarray] = []
+        sizes: list[np.ndarray] = []
         held = 0
 
         def flush() -> pa.RecordBatch:
-            nonlocal docs, parts, held, number
-            counts = np.array([len(p) // 2 for p in parts], np.int64)
-            data = pack(docs, np.frombuffer(b"".join(parts), np.uint16), counts, encoder.terminals)
+            nonlocal docs, parts, sizes, held, number
+            counts = np.concatenate(sizes)
+            data = pack(docs, np.concatenate(parts), counts, encoder.terminals)
             row = [pa.array([task], pa.int32()), pa.array([number], pa.int32()), pa.array([int(counts.sum())], pa.int64()), pa.array([data], pa.binary())]
-            docs, parts, held, number = [], [], 0, number + 1
+            docs, parts, sizes, held, number = [], [], [], 0, number + 1
             return pa.RecordBatch.from_arrays(row, names=["part", "shard", "n_ids", "data"])
 
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            for at in range(0, len(ids), 200):
-                for d, p in zip(ids[at : at + 200], encoder.encode(texts.slice(at, 200).to_pylist()), strict=True):
-                    docs.append(d)
-                    parts.append(p + tail)
-                    held += len(p) // 2 + 1
-                    if held >= shard:
-                        yield flush()
+            keys = batch.column(0).to_pylist()
+            for first, last, ids, counts in encoder.encode(batch.column(1)):
+                docs += keys[first:last]
+                parts.append(_ended(ids, counts, end))
+                sizes.append(counts + 1)
+                held += len(parts[-1])
+                if held >= shard:
+                    yield flush()
         if docs:
             yield flush()
 

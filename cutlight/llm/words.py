@@ -38,6 +38,9 @@ SPACE[[9, 10, 11, 12, 13, 32]] = True
 #: Everything in ASCII that is neither letter nor digit: words without punctuation.
 PUNCT = np.zeros(256, dtype=bool)
 PUNCT[:128] = [not chr(i).isalnum() for i in range(128)]
+TAIL = np.zeros(256, dtype=bool)
+TAIL[list(b".,;:!?")] = True
+LETTER = np.array([i < 128 and chr(i).isalpha() for i in range(256)])
 
 _powers: tuple[np.ndarray, np.ndarray] | None = None
 
@@ -69,10 +72,11 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8), off
 
 
-def _hash_slice(data: np.ndarray, starts_at: np.ndarray, gaps: np.ndarray, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and starts of the words of data; starts_at: offsets in data where another text begins.
+def _hash_slice(data: np.ndarray, starts_at: np.ndarray, gaps: np.ndarray, prefixes: tuple[int, ...] = (), tails: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, starts and ends of the words of data; starts_at: offsets in data where another text begins.
 
-    With prefixes, a row of hashes for the words and one for the first p bytes of each; 0 where a word is shorter.
+    With prefixes, a row of hashes for the words and one for the first p bytes of each; 0 where a word is shorter. With
+    tails, one of .,;:!? that ends a word behind an ASCII letter is a word of its own.
     """
     gap = gaps[data]
     before = np.empty(len(data) + 1, dtype=bool)
@@ -84,6 +88,9 @@ def _hash_slice(data: np.ndarray, starts_at: np.ndarray, gaps: np.ndarray, prefi
     after[-1] = True
     after[starts_at] = True
     word = ~gap
+    if tails:
+        tail = np.flatnonzero(TAIL[data[1:]] & after[2:] & LETTER[data[:-1]]) + 1
+        before[tail] = after[tail] = True
     starts = np.flatnonzero(word & before[:-1])
     ends = np.flatnonzero(word & after[1:]) + 1
     power, back = _tables(len(data) + 1)
@@ -92,16 +99,22 @@ def _hash_slice(data: np.ndarray, starts_at: np.ndarray, gaps: np.ndarray, prefi
     np.cumsum(_VALUE[data] * power[: len(data)], out=total[1:])
     h = mix((total[ends] - total[starts]) * back[starts])
     if not prefixes:
-        return h, starts
+        return h, starts, ends
     rows = [h]
     for p in prefixes:
         to = np.minimum(starts + p, ends)
         rows.append(np.where(ends - starts >= p, mix((total[to] - total[starts]) * back[starts] + np.uint64(p * 0x51ED2701)), np.uint64(0)))
-    return np.stack(rows), starts
+    return np.stack(rows), starts, ends
 
 
 def word_hashes(texts: pa.Array, gaps: np.ndarray = SPACE, prefixes: tuple[int, ...] = ()) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Yield (first, end, hashes, counts): texts[first:end] have these word hashes, counts[i] of them in text first+i.
+    """Yield (first, end, hashes, counts): texts[first:end] have these word hashes, counts[i] of them in text first+i."""
+    for first, end, h, counts, _, _ in word_spans(texts, gaps, prefixes):
+        yield first, end, h, counts
+
+
+def word_spans(texts: pa.Array, gaps: np.ndarray = SPACE, prefixes: tuple[int, ...] = (), tails: bool = False) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Yield (first, end, hashes, counts, starts, ends): as word_hashes, with the words' places in the bytes of buffers(texts).
 
     With prefixes, hashes has a row for the words and one for their first bytes of each length. One text longer than SLICE is cut at separators, so memory follows the number of its words.
     """
@@ -112,9 +125,9 @@ def word_hashes(texts: pa.Array, gaps: np.ndarray = SPACE, prefixes: tuple[int,
         if j > i:
             part = data[off[i] : off[j]]
             inner = off[i:j] - off[i]
-            h, starts = _hash_slice(part, inner[inner < len(part)], gaps, prefixes)
+            h, starts, ends = _hash_slice(part, inner[inner < len(part)], gaps, prefixes, tails)
             where = np.searchsorted(off[i : j + 1] - off[i], starts, side="right") - 1
-            yield i, j, h, np.bincount(where, minlength=j - i)
+            yield i, j, h, np.bincount(where, minlength=j - i), starts + off[i], ends + off[i]
             i = j
             continue
         at, end, found = int(off[i]), int(off[i + 1]), []
@@ -128,10 +141,12 @@ def word_hashes(texts: pa.Array, gaps: np.ndarray = SPACE, prefixes: tuple[int,
                 more = np.flatnonzero(gaps[data[to : to + SLICE]])
                 to = min(to + (int(more[0]) if len(more) else SLICE), end)
             to = max(to, at + 1)
-            found.append(_hash_slice(data[at:to], np.zeros(0, np.int64), gaps, prefixes)[0])
+            h, starts, ends = _hash_slice(data[at:to], np.zeros(0, np.int64), gaps, prefixes, tails)
+            found.append((h, starts + at, ends + at))
             at = to
-        h = np.concatenate(found, -1) if found else np.zeros((1 + len(prefixes), 0) if prefixes else 0, np.uint64)
-        yield i, i + 1, h, np.array([h.shape[-1]])
+        h = np.concatenate([f[0] for f in found], -1) if found else np.zeros((1 + len(prefixes), 0) if prefixes else 0, np.uint64)
+        starts, ends = (np.concatenate([f[x] for f in found]) if found else np.zeros(0, np.int64) for x in (1, 2))
+        yield i, i + 1, h, np.array([h.shape[-1]]), starts, ends
         i += 1
 
 

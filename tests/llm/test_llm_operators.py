@@ -183,6 +183,26 @@ def test_token_shards_round_trip(spark):
             assert s.lengths.tolist() == s.table[2][49408:].tolist()
 
 
+def test_words_and_other_tokenizers_give_the_library_s_ids(tmp_path):
+    import pyarrow as pa
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    cased = Tokenizer(models.BPE({"A": 0, "a": 1, "b": 2, " ": 3, "ab": 4, "Ġ": 5}, [("a", "b")], unk_token="b"))
+    cased.pre_tokenizer = pre_tokenizers.Metaspace()
+    cased.save(str(tmp_path / "cased.json"))
+    rng = np.random.default_rng(8)
+    letters = list("abcABC.,;:!?'\"-_()<|>09 \t\n\x0b\x85éßİıΣσς日本е́\u0301\u00a0\u2026😀")
+    texts = ["".join(rng.choice(letters, int(n))) for n in rng.integers(0, 40, 600)] + [None, "", "word. " * 90000, "x" * 600000]
+    for path, by_word in ((queries.tokenizer_path(), True), (str(tmp_path / "cased.json"), False)):
+        encoder = token_store.Encoder(path)
+        assert encoder.by_word == by_word
+        for part in (texts[:1], texts[1:600], texts[600:]) if by_word else (texts[:602],):
+            got = [(x[3].tolist(), x[2].tolist()) for x in encoder.encode(pa.array(part, pa.string()))]
+            want = [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in part]
+            assert [n for c, _ in got for n in c] == [len(w) for w in want]
+            assert [i for _, ids in got for i in ids] == [i for w in want for i in w]
+
+
 def test_tokens_are_the_tokenizer_s(spark):
     from tokenizers import Tokenizer
 
