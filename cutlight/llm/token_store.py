@@ -17,6 +17,7 @@ import json
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -170,7 +171,7 @@ class Encoder:
     """
 
     def __init__(self, tokenizer_path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.terminals = self.tokenizer.get_vocab_size()
@@ -179,25 +180,43 @@ class Encoder:
         said = json.loads(self.tokenizer.to_str())
         special = all("<|" in t["content"] for t in said.get("added_tokens") or [])
         self.by_word = (said["normalizer"], said["pre_tokenizer"]) == _LOWER_WORDS and said["post_processor"] is None and said["model"]["type"] == "BPE" and not said["model"].get("dropout") and special
+        suffix = said["model"].get("end_of_word_suffix")
+        self.by_word = self.by_word and bool(suffix)
+        if self.by_word:
+            # the same model behind a splitter that knows white space only; a run of letters ends with a token that says so
+            self.letters = Tokenizer.from_str(json.dumps(said | {"normalizer": None}))
+            self.letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+            self.last = np.zeros(self.terminals, bool)
+            self.last[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
         self._forget()
 
     def _forget(self) -> None:
         self.slots: dict[int, int] = {}
-        self.pool, self.offset, self.length = np.zeros(0, np.uint16), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool, self.offset, self.length = np.zeros(0, np.uint16), np.zeros(0, np.int32), np.zeros(0, np.int32)
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint16)
 
-    def _learn(self, keys: list[int], new: list[bytes]) -> None:
-        """Ids of words not met before, encoded as one text; a token belongs to the word where it starts."""
-        text = [w.decode() for w in new]
-        got = self.tokenizer.encode(" ".join(text), add_special_tokens=False)
-        begins = np.cumsum([0, *[len(w) + 1 for w in text[:-1]]])
-        n = np.bincount(np.searchsorted(begins, np.array([a for a, _ in got.offsets], np.int64), side="right") - 1, minlength=len(text))
-        self.slots.update(zip(keys, range(len(self.slots), len(self.slots) + len(keys)), strict=True))
-        self.offset = np.concatenate((self.offset, len(self.pool) + np.cumsum(n) - n))
-        self.length = np.concatenate((self.length, n))
-        self.pool = np.concatenate((self.pool, np.array(got.ids, np.uint16)))
+    def _learn(self, keys: np.ndarray, new: list[bytes], plain: np.ndarray) -> None:
+        """Ids of words not met before. plain: runs of letters that the normaliser would only lower-case skip it and the splitter."""
+        order = np.argsort(~plain, kind="stable").tolist()
+        n_plain = int(plain.sum())
+        simple, rest = [new[i] for i in order[:n_plain]], [new[i].decode() for i in order[n_plain:]]
+        ids, n = np.zeros(0, np.uint16), np.zeros(0, np.int64)
+        if simple:
+            ids = np.array(self.letters.encode_batch_fast([b" ".join(simple).lower().decode()], add_special_tokens=False)[0].ids, np.uint16)
+            n = np.diff(np.concatenate(([0], np.flatnonzero(self.last[ids]) + 1)))
+        if rest:
+            got = self.tokenizer.encode(" ".join(rest), add_special_tokens=False)
+            begins = np.cumsum([0, *[len(w) + 1 for w in rest[:-1]]])
+            n = np.concatenate((n, np.bincount(np.searchsorted(begins, np.array([a for a, _ in got.offsets], np.int64), side="right") - 1, minlength=len(rest))))
+            ids = np.concatenate((ids, np.array(got.ids, np.uint16)))
+        if len(n) != len(new):
+            raise RuntimeError("the tokenizer does not end runs of letters as its settings say")
+        self.slots.update(zip(keys[order].tolist(), range(len(self.slots), len(self.slots) + len(new)), strict=True))
+        self.offset = np.concatenate((self.offset, (len(self.pool) + np.cumsum(n) - n).astype(np.int32)))
+        self.length = np.concatenate((self.length, n.astype(np.int32)))
+        self.pool = np.concatenate((self.pool, ids))
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """Yield (first, end, ids uint16, counts): texts[first:end] have these ids, counts[i] of them text first+i. Null counts as empty."""
@@ -215,13 +234,18 @@ class Encoder:
             if len(self.slots) > CACHE:
                 self._forget()
             u, at, inverse = np.unique(h, return_index=True, return_inverse=True)
-            missing = [i for i, key in enumerate(u.tolist()) if key not in self.slots]
-            if missing:
-                self._learn(u[missing].tolist(), [data[a:b].tobytes().lower() for a, b in zip(starts[at[missing]].tolist(), ends[at[missing]].tolist(), strict=True)])
-            slot = np.fromiter(map(self.slots.__getitem__, u.tolist()), np.int64, len(u))[inverse]
+            slot = np.fromiter(map(self.slots.get, u.tolist(), repeat(-1)), np.int64, len(u))
+            missing = np.flatnonzero(slot < 0)
+            if len(missing):
+                a, b = starts[at[missing]], ends[at[missing]]
+                letters = words.letters(data[starts[0] : ends[-1]])
+                plain = letters[b - starts[0]] - letters[a - starts[0]] == b - a
+                self._learn(u[missing], [data[x:y].tobytes() for x, y in zip(a.tolist(), b.tolist(), strict=True)], plain)
+                slot[missing] = np.fromiter(map(self.slots.__getitem__, u[missing].tolist()), np.int64, len(missing))
+            slot = slot[inverse]
             n = self.length[slot]
             upto = np.concatenate(([0], np.cumsum(n)))
-            ids = self.pool[np.repeat(self.offset[slot] - upto[:-1], n) + np.arange(int(upto[-1]))]
+            ids = self.pool[np.repeat(self.offset[slot] - upto[:-1].astype(np.int32), n) + np.arange(int(upto[-1]), dtype=np.int32)]
             yield first, end, ids, np.diff(upto[np.concatenate(([0], np.cumsum(counts)))])
 
 

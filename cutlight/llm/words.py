@@ -39,12 +39,23 @@ SPACE[[9, 10, 11, 12, 13, 32]] = True
 PUNCT = np.zeros(256, dtype=bool)
 PUNCT[:128] = [not chr(i).isalnum() for i in range(128)]
 TAIL = np.zeros(256, dtype=bool)
-TAIL[list(b".,;:!?")] = True
+TAIL[[i for i in range(33, 127) if not chr(i).isalnum() and i not in b"'<|"]] = True
 LETTER = np.array([i < 128 and chr(i).isalpha() for i in range(256)])
+#: Second bytes of the letters from U+00C0 to U+00FF.
+_LATIN = np.array([128 <= i < 192 and i not in (0x97, 0xB7) for i in range(256)])
 
 _powers: tuple[np.ndarray, np.ndarray] | None = None
 
 
+def letters(data: np.ndarray) -> np.ndarray:
+    """How many bytes before each place, and in all, belong to ASCII letters or to lower-case letters from U+00DF to U+00FF."""
+    second = np.zeros(len(data), bool)
+    second[1:] = (data[:-1] == 0xC3) & _LATIN[data[1:]] & (data[1:] >= 0x9F)
+    fit = LETTER[data] | second
+    fit[:-1] |= second[1:]
+    return np.concatenate(([0], np.cumsum(fit)))
+
+
 def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers
     if _powers is None or len(_powers[0]) < n:
@@ -76,7 +87,7 @@ def _hash_slice(data: np.ndarray, starts_at: np.ndarray, gaps: np.ndarray, prefi
     """Hashes, starts and ends of the words of data; starts_at: offsets in data where another text begins.
 
     With prefixes, a row of hashes for the words and one for the first p bytes of each; 0 where a word is shorter. With
-    tails, one of .,;:!? that ends a word behind an ASCII letter is a word of its own.
+    tails, the punctuation (TAIL) that ends a word behind a letter up to U+00FF is a word of its own.
     """
     gap = gaps[data]
     before = np.empty(len(data) + 1, dtype=bool)
@@ -89,8 +100,13 @@ def _hash_slice(data: np.ndarray, starts_at: np.ndarray, gaps: np.ndarray, prefi
     after[starts_at] = True
     word = ~gap
     if tails:
-        tail = np.flatnonzero(TAIL[data[1:]] & after[2:] & LETTER[data[:-1]]) + 1
-        before[tail] = after[tail] = True
+        # where the last letter of a word stands: nothing but TAIL lies between it and the word's end
+        ends = np.flatnonzero(word & after[1:])
+        body = np.where(TAIL[data], 0, np.arange(1, len(data) + 1))
+        last = np.maximum.accumulate(body)[ends] if len(data) else ends
+        at = last[(last > 0) & (last <= ends)]
+        at = at[LETTER[data[at - 1]] | (_LATIN[data[at - 1]] & (data[np.maximum(at - 2, 0)] == 0xC3))]
+        before[at] = after[at] = True
     starts = np.flatnonzero(word & before[:-1])
     ends = np.flatnonzero(word & after[1:]) + 1
     power, back = _tables(len(data) + 1)
