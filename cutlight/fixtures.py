@@ -175,6 +175,10 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
+#: Derivations that queries read more than once.
+_SHARED = {"bx", "cu", "sh", "sg"}
+
+
 def with_(sql: str, *names: str) -> str:
     """sql behind the derivations it needs; sql may begin with further tables of its own, as 'name AS (...), ...' before SELECT."""
     order: list[str] = []
@@ -187,4 +191,4 @@ def with_(sql: str, *names: str) -> str:
 
     for n in names:
         add(n)
-    return "WITH RECURSIVE " + ",\n".join(f"{n} AS ({CTE[n][1]})" for n in order) + "\n" + sql
+    return "WITH RECURSIVE " + ",\n".join(f"{n} AS {'MATERIALIZED ' if n in _SHARED else ''}({CTE[n][1]})" for n in order) + "\n" + sql

@@ -67,36 +67,48 @@ def persistent_overlay(regions: DataFrame, area: float = 0.05, from_y: float = 0
     return per.groupBy("movie_id", "event").agg(F.sum("hit").alias("samples")).withColumn("decision", F.when(F.col("samples") >= least, "REJECT").otherwise("PASS"))
 
 
-def editorial_geometry(boxes: DataFrame, crop: DataFrame, jump: float = 0.15) -> DataFrame:
-    """Per shot: samples, visible (share with the person inside the crop), center (median distance from its middle), occupancy, jumps.
+def editorial_geometry(boxes: DataFrame, crop: DataFrame, keys: tuple[str, ...] = ("movie_id", "shot_id"), jump: float = 0.15) -> DataFrame:
+    """Per target of a shot (keys): samples, visible (share with the person inside the crop), center (median distance from its middle), occupancy, jumps.
 
-    boxes: one target a sample; crop: movie_id, shot_id, left, width.
+    boxes: one box of a target a sample; crop: movie_id, shot_id, left, width.
     """
-    by = Window.partitionBy("movie_id", "shot_id").orderBy("sample")
+    by = Window.partitionBy(*keys).orderBy("sample")
     x = boxes.join(crop, ["movie_id", "shot_id"])
     x = x.withColumn("cx", (F.col("x") + F.col("w") / 2 - F.col("left")) / F.col("width"))
     x = x.withColumn("inside", (F.col("x") >= F.col("left")) & (F.col("x") + F.col("w") <= F.col("left") + F.col("width"))).withColumn("moved", F.abs(F.col("cx") - F.lag("cx").over(by)))
-    return x.groupBy("movie_id", "shot_id").agg(F.count(F.lit(1)).alias("samples"), F.avg(F.col("inside").cast("double")).alias("visible"), F.median(F.abs(F.col("cx") - 0.5)).alias("center"), F.avg(F.col("w") / F.col("width")).alias("occupancy"), F.count_if(F.col("moved") > jump).alias("jumps"))
+    return x.groupBy(*keys).agg(F.count(F.lit(1)).alias("samples"), F.avg(F.col("inside").cast("double")).alias("visible"), F.median(F.abs(F.col("cx") - 0.5)).alias("center"), F.avg(F.col("w") / F.col("width")).alias("occupancy"), F.count_if(F.col("moved") > jump).alias("jumps"))
 
 
-def smooth_anchors(anchors: DataFrame, keys: list[str], span: float, dead: float = 0.06, speed: float = 0.08) -> DataFrame:
-    """Anchors (keys, t, x, low, high) smoothed in time: keys, t, x.
+def smooth_anchors(anchors: DataFrame, keys: list[str], dead: float = 0.06, speed: float = 0.08) -> DataFrame:
+    """Anchors smoothed in time: keys, t, x.
 
-    Within the dead zone (share of span) a crop stays; else it moves at most speed * span a second; the legal interval
-    low..high wins over both. Each step begins where the last one ended, so it is a fold over a shot.
+    anchors: keys, t, x (what is preferred), low, high (the legal interval), crop (its width), start and end of the shot or null. Preferences are brought
+    into their intervals first. If they differ by less than the dead zone (share of crop) and one place is legal for all, that
+    place, nearest to their median, is the only anchor. Else within the dead zone a crop stays, beyond it moves at most
+    speed * crop a second, and the interval wins over both. Each step begins where the last one ended, so it is a fold over a
+    shot. A start before the first anchor and an end behind the last one have anchors of their own.
     """
-    rows = anchors.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("t", "x", "low", "high"))).alias("rows"))
-    kind = "struct<t:double,x:double,out:array<double>>"
-    start = F.from_json(F.lit('{"out":[]}'), kind)
+    into = lambda v, r: F.greatest(r["low"], F.least(r["high"], v))
+    row = F.struct(F.col("t").cast("double").alias("t"), F.col("x").cast("double").alias("x"), F.col("low").cast("double").alias("low"), F.col("high").cast("double").alias("high"))
+    g = anchors.groupBy(*keys).agg(F.sort_array(F.collect_list(row)).alias("rows"), F.min("crop").cast("double").alias("crop"), F.min("start").cast("double").alias("start"), F.max("end").cast("double").alias("end"), F.max("low").alias("lo"), F.min("high").alias("hi"))
+    g = g.withColumn("raw", F.array_sort(F.transform("rows", lambda r: into(r["x"], r)))).withColumn("n", F.size("raw"))
+    middle = (F.element_at("raw", F.floor((F.col("n") + 1) / 2).cast("int")) + F.element_at("raw", F.floor(F.col("n") / 2).cast("int") + 1)) / 2
+    still = (F.array_max("raw") - F.array_min("raw") < F.col("crop") * dead) & (F.col("lo") <= F.col("hi"))
+    first, last = F.element_at("rows", 1), F.element_at("rows", -1)
 
     def step(s: Column, r: Column) -> Column:
-        most = speed * span * (r["t"] - s["t"])
-        move = r["x"] - s["x"]
-        free = F.when(s["x"].isNull(), r["x"]).when(F.abs(move) <= dead * span, s["x"]).otherwise(s["x"] + F.greatest(-most, F.least(most, move)))
-        x = F.when(r["low"] > r["high"], free).otherwise(F.greatest(r["low"], F.least(r["high"], free)))
-        return F.struct(r["t"].cast("double").alias("t"), x.cast("double").alias("x"), F.concat(s["out"], F.array(x.cast("double"))).alias("out"))
-
-    got = rows.withColumn("f", F.aggregate("rows", start, step))
-    return got.select(*keys, F.explode(F.arrays_zip("rows", F.col("f.out").alias("out"))).alias("z")).select(*keys, F.col("z.rows.t").alias("t"), F.col("z.out").alias("x"))
-
-
+        most = speed * F.col("crop") * F.greatest(F.lit(0.0), r["t"] - s["t"])
+        wish = into(r["x"], r)
+        wish = F.when(F.abs(wish - s["x"]) < F.col("crop") * dead, s["x"]).otherwise(wish)
+        x = F.when(s["t"].isNull(), wish).otherwise(into(F.greatest(s["x"] - most, F.least(s["x"] + most, wish)), r))
+        x = F.when(s["t"].isNull(), into(r["x"], r)).otherwise(x)
+        return F.struct(r["t"].alias("t"), x.alias("x"), F.concat(s["out"], F.array(F.struct(r["t"].alias("t"), x.alias("x")))).alias("out"))
+
+    seed = F.from_json(F.lit('{"out":[]}'), "struct<t:double,x:double,out:array<struct<t:double,x:double>>>")
+    g = g.withColumn("out", F.when(~still, F.aggregate("rows", seed, step)["out"]))
+    at = lambda t, x: F.struct(t.alias("t"), x.alias("x"))
+    none = F.array().cast("array<struct<t:double,x:double>>")
+    before = F.when(F.col("start") < first["t"], F.array(at(F.col("start"), F.element_at("out", 1)["x"]))).otherwise(none)
+    after = F.when(F.col("end") > last["t"], F.array(at(F.col("end"), into(F.element_at("out", -1)["x"], last)))).otherwise(none)
+    one = F.array(at(F.coalesce("start", first["t"]), F.greatest(F.col("lo"), F.least(F.col("hi"), middle))))
+    return g.select(*keys, F.explode(F.when(still, one).otherwise(F.concat(before, F.col("out"), after))).alias("z")).select(*keys, "z.t", "z.x")

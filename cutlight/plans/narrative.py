@@ -117,9 +117,9 @@ def v23_structured_errors(spark: SparkSession, d: str) -> DataFrame:
 
 @query(_chunk_sql(_RESP + """SELECT movie_id, count(*) FILTER (c > 1) AS repeated_ids, count(*) FILTER (r > 1) AS repeated_ranges, count(*) FILTER (first_ord <= reach) AS out_of_order, count(*) FILTER (first_ord > reach + 1) AS gaps
 FROM (SELECT *, count(*) OVER (PARTITION BY movie_id, segment_id) AS c, count(*) OVER (PARTITION BY movie_id, first_ord, last_ord) AS r, max(last_ord) OVER (PARTITION BY movie_id ORDER BY first_ord, segment_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach
-  FROM (SELECT movie_id, printf('NARR_%06d', ordinal) AS segment_id, first_ord, last_ord FROM resp WHERE chunk % 2 = 1)) GROUP BY movie_id"""))
+  FROM (SELECT movie_id, printf('NARR_%06d', ordinal) AS segment_id, first_ord, last_ord FROM resp)) GROUP BY movie_id"""))
 def v07_consolidated_contract(spark: SparkSession, d: str) -> DataFrame:
-    x = _responses(spark, d).where("chunk % 2 = 1").select("movie_id", F.format_string("NARR_%06d", "ordinal").alias("segment_id"), "first_ord", "last_ord")
+    x = _responses(spark, d).select("movie_id", F.format_string("NARR_%06d", "ordinal").alias("segment_id"), "first_ord", "last_ord")
     return nv.consolidated_errors(x)
 
 
@@ -180,9 +180,9 @@ def v03_boundary_reason(spark: SparkSession, d: str) -> DataFrame:
     return x.select("movie_id", "segment_id", nv.boundary_reason(F.col("r"), known).alias("reason"))
 
 
-@query(with_("SELECT movie_id, cue_ord, list_distinct(list_filter(regexp_extract_all(lower(text), '[a-z0-9_]+'), lambda x: length(x) > 2)).list_sort() AS words FROM cu WHERE regexp_full_match(text, '[\\x00-\\x7f]*')", "cu"))
+@query(with_("SELECT movie_id, cue_ord, list_distinct(list_filter(regexp_extract_all(lower(text), '[\\p{L}\\p{M}\\p{N}\\p{Pc}]+'), lambda x: length(x) > 2)).list_sort() AS words FROM cu", "cu"))
 def g07_token_sets(spark: SparkSession, d: str) -> DataFrame:
-    x = fx.cues(spark, d).where(F.col("text").rlike(r"^[\x00-\x7f]*$"))
+    x = fx.cues(spark, d)
     return x.select("movie_id", "cue_ord", F.array_sort(tokens(F.col("text"))).alias("words"))
 
 

@@ -84,67 +84,75 @@ def b04_box_overlap(spark: SparkSession, d: str) -> DataFrame:
     return geo.overlapping_pairs(fx.boxes(spark, d), 0.2).select("movie_id", "shot_id", "sample", "person_a", "person_b", _r("iou"))
 
 
-@query(with_("""SELECT movie_id, shot_id, CAST(sample AS INTEGER) AS sample, round(least(lo, 1320) + 1e-7, 4) AS low, round(greatest(hi, 0) + 1e-7, 4) AS high, lo > hi OR x - m < 0 OR x + w + m > 1920 AS limited FROM (SELECT *, greatest(0, x + w + m - 600) AS lo, least(1320, x - m) AS hi FROM (SELECT *, greatest(w * 0.12::DOUBLE, 8) AS m FROM bx WHERE person = 1))""", "bx"))
+@query(with_("""SELECT movie_id, shot_id, CAST(sample AS INTEGER) AS sample, round(least(lo, 1320) + 1e-7, 4) AS low, round(greatest(hi, 0) + 1e-7, 4) AS high, lo > hi OR x - m < 0 OR x + w + m > 1920 AS limited FROM (SELECT *, greatest(0, x + w + m - 600) AS lo, least(1320, x - m) AS hi FROM (SELECT *, greatest(w * 0.12::DOUBLE, 8) AS m FROM bx))""", "bx"))
 def b12_crop_interval(spark: SparkSession, d: str) -> DataFrame:
-    b = fx.boxes(spark, d).where("person = 1")
+    b = fx.boxes(spark, d)
     x = b.withColumn("i", geo.crop_interval(F.col("x"), F.col("w"), geo.required_margin(F.col("w")), 600.0, 1920.0))
     return x.select("movie_id", "shot_id", "sample", F.round(F.col("i.low") + 1e-7, 4).alias("low"), F.round(F.col("i.high") + 1e-7, 4).alias("high"), F.col("i.limited").alias("limited"))
 
 
-@query(with_("SELECT movie_id, shot_id, CAST(sample AS INTEGER) AS sample, 600::BIGINT AS crop, CAST(floor(greatest(0, least(1320, x + w / 2 - 300)) + 0.5::DOUBLE) AS BIGINT) AS crop_x FROM bx WHERE person = 1", "bx"))
+@query(with_("SELECT movie_id, shot_id, CAST(sample AS INTEGER) AS sample, 600::BIGINT AS crop, CAST(floor(greatest(0, least(1320, x + w / 2 - 300)) + 0.5::DOUBLE) AS BIGINT) AS crop_x FROM bx", "bx"))
 def b20_crop_position(spark: SparkSession, d: str) -> DataFrame:
-    b = fx.boxes(spark, d).where("person = 1")
+    b = fx.boxes(spark, d)
     crop = geo.crop_width(F.lit(800), F.lit(1920))
     return b.select("movie_id", "shot_id", "sample", crop.cast("bigint").alias("crop"), geo.crop_start(F.col("x") + F.col("w") / 2, crop, F.lit(1920)).cast("bigint").alias("crop_x"))
 
 
-@query(with_("SELECT movie_id, shot_id, state, reasons FROM (SELECT movie_id, shot_id, ['PASS', 'SOURCE_LIMIT', 'AMBIGUOUS', 'REPAIR', 'ERROR'][max(s) + 1] AS state, list_sort(list_distinct(list('code_' || s) FILTER (s > 0))) AS r FROM (SELECT movie_id, shot_id, CASE WHEN k = 3 THEN 4 ELSE (event_id + sample * k) % 4 END AS s FROM bx WHERE person = 1) GROUP BY ALL) t, (SELECT 1) WHERE true".replace("state, reasons FROM", "state, coalesce(r, []::VARCHAR[]) AS reasons FROM"), "bx"))
+@query(with_("SELECT movie_id, shot_id, state, reasons FROM (SELECT movie_id, shot_id, ['PASS', 'SOURCE_LIMIT', 'AMBIGUOUS', 'REPAIR', 'ERROR'][max(s) + 1] AS state, list_sort(list_distinct(list('code_' || s) FILTER (s > 0))) AS r FROM (SELECT movie_id, shot_id, CASE WHEN k = 3 THEN 4 ELSE (event_id + sample * k) % 4 END AS s FROM bx) GROUP BY ALL) t, (SELECT 1) WHERE true".replace("state, reasons FROM", "state, coalesce(r, []::VARCHAR[]) AS reasons FROM"), "bx"))
 def a17_worst_severity(spark: SparkSession, d: str) -> DataFrame:
-    b = fx.boxes(spark, d).where("person = 1")
+    b = fx.boxes(spark, d)
     s = F.when(F.col("k") == 3, 4).otherwise((F.col("event_id") + F.col("sample") * F.col("k")) % 4)
     x = b.select("movie_id", "shot_id", fx.pick(geo.SEVERITY, s).alias("state"), F.when(s > 0, F.array(F.concat(F.lit("code_"), s.cast("string")))).otherwise(F.array().cast("array<string>")).alias("reasons"))
     return geo.worst(x, ["movie_id", "shot_id"])
 
 
-@query(with_("SELECT movie_id, shot_id, t, CAST(arg_min(sample, (abs(t - st), sample)) AS INTEGER) AS sample, round(arg_min(x, (abs(t - st), sample)) + 1e-7, 4) AS x FROM (SELECT movie_id, shot_id, sample, x, sample * 1.0::DOUBLE AS st, event_id % 9 / 2 AS t FROM bx WHERE person = 1) GROUP BY ALL", "bx"))
+@query(with_("SELECT movie_id, shot_id, CAST(person AS INTEGER) AS person, t, CAST(arg_min(sample, (abs(t - st), sample)) AS INTEGER) AS sample, round(arg_min(x, (abs(t - st), sample)) + 1e-7, 4) AS x FROM (SELECT movie_id, shot_id, person, sample, x, sample * 1.0::DOUBLE AS st, event_id % 9 / 2 AS t FROM bx) GROUP BY ALL", "bx"))
 def j08_nearest_sample(spark: SparkSession, d: str) -> DataFrame:
-    b = fx.boxes(spark, d).where("person = 1").withColumn("st", F.col("sample").cast("double"))
-    points = fx.shots(spark, d).select("movie_id", "shot_id", (F.col("event_id") % 9 / 2).alias("t"))
-    x = iv.nearest(points, b.select("movie_id", "shot_id", "sample", "st", "x"), ["movie_id", "shot_id"], "t", "st", ["sample"])
-    return x.select("movie_id", "shot_id", "t", "sample", _r("x"))
+    b = fx.boxes(spark, d).withColumn("st", F.col("sample").cast("double"))
+    points = b.select("movie_id", "shot_id", "person", (F.col("event_id") % 9 / 2).alias("t")).distinct()
+    x = iv.nearest(points, b.select("movie_id", "shot_id", "person", "sample", "st", "x"), ["movie_id", "shot_id", "person"], "t", "st", ["sample"])
+    return x.select("movie_id", "shot_id", "person", "t", "sample", _r("x"))
 
 
-@query(with_("""SELECT movie_id, shot_id, round(t, 4) AS t, round(x0 + (x1 - x0) * (t - s) + 1e-7, 4) AS x FROM (SELECT p.*, s0.x AS x0, coalesce(s1.x, s0.x) AS x1 FROM (SELECT movie_id, shot_id, event_id % 9 / 2 AS t, CAST(floor(event_id % 9 / 2) AS BIGINT) AS s FROM sh) p
-JOIN bx s0 ON s0.movie_id = p.movie_id AND s0.shot_id = p.shot_id AND s0.person = 1 AND s0.sample = s LEFT JOIN bx s1 ON s1.movie_id = p.movie_id AND s1.shot_id = p.shot_id AND s1.person = 1 AND s1.sample = s + 1)""", "bx"))
+@query(with_("""SELECT movie_id, shot_id, CAST(person AS INTEGER) AS person, round(t, 4) AS t, round(x0 + (coalesce(x1, x0) - x0) * (t - s) + 1e-7, 4) AS x FROM (SELECT movie_id, shot_id, person, sample, event_id % 9 / 2 AS t, floor(event_id % 9 / 2) AS s, x AS x0, lead(x) OVER (PARTITION BY movie_id, shot_id, person ORDER BY sample) AS x1 FROM bx) WHERE sample = s""", "bx"))
 def b10_anchor_interpolation(spark: SparkSession, d: str) -> DataFrame:
-    b = fx.boxes(spark, d).where("person = 1").select("movie_id", "shot_id", F.col("sample").cast("double").alias("t"), "x")
-    points = fx.shots(spark, d).select("movie_id", "shot_id", (F.col("event_id") % 9 / 2).alias("t"))
-    return iv.value_at(points, b, ["movie_id", "shot_id"]).select("movie_id", "shot_id", _r("t"), _r("x"))
-
-
-@query(with_(""", a AS (SELECT movie_id, shot_id, sample, x, greatest(0, x - 200) AS lo, x + 100 AS hi FROM bx WHERE person = 1), f AS (
- SELECT movie_id, shot_id, sample, greatest(lo, least(hi, x)) AS x FROM a WHERE sample = 0
- UNION ALL SELECT a.movie_id, a.shot_id, a.sample, greatest(lo, least(hi, CASE WHEN abs(a.x - f.x) <= 0.06::DOUBLE * 1920 THEN f.x ELSE f.x + greatest(-0.08::DOUBLE * 1920, least(0.08::DOUBLE * 1920, a.x - f.x)) END)) FROM f JOIN a ON a.movie_id = f.movie_id AND a.shot_id = f.shot_id AND a.sample = f.sample + 1)
-SELECT movie_id, shot_id, CAST(sample AS INTEGER) AS t, round(x + 1e-7, 4) AS x FROM f""", "bx").replace("\n, a AS", ", a AS"))
+    b = fx.boxes(spark, d).select("movie_id", "shot_id", "person", "event_id", F.col("sample").cast("double").alias("t"), "x")
+    points = b.select("movie_id", "shot_id", "person", (F.col("event_id") % 9 / 2).alias("t")).distinct()
+    return iv.value_at(points, b, ["movie_id", "shot_id", "person"]).select("movie_id", "shot_id", "person", _r("t"), _r("x"))
+
+
+@query(with_("SELECT", "bx").removesuffix("\nSELECT") + """, a AS MATERIALIZED (SELECT movie_id, shot_id, person, sample, k, x + k * sample * 7 % 90 AS p, greatest(0, x - 200) AS lo, x + 100 AS hi, 600 + 200 * (k % 2) AS crop FROM bx),
+g AS (SELECT movie_id, shot_id, person, any_value(k) AS k, any_value(crop) AS crop, max(greatest(lo, least(hi, p))) - min(greatest(lo, least(hi, p))) AS spread, max(lo) AS cl, min(hi) AS ch, median(greatest(lo, least(hi, p))) AS med FROM a GROUP BY ALL),
+m AS MATERIALIZED (SELECT *, spread < crop * 0.06::DOUBLE AND cl <= ch AS still FROM g),
+f AS (SELECT movie_id, shot_id, person, sample, greatest(lo, least(hi, p)) AS x, lo, hi FROM a WHERE sample = 0
+ UNION ALL SELECT a.movie_id, a.shot_id, a.person, a.sample, greatest(a.lo, least(a.hi, greatest(f.x - crop * 0.08::DOUBLE, least(f.x + crop * 0.08::DOUBLE, CASE WHEN abs(greatest(a.lo, least(a.hi, p)) - f.x) < crop * 0.06::DOUBLE THEN f.x ELSE greatest(a.lo, least(a.hi, p)) END)))), a.lo, a.hi
+ FROM f JOIN a ON a.movie_id = f.movie_id AND a.shot_id = f.shot_id AND a.person = f.person AND a.sample = f.sample + 1),
+fm AS (SELECT f.*, k FROM f JOIN m ON m.movie_id = f.movie_id AND m.shot_id = f.shot_id AND m.person = f.person AND NOT still)
+SELECT movie_id, shot_id, CAST(person AS INTEGER) AS person, t, round(x + 1e-7, 4) AS x FROM (SELECT movie_id, shot_id, person, CASE WHEN k % 2 = 0 THEN -0.5 ELSE 0 END AS t, greatest(cl, least(ch, med)) AS x FROM m WHERE still
+ UNION ALL SELECT movie_id, shot_id, person, sample, x FROM fm UNION ALL SELECT movie_id, shot_id, person, -0.5, x FROM fm WHERE sample = 0 AND k % 2 = 0 UNION ALL SELECT movie_id, shot_id, person, 5, greatest(lo, least(hi, x)) FROM fm WHERE sample = 4 AND k % 3 = 0)""")
 def b09_smoothed_anchors(spark: SparkSession, d: str) -> DataFrame:
-    b = fx.boxes(spark, d).where("person = 1").select("movie_id", "shot_id", F.col("sample").alias("t"), "x", F.greatest(F.lit(0.0), F.col("x") - 200).alias("low"), (F.col("x") + 100).alias("high"))
-    return geo.smooth_anchors(b, ["movie_id", "shot_id"], 1920.0).select("movie_id", "shot_id", "t", _r("x"))
+    k = F.col("k")
+    b = fx.boxes(spark, d).select(
+        "movie_id", "shot_id", "person", F.col("sample").alias("t"), (F.col("x") + k * F.col("sample") * 7 % 90).alias("x"), F.greatest(F.lit(0.0), F.col("x") - 200).alias("low"), (F.col("x") + 100).alias("high"),
+        (600 + 200 * (k % 2)).alias("crop"), F.when(k % 2 == 0, -0.5).alias("start"), F.when(k % 3 == 0, 5.0).alias("end"),
+    )
+    return geo.smooth_anchors(b, ["movie_id", "shot_id", "person"]).select("movie_id", "shot_id", "person", "t", _r("x"))
 
 
-@query(with_("""SELECT movie_id, shot_id, count(*) AS samples, round(avg(CASE WHEN x >= l AND x + w <= l + 600 THEN 1 ELSE 0 END) + 1e-7, 4) AS visible, round(median(abs(cx - 0.5::DOUBLE)) + 1e-7, 4) AS center, round(avg(w / 600) + 1e-7, 4) AS occupancy, count(*) FILTER (abs(cx - lag) > 0.15) AS jumps
-FROM (SELECT *, lag(cx) OVER (PARTITION BY movie_id, shot_id ORDER BY sample) AS lag FROM (SELECT *, (x + w / 2 - l) / 600 AS cx FROM (SELECT *, event_id % 7 * 200 AS l FROM bx WHERE person = 1))) GROUP BY movie_id, shot_id""", "bx"))
+@query(with_("""SELECT movie_id, shot_id, CAST(person AS INTEGER) AS person, count(*) AS samples, round(avg(CASE WHEN x >= l AND x + w <= l + 600 THEN 1 ELSE 0 END) + 1e-7, 4) AS visible, round(median(abs(cx - 0.5::DOUBLE)) + 1e-7, 4) AS center, round(avg(w / 600) + 1e-7, 4) AS occupancy, count(*) FILTER (abs(cx - lag) > 0.15) AS jumps
+FROM (SELECT *, lag(cx) OVER (PARTITION BY movie_id, shot_id, person ORDER BY sample) AS lag FROM (SELECT *, (x + w / 2 - l) / 600 AS cx FROM (SELECT *, event_id % 7 * 200 AS l FROM bx))) GROUP BY movie_id, shot_id, person""", "bx"))
 def a18_editorial_geometry(spark: SparkSession, d: str) -> DataFrame:
     crop = fx.shots(spark, d).select("movie_id", "shot_id", (F.col("event_id") % 7 * 200).alias("left"), F.lit(600).alias("width"))
-    x = geo.editorial_geometry(fx.boxes(spark, d).where("person = 1"), crop)
-    return x.select("movie_id", "shot_id", "samples", _r("visible"), _r("center"), _r("occupancy"), "jumps")
+    x = geo.editorial_geometry(fx.boxes(spark, d), crop, ("movie_id", "shot_id", "person"))
+    return x.select("movie_id", "shot_id", "person", "samples", _r("visible"), _r("center"), _r("occupancy"), "jumps")
 
 
-@query(with_(""", c AS (SELECT movie_id, event_id, start_s, setting_id, row_number() OVER (PARTITION BY movie_id ORDER BY value DESC, start_s, event_id) AS o FROM sh),
-m AS (SELECT a.movie_id, a.o, b.o AS p FROM c a JOIN c b ON a.movie_id = b.movie_id AND b.o < a.o AND a.setting_id IS NOT DISTINCT FROM b.setting_id AND abs(a.start_s - b.start_s) <= 12),
+@query(with_("SELECT", "sh").removesuffix("\nSELECT") + """, c AS MATERIALIZED (SELECT movie_id, event_id, start_s, setting_id, list_distinct(['door', ['open', 'shut'][k % 2 + 1], ['red', 'blue', 'green'][event_id % 3 + 1]]) AS tk, row_number() OVER (PARTITION BY movie_id ORDER BY value DESC, start_s, event_id) AS o FROM sh),
+m AS MATERIALIZED (SELECT a.movie_id, a.o, b.o AS p FROM c a JOIN c b ON a.movie_id = b.movie_id AND b.o < a.o AND a.setting_id IS NOT DISTINCT FROM b.setting_id AND abs(a.start_s - b.start_s) <= 12 WHERE len(list_intersect(a.tk, b.tk)) / len(list_distinct(list_concat(a.tk, b.tk))) >= 0.55),
 n AS (SELECT movie_id, max(o) AS n FROM c GROUP BY movie_id),
 f(movie_id, o, kept) AS (SELECT movie_id, 0::BIGINT, []::BIGINT[] FROM n UNION ALL SELECT f.movie_id, f.o + 1, CASE WHEN EXISTS (SELECT 1 FROM m WHERE m.movie_id = f.movie_id AND m.o = f.o + 1 AND list_contains(f.kept, m.p)) THEN f.kept ELSE list_append(f.kept, f.o + 1) END FROM f JOIN n ON n.movie_id = f.movie_id AND f.o < n.n)
-SELECT c.movie_id, event_id, list_contains(k, o) AS kept FROM c JOIN (SELECT f.movie_id, kept AS k FROM f JOIN n ON n.movie_id = f.movie_id AND f.o = n.n) q USING (movie_id)""", "sh").replace("\n, c AS", ", c AS"))
+SELECT c.movie_id, event_id, list_contains(k, o) AS kept FROM c JOIN (SELECT f.movie_id, kept AS k FROM f JOIN n ON n.movie_id = f.movie_id AND f.o = n.n) q USING (movie_id)""")
 def g14_scarcity(spark: SparkSession, d: str) -> DataFrame:
-    """Every event speaks of the same thing here, so time and setting alone decide."""
-    x = fx.shots(spark, d).select("movie_id", "event_id", "start_s", F.col("setting_id").alias("setting"), F.array(F.lit("door"), F.lit("open")).alias("tokens"), F.col("value").alias("priority"))
+    words = F.array(F.lit("door"), fx.pick(("open", "shut"), F.col("k") % 2), fx.pick(("red", "blue", "green"), F.col("event_id") % 3))
+    x = fx.shots(spark, d).select("movie_id", "event_id", "start_s", F.col("setting_id").alias("setting"), words.alias("tokens"), F.col("value").alias("priority"))
     return po.scarce(x)

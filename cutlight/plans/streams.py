@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,13 +10,13 @@ from pyspark.sql import functions as F
 from cutlight import fixtures as fx
 from cutlight.fixtures import with_
 from cutlight.registry import query
+from cutlight.session import shared_dir
 from cutlight.sources import subtitles as sub
 from cutlight.streaming import stage_log as sl
 
 
 def _scratch(spark: SparkSession) -> str:
-    top = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    return f"{top.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
 
 
 def _log(spark: SparkSession, d: str) -> DataFrame:
@@ -50,8 +49,8 @@ def _run(spark: SparkSession, d: str, make) -> DataFrame:
     """make over the stamped log as a stream, written in append mode and read back."""
     at = _scratch(spark)
     log = _stamped(spark, d)
-    log.where("movie_id >= 0").coalesce(1).write.parquet(f"{at}/log")
-    log.where("movie_id < 0").coalesce(1).write.mode("append").parquet(f"{at}/log")
+    log.where("movie_id >= 0").write.parquet(f"{at}/log")
+    log.where("movie_id < 0").write.mode("append").parquet(f"{at}/log")
     schema = "movie_id bigint, stage string, ts timestamp"
     for _ in range(2):  # the second run sees the watermark that the probe has set
         out = make(spark.readStream.schema(schema).parquet(f"{at}/log"))
@@ -74,12 +73,12 @@ def x04_stream_heartbeats(spark: SparkSession, d: str) -> DataFrame:
     return x.select("stage", F.unix_micros("from").alias("from_us"), "rows")
 
 
-_SRT = "srt AS (SELECT movie_id, cue_ord, printf('%02d:%02d:%02d,%03d', s // 3600, s // 60 % 60, s % 60, ms) AS a, cue_ord % 13 = 0 AS bad, trim(text, ' ') AS t, s + ms / 1000 AS secs FROM (SELECT movie_id, cue_ord, text, CAST(floor(start_s) AS BIGINT) AS s, CAST(floor((start_s - floor(start_s)) * 1000 + 0.5) AS BIGINT) AS ms FROM cu WHERE NOT regexp_matches(text, '[^ -~]') AND text = trim(text, ' ') AND NOT contains(text, '  ')))"
+_SRT = "srt AS (SELECT movie_id, cue_ord, printf('%02d:%02d:%02d,%03d', s // 3600, s // 60 % 60, s % 60, ms) AS a, cue_ord % 13 = 0 AS bad, trim(text, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS t, s + ms / 1000 AS secs FROM (SELECT movie_id, cue_ord, text, CAST(floor(start_s) AS BIGINT) AS s, CAST(floor((start_s - floor(start_s)) * 1000 + 0.5) AS BIGINT) AS ms FROM cu))"
 
 
 def _srt(spark: SparkSession, d: str) -> DataFrame:
     """One subtitle file a title: every 13th cue has a broken timing line."""
-    c = fx.cues(spark, d).where(~F.col("text").rlike("[^ -~]") & (F.col("text") == F.trim("text")) & ~F.col("text").contains("  "))
+    c = fx.cues(spark, d)
     s = F.floor("start_s")
     ms = F.floor((F.col("start_s") - s) * 1000 + 0.5)
     a = F.format_string("%02d:%02d:%02d,%03d", F.floor(s / 3600), F.floor(s / 60) % 60, s % 60, ms)
@@ -99,6 +98,11 @@ def s01_malformed_blocks(spark: SparkSession, d: str) -> DataFrame:
     return bad.groupBy("movie_id", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(with_("SELECT movie_id, count(*) AS cues, 0::BIGINT AS bad_ids, 0::BIGINT AS repeated_ids, 0::BIGINT AS empty, 0::BIGINT AS out_of_order FROM cu GROUP BY movie_id", "cu"))
+@query(with_("""SELECT movie_id, count(*) AS cues, count(*) FILTER (cue_ord % 17 = 0) AS bad_ids, count(*) FILTER (n > 1) AS repeated_ids, count(*) FILTER (trim(text, ' ') = '' OR cue_ord % 23 = 0) AS empty, count(*) FILTER (start_s < before) AS out_of_order FROM (SELECT *, count(*) OVER (PARTITION BY movie_id, id) AS n, lag(start_s) OVER (PARTITION BY movie_id ORDER BY cue_ord) AS before
+ FROM (SELECT movie_id, cue_ord, text, CASE WHEN cue_ord % 17 = 0 THEN 'CUE_' || cue_ord WHEN cue_ord % 19 = 0 THEN printf('SRT_%06d', cue_ord - 1) ELSE cue_id END AS id, CASE WHEN cue_ord % 29 = 0 THEN start_s - 60 ELSE start_s END AS start_s FROM cu)) GROUP BY movie_id""", "cu"))
 def s03_canonical_cues(spark: SparkSession, d: str) -> DataFrame:
-    return sub.canonical_cue_errors(fx.cues(spark, d))
+    """Cues with foreign and repeated ids, without text, and moved to an earlier time."""
+    n = F.col("cue_ord")
+    id_ = F.when(n % 17 == 0, F.concat(F.lit("CUE_"), n.cast("string"))).when(n % 19 == 0, F.format_string("SRT_%06d", n - 1)).otherwise(F.col("cue_id"))
+    x = fx.cues(spark, d).withColumn("cue_id", id_).withColumn("text", F.when(n % 23 != 0, F.col("text"))).withColumn("start_s", F.when(n % 29 == 0, F.col("start_s") - 60).otherwise(F.col("start_s")))
+    return sub.canonical_cue_errors(x)

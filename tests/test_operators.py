@@ -72,23 +72,25 @@ def test_overlaps_equal_the_plain_join(spark):
         assert "NestedLoop" not in iv.overlapping(left, right, pad)._jdf.queryExecution().toString()
 
 
+def may_go_on(rows, first, last):
+    """May a group that holds rows first..last take the next row too?"""
+    own, edge = rows[first : last + 1], rows[last]
+    total, quiet = sum(r["d"] for r in own), not edge["talk"] and not edge["why"]
+    arrived_quiet = len(own) > 1 and not rows[last - 1]["talk"] and not rows[last - 1]["why"]
+    if len(own) == 1 and (edge["alone"] or (total >= 5 and quiet)):
+        return False
+    return edge["joined"] and total + rows[last + 1]["d"] <= 18 and not (arrived_quiet and total >= 15)
+
+
 def plain_groups(rows):
-    groups, i = [], 0
-    while i < len(rows):
-        d, g = rows[i]["d"], [i]
-        while i + 1 < len(rows) and d + rows[i + 1]["d"] <= 18:
-            c = rows[i]
-            if not c["joined"] or (c["alone"] and len(g) == 1) or (d >= 5 and not c["talk"] and not c["why"] and len(g) == 1):
-                break
-            i += 1
-            g.append(i)
-            d += rows[i]["d"]
-            if d >= 15 and not c["talk"] and not c["why"]:
-                break
-        if 3 <= d <= 18:
-            groups.append(g)
-        i += 1
-    return groups
+    """Every group is the longest run from the end of the one before whose every step is allowed."""
+    starts, groups = [0], []
+    while starts[-1] < len(rows):
+        a = starts[-1]
+        stops = [b for b in range(a, len(rows)) if b + 1 == len(rows) or not may_go_on(rows, a, b)]
+        groups.append(list(range(a, stops[0] + 1)))
+        starts.append(stops[0] + 1)
+    return [g for g in groups if 3 <= sum(rows[i]["d"] for i in g) <= 18]
 
 
 def test_bounded_groups_equal_the_loop(spark):
@@ -106,7 +108,7 @@ def test_histogram_without_variance(spark):
 
 def test_policy_rules(spark):
     kind = "movie_id int, event_id int, utility string, signal string, complete string, context string, flags array<string>, n_actions int"
-    rows = [(1, 1, None, "none", "true", "low", [], 0), (1, 2, "movement", "none", "true", "low", ["credits"], 0), (1, 3, "unclear", "gesture", "true", "low", [], 0), (1, 4, "concrete_action", "none", "true", "low", [], 0), (1, 5, "movement", "gesture", "true", "low", [], 0)]
+    rows = [(1, 1, None, "none", "true", "low", [], 0), (1, 2, "movement", "none", "true", "low", ["credits"], 0), (1, 3, "unclear", "strong_body_language", "true", "low", [], 0), (1, 4, "concrete_action", "none", "true", "low", [], 0), (1, 5, "movement", "clear_reaction", "true", "low", [], 0)]
     got = {r.event_id: (r.decision, r.reasons[0]) for r in po.decide(spark.createDataFrame(rows, kind)).collect()}
     assert got == {1: ("REVIEW", "observation_incomplete_or_invalid"), 2: ("REJECT", "hard_exclusion:credits"), 3: ("REVIEW", "insufficient_observation"), 4: ("REVIEW", "action_utility_without_canonical_action_evidence"), 5: ("KEEP", "useful_visual_utility:movement")}
 
@@ -125,5 +127,6 @@ def test_oversize_rows_get_no_batch(spark):
 
 def test_smoothing_keeps_to_the_legal_interval(spark):
     rows = [(1, 0, 100.0, 0.0, 500.0), (1, 1, 103.0, 0.0, 500.0), (1, 2, 400.0, 150.0, 500.0)]
-    got = geo.smooth_anchors(spark.createDataFrame(rows, "s int, t int, x double, low double, high double"), ["s"], 100.0).orderBy("t").collect()
-    assert [r.x for r in got] == [100.0, 100.0, 150.0]
+    rows = [(*r, 100.0, -1.0, 3.0) for r in rows] + [(2, 0, 10.0, 0.0, 50.0, 100.0, None, None), (2, 1, 14.0, 0.0, 50.0, 100.0, None, None)]
+    got = geo.smooth_anchors(spark.createDataFrame(rows, "s int, t int, x double, low double, high double, crop double, start double, end double"), ["s"]).orderBy("s", "t").collect()
+    assert [(r.s, r.t, r.x) for r in got] == [(1, -1.0, 100.0), (1, 0.0, 100.0), (1, 1.0, 100.0), (1, 2.0, 150.0), (1, 3.0, 150.0), (2, 0.0, 12.0)]
