@@ -55,14 +55,16 @@ def compress(ids: np.ndarray, counts: np.ndarray, terminals: int) -> tuple[np.nd
         room = min(PAIRS, (1 << 16) - top)
         key = (x[:-1].astype(np.uint32) << np.uint32(16)) | x[1:]
         slot = _slot(key)
-        count = np.bincount(slot[~last[:-1]], minlength=1 << _SLOTS)
+        count = np.bincount(slot, minlength=1 << _SLOTS) - np.bincount(slot[np.flatnonzero(last[:-1])], minlength=1 << _SLOTS)
         # pairs of the fullest slots, counted exactly; of two in one slot the commoner
         full = np.zeros(1 << _SLOTS, bool)
         fullest = np.argpartition(count, -room)[-room:]
         full[fullest[count[fullest] >= LEAST]] = True
-        some = np.sort(key[full[slot] & ~last[:-1]])
-        at = np.flatnonzero(np.concatenate(([True], some[1:] != some[:-1]))) if len(some) else np.zeros(0, np.int64)
-        pair, n = some[at], np.diff(np.append(at, len(some)))
+        some = np.flatnonzero(full[slot] & ~last[:-1]).astype(np.int32)
+        keys = key[some]
+        ordered = np.sort(keys)
+        at = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))) if len(ordered) else np.zeros(0, np.int64)
+        pair, n = ordered[at], np.diff(np.append(at, len(ordered)))
         pair, n = pair[n >= LEAST], n[n >= LEAST]
         order = np.lexsort((pair, -n))
         pair = pair[order]
@@ -73,7 +75,8 @@ def compress(ids: np.ndarray, counts: np.ndarray, terminals: int) -> tuple[np.nd
         taken = np.zeros(1 << _SLOTS, bool)
         known[_slot(pair)], taken[_slot(pair)] = pair, True
         name[_slot(pair)] = top + np.arange(len(pair))
-        hit = np.flatnonzero((known[slot] == key) & taken[slot] & ~last[:-1])
+        slots = slot[some]
+        hit = some[(known[slots] == keys) & taken[slots]]
         # of neighbours that overlap every second one, from the left
         start = np.concatenate(([True], np.diff(hit) > 1))
         run = np.maximum.accumulate(np.where(start, np.arange(len(hit)), 0))
@@ -259,9 +262,20 @@ def _ended(ids: np.ndarray, counts: np.ndarray, end: int) -> np.ndarray:
     return out
 
 
+#: The encoder that a worker process has loaded, with the words it has learned; the next task finds it here.
+_encoders: dict[str, Encoder] = {}
+
+
+def _encoder(path: str) -> Encoder:
+    if path not in _encoders:
+        _encoders.clear()
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
 def _write(tokenizer_path: str, end: int, shard: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer_path)
+        encoder = _encoder(tokenizer_path)
         task, number = TaskContext.get().partitionId(), 0
         docs: list = []
         parts: list[np.ndarray] = []
