@@ -67,15 +67,17 @@ def ingest(index: DigestIndex, docs: DataFrame, id_col: str = "doc_id", text_col
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", index_path: str | None = None, buckets: int = 64) -> DataFrame:
     """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256.
 
-    Of equal texts (A-Z lower-cased, null as empty) in docs the row with the largest doc_id stays; rows that repeat that
+    An empty docs gives no rows. Other columns of docs are not read. Of equal texts (A-Z lower-cased, null as empty) in docs the row with the largest doc_id stays; rows that repeat that
     doc_id stay together. A row without doc_id stays only where no equal text has one. index_path: an index that earlier runs filled; texts it holds are copies,
     keep_id names the row that stayed then. Without it the index begins empty in the shared folder.
     """
     spark = docs.sparkSession
     index = DigestIndex(spark, index_path or new_path(spark, "digest-index"), buckets)
-    ingest(index, docs, id_col, text_col)
+    try:
+        ingest(index, docs, id_col, text_col)
+    finally:
+        index.close()
     held = spark.read.schema("digest string, keep_id bigint, group_size bigint").parquet(index.path)  # by path: both sides of the join move, so a hot digest can be split
-    index.close()
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), digest(text_col).alias("digest"))
     return rows.join(held, "digest").select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("digest").alias("text_sha256"))
 

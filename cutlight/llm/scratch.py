@@ -9,15 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; where that is unset (tests, one machine), a temporary one."""
-    sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not named:
-        named = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        sc.setCheckpointDir(named)
-    return named.rstrip("/")
+from cutlight.session import cut, shared_dir
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -26,9 +18,7 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: executors may be lost, the lineage starts anew here."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return cut(df, name)
 
 
 def ship(spark: SparkSession) -> None:

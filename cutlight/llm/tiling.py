@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from cutlight.llm import words
 from cutlight.llm.scratch import materialise, ship
 
-#: Least words of a tile (an item with fewer words is one tile of its own length); least share of an item's words.
-MATCH, COVERAGE = 5, 0.5
+#: Least words of a tile (an item with fewer words is one tile of its own length); least words of an item: one or two words name nothing;
+#: least share of an item's words.
+MATCH, SHORTEST, COVERAGE = 5, 3, 0.5
 #: Words of benchmark items that one pass over the documents carries along; more items mean more passes.
 BLOCK = 2_000_000
 
@@ -101,15 +102,16 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
 
     Items go along with the tasks in blocks of at most BLOCK words, each block one pass over the documents, so what a task
     holds is bounded whatever the benchmark's size; the driver holds the hashes of all items, 8 bytes a word. Words are runs of characters other than ASCII punctuation and white space,
-    A-Z lower-cased. Null or empty items and texts match nothing; items that repeat an item_id are matched each. A pair
-    that shares frequent runs only is tiled like any other.
+    A-Z lower-cased. Null or empty items and texts match nothing, and neither do items of fewer than SHORTEST words; items
+    that repeat an item_id are matched each. Of matches of one length the one that begins first in the document, then in the item, is marked first.
+    A pair that shares frequent runs only is tiled like any other. Other columns are not read.
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("row"), F.col(text_col).cast("string").alias("text"))
     listed = benchmark.select(F.col(item_col).cast("bigint"), F.col(item_text_col).cast("string")).toLocalIterator()
     blocks, block, held = [], [], 0
     for item_id, text in listed:
         h = np.concatenate([x[2] for x in words.word_hashes(pa.array([text], pa.string()), words.PUNCT)] or [np.zeros(0, np.uint64)])
-        if len(h):
+        if len(h) >= SHORTEST:
             block.append((item_id, h))
             held += len(h)
             if held >= BLOCK:

@@ -92,6 +92,24 @@ def test_near_duplicates_of_nothing(spark):
     assert jaccard_join.near_duplicates(docs(spark, ODD[:3])).count() == 3
 
 
+def test_a_line_that_many_sets_hold(spark):
+    """A fifth of the sets share one line, some share two thirds with each other, and a group of copies drifts apart."""
+    rng = np.random.default_rng(3)
+    line = " ".join(f"common{i}" for i in range(12))
+    rows = []
+    for i in range(150):
+        own = " ".join(f"w{x}" for x in rng.integers(0, 10**6, 30))
+        rows.append((i, (line + " " + own) if i % 5 == 0 else own, "", "", 0))
+    base = [f"b{i}" for i in range(60)]
+    for i in range(60):
+        w = list(base)
+        for at in rng.choice(60, int(rng.integers(0, 3)), replace=False):
+            w[at] = f"x{rng.integers(0, 40)}"
+        rows.append((1000 + i, " ".join(w), "", "", 0))
+    got = jaccard_join.near_duplicates(docs(spark, rows).repartition(5))
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()), key=repr) == brute_groups(rows)
+
+
 def test_one_of_each_group_keeps_rows_whole(spark):
     kept = jaccard_join.one_of_each_group(docs(spark))
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted([1, 2, 3, 4, 4, 7, 9, 11, None], key=repr)
@@ -273,13 +291,13 @@ def test_decontamination(spark, monkeypatch):
     item = " ".join(f"q{i}" for i in range(30))
     w = item.split()
     moved = " ".join(w[20:] + ["and"] + w[:10] + ["then"] + w[10:20])
-    rows = [(1, "so " + item.upper() + ", end", "", "", 0), (2, moved, "", "", 0), (3, " ".join(w[:6]) + " else", "", "", 0), (4, None, "", "", 0), (5, "tiny", "", "", 0), (6, LONG + " " + item, "", "", 0), (None, item, "", "", 0)]
-    bench = spark.createDataFrame([(7, item), (8, None), (9, ""), (10, "tiny"), (7, item)], "item_id int, text string")
+    rows = [(1, "so " + item.upper() + ", end", "", "", 0), (2, moved, "", "", 0), (3, " ".join(w[:6]) + " else", "", "", 0), (4, None, "", "", 0), (5, "tiny; three small words.", "", "", 0), (9, "tiny", "", "", 0), (6, LONG + " " + item, "", "", 0), (None, item, "", "", 0)]
+    bench = spark.createDataFrame([(7, item), (8, None), (9, ""), (10, "tiny"), (11, "three small words"), (7, item)], "item_id int, text string")
     for block in (tiling.BLOCK, 1):
         monkeypatch.setattr(tiling, "BLOCK", block)
         got = {r.doc_id: (r.contaminated, r.item_ids) for r in tiling.report(docs(spark, rows), bench).collect()}
-        assert got == {1: (True, [7]), 2: (True, [7]), 3: (False, []), 4: (False, []), 5: (True, [10]), 6: (True, [7]), None: (True, [7])}
-    assert sorted(r.doc_id for r in tiling.clean(docs(spark, rows), bench).collect()) == [3, 4]
+        assert got == {1: (True, [7]), 2: (True, [7]), 3: (False, []), 4: (False, []), 5: (True, [11]), 9: (False, []), 6: (True, [7]), None: (True, [7])}
+    assert sorted(r.doc_id for r in tiling.clean(docs(spark, rows), bench).collect()) == [3, 4, 9]
     assert tiling.report(docs(spark, rows), bench.limit(0)).where("contaminated").count() == 0
     assert tiling.report(docs(spark, []), bench).count() == 0
 
@@ -380,6 +398,16 @@ def test_toxicity_of_odd_rows(spark):
     assert toxicity.train(d, labels.limit(0)).bias < 0.1
 
 
+def test_scores_are_the_double_loop_over_pairs():
+    rng = np.random.default_rng(6)
+    terms = np.sort(rng.integers(1, 1 << 60, 12).astype(np.uint64))
+    model = toxicity.Model(terms, 0.3, rng.normal(0, 1, 12), rng.normal(0, 1, (12, 3)))
+    held = [sorted(rng.choice(12, rng.integers(0, 9), replace=False).tolist()) for _ in range(20)]
+    rows, of = np.array([i for i, x in enumerate(held) for _ in x], np.int64), np.array([t for x in held for t in x], np.int64)
+    want = [model.bias + sum(model.w[t] for t in x) + sum(float(model.v[a] @ model.v[b]) for a in x for b in x if a < b) for x in held]
+    assert np.allclose(model.score(rows, of, 20), 1 / (1 + np.exp(-np.array(want))))
+
+
 def test_pairs_count_in_the_machine():
     rng = np.random.default_rng(0)
     lists = [np.array([t for t in range(2) if rng.random() < 0.5]) for _ in range(800)]

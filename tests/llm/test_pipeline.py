@@ -1,4 +1,6 @@
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 from cutlight.llm import jaccard_join, mixing, queries, tiling, token_store, toxicity
 
 SF = "/root/testdata/sf0.01"
@@ -26,3 +28,31 @@ def test_stages_do_what_their_operators_say(spark):
 
 def test_stages_are_named_in_order():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "n-gram Jaccard join", "benchmark decontamination", "mixing sources to target weights", "token-ID / binary output"]
+
+
+ODD = [
+    (1, None, None, None, None), (2, "", "en", "a", 0), (3, " \t\n", "en", "a", 3), (4, "some plain words of a clean text", "en", "a", 1), (4, "some plain words of a clean text", "en", "a", 1), (None, "no id here at all", None, "b", 1),
+    (5, " ".join(f"w{i}" for i in range(150_000)), "en", "b", 1), (6, "Some  plain words of a clean TEXT", "de", None, 1),
+]
+
+
+def test_stages_on_odd_rows_and_on_none(spark, tmp_path):
+    """Each stage keeps its columns, and rows without text, with an empty table, repeated ids and clashing names do not stop it."""
+    kind = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    for name, rows in (("odd", ODD), ("none", [])):
+        at = tmp_path / name
+        given = spark.createDataFrame(rows, kind)
+        for c in ("size", "cls", "key", "comp", "score", "row", "n", "block"):
+            given = given.withColumn(c, F.lit(1))
+        given.write.parquet(str(at / "documents.parquet"))
+        labels = [(r[0], 1, 0) for r in rows] + ([(4, 1, 1), (None, None, None)] if rows else [])
+        spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(str(at / "labels.parquet"))
+        spark.createDataFrame([(1, None), (2, "")] if rows else [], "item_id bigint, text string").write.parquet(str(at / "benchmark.parquet"))
+        now = spark.read.parquet(str(at / "documents.parquet"))
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            now = stage(spark, now, str(at))
+            assert now.columns == given.columns
+        out = corpus_pipeline.run(spark, str(at)).collect()
+        assert len(out) == now.count()
+        if not rows:
+            assert not out
