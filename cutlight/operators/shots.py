@@ -128,12 +128,23 @@ def analysis_units(shots: DataFrame, fps: float, longest: float = LONGEST) -> Da
     return x.select("movie_id", "shot_id", "part", a.alias("unit_start"), b.alias("unit_end"))
 
 
-def validate_shots(shots: DataFrame, fps: float) -> DataFrame:
-    """Per title: gaps, overlaps and empty ranges of frames, and starts whose time and frame disagree."""
-    before = F.lag("end_frame").over(_title().orderBy("start_s", "shot_id"))
-    x = shots.withColumn("_b", before)
-    off = F.abs(F.col("start_s") * fps - F.col("start_frame")) > 0.5 + 1e-8
-    return x.groupBy("movie_id").agg(F.count_if(F.col("start_frame") > F.col("_b")).alias("gaps"), F.count_if(F.col("start_frame") < F.col("_b")).alias("overlaps"), F.count_if(F.col("start_frame") >= F.col("end_frame")).alias("empty"), F.count_if(off).alias("disagreeing"))
+def validate_shots(shots: DataFrame, windows: DataFrame, fps: float) -> DataFrame:
+    """Faults of the shots of each window: movie_id, window_id, no_shots, bad_first, bad_last (booleans), gaps (or overlaps), non_positive, outside, mismatches.
+
+    shots: movie_id, window_id, shot_id, start_frame, end_frame, start_s, end_s, representative_s, duration_s; windows: movie_id,
+    window_id, start_frame, end_frame. outside: the representative frame is not in the shot; mismatches: seconds and frames disagree.
+    """
+    keys = ["movie_id", "window_id"]
+    before = F.lag("end_frame").over(Window.partitionBy(*keys).orderBy("start_s", "shot_id"))
+    size = F.col("end_frame") - F.col("start_frame")
+    order = F.struct("start_s", "shot_id")
+    g = shots.withColumn("_b", before).groupBy(*keys).agg(
+        F.min_by("start_frame", order).alias("first"), F.max_by("end_frame", order).alias("last"), F.count_if(F.col("start_frame") != F.col("_b")).alias("gaps"), F.count_if(size <= 0).alias("non_positive"),
+        F.count_if(~((F.col("start_s") <= F.col("representative_s")) & (F.col("representative_s") < F.col("end_s")))).alias("outside"), F.count_if(F.abs(F.col("duration_s") - size / fps) > 1e-8).alias("mismatches"),
+    )
+    x = windows.join(g, keys, "left")
+    no = F.col("first").isNull()
+    return x.select(*keys, no.alias("no_shots"), F.coalesce(F.col("first") != F.col("start_frame"), F.lit(False)).alias("bad_first"), F.coalesce(F.col("last") != F.col("end_frame"), F.lit(False)).alias("bad_last"), *[F.coalesce(c, F.lit(0)).alias(c) for c in ("gaps", "non_positive", "outside", "mismatches")])
 
 
 def continuity_errors(shots: DataFrame, tolerance: float = 0.05) -> DataFrame:

@@ -120,9 +120,22 @@ def w14_sample_frames(spark: SparkSession, d: str) -> DataFrame:
     return x.select("movie_id", "shot_id", F.size("frames").cast("bigint").alias("samples"), "frames")
 
 
-@query(with_("SELECT movie_id, count(*) FILTER (start_frame > b) AS gaps, count(*) FILTER (start_frame < b) AS overlaps, count(*) FILTER (start_frame >= end_frame) AS empty, count(*) FILTER (abs(start_s * 24 - start_frame) > 0.5 + 1e-8) AS disagreeing FROM (SELECT *, lag(end_frame) OVER (PARTITION BY movie_id ORDER BY start_s, shot_id) AS b FROM sh) GROUP BY movie_id", "sh"))
+@query(with_("SELECT", "sh").removesuffix("\nSELECT") + """, wn AS (SELECT *, (shot_ord - 1) // 10 AS window_id, movie_id + (shot_ord - 1) // 10 AS n FROM sh),
+wi AS (SELECT movie_id, window_id, min(start_frame) - CASE WHEN n % 5 = 0 THEN 1 ELSE 0 END AS a, max(end_frame) + CASE WHEN n % 7 = 0 THEN 1 ELSE 0 END AS b FROM wn GROUP BY movie_id, window_id, n),
+vs AS (SELECT *, CASE WHEN k = 50 THEN end_s ELSE (start_s + end_s) / 2 END AS rep, (end_frame - start_frame) / 24 + CASE WHEN k = 51 THEN 0.1::DOUBLE ELSE 0 END AS dur FROM wn WHERE k <> 60 AND n % 11 <> 0),
+vb AS (SELECT *, lag(end_frame) OVER (PARTITION BY movie_id, window_id ORDER BY start_s, shot_id) AS before FROM vs),
+vg AS (SELECT movie_id, window_id, arg_min(start_frame, (start_s, shot_id)) AS f, arg_max(end_frame, (start_s, shot_id)) AS l, count(*) FILTER (start_frame <> before) AS gaps, count(*) FILTER (end_frame <= start_frame) AS non_positive, count(*) FILTER (NOT (start_s <= rep AND rep < end_s)) AS outside, count(*) FILTER (abs(dur - (end_frame - start_frame) / 24) > 1e-8) AS mismatches FROM vb GROUP BY ALL)
+SELECT wi.movie_id, wi.window_id, f IS NULL AS no_shots, coalesce(f <> a, false) AS bad_first, coalesce(l <> b, false) AS bad_last, coalesce(gaps, 0) AS gaps, coalesce(non_positive, 0) AS non_positive, coalesce(outside, 0) AS outside, coalesce(mismatches, 0) AS mismatches FROM wi LEFT JOIN vg ON vg.movie_id = wi.movie_id AND vg.window_id = wi.window_id""")
 def v08_shot_contract(spark: SparkSession, d: str) -> DataFrame:
-    return sh.validate_shots(fx.shots(spark, d), fx.FPS)
+    """Windows of ten shots; some windows are wider than their shots or have none, some shots are missing or at odds with their frames."""
+    s = fx.shots(spark, d).withColumn("window_id", F.floor((F.col("shot_ord") - 1) / 10))
+    n, k = F.col("movie_id") + F.col("window_id"), F.col("k")
+    windows = s.groupBy("movie_id", "window_id").agg(F.min("start_frame").alias("a"), F.max("end_frame").alias("b"))
+    windows = windows.select("movie_id", "window_id", (F.col("a") - F.when(n % 5 == 0, 1).otherwise(0)).alias("start_frame"), (F.col("b") + F.when(n % 7 == 0, 1).otherwise(0)).alias("end_frame"))
+    rep = F.when(k == 50, F.col("end_s")).otherwise((F.col("start_s") + F.col("end_s")) / 2)
+    length = (F.col("end_frame") - F.col("start_frame")) / fx.FPS + F.when(k == 51, 0.1).otherwise(0.0)
+    x = s.where((k != 60) & (n % 11 != 0)).withColumn("representative_s", rep).withColumn("duration_s", length)
+    return sh.validate_shots(x, windows, fx.FPS)
 
 
 @query(with_("SELECT movie_id, count(*) FILTER (abs(start_s - b) > 0.05) AS jumps, round(min(start_s), 4) AS first_s, round(max(end_s), 4) AS last_s FROM (SELECT *, lag(end_s) OVER (PARTITION BY movie_id ORDER BY start_s, shot_id) AS b FROM sh WHERE k % 10 <> 0) GROUP BY movie_id", "sh"))
