@@ -18,8 +18,10 @@ def latest_records(records: DataFrame) -> DataFrame:
     records: movie_id, event_id, contract, created_us, valid, fingerprint.
     """
     rank = F.array_position(F.array(*[F.lit(c) for c in PRECEDENCE]), F.col("contract"))
-    by = Window.partitionBy("movie_id", "event_id").orderBy(F.when(rank == 0, 99).otherwise(rank), F.desc("created_us"), F.desc("fingerprint"))
-    return records.where("valid").withColumn("_r", F.row_number().over(by)).where("_r = 1").drop("_r")
+    best = F.struct(-F.when(rank == 0, 99).otherwise(rank), "created_us", "fingerprint")
+    rest = [c for c in records.columns if c not in ("movie_id", "event_id")]
+    g = records.where("valid").groupBy("movie_id", "event_id").agg(F.max_by(F.struct(*rest), best).alias("_r"))
+    return g.select("movie_id", "event_id", "_r.*")
 
 
 def decide(observations: DataFrame) -> DataFrame:

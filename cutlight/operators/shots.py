@@ -18,6 +18,8 @@ DURATION_RANGES = {
 }
 OTHER_RANGE = (5.0, 10.0, 15.0)
 KEEP, REVIEW, LONGEST = 70, 50, 18.0
+#: Frames of a stretch in which cuts and windows meet.
+STRETCH = 2000
 
 
 def _title():
@@ -32,7 +34,9 @@ def cuts(scores: DataFrame, threshold: float | Column) -> DataFrame:
 def build_shots(windows: DataFrame, cuts_: DataFrame, fps: float) -> DataFrame:
     """Shots of windows (movie_id, start_frame, end_frame) cut at distinct frames inside: movie_id, window_start, n, shot_id, start_frame, end_frame, start_s, end_s."""
     w = windows.select("movie_id", F.col("start_frame").alias("window_start"), F.col("end_frame").alias("window_end"))
-    inner = cuts_.join(w, "movie_id").where((F.col("frame") > F.col("window_start")) & (F.col("frame") < F.col("window_end"))).select("movie_id", "window_start", "window_end", "frame")
+    # a cut meets the windows of its stretch of frames only, not all of its title
+    near = w.withColumn("_b", F.explode(F.sequence(F.floor(F.col("window_start") / STRETCH), F.floor(F.col("window_end") / STRETCH))))
+    inner = cuts_.withColumn("_b", F.floor(F.col("frame") / STRETCH)).join(near, ["movie_id", "_b"]).where((F.col("frame") > F.col("window_start")) & (F.col("frame") < F.col("window_end"))).select("movie_id", "window_start", "window_end", "frame")
     ends = w.select("movie_id", "window_start", "window_end", F.explode(F.array("window_start", "window_end")).alias("frame"))
     by = Window.partitionBy("movie_id", "window_start").orderBy("frame")
     x = inner.union(ends).distinct().withColumn("end_frame", F.lead("frame").over(by)).where("end_frame is not null").withColumn("n", F.row_number().over(by))
