@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cutlight.llm.scratch import materialise
@@ -29,8 +29,10 @@ def connected_components(edges: DataFrame, src: str, dst: str, max_rounds: int =
         large = _star(both).where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         down = _star(large)
         small = down.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(down.select("u", F.col("m").alias("v")))
-        now = materialise(small.distinct(), "edges")
-        was, sign = sign, now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.pmod(F.xxhash64("v", "u"), F.lit(1 << 30)))).first()
+        seen = Observation()
+        marks = (F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x"), F.sum(F.pmod(F.xxhash64("v", "u"), F.lit(1 << 30))).alias("s"))
+        now = materialise(small.distinct().observe(seen, *marks), "edges")  # what the edges are is seen while they are written
+        was, sign = sign, seen.get
         if was == sign:
             break
     else:

@@ -351,13 +351,14 @@ def links_and_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         pairs = _star_pairs(labelled(), sets, turn, percent) if stars else _open_pairs(labelled(), sets, percent)
         new = materialise(_verified(materialise(pairs, "pairs"), sets, percent), "links")
         found = new.count()
-        if found:
-            links = new if links is None else links.union(new)
+        links = new if links is None else links.union(new)
+        total, turn, last = total + found, turn + 1, not stars
+        stars = stars and turn < STAR_ROUNDS and found * 50 > total
+        # the few links of the last stars may wait: finer components only mean that the last round tries some pairs again
+        if total and (stars or last):
             component = materialise(connected_components(links, "a", "b"), "components")
-        if not stars:
+        if last:
             break
-        total, turn = total + found, turn + 1
-        stars = turn < STAR_ROUNDS and found * 50 > total
     if component is None:
         component = spark.createDataFrame([], "node bigint, component bigint")
     return members.drop("block"), component.select(F.col("node").alias("cls"), "component")
