@@ -176,10 +176,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if n_toxic and n_clean:
         kind = "term bigint, n bigint"
         often = sample.select("text").mapInArrow(_terms, kind).groupBy("term").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_ROWS)
-        terms = np.sort(often.select("term").toPandas()["term"].to_numpy(np.int64).view(np.uint64))
-    encoded = sample.mapInArrow(_encode(terms), "terms binary, toxic int").collect()
+        terms = np.sort(often.select("term").toArrow()["term"].to_numpy().astype(np.int64).view(np.uint64))
+    encoded = sample.mapInArrow(_encode(terms), "terms binary, toxic int").toArrow()
     # rows come in no certain order: sort them, so that every run fits the same model
-    keyed = sorted((r["toxic"], len(r["terms"]), bytes(r["terms"])) for r in encoded)
+    keyed = sorted((y, len(t), t) for t, y in zip(encoded["terms"].to_pylist(), encoded["toxic"].to_pylist(), strict=True))
     lists, y = [np.frombuffer(t, "<i4") for _, _, t in keyed], np.array([y for y, _, _ in keyed], np.float64)
     model = _fit(lists, y, terms)
     left = np.flatnonzero((model.w != 0) | (model.v != 0).any(1))
