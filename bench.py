@@ -12,7 +12,7 @@ from cutlight.session import session
 
 HEADLINE = [
     "flagship_event_decisions", "j01_shot_cue_overlap", "j02_shot_segments", "g02_adjacent_continuity", "g04_bounded_groups", "a06_event_rollup", "p02_event_scores", "w01_overlapping_chunks",
-    "w09_latest_record", "p03_policy_v1", "g14_scarcity", "l08_stage_state", "x01_stream_latest_state", "g16_capacity_batches",
+    "w09_latest_record", "p03_policy_v1", "g14_scarcity", "l08_stage_state", "x01_stream_latest_state", "g16_capacity_batches", "g05_rescued_groups", "p07_catalog_replay", "g10_editorial_beats", "g13_consolidation_report",
 ]
 
 
