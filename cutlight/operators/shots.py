@@ -166,10 +166,16 @@ def priority_batches(events: DataFrame, size: int, score: str = "score") -> Data
 def histogram_similarity(a: Column, b: Column) -> Column:
     """Correlation of two histograms brought to 0..1; histograms without variance count as equal."""
     mean = lambda h: F.aggregate(h, F.lit(0.0), lambda s, x: s + x) / F.size(h)
-    ma, mb = mean(a), mean(b)
-    dot = lambda x, mx, y, my: F.aggregate(F.zip_with(x, y, lambda p, q: (p - mx) * (q - my)), F.lit(0.0), lambda s, v: s + v)
-    under = F.sqrt(dot(a, ma, a, ma) * dot(b, mb, b, mb))
-    return clamp((F.when(under > 0, dot(a, ma, b, mb) / under).otherwise(1.0) + 1) / 2, 0.0, 1.0)
+    # a step's result goes on as a lambda's variable: an expression inside a lambda would be worked out again for each element
+    let = lambda value, use: F.get(F.transform(F.array(value), use), 0)
+
+    def sums(m: Column) -> Column:
+        both = F.zip_with(a, b, lambda p, q: F.struct((p - m["a"]).alias("p"), (q - m["b"]).alias("q")))
+        zero = F.struct(F.lit(0.0).alias("ab"), F.lit(0.0).alias("aa"), F.lit(0.0).alias("bb"))
+        return F.aggregate(both, zero, lambda s, v: F.struct((s["ab"] + v["p"] * v["q"]).alias("ab"), (s["aa"] + v["p"] * v["p"]).alias("aa"), (s["bb"] + v["q"] * v["q"]).alias("bb")))
+
+    like = lambda s: clamp((F.when(s["aa"] * s["bb"] > 0, s["ab"] / F.sqrt(s["aa"] * s["bb"])).otherwise(1.0) + 1) / 2, 0.0, 1.0)
+    return let(let(F.struct(mean(a).alias("a"), mean(b).alias("b")), sums), like)
 
 
 #: What a shot must say about itself for its continuity with another one; hist (its histogram) where similarity counts.
