@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cutlight.llm import chat, collocations, exact_dedup, html_wrapper, jaccard_join, mixing, secret_scan, tiling, token_store, toxicity, url_filter
+from cutlight.llm import chat, collocations, exact_dedup, html_wrapper, jaccard_join, mixing, resampling, secret_scan, tiling, token_store, toxicity, url_filter
 from cutlight.llm.scratch import materialise
 
 
@@ -67,12 +67,16 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_table(spark, sf_dir, "documents"))
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_html_extraction, op2_source_mixing, op3_exact_dedup, op4_url_filters, op5_benchmark_decontamination,
         op6_token_output, op7_secret_scans, op8_ngram_jaccard_join, op9_chat_formatting, op10_toxicity,
-        op11_phrase_collocations,
+        op11_phrase_collocations, op12_importance_resampling,
     )
 }
 SQL: dict[str, str] = {
@@ -81,4 +85,5 @@ SQL: dict[str, str] = {
     "op4_url_filters": url_filter.ORACLE,
     "op9_chat_formatting": chat.ORACLE,
     "op11_phrase_collocations": collocations.ORACLE,
+    "op12_importance_resampling": resampling.ORACLE,
 }
