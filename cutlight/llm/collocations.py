@@ -22,7 +22,7 @@ from cutlight.llm.scratch import materialise, ship
 #: Most words of a phrase; least occurrences; phrases reported for each language.
 DEPTH, LEAST, TOP = 5, 100, 2000
 #: Words that a task handles at once; bytes of text whose suffixes share a bucket; suffixes with one beginning that a bucket may hold.
-BLOCK, BUCKET, ROUTED = 1 << 20, 4_000_000, 1 << 17
+BLOCK, BUCKET, ROUTED = 1 << 19, 4_000_000, 1 << 17
 #: At most 2 ** HOT_BITS beginnings (and a third more) are routed by more words: the bound of what tasks are sent, 8 bytes each.
 HOT_BITS = 17
 #: Words that have a number of 16 bits in routed suffixes, the most frequent ones; any other goes by its hash.
@@ -66,12 +66,12 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Words]:
     for batch in batches:
         of_row = np.array([codes.setdefault(x, len(codes)) for x in batch.column(0).to_pylist()], np.int32)
         data = words.buffers(batch.column(1))[0]
-        broken = np.concatenate(([0], np.cumsum(_PIECE[data], dtype=np.int64)))
         for first, end, h, counts, starts, ends in words.word_spans(batch.column(1), _GAP):
             if not len(h):
                 continue
             begins = np.ones(len(h), bool)
-            begins[1:] = broken[starts[1:]] != broken[ends[:-1]]
+            breaks = np.flatnonzero(_PIECE[data[starts[0] : ends[-1]]]) + starts[0]
+            begins[1:] = np.searchsorted(breaks, starts[1:]) != np.searchsorted(breaks, ends[:-1])
             firsts = np.cumsum(counts) - counts
             begins[firsts[counts > 0]] = True
             held.append((np.maximum(h, np.uint64(1)), begins, np.repeat(of_row[first:end], counts), (data, starts, ends)))
@@ -87,21 +87,26 @@ def _lang_hashes(langs: list[str]) -> np.ndarray:
     return np.concatenate([h for _, _, h, _ in words.word_hashes(pa.array([f"#{x.encode().hex()}" for x in langs]), np.zeros(256, bool))])
 
 
-def _beginnings(block: _Words, ids: np.ndarray, fits: np.ndarray) -> Iterator[np.ndarray]:
-    """For depth 1 to DEPTH the hashes of language and first words of all suffixes; ids (n, DEPTH), 0 where fits is false."""
-    total = _lang_hashes(block.langs)[block.lang]
-    for d in range(DEPTH):
-        total = total + np.where(fits[:, d], ids[:, d], np.uint64(0)) * words._PLACES[d]
-        yield words.mix(total)
-
-
-def _suffixes(hashes: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(words, fits): the next DEPTH words from each place on, and which of them lie in its piece."""
+def _suffixes(hashes: np.ndarray, begins: np.ndarray) -> list[np.ndarray]:
+    """For 0 to DEPTH - 1 the word so many places on, for each place; 0 where it lies in another piece."""
     n = len(hashes)
     ends = np.append(np.flatnonzero(begins), n)
-    end = ends[np.searchsorted(ends, np.arange(n), side="right")]
-    at = np.arange(n)[:, None] + np.arange(DEPTH)
-    return hashes[np.minimum(at, n - 1)], at < end[:, None]
+    left = ends[np.searchsorted(ends, np.arange(n), side="right")] - np.arange(n)
+    out = []
+    for d in range(DEPTH):
+        word = np.zeros(n, np.uint64)
+        word[: n - d] = hashes[d:]
+        word[left <= d] = 0
+        out.append(word)
+    return out
+
+
+def _beginnings(lang: np.ndarray, suffixes: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """For depth 1 to DEPTH the hashes of language and first words of all suffixes."""
+    total = lang.copy()
+    for d, word in enumerate(suffixes):
+        total += word * words._PLACES[d]
+        yield words.mix(total)
 
 
 def _count(often: float):
@@ -118,11 +123,9 @@ def _count(often: float):
                 [pa.array(np.zeros(len(at), np.int32)), langs.take(pa.array(block.lang[at])), pa.array(block.text(at)), pa.array(block.hashes[at].view(np.int64)), pa.array(n)],
                 names=["kind", "lang", "word", "key", "n"],
             )
-            ids, fits = _suffixes(block.hashes, block.begins)
-            for d, key in enumerate(_beginnings(block, ids, fits), 1):
-                if d == DEPTH:
-                    break
-                keys, n = np.unique(key[fits[:, d - 1]], return_counts=True)
+            suffixes = _suffixes(block.hashes, block.begins)
+            for d, key in enumerate(_beginnings(_lang_hashes(block.langs)[block.lang], suffixes[:-1]), 1):
+                keys, n = np.unique(key[suffixes[d - 1] > 0], return_counts=True)
                 keys, n = keys[n * often > len(block)], n[n * often > len(block)]
                 none = pa.nulls(len(keys), pa.string())
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), d, np.int32)), none, none, pa.array(keys.view(np.int64)), pa.array(n)], names=["kind", "lang", "word", "key", "n"])
@@ -146,30 +149,31 @@ def _route(numbered: np.ndarray, complete: bool, hot: list[np.ndarray], buckets:
             if complete:  # no phrase reaches over a rare word
                 begins |= ~known
                 begins[1:] |= ~known[:-1]
-            ids, fits = _suffixes(block.hashes, begins)
-            some = np.flatnonzero(fits[:, 1])  # words alone are counted already
-            block.lang = block.lang[some]
-            ids, fits = ids[some], fits[some]
+            suffixes = _suffixes(block.hashes, begins)
+            some = np.flatnonzero(suffixes[1])  # words alone are counted already
+            suffixes, lang = [x[some] for x in suffixes], block.lang[some]
             depth, whole, routed = np.ones(len(some), np.uint8), None, None
-            for d, key in enumerate(_beginnings(block, ids, fits), 1):
+            for d, key in enumerate(_beginnings(_lang_hashes(block.langs)[lang], suffixes), 1):
                 here = depth == d
                 routed = key if d == 1 else np.where(here, key, routed)
                 if d < DEPTH:
                     depth[here & _has(hot[d - 1], key)] += 1
                 whole = key
             _, at, n = np.unique(whole, return_index=True, return_counts=True)  # equal suffixes travel once
-            ids, fits, depth = ids[at], fits[at], depth[at]
-            code = np.searchsorted(numbered, ids) + 1
-            code[~_has(numbered, ids.ravel()).reshape(ids.shape)] = BY_HASH
-            code[~fits] = 0
-            group = (routed[at] % np.uint64(buckets)).astype(np.int64) * len(block.langs) + block.lang[at]
+            group = (routed[at] % np.uint64(buckets)).astype(np.int64) * len(block.langs) + lang[at]
+            code = np.zeros((len(at), DEPTH), np.uint16)
+            for d, word in enumerate(suffixes):
+                word = word[at]
+                code[:, d] = np.where(word == 0, 0, np.where(_has(numbered, word), np.searchsorted(numbered, word) + 1, BY_HASH))
             order = np.lexsort((code[:, 1], code[:, 0], group))
-            group, code, n, depth, ids = group[order], code[order].astype("<u2"), n[order].astype("<u4"), depth[order], ids[order]
+            group, code, n, depth, at = group[order], code[order], n[order].astype("<u4"), depth[at[order]], at[order]
+            by_hash = code == BY_HASH
+            upto = np.append(0, np.cumsum(by_hash.sum(1)))
+            hashes = np.stack([x[at] for x in suffixes], 1)[by_hash].astype("<u8")
             cuts = np.append(np.flatnonzero(np.diff(group, prepend=-1)), len(group)).tolist()
             rows: list[list] = [[], [], [], [], [], []]
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                escaped = ids[a:b][code[a:b] == BY_HASH]
-                row = (int(group[a]) // len(block.langs), block.langs[int(group[a]) % len(block.langs)], code[a:b].T.tobytes(), n[a:b].tobytes(), depth[a:b].tobytes(), escaped.astype("<u8").tobytes())
+                row = (int(group[a]) // len(block.langs), block.langs[int(group[a]) % len(block.langs)], code[a:b].astype("<u2").T.tobytes(), n[a:b].tobytes(), depth[a:b].tobytes(), hashes[upto[a] : upto[b]].tobytes())
                 for column, value in zip(rows, row, strict=True):
                     column.append(value)
             kinds = [pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
@@ -260,17 +264,18 @@ def count_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     most = size // 2 + 1  # words of one byte and a gap
     too_many = max(routed, most >> HOT_BITS)
     # what a block does not report adds up to less than a quarter of too_many
-    counts = materialise(rows.mapInArrow(_count(4 * most / too_many), "kind int, lang string, word string, key bigint, n bigint"), "counts")
+    found = rows.mapInArrow(_count(4 * most / too_many), "kind int, lang string, word string, key bigint, n bigint")
+    counts = materialise(found.groupBy("kind", "lang", "word", "key").agg(F.sum("n").alias("n")), "counts")
     of_words = counts.where("kind = 0")
     totals = materialise(of_words.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    frequent = materialise(of_words.groupBy("lang", "word").agg(F.first("key").alias("key"), F.sum("n").alias("n")).where(F.col("n") >= least), "frequent")
+    frequent = materialise(of_words.where(F.col("n") >= least).drop("kind"), "frequent")
     if not frequent.groupBy("lang", "key").count().where("count > 1").isEmpty():
         raise RuntimeError("two words have one hash")
     # bounded: NUMBERED words, and under 4 / 3 * 2 ** HOT_BITS beginnings of each length
     top = frequent.groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(numbered_words + 1).select("key").toArrow()["key"].to_numpy()
     complete = len(top) <= numbered_words
     numbered = np.sort(top[:numbered_words].astype(np.int64).view(np.uint64))
-    heavy = counts.where("kind > 0").groupBy("kind", "key").agg(F.sum("n").alias("n")).where(F.col("n") >= too_many * 3 // 4).select("kind", "key").toArrow()
+    heavy = counts.where("kind > 0").where(F.col("n") >= too_many * 3 // 4).select("kind", "key").toArrow()
     kinds, keys = heavy["kind"].to_numpy(), heavy["key"].to_numpy().astype(np.int64).view(np.uint64)
     hot = [np.sort(keys[kinds == d]) for d in range(1, DEPTH)]
     routed_rows = rows.mapInArrow(_route(numbered, complete, hot, size // bucket + 1), "bucket bigint, lang string, codes binary, weights binary, depths binary, hashes binary")
