@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cutlight.llm import chat, collocations, exact_dedup, html_wrapper, jaccard_join, mixing, resampling, secret_scan, tiling, token_store, toxicity, url_filter
+from cutlight.llm import chat, collocations, exact_dedup, html_wrapper, jaccard_join, mixing, packing, resampling, secret_scan, tiling, token_store, toxicity, url_filter
 from cutlight.llm.scratch import materialise
 
 
@@ -13,10 +13,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,12 +71,16 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op13_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_pieces(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_html_extraction, op2_source_mixing, op3_exact_dedup, op4_url_filters, op5_benchmark_decontamination,
         op6_token_output, op7_secret_scans, op8_ngram_jaccard_join, op9_chat_formatting, op10_toxicity,
-        op11_phrase_collocations, op12_importance_resampling,
+        op11_phrase_collocations, op12_importance_resampling, op13_sequence_packing,
     )
 }
 SQL: dict[str, str] = {
