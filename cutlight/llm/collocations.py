@@ -25,8 +25,8 @@ DEPTH, LEAST, TOP = 5, 100, 2000
 BLOCK, BUCKET, ROUTED = 1 << 19, 4_000_000, 1 << 17
 #: At most 2 ** HOT_BITS beginnings (and a third more) are routed by more words: the bound of what tasks are sent, 8 bytes each.
 HOT_BITS = 17
-#: Words that have a number of 16 bits in routed suffixes, the most frequent ones; any other goes by its hash.
-NUMBERED, BY_HASH = 65_534, 65_535
+#: Words that have a number in routed suffixes, the most frequent ones: the bound of what tasks are sent, 12 bytes each. Any other word goes by its hash.
+NUMBERED, BY_HASH = (1 << 20) - 1, 1 << 20
 _PIECE = np.zeros(256, bool)
 _PIECE[[*b".,;:!?", *range(10, 14)]] = True
 _GAP = _PIECE.copy()
@@ -114,21 +114,24 @@ def _count(often: float):
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches):
-            own = words.mix(block.hashes + _lang_hashes(block.langs)[block.lang])
-            _, at, n = np.unique(own, return_index=True, return_counts=True)
+            suffixes = _suffixes(block.hashes, block.begins)
+            beginnings = _beginnings(_lang_hashes(block.langs)[block.lang], suffixes[:-1])
+            own, at, of, n = np.unique(next(beginnings), return_index=True, return_inverse=True, return_counts=True)
             order = np.argsort(at)
-            at, n = at[order], n[order]
-            langs = pa.array(block.langs)
+            langs, at = pa.array(block.langs), at[order]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(len(at), np.int32)), langs.take(pa.array(block.lang[at])), pa.array(block.text(at)), pa.array(block.hashes[at].view(np.int64)), pa.array(n)],
+                [pa.array(np.zeros(len(at), np.int32)), langs.take(pa.array(block.lang[at])), pa.array(block.text(at)), pa.array(block.hashes[at].view(np.int64)), pa.array(n[order])],
                 names=["kind", "lang", "word", "key", "n"],
             )
-            suffixes = _suffixes(block.hashes, block.begins)
-            for d, key in enumerate(_beginnings(_lang_hashes(block.langs)[block.lang], suffixes[:-1]), 1):
-                keys, n = np.unique(key[suffixes[d - 1] > 0], return_counts=True)
-                keys, n = keys[n * often > len(block)], n[n * often > len(block)]
-                none = pa.nulls(len(keys), pa.string())
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), d, np.int32)), none, none, pa.array(keys.view(np.int64)), pa.array(n)], names=["kind", "lang", "word", "key", "n"])
+            left = np.arange(len(block))
+            for d in range(1, DEPTH):  # a frequent beginning begins with a frequent one
+                if d > 1:
+                    left = left[suffixes[d - 1][left] > 0]
+                    own, of, n = np.unique(next(beginnings)[left], return_inverse=True, return_counts=True)
+                heavy = n * often > len(block)
+                none = pa.nulls(int(heavy.sum()), pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(none), d, np.int32)), none, none, pa.array(own[heavy].view(np.int64)), pa.array(n[heavy])], names=["kind", "lang", "word", "key", "n"])
+                left = left[heavy[of]]
 
     return count
 
@@ -139,45 +142,63 @@ def _has(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return table[np.minimum(np.searchsorted(table, keys), len(table) - 1)] == keys
 
 
-def _route(numbered: np.ndarray, complete: bool, hot: list[np.ndarray], buckets: int):
-    """numbered: sorted hashes of the words with a number; complete: any other word is too rare; hot: for depth 1 to 4 the beginnings that take one word more."""
+def _packed(codes: np.ndarray, n: np.ndarray, depth: np.ndarray, hashes: np.ndarray) -> bytes:
+    """Columns of bytes: of codes (uint32, the fourth byte is 0), of n (uint32), depth (uint8); hashes of the codes BY_HASH, row by row."""
+    planes = [np.ascontiguousarray(x.astype("<u4")).view(np.uint8).reshape(-1, 4)[:, :k].T.tobytes() for x, k in [*((c, 3) for c in codes.T), (n, 4)]]
+    raw = b"".join([*planes, depth.tobytes(), hashes.astype("<u8").tobytes()])
+    return len(codes).to_bytes(8, "little") + len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    rows, size = int.from_bytes(data[:8], "little"), int.from_bytes(data[8:16], "little")
+    raw = np.frombuffer(pa.decompress(data[16:], size, "zstd", asbytes=True), np.uint8)
+    columns, at = [], 0
+    for k in (*[3] * DEPTH, 4):
+        wide = np.zeros((rows, 4), np.uint8)
+        wide[:, :k] = raw[at : at + k * rows].reshape(k, rows).T
+        columns.append(wide.view("<u4")[:, 0])
+        at += k * rows
+    return np.stack(columns[:-1], 1), columns[-1], raw[at : at + rows], np.frombuffer(raw[at + rows :].tobytes(), "<u8")
+
+
+def _route(numbered: np.ndarray, number: np.ndarray, hot: list[np.ndarray], buckets: int):
+    """numbered: sorted hashes of the words with a number, number: theirs, from 1; hot: for depth 1 to 4 the beginnings that are routed by one word more."""
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches):
-            begins = block.begins.copy()
-            known = _has(numbered, block.hashes)
-            if complete:  # no phrase reaches over a rare word
-                begins |= ~known
-                begins[1:] |= ~known[:-1]
-            suffixes = _suffixes(block.hashes, begins)
-            some = np.flatnonzero(suffixes[1])  # words alone are counted already
-            suffixes, lang = [x[some] for x in suffixes], block.lang[some]
-            depth, whole, routed = np.ones(len(some), np.uint8), None, None
+            suffixes = _suffixes(block.hashes, block.begins)
+            at = np.flatnonzero(suffixes[1])  # words alone are counted already
+            if not len(at):
+                continue
+            code = np.full(len(block), BY_HASH, np.uint32)
+            if len(numbered):
+                place = np.minimum(np.searchsorted(numbered, block.hashes), len(numbered) - 1)
+                code = np.where(numbered[place] == block.hashes, number[place], np.uint32(BY_HASH))
+            suffixes, lang = [x[at] for x in suffixes], block.lang[at]
+            depth, whole, routed = np.ones(len(at), np.uint8), None, None
             for d, key in enumerate(_beginnings(_lang_hashes(block.langs)[lang], suffixes), 1):
                 here = depth == d
                 routed = key if d == 1 else np.where(here, key, routed)
                 if d < DEPTH:
                     depth[here & _has(hot[d - 1], key)] += 1
                 whole = key
-            _, at, n = np.unique(whole, return_index=True, return_counts=True)  # equal suffixes travel once
-            group = (routed[at] % np.uint64(buckets)).astype(np.int64) * len(block.langs) + lang[at]
-            code = np.zeros((len(at), DEPTH), np.uint16)
-            for d, word in enumerate(suffixes):
-                word = word[at]
-                code[:, d] = np.where(word == 0, 0, np.where(_has(numbered, word), np.searchsorted(numbered, word) + 1, BY_HASH))
-            order = np.lexsort((code[:, 1], code[:, 0], group))
-            group, code, n, depth, at = group[order], code[order], n[order].astype("<u4"), depth[at[order]], at[order]
-            by_hash = code == BY_HASH
-            upto = np.append(0, np.cumsum(by_hash.sum(1)))
-            hashes = np.stack([x[at] for x in suffixes], 1)[by_hash].astype("<u8")
+            group = (routed % np.uint64(buckets)).astype(np.int64) * len(block.langs) + lang
+            codes = np.stack([np.where(x > 0, code[np.minimum(at + d, len(code) - 1)], np.uint32(0)) for d, x in enumerate(suffixes)], 1)
+            near = (codes[:, 0].astype(np.uint64) << np.uint64(43)) | (codes[:, 1].astype(np.uint64) << np.uint64(22)) | (whole >> np.uint64(42))
+            order = np.lexsort((near, group))
+            group, whole = group[order], whole[order]
+            first = np.flatnonzero(np.append(True, (whole[1:] != whole[:-1]) | (group[1:] != group[:-1])))  # equal suffixes travel once
+            n, order, group = np.diff(np.append(first, len(order))).astype("<u4"), order[first], group[first]
+            codes, depth = codes[order], depth[order]
+            by_hash = codes == BY_HASH
+            hashes, upto = np.stack([x[order] for x in suffixes], 1)[by_hash], np.append(0, np.cumsum(by_hash.sum(1)))
             cuts = np.append(np.flatnonzero(np.diff(group, prepend=-1)), len(group)).tolist()
-            rows: list[list] = [[], [], [], [], [], []]
+            rows: list[list] = [[], [], []]
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                row = (int(group[a]) // len(block.langs), block.langs[int(group[a]) % len(block.langs)], code[a:b].astype("<u2").T.tobytes(), n[a:b].tobytes(), depth[a:b].tobytes(), hashes[upto[a] : upto[b]].tobytes())
-                for column, value in zip(rows, row, strict=True):
-                    column.append(value)
-            kinds = [pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(r, k) for r, k in zip(rows, kinds, strict=True)], names=["bucket", "lang", "codes", "weights", "depths", "hashes"])
+                rows[0].append(int(group[a]) // len(block.langs))
+                rows[1].append(block.langs[int(group[a]) % len(block.langs)])
+                rows[2].append(_packed(codes[a:b], n[a:b], depth[a:b], hashes[upto[a] : upto[b]]))
+            yield pa.RecordBatch.from_arrays([pa.array(r, k) for r, k in zip(rows, (pa.int64(), pa.string(), pa.binary()), strict=True)], names=["bucket", "lang", "suffixes"])
 
     return route
 
@@ -230,21 +251,20 @@ def equal_partitions(ids: np.ndarray, weight: np.ndarray, partial: np.ndarray, l
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
-def _phrases(numbered: np.ndarray, least: int):
+def _phrases(words_of: np.ndarray, least: int):
+    """words_of: the hash of each number, 0 for number 0."""
+
     def phrases(table: pa.Table) -> pa.Table:
-        codes = np.concatenate([np.frombuffer(x, "<u2").reshape(DEPTH, -1).T for x in table["codes"].to_pylist()])
-        weight = np.frombuffer(b"".join(table["weights"].to_pylist()), "<u4")
-        depths = np.frombuffer(b"".join(table["depths"].to_pylist()), np.uint8)
-        by_hash = codes == BY_HASH
-        hashes = np.zeros(codes.shape, np.uint64)
-        hashes[by_hash] = np.frombuffer(b"".join(table["hashes"].to_pylist()), "<u8")
-        own = (codes > 0) & ~by_hash
-        hashes[own] = numbered[codes[own].astype(np.int64) - 1]
+        codes, weight, depths, hashes = (np.concatenate(x) for x in zip(*map(_unpacked, table["suffixes"].to_pylist()), strict=True))
+        own, place = np.unique(hashes, return_inverse=True)
+        codes[codes == BY_HASH] = BY_HASH + place
         # beginnings of fewer words than the suffix was routed by are in other buckets too
-        row, depth, n = equal_partitions(hashes, weight, depths, least)
+        row, depth, n = equal_partitions(codes, weight, depths, least)
         row, depth, n = row[depth > 1], depth[depth > 1], n[depth > 1]
-        inside = np.arange(DEPTH) < depth[:, None]
-        lists = pa.ListArray.from_arrays(np.append(0, np.cumsum(depth)).astype(np.int32), pa.array(hashes[row][inside].view(np.int64)))
+        found = codes[row][np.arange(DEPTH) < depth[:, None]]
+        spelled = words_of[np.where(found < BY_HASH, found, 0)]
+        spelled[found >= BY_HASH] = own[found[found >= BY_HASH] - BY_HASH]
+        lists = pa.ListArray.from_arrays(np.append(0, np.cumsum(depth)).astype(np.int32), pa.array(spelled.view(np.int64)))
         return pa.table({"lang": pa.array([table["lang"][0].as_py()] * len(row), pa.string()), "words": lists, "n": pa.array(n, pa.int64())})
 
     return phrases
@@ -272,14 +292,13 @@ def count_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     if not frequent.groupBy("lang", "key").count().where("count > 1").isEmpty():
         raise RuntimeError("two words have one hash")
     # bounded: NUMBERED words, and under 4 / 3 * 2 ** HOT_BITS beginnings of each length
-    top = frequent.groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(numbered_words + 1).select("key").toArrow()["key"].to_numpy()
-    complete = len(top) <= numbered_words
-    numbered = np.sort(top[:numbered_words].astype(np.int64).view(np.uint64))
+    top = of_words.groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(numbered_words).select("key").toArrow()["key"].to_numpy().astype(np.int64).view(np.uint64)
+    by_hash = np.argsort(top)
     heavy = counts.where("kind > 0").where(F.col("n") >= too_many * 3 // 4).select("kind", "key").toArrow()
     kinds, keys = heavy["kind"].to_numpy(), heavy["key"].to_numpy().astype(np.int64).view(np.uint64)
     hot = [np.sort(keys[kinds == d]) for d in range(1, DEPTH)]
-    routed_rows = rows.mapInArrow(_route(numbered, complete, hot, size // bucket + 1), "bucket bigint, lang string, codes binary, weights binary, depths binary, hashes binary")
-    parts = routed_rows.groupBy("bucket", "lang").applyInArrow(_phrases(numbered, least), "lang string, words array<bigint>, n bigint")
+    routed_rows = rows.mapInArrow(_route(top[by_hash], (by_hash + 1).astype(np.uint32), hot, size // bucket + 1), "bucket bigint, lang string, suffixes binary")
+    parts = routed_rows.groupBy("bucket", "lang").applyInArrow(_phrases(np.append(np.uint64(0), top), least), "lang string, words array<bigint>, n bigint")
     phrases = materialise(parts.groupBy("lang", "words").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "phrases")
     return totals, frequent, phrases
 
