@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cutlight.operators.intervals import overlapping
+from cutlight.sources.versions import closed, drop
 
 #: Seconds of a window: least, wanted, most; seconds at a title's ends that no window begins or ends in.
 LEAST, NOMINAL, MOST, GUARD = 45.0, 60.0, 75.0, 30.0
@@ -124,19 +125,9 @@ class WindowRegistry:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def _folder(self):
-        jvm = self.spark._jvm
-        at = jvm.org.apache.hadoop.fs.Path(self.path)
-        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
-
     def versions(self) -> list[int]:
         """Numbers of the closed versions, rising."""
-        fs, path = self._folder()
-        if not fs.exists(path(self.path)):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(path(self.path))]
-        numbers = [int(n.removeprefix("version=")) for n in names if n.startswith("version=")]
-        return sorted(n for n in numbers if fs.exists(path(f"{self.path}/version={n}/_SUCCESS")))
+        return closed(self.spark, self.path, "version")
 
     def read(self) -> DataFrame:
         """The rows of the last closed version; none before the first one."""
@@ -151,9 +142,8 @@ class WindowRegistry:
         number = found[-1] + 1 if found else 1
         columns = [f.name for f in self.spark.createDataFrame([], _REGISTRY).schema.fields]
         rows.select(*columns).write.mode("overwrite").parquet(f"{self.path}/version={number}")
-        fs, path = self._folder()
         for old in found[:-1]:
-            fs.delete(path(f"{self.path}/version={old}"), True)
+            drop(self.spark, f"{self.path}/version={old}")
         return self.read()
 
     def select(self, segments: DataFrame, durations: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cutlight import fixtures as fx
@@ -22,7 +22,7 @@ def _scratch(spark: SparkSession) -> str:
 def _log(spark: SparkSession, d: str) -> DataFrame:
     """The log with one number for the order of rows of one time."""
     x = fx.stage_log(spark, d)
-    return x.select("movie_id", "event_id", "stage", "ts_us", (F.col("fingerprint") * 100000000000 + F.col("l_suppkey") * 10000000 + F.floor(F.col("l_extendedprice"))).cast("bigint").alias("seq"), "status")
+    return x.select("movie_id", "event_id", "stage", "ts_us", (F.col("fingerprint") * 100000000000 + F.col("l_suppkey") * 10000000 + F.floor(F.col("l_extendedprice"))).cast("bigint").alias("seq"), "status", "fingerprint")
 
 
 _SEQ = "CAST(fingerprint * 100000000000 + l_suppkey * 10000000 + floor(l_extendedprice) AS BIGINT)"
@@ -30,12 +30,45 @@ _SEQ = "CAST(fingerprint * 100000000000 + l_suppkey * 10000000 + floor(l_extende
 
 @query(with_(f"SELECT movie_id, event_id, stage, arg_max(status, (ts_us, {_SEQ})) AS status, max(ts_us) AS ts_us FROM lg GROUP BY ALL", "lg"))
 def x01_stream_latest_state(spark: SparkSession, d: str) -> DataFrame:
+    return sl.read_states(spark, _states(spark, d))
+
+
+def _states(spark: SparkSession, d: str) -> str:
+    """The log in two parts, each read by a run of its own."""
     at = _scratch(spark)
     log = _log(spark, d)
-    log.repartition(6, "event_id").write.parquet(f"{at}/log")
-    stream = sl.read_log(spark, f"{at}/log", ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in log.schema.fields))
-    sl.upsert_states(stream, f"{at}/states", f"{at}/checkpoint")
-    return sl.read_states(spark, f"{at}/states")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in log.schema.fields)
+    for part in (0, 1):
+        log.where(F.pmod("seq", F.lit(2)) == part).repartition(6, "event_id").write.mode("append").parquet(f"{at}/log")
+        sl.upsert_states(sl.read_log(spark, f"{at}/log", schema), f"{at}/states", f"{at}/checkpoint", 3)
+    return f"{at}/states"
+
+
+@query(with_("SELECT", "lg").removesuffix("\nSELECT") + f""", st AS (SELECT movie_id, event_id, stage, max(ts_us) AS ts_us, arg_max(struct_pack(s := status, f := fingerprint), (ts_us, {_SEQ})) AS x FROM lg GROUP BY ALL),
+cur AS (SELECT movie_id, event_id, arg_max(fingerprint, (ts_us, {_SEQ})) AS c FROM lg GROUP BY ALL)
+SELECT movie_id, event_id, stage, ts_us, CASE WHEN x.s = 'RUNNING' THEN 'FAILED_RETRYABLE' WHEN x.s = 'COMPLETE' AND x.f <> c THEN 'STALE' ELSE x.s END AS status FROM st JOIN cur USING (movie_id, event_id)""")
+def x01_stream_stage_state(spark: SparkSession, d: str) -> DataFrame:
+    return sl.read_corrected(spark, _states(spark, d))
+
+
+_ORDER = "ts_us, event_id, fingerprint, l_suppkey, l_extendedprice"
+
+
+@query(with_(f"SELECT movie_id, status, min(ts_us) AS started, count(*) AS n FROM (SELECT *, sum(n) OVER (PARTITION BY movie_id ORDER BY {_ORDER}) AS run FROM (SELECT *, CASE WHEN lag(status) OVER (PARTITION BY movie_id ORDER BY {_ORDER}) = status THEN 0 ELSE 1 END AS n FROM lg)) WHERE starts_with(status, 'FAILED') GROUP BY movie_id, run, status HAVING count(*) >= 3", "lg"))
+def x03_stream_failure_streaks(spark: SparkSession, d: str) -> DataFrame:
+    """The log in four stretches of time; after two of them the stream stops, and goes on with a stretch that it has read before."""
+    at = _scratch(spark)
+    by = Window.partitionBy("movie_id").orderBy("ts_us", "event_id", "fingerprint", "l_suppkey", "l_extendedprice")
+    log = fx.stage_log(spark, d).withColumn("seq", F.row_number().over(by).cast("bigint"))
+    log = log.withColumn("stretch", F.floor((F.col("seq") - 1) * 4 / F.max("seq").over(Window.partitionBy("movie_id")))).select("movie_id", "seq", "ts_us", "status", "stretch")
+    log.write.partitionBy("stretch").parquet(f"{at}/all")
+    all_ = spark.read.parquet(f"{at}/all")
+    for stretches in ((0, 1), (1, 2, 3)):
+        for n in stretches:
+            all_.where(F.col("stretch") == n).drop("stretch").repartition(2, "movie_id").write.mode("append").parquet(f"{at}/log")
+        out = sl.failure_streaks(sl.read_log(spark, f"{at}/log", "movie_id bigint, seq bigint, ts_us bigint, status string"), 3)
+        out.writeStream.format("parquet").outputMode("append").option("path", f"{at}/out").option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return sl.longest(spark.read.schema(out.schema).parquet(f"{at}/out")).select("movie_id", "status", "started", "n")
 
 
 def _stamped(spark: SparkSession, d: str) -> DataFrame:

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
+
+from cutlight.operators.operations import stage_state
+from cutlight.sources.versions import closed, drop
 
 #: How late a row may come where time closes a window (latest states take rows of any age).
 LATENESS = "10 minutes"
@@ -15,28 +20,101 @@ def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def latest(rows: DataFrame) -> DataFrame:
-    """movie_id, event_id, stage, ts_us, seq, status: the row of each stage with the greatest (ts_us, seq)."""
+    """movie_id, event_id, stage, ts_us, seq, status, fingerprint: the row of each stage with the greatest (ts_us, seq)."""
     at = F.struct("ts_us", "seq")
-    g = rows.groupBy("movie_id", "event_id", "stage").agg(F.max(at).alias("at"), F.max_by("status", at).alias("status"))
-    return g.select("movie_id", "event_id", "stage", "at.ts_us", "at.seq", "status")
+    g = rows.groupBy("movie_id", "event_id", "stage").agg(F.max(at).alias("at"), F.max_by(F.struct("status", "fingerprint"), at).alias("s"))
+    return g.select("movie_id", "event_id", "stage", "at.ts_us", "at.seq", "s.status", "s.fingerprint")
+
 
+#: Batches whose rows stand by themselves before they are merged into one base.
+DELTAS = 8
 
-def upsert_states(log: DataFrame, target: str, checkpoint: str) -> None:
-    """Reduce each micro-batch of all there is to the latest row a stage, under target (Parquet, one folder a batch).
 
-    State is the greatest (ts_us, seq), so neither the order of arrival nor a replayed batch changes it: a batch
-    that runs again overwrites its own folder.
+def upsert_states(log: DataFrame, target: str, checkpoint: str, deltas: int = DELTAS) -> None:
+    """Reduce each micro-batch of all there is to the latest row a stage, under target.
+
+    target holds one base (the latest rows of all batches up to its number) and a delta for each batch behind it; every
+    deltas batches they become the next base, and what it replaces goes. So what is read and kept follows the number of stages, not that
+    of batches. State is the greatest (ts_us, seq): neither the order of arrival nor a replayed batch changes it; a batch that
+    runs again writes over its own delta, or is in the base already. A base that was not closed is not read.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        latest(batch).write.mode("overwrite").parquet(f"{target}/batch={number}")
+        spark = batch.sparkSession
+        bases = closed(spark, target, "base")
+        if bases and number <= bases[-1]:
+            return
+        latest(batch).write.mode("overwrite").parquet(f"{target}/delta={number}")
+        waiting = [n for n in closed(spark, target, "delta") if not bases or n > bases[-1]]
+        if len(waiting) >= deltas:
+            latest(_rows(spark, target)).write.mode("overwrite").parquet(f"{target}/base={number}")
+            for kind, numbers in (("delta", closed(spark, target, "delta")), ("base", bases[:-1])):
+                for n in numbers:
+                    drop(spark, f"{target}/{kind}={n}")
 
     log.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+_STATE = "movie_id bigint, event_id bigint, stage string, ts_us bigint, seq bigint, status string, fingerprint bigint"
+
+
+def _rows(spark: SparkSession, target: str) -> DataFrame:
+    bases = closed(spark, target, "base")
+    parts = [f"{target}/base={n}" for n in bases[-1:]] + [f"{target}/delta={n}" for n in closed(spark, target, "delta") if not bases or n > bases[-1]]
+    return spark.read.schema(_STATE).parquet(*parts) if parts else spark.createDataFrame([], _STATE)
+
+
 def read_states(spark: SparkSession, target: str) -> DataFrame:
-    """movie_id, event_id, stage, status, ts_us: the latest of what upsert_states has written."""
-    return latest(spark.read.parquet(target)).select("movie_id", "event_id", "stage", "status", "ts_us")
+    """movie_id, event_id, stage, status, ts_us: the latest of what upsert_states has written, as the log says it."""
+    return latest(_rows(spark, target)).select("movie_id", "event_id", "stage", "status", "ts_us")
+
+
+def read_corrected(spark: SparkSession, target: str) -> DataFrame:
+    """read_states with the corrections of operations.stage_state: an event's latest row is the latest of its stages."""
+    return stage_state(latest(_rows(spark, target)), ["seq"])
+
+
+def failure_streaks(log: DataFrame, least: int = 5, forget: str | None = None) -> DataFrame:
+    """Runs of identical failures in each title's log, unbroken by anything else, as they grow: movie_id, run, status, started, n.
+
+    log: movie_id, seq (rising in a title's log), ts_us, status. A keyed state holds a title's open run and the seq it has read: rows up to it
+    have been counted and are skipped, so a replay changes nothing. A run of at least least rows has a row for each batch that lengthens it; the
+    greatest n is its length. forget ("30 days"): a title without rows for so long loses its state; for streams that run on, as one that
+    stops at the end of its input would wait for that time.
+    """
+    wait = int(pd.Timedelta(forget).total_seconds() * 1000) if forget else None
+
+    def step(key: tuple, chunks, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        seq, status, started, n, run = state.get if state.exists else (-1, None, 0, 0, 0)
+        rows = pd.concat(list(chunks))
+        rows = rows[rows["seq"] > seq].drop_duplicates("seq").sort_values("seq")
+        out = []
+        for at, ts, now in zip(rows["seq"].tolist(), rows["ts_us"].tolist(), rows["status"].tolist(), strict=True):
+            if now == status:
+                n += 1
+            else:
+                if n >= least and status.startswith("FAILED"):
+                    out.append((key[0], run, status, started, n))
+                status, started, n, run = now, ts, 1, run + 1
+            seq = at
+        if n >= least and status.startswith("FAILED"):
+            out.append((key[0], run, status, started, n))
+        state.update((seq, status, started, n, run))
+        if wait:
+            state.setTimeoutDuration(wait)
+        yield pd.DataFrame(out, columns=["movie_id", "run", "status", "started", "n"])
+
+    keyed = log.select("movie_id", "seq", "ts_us", "status").groupBy("movie_id")
+    kind = "seq bigint, status string, started bigint, n bigint, run bigint"
+    return keyed.applyInPandasWithState(step, "movie_id bigint, run bigint, status string, started bigint, n bigint", kind, "append", GroupStateTimeout.ProcessingTimeTimeout if forget else GroupStateTimeout.NoTimeout)
+
+
+def longest(streaks: DataFrame) -> DataFrame:
+    """One row a run of what failure_streaks has put out."""
+    return streaks.groupBy("movie_id", "run").agg(F.max_by("status", "n").alias("status"), F.min("started").alias("started"), F.max("n").alias("n"))
 
 
 def stale_titles(log: DataFrame, after: str = "1800 seconds") -> DataFrame:
