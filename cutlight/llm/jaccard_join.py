@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from cutlight.llm import words
 from cutlight.llm.graph import connected_components
-from cutlight.llm.scratch import materialise, ship
+from cutlight.llm.scratch import free, materialise, ship
 
 #: Words of a shingle, and the similarity in hundredths.
 SHINGLE, PERCENT = 5, 75
@@ -385,6 +385,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without near duplicates: of each component the row with the least doc_id stays (all rows without text or id stay)."""
     groups = near_duplicates(docs, id_col, text_col)
-    drop = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_drop")).distinct()
-    kept = docs.join(drop, docs[id_col].cast("bigint") == F.col("_drop"), "left_anti")
-    return kept
+    of = free(docs, "_drop")
+    drop = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(of)).distinct()
+    return docs.join(drop, docs[id_col].cast("bigint") == F.col(of), "left_anti")

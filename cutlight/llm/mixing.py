@@ -88,24 +88,28 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     matched by doc_id, source and text; rows that agree in all three stand in for one another.
     """
     taken = materialise(mix(docs, id_col, text_col, source_col, **shares).where("full > 0 or part > 0"), "taken")
-    same = lambda a, b: a.eqNullSafe(b)
-    keyed = docs.withColumn("_tag", _tag(text_col))
-    plan = taken.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("tag").alias("_of")).agg(F.sort_array(F.collect_list(F.struct("full", "part")), asc=False).alias("_takes"))
-    on = same(F.col(id_col).cast("bigint"), F.col("_id")) & same(F.col(source_col).cast("string"), F.col("_source")) & (F.col("_tag") == F.col("_of"))
-    one = keyed.join(plan.where(F.size("_takes") == 1).withColumn("_take", F.col("_takes")[0]).drop("_takes"), on)
-    several = plan.where(F.size("_takes") > 1)
+    # the row as it is in one column, so that its names cannot meet those of the columns beside it
+    whole = F.struct(*[docs[f"`{c}`"].alias(c) for c in docs.columns]).alias("row")
+    keyed = docs.select(whole, docs[id_col].cast("bigint").alias("id"), docs[source_col].cast("string").alias("source"), _tag(text_col).alias("tag"))
+    plan = taken.groupBy("doc_id", F.col("source").alias("of_source"), F.col("tag").alias("of_tag")).agg(F.sort_array(F.collect_list(F.struct("full", "part")), asc=False).alias("takes"))
+    on = F.col("id").eqNullSafe(F.col("doc_id")) & F.col("source").eqNullSafe(F.col("of_source")) & (F.col("tag") == F.col("of_tag"))
+    one = keyed.join(plan.where(F.size("takes") == 1), on).select("row", F.col("takes")[0].alias("take"))
+    several = plan.where(F.size("takes") > 1)
     if not several.isEmpty():
-        nth = F.row_number().over(Window.partitionBy("_id", "_source", "_of").orderBy(F.lit(0)))
-        more = keyed.join(several, on).withColumn("_n", nth)
-        one = one.unionByName(more.withColumn("_take", F.get("_takes", F.col("_n") - 1)).drop("_n", "_takes").where("_take is not null"))
-    copies = F.array_repeat(F.lit(False), F.col("_take.full").cast("int"))
-    cut = F.when(F.col("_take.part") > 0, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>"))
-    out = one.withColumn("_cut", F.explode(F.concat(copies, cut)))
-    first = F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0)), F.lit(1), F.col("_take.part").cast("int")), "")
-    out = out.withColumn(text_col, F.when(F.col("_cut"), first).otherwise(F.col(text_col)))
+        nth = F.row_number().over(Window.partitionBy("id", "source", "tag").orderBy(F.xxhash64("row")))
+        more = keyed.join(several, on).withColumn("n", nth)
+        one = one.unionByName(more.select("row", F.get("takes", F.col("n") - 1).alias("take")).where("take is not null"))
+    copies = F.array_repeat(F.lit(False), F.col("take.full").cast("int"))
+    cut = F.when(F.col("take.part") > 0, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>"))
+    out = one.withColumn("cut", F.explode(F.concat(copies, cut)))
+    field = F.col("row").getField
+    first = F.array_join(F.slice(F.regexp_extract_all(field(text_col), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0)), F.lit(1), F.col("take.part").cast("int")), "")
+    text = F.when(F.col("cut"), first).otherwise(field(text_col))
+    as_it_is = {c: field(c) for c in docs.columns}
+    as_it_is[text_col] = text
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_cut"), F.length(text_col).cast("bigint")).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        as_it_is["n_chars"] = F.when(F.col("cut"), F.length(text).cast("bigint")).otherwise(field("n_chars"))
+    return out.select(*[v.alias(c) for c, v in as_it_is.items()])
 
 
 ORACLE = """

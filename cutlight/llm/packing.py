@@ -24,7 +24,7 @@ from cutlight.llm.scratch import materialise, ship
 #: Ids of a sequence; the id that ends a document; bytes of text of a group; seed of the groups.
 LENGTH, END, GROUP, SEED = 1024, 0, 8_000_000, 7
 #: Bytes of text that are split at once; distinct tokens of text that a worker keeps before it begins anew.
-SLICE, CACHE = 1 << 19, 1_000_000
+SLICE, CACHE = 1 << 19, 500_000
 _LETTER, _NUMBER, _OTHER, _SPACE = 1, 2, 3, 4
 _VALUE = words.mix((np.arange(1, 257, dtype=np.uint64) * np.uint64(words._BASE)))
 _ALNUM = np.array([chr(i).isalnum() and i < 128 for i in range(256)])

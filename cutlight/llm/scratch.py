@@ -21,6 +21,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return cut(df, name)
 
 
+def free(df: DataFrame, name: str) -> str:
+    """name, with underscores before it until df has no such column, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def ship(spark: SparkSession) -> None:
     """Send the package's source to the executors, once a session: tasks import it wherever the driver found it."""
     sc = spark.sparkContext

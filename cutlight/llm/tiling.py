@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cutlight.llm import words
-from cutlight.llm.scratch import materialise, ship
+from cutlight.llm.scratch import free, materialise, ship
 
 #: Least words of a tile (an item with fewer words is one tile of its own length); least words of an item: one or two words name nothing;
 #: least share of an item's words.
@@ -143,5 +143,6 @@ def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", covera
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", coverage: float = COVERAGE, **names) -> DataFrame:
     """Rows of docs without those that hold a benchmark item; rows that share a null or repeated doc_id go together."""
-    bad = materialise(contamination(docs, benchmark, coverage, id_col=id_col, **names), "contamination").select(F.col("doc_id").alias("_bad"))
-    return docs.join(bad, docs[id_col].cast("bigint").eqNullSafe(F.col("_bad")), "left_anti")
+    of = free(docs, "_bad")
+    bad = materialise(contamination(docs, benchmark, coverage, id_col=id_col, **names), "contamination").select(F.col("doc_id").alias(of))
+    return docs.join(bad, docs[id_col].cast("bigint").eqNullSafe(F.col(of)), "left_anti")

@@ -34,7 +34,7 @@ MAGIC = b"RPR1"
 END, SHARD, PAIRS, LEAST = 1, 1 << 21, 2300, 5
 _SLOTS = 18
 #: Distinct words that a task keeps before it begins anew.
-CACHE = 1_000_000
+CACHE = 500_000
 
 
 def _slot(key: np.ndarray) -> np.ndarray:

@@ -63,6 +63,16 @@ def _present(texts: pa.Array, terms: np.ndarray) -> Iterator[tuple[int, int, np.
         yield first, end, pairs // max(len(terms), 1), pairs % max(len(terms), 1)
 
 
+#: Rows that a task scores and hands on at once.
+ROWS = 2000
+
+
+def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(term, n): in how many of the task's documents each term is."""
     total: np.ndarray = np.zeros(0, np.uint64)
@@ -159,7 +169,7 @@ def held_out(id_col: str = "doc_id"):
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Fit on at most MOST_TOXIC and MOST_CLEAN labelled rows that are not held out.
 
-    A doc_id with several labels is toxic if one of them says so; null labels and ids are left out. Without rows of both classes every
+    A doc_id with several labels is toxic if one of them says so, one with several rows is one row of the sample; null labels and ids are left out. Without rows of both classes every
     score is the share of toxic rows.
     """
     ship(docs.sparkSession)
@@ -169,7 +179,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     present = known.join(rows.select(F.col("doc_id").alias("of")).distinct(), F.col("doc_id") == F.col("of"), "left_semi")
     pick = lambda toxic, n: present.where((F.col("toxic") > 0) == F.lit(toxic)).orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id").limit(n)
     picked = pick(True, MOST_TOXIC).union(pick(False, MOST_CLEAN)).withColumnRenamed("doc_id", "of")  # at most MOST_TOXIC + MOST_CLEAN rows
-    sample = materialise(rows.join(F.broadcast(picked), F.col("doc_id") == F.col("of")).select("text", (F.col("toxic") > 0).cast("int").alias("toxic")), "sample")
+    # rows that share a picked doc_id are one row of the sample, so that its bound holds
+    known_rows = rows.join(F.broadcast(picked), F.col("doc_id") == F.col("of")).groupBy("doc_id", "toxic").agg(F.max_by("text", F.xxhash64("text")).alias("text"))
+    sample = materialise(known_rows.select("text", (F.col("toxic") > 0).cast("int").alias("toxic")), "sample")
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     terms = np.zeros(0, np.uint64)
@@ -188,7 +200,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def _score(model: Model):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _small(batches):
             parts = [model.score(rows, of, end - first) for first, end, rows, of in _present(batch.column(batch.num_columns - 1), model.terms)]
             names = [*batch.schema.names[:-1], "score"]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.concatenate(parts) if parts else np.zeros(0))], names=names)
@@ -209,5 +221,5 @@ def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
     ship(docs.sparkSession)
     names = [f"_c{i}" for i in range(len(docs.columns))]
     kind = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, docs.schema.fields, strict=True))
-    with_text = docs.withColumn("_text", F.col(text_col).cast("string")).toDF(*names, "_text")
+    with_text = docs.select("*", docs[text_col].cast("string")).toDF(*names, "_text")
     return with_text.mapInArrow(_score(model), f"{kind}, score double").where("score < 0.5").select(*names).toDF(*docs.columns)

@@ -2,6 +2,7 @@ import corpus_pipeline
 from pyspark.sql import functions as F
 
 from cutlight.llm import jaccard_join, mixing, queries, tiling, token_store, toxicity
+from cutlight.llm.scratch import materialise
 
 SF = "/root/testdata/sf0.01"
 
@@ -56,3 +57,17 @@ def test_stages_on_odd_rows_and_on_none(spark, tmp_path):
         assert len(out) == now.count()
         if not rows:
             assert not out
+
+
+def test_names_that_stages_use_themselves(spark):
+    names = ["_text", "_drop", "_bad", "_tag", "_id", "_of", "_source", "_take", "_takes", "_cut", "_n", "_c0", "row", "take", "cut", "tag", "of", "score", "_Drop2"]
+    rows = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 60")
+    for name in names:
+        rows = rows.withColumn(name, F.concat(F.lit(f"{name}:"), F.col("doc_id").cast("string")))
+    docs = rows
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+        assert docs.columns == rows.columns
+        docs = materialise(docs, "named")
+        got = docs.collect()
+        assert got and all(r[name] == f"{name}:{r.doc_id}" for r in got for name in names)
