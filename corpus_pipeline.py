@@ -1,6 +1,6 @@
 """A corpus from documents to token files in five stages, each over all that the stage before it kept.
 
-Every stage but the last returns the columns it was given, whatever their names. Rows with null or empty texts are clean, alone in
+Every stage but the last returns the columns it was given, whatever their names (names that a stage uses for itself included). Rows with null or empty texts are clean, alone in
 their group and free of benchmark items; as they have no words, the mixture takes none of them. Rows that share a doc_id
 go or stay together, except that copies of one row are each counted in the mixture. Ties are broken by the least doc_id
 (groups) or by hash, size and text (mixture). Long texts are read whole. Empty tables give empty results.
