@@ -118,16 +118,68 @@ def replayed_moment(temporal: Column, utility: Column, context: Column, status:
     return F.struct(reason.alias("reason"), ok(cls).alias("utility_class"), ok(kind).alias("kind"), ok(F.array_min(frames)).alias("start_frame"), ok(F.array_max(frames) + 1).alias("end_frame"))
 
 
+def compatibility_projection(temporal: Column, utility: Column, conversation: Column, context: Column, status: Column, complete: Column, states: Column, ids: Column, samples: Column, shots: Column, event_start: Column, event_end: Column, replayed: Column) -> Column:
+    """What an older observation supports of a visual moment: struct(fields, missing, utility_class, kind, start_frame, end_frame, ids, saved).
+
+    fields: array of struct(name, value, derived_from, source_fields), each value with where it comes from; missing: what is not there, or the
+    reason of replayed (as replayed_moment() gives it) why all that is there makes no moment; the rest is the moment, null where something
+    is missing. Of a state across cuts without proof of continuity the longest cited span inside one shot stands (saved), the earlier of equal
+    ones, if it keeps the contract of moments. A conversation names a category, never strength or length. samples: array of
+    struct(sample_id, frame, shot_id); shots: array of struct(shot_id, start_frame, end_frame), in order.
+    """
+    alias = F.create_map(*[F.lit(x) for p in ALIASES.items() for x in p])
+    cls = F.when((utility == "generic_dialogue_only") & (conversation == "true"), "conversation_scene").otherwise(F.coalesce(alias[utility], utility))
+    rows = F.filter(samples, lambda s: F.array_contains(ids, s["sample_id"]))
+    frames = F.transform(rows, lambda s: s["frame"])
+    support = (F.size(F.array_distinct(ids)) == F.size(ids)) & (F.size(F.array_except(ids, F.transform(samples, lambda s: s["sample_id"]))) == 0) & (F.size(F.array_distinct(frames)) >= 2)
+    state = temporal & (status == "reusable_state") & (utility == "useful_state") & (F.size(states) > 0) & complete.isin("false", "unclear")
+    action = temporal & (status == "complete_action") & (complete == "true")
+    kind = F.when(state, "sustained_state").when(action, "complete_action")
+    known, clear = F.coalesce(cls.isin(*UTILITY_CLASSES), F.lit(False)), F.coalesce(context.isin("low", "medium"), F.lit(False))
+    absent = errors((~known, "missing_moment_utility_category"), (~F.coalesce(support, F.lit(False)), "missing_temporal_support"), (~clear, "missing_context_dependency_interpretation"), (kind.isNull(), "missing_action_or_sustained_state_assessment"))
+    # the longest cited span inside one shot
+    own = lambda shot: F.filter(rows, lambda s: s["shot_id"] == shot["shot_id"])
+    at = lambda rs: F.transform(rs, lambda s: s["frame"])
+    spans = F.transform(shots, lambda shot: F.struct((F.array_max(at(own(shot))) - F.array_min(at(own(shot)))).alias("length"), (-F.array_min(at(own(shot)))).alias("early"), F.transform(own(shot), lambda s: s["sample_id"]).alias("ids")))
+    span = F.array_max(F.filter(spans, lambda g: g["length"] > 0))
+    a, b = -span["early"], span["length"] - span["early"] + 1
+    none = F.lit(None).cast("string")
+    fits = F.size(moment_errors(a, b, event_start, event_end, F.lit("sustained_state"), complete, none, _none(), none, span["ids"], F.lit("supported"), samples, shots)) == 0
+    saved = F.coalesce((replayed["reason"] == "asset_cut_continuity_requires_visual_assessment") & (status == "reusable_state") & span.isNotNull() & fits, F.lit(False))
+    missing = F.when(F.size(absent) > 0, absent).when(replayed["reason"].isNull() | saved, _none()).otherwise(F.array(replayed["reason"]))
+    there = F.size(missing) == 0
+    origin = F.when(temporal, "temporal_v2").otherwise("existing_observation")
+
+    def field(name: str, value: Column, holds: Column, *paths: str, source: Column = origin) -> Column:
+        said = F.struct(F.lit(name).alias("name"), value.cast("string").alias("value"), source.alias("derived_from"), F.array(*[F.lit(x) for x in paths]).alias("source_fields"))
+        return F.when(F.coalesce(holds, F.lit(False)), said)
+
+    kind_from = F.when(state, F.array(F.lit("moment_status"), F.lit("visible_states"), F.lit("visual_utility_kind"))).otherwise(F.array(F.lit("moment_status")))
+    usable = F.when(kind.isNotNull(), F.struct(F.lit("moment_usability").alias("name"), F.lit("usable").alias("value"), origin.alias("derived_from"), kind_from.alias("source_fields")))
+    fields = F.array_compact(F.array(
+        field("utility_class", cls, known, "visual_utility_kind", "conversation_present"), field("visual_context_dependency", context, clear, "context_dependency"),
+        field("temporal_support", F.array_join(ids, ","), support, "temporal_support_sample_ids", "input_evidence.samples"), usable, field("moment_kind", kind, kind.isNotNull(), "moment_status"),
+        field("asset_window_eligibility", F.lit("true"), there, "event.technical_shots", "temporal_support_sample_ids", source=F.lit("deterministic_event_evidence")),
+    ))
+    ok = lambda v, w: F.when(there, F.when(saved, w).otherwise(v))
+    return F.struct(
+        fields.alias("fields"), missing.alias("missing"), ok(replayed["utility_class"], cls).alias("utility_class"), ok(replayed["kind"], F.lit("sustained_state")).alias("kind"), ok(replayed["start_frame"], a).alias("start_frame"), ok(replayed["end_frame"], b).alias("end_frame"),
+        ok(F.transform(rows, lambda s: s["sample_id"]), span["ids"]).alias("ids"), (there & saved).alias("saved"),
+    )
+
+
 def decide_reuse(observations: DataFrame, moments: DataFrame, fps: int) -> DataFrame:
     """movie_id, event_id, decision, reasons, windows (number), again (is another look wanted?).
 
-    observations: movie_id, event_id, known (is there a valid one?), flags (hard exclusions), same_event, errors, replay (reason why an older
-    one has no moments, or null), assessed, blocked (did the provider refuse this input?). moments: movie_id, ord (a title's order), event_id, moment and
+    observations: movie_id, event_id, known (is there a valid one?), flags (hard exclusions), same_event, errors, replay (the reasons why an older
+    one has no moments; none: empty or null), assessed, blocked (did the provider refuse this input?). moments: movie_id, ord (a title's order), event_id, moment and
     what asset_windows reads. Windows of earlier events suppress later ones; only events that no rule has
     settled take part. A blocked event that wants another look is PROVIDER_BLOCKED instead.
     """
+    if observations.schema["replay"].dataType.typeName() == "string":
+        observations = observations.withColumn("replay", F.array_compact(F.array("replay")))
     settled = (
-        F.when(~F.col("known"), "missing").when(F.size("flags") > 0, "flags").when(~F.col("same_event"), "mismatch").when(F.size("errors") > 0, "errors").when(F.col("replay").isNotNull(), "replay")
+        F.when(~F.col("known"), "missing").when(F.size("flags") > 0, "flags").when(~F.col("same_event"), "mismatch").when(F.size("errors") > 0, "errors").when(F.size("replay") > 0, "replay")
     )
     x = observations.withColumn("settled", settled)
     open_ = moments.join(x.where("settled is null").select("movie_id", "event_id"), ["movie_id", "event_id"], "left_semi")
@@ -138,7 +190,7 @@ def decide_reuse(observations: DataFrame, moments: DataFrame, fps: int) -> DataF
     unsure = (F.col("review") > 0) | ((F.col("suppressed") == 0) & ~F.col("assessed"))
     rules = [
         (F.col("settled") == "missing", "REVIEW", one("missing_valid_observation")), (F.col("settled") == "flags", "REJECT", F.transform("flags", lambda f: F.concat(F.lit("hard_exclusion:"), f))),
-        (F.col("settled") == "mismatch", "REVIEW", one("observation_event_mismatch")), (F.col("settled") == "errors", "REVIEW", F.col("errors")), (F.col("settled") == "replay", "REVIEW", F.array("replay")),
+        (F.col("settled") == "mismatch", "REVIEW", one("observation_event_mismatch")), (F.col("settled") == "errors", "REVIEW", F.col("errors")), (F.col("settled") == "replay", "REVIEW", F.col("replay")),
         (F.col("window") > 0, "KEEP", one("visually_reusable_moment")), (unsure, "REVIEW", one("visual_window_not_established")),
     ]
     decision, reasons = F.when(F.lit(False), ""), F.when(F.lit(False), _none())

@@ -15,6 +15,7 @@ from cutlight.operators import faces as fc
 from cutlight.operators import geometry as geo
 from cutlight.operators import reuse as ru
 from cutlight.registry import query
+from cutlight.session import cut
 
 _r = lambda c: F.round(F.col(c) + 1e-7, 4).alias(c)
 KINDS = ("complete_action", "composition", "reaction", "sustained_state", "unclear")
@@ -27,7 +28,7 @@ def _sql(names: tuple[str, ...], ctes: str, body: str) -> str:
     return with_("SELECT", *names).removesuffix("\nSELECT") + (f", {ctes}\n" if ctes else "\n") + body
 
 
-_EVENTS = f"""e0 AS (SELECT *, (shot_ord - 1) // 3 AS ev, movie_id * 10000 + (shot_ord - 1) // 3 AS event, lag(end_frame) OVER w AS pb, coalesce(interaction_id = lag(interaction_id) OVER w, false) OR coalesce(action_id = lag(action_id) OVER w, false) AS link FROM sh WHERE end_frame > start_frame WINDOW w AS (PARTITION BY movie_id, (shot_ord - 1) // 3 ORDER BY shot_ord)),
+_EVENTS = f"""e0 AS (SELECT *, (shot_ord - 1) // 3 AS ev, movie_id * 10000 + (shot_ord - 1) // 3 AS event, lag(end_frame) OVER w AS pb, coalesce(interaction_id = lag(interaction_id) OVER w, false) OR coalesce(action_id = lag(action_id) OVER w, false) OR coalesce(establishing_id = lag(establishing_id) OVER w, false) OR reverse_shot AS link FROM sh WHERE end_frame > start_frame WINDOW w AS (PARTITION BY movie_id, (shot_ord - 1) // 3 ORDER BY shot_ord)),
 e1 AS (SELECT movie_id, ev, event, min(start_frame) AS es, max(end_frame) AS ee, arg_min(k, shot_ord) AS k0, count(*) AS n, list(shot_id ORDER BY shot_ord) AS shot_ids, list(struct_pack(shot_id := shot_id, a := start_frame, b := end_frame, pb := pb, link := link) ORDER BY shot_ord) AS shots FROM e0 GROUP BY ALL),
 s0 AS (SELECT movie_id, ev, shot_ord, p, shot_id || ':' || p AS sample_id, CASE p WHEN 0 THEN start_frame WHEN 1 THEN (start_frame + end_frame - 1) // 2 ELSE end_frame - 1 END AS frame, shot_id, ['begin', 'middle', 'end'][p + 1] AS role FROM e0, unnest(range(0, 3)) t(p)),
 s1 AS (SELECT movie_id, ev, list(struct_pack(sample_id := sample_id, frame := frame, shot_id := shot_id, role := role) ORDER BY shot_ord, p) AS samples, list(sample_id ORDER BY shot_ord, p) AS all_ids FROM s0 GROUP BY ALL),
@@ -47,7 +48,7 @@ def _events(spark: SparkSession, d: str) -> DataFrame:
     by = Window.partitionBy("movie_id", "ev").orderBy("shot_ord")
     s = fx.shots(spark, d).where("end_frame > start_frame").withColumn("ev", F.floor((F.col("shot_ord") - 1) / 3))
     same = lambda c: F.coalesce(F.col(c) == F.lag(c).over(by), F.lit(False))
-    s = s.withColumn("pb", F.lag("end_frame").over(by)).withColumn("link", same("interaction_id") | same("action_id"))
+    s = s.withColumn("pb", F.lag("end_frame").over(by)).withColumn("link", same("interaction_id") | same("action_id") | same("establishing_id") | F.col("reverse_shot"))
     looks = [(F.col("start_frame"), "begin"), (F.floor((F.col("start_frame") + F.col("end_frame") - 1) / 2), "middle"), (F.col("end_frame") - 1, "end")]
     sample = F.array(*[F.struct(F.concat("shot_id", F.lit(f":{p}")).alias("sample_id"), f.alias("frame"), F.col("shot_id"), F.lit(r).alias("role")) for p, (f, r) in enumerate(looks)])
     shot = F.struct("shot_ord", "shot_id", "start_frame", "end_frame", "pb", "link", "k", sample.alias("looks"))
@@ -176,6 +177,79 @@ def p07_catalog_replay(spark: SparkSession, d: str) -> DataFrame:
     return _policy(spark, d).groupBy("movie_id").agg(n("KEEP").alias("keep"), n("REVIEW").alias("review"), n("REJECT").alias("reject"), n("PROVIDER_BLOCKED").alias("blocked"), F.sum("windows").alias("windows"), F.count_if("again").alias("again"))
 
 
+_PROJECTED = f"""x6 AS (SELECT *, k0 % 6 <> 0 AS temporal, CASE WHEN utility = 'generic_dialogue_only' AND k0 % 2 = 0 THEN 'conversation_scene' ELSE cls END AS cls2, len(list_distinct(ids)) = len(ids) AND NOT unknown AND len(frames) >= 2 AS support,
+  CASE WHEN k0 % 6 <> 0 AND status = 'reusable_state' AND utility = 'useful_state' AND k0 % 5 <> 4 AND complete IN ('false', 'unclear') THEN 'sustained_state' WHEN k0 % 6 <> 0 AND status = 'complete_action' AND complete = 'true' THEN 'complete_action' END AS use_kind FROM rp),
+y6 AS (SELECT *, list_filter([CASE WHEN NOT list_contains({_CLASSES}, cls2) THEN 'missing_moment_utility_category' END, CASE WHEN NOT support THEN 'missing_temporal_support' END, CASE WHEN context NOT IN ('low', 'medium') THEN 'missing_context_dependency_interpretation' END, CASE WHEN use_kind IS NULL THEN 'missing_action_or_sustained_state_assessment' END], {_GIVEN}) AS absent FROM x6),
+sp6 AS (SELECT movie_id, ev, shot_id, min(frame) AS a, max(frame) + 1 AS b, list(sample_id ORDER BY frame, sample_id) AS span_ids FROM (SELECT movie_id, ev, unnest(rows, recursive := true) FROM rp) GROUP BY movie_id, ev, shot_id HAVING count(DISTINCT frame) >= 2),
+sq6 AS (SELECT movie_id, ev, arg_max(struct_pack(a := a, b := b, ids := span_ids), (b - a, -a)) AS span FROM sp6 GROUP BY movie_id, ev),
+z6 AS (SELECT y6.*, span, coalesce(reason = 'asset_cut_continuity_requires_visual_assessment' AND status = 'reusable_state' AND span IS NOT NULL, false) AS can_save FROM y6 LEFT JOIN sq6 USING (movie_id, ev)),
+pj6 AS MATERIALIZED (SELECT *, CASE WHEN len(absent) > 0 THEN absent WHEN reason IS NULL OR can_save THEN [] ELSE [reason] END AS missing FROM z6),
+pm6 AS (SELECT *, len(missing) = 0 AND can_save AS saved, CASE WHEN len(missing) = 0 THEN CASE WHEN can_save THEN 'sustained_state' WHEN status = 'reusable_state' THEN 'sustained_state' ELSE 'complete_action' END END AS p_kind,
+  CASE WHEN len(missing) = 0 THEN CASE WHEN can_save THEN span.a ELSE list_min(frames) END END AS p_a, CASE WHEN len(missing) = 0 THEN CASE WHEN can_save THEN span.b ELSE list_max(frames) + 1 END END AS p_b FROM pj6)"""
+
+
+def _projected(x: DataFrame) -> DataFrame:
+    """x with p: what its observation supports."""
+    c, k = F.col, F.col("k0")
+    states = F.when(k % 5 != 4, F.array(F.lit("sitting"))).otherwise(F.array().cast("array<string>"))
+    talks = F.when(k % 2 == 0, "true").otherwise("false")
+    return x.withColumn("p", ru.compatibility_projection(k % 6 != 0, c("utility"), talks, c("context"), c("status"), c("complete"), states, c("ids"), c("samples"), c("shots"), c("es"), c("ee"), c("replay")))
+
+
+@query(_sql(("sh",), _EVENTS + ",\n" + _REPLAY + ",\n" + _PROJECTED, """SELECT movie_id, event, missing, list_filter([CASE WHEN NOT list_contains(missing, 'missing_moment_utility_category') THEN 'utility_class=' || cls2 END, CASE WHEN context IN ('low', 'medium') THEN 'visual_context_dependency=' || context END, CASE WHEN support THEN 'temporal_support=' || array_to_string(ids, ',') END,
+ CASE WHEN use_kind IS NOT NULL THEN 'moment_usability=usable' END, CASE WHEN use_kind IS NOT NULL THEN 'moment_kind=' || use_kind END, CASE WHEN len(missing) = 0 THEN 'asset_window_eligibility=true' END], lambda x: x IS NOT NULL) AS fields, CASE WHEN temporal THEN 'temporal_v2' ELSE 'existing_observation' END AS origin,
+ p_kind AS kind, p_a AS start_frame, p_b AS end_frame, saved FROM pm6"""))
+def p06_compatibility_projection(spark: SparkSession, d: str) -> DataFrame:
+    x = _projected(_replayed(_events(spark, d)))
+    fields = F.transform("p.fields", lambda f: F.concat(f["name"], F.lit("="), f["value"]))
+    return x.select("movie_id", "event", F.col("p.missing").alias("missing"), fields.alias("fields"), F.when(F.col("k0") % 6 != 0, "temporal_v2").otherwise("existing_observation").alias("origin"), "p.kind", "p.start_frame", "p.end_frame", "p.saved")
+
+
+# older observations (k0 % 4 = 3) have no moments of their own: theirs are projected, and checked like any other
+_COMPATIBLE = _POLICY.replace("FROM rp),", "FROM rc),", 1).replace("CASE WHEN k0 % 4 = 3 THEN reason END AS replay, k0 % 3 <> 1 AS assessed", "CASE WHEN old AND len(missing) > 0 THEN missing END AS replay, NOT old AND k0 % 3 <> 1 AS assessed")
+_COMPATIBLE = _COMPATIBLE.replace("WHEN 'replay' THEN [replay]", "WHEN 'replay' THEN replay").replace("CASE WHEN k0 % 11 = 0 THEN 'WEAK' WHEN k0 % 7 = 0 OR kind = 'unclear' THEN 'REVIEW'", "CASE WHEN NOT old AND k0 % 11 = 0 THEN 'WEAK' WHEN CASE WHEN old THEN NOT sound ELSE k0 % 7 = 0 OR kind = 'unclear' END THEN 'REVIEW'")
+_COMPATIBLE = _COMPATIBLE.replace("k0 % 25 AS key", "CASE WHEN old THEN -event ELSE k0 % 25 END AS key")
+_RC = """rc0 AS (SELECT *, k0 % 4 = 3 AS old, list_sort(list_transform(rows, lambda r: r.frame)) AS fs, len(list_filter(seen, lambda s: NOT list_contains(list_transform(rows, lambda r: r.shot_id), s.shot_id))) = 0 AS shown FROM pm6),
+rc AS (SELECT * EXCLUDE (kind, ms, me, errs), CASE WHEN old THEN p_kind ELSE kind END AS kind, CASE WHEN old THEN p_a ELSE ms END AS ms, CASE WHEN old THEN p_b ELSE me END AS me, CASE WHEN old THEN [] ELSE errs END AS errs,
+  saved OR (shown AND (p_kind <> 'complete_action' OR (len(fs) >= 3 AND len(list_filter(fs[2:-2], lambda f: f <= fs[1] OR f >= fs[-1])) = 0))) AS sound FROM rc0)"""
+
+
+def _compatible(spark: SparkSession, d: str) -> DataFrame:
+    c, k = F.col, F.col("k0")
+    # written once: what follows reads the projection in many places
+    x = cut(_projected(cut(_replayed(_judged(spark, d)), "replayed")), "projected").withColumn("event_id", c("event")).withColumn("old", k % 4 == 3)
+    cited = F.filter(F.array_sort(F.transform("samples", lambda s: F.struct(s["frame"].alias("frame"), s["sample_id"].alias("sample_id")))), lambda s: F.array_contains("p.ids", s["sample_id"]))
+    x = x.withColumn("cited_ids", F.transform(cited, lambda s: s["sample_id"]))
+    action = c("p.kind") == "complete_action"
+    first, last = F.when(action, F.get("cited_ids", F.lit(0))), F.when(action, F.element_at("cited_ids", -1))
+    middle = F.when(action & (F.size("cited_ids") > 2), F.slice("cited_ids", F.lit(2), F.size("cited_ids") - 2)).otherwise(F.array().cast("array<string>"))
+    made = ru.moment_errors(c("p.start_frame"), c("p.end_frame"), c("es"), c("ee"), c("p.kind"), c("complete"), first, middle, last, c("p.ids"), F.lit("supported"), c("samples"), c("shots"))
+    own = lambda old, new: F.when(c("old"), old).otherwise(new)
+    none = F.array().cast("array<string>")
+    flags = F.when(k < 6, F.array(fx.pick(fx.FLAGS, k))).otherwise(none)
+    obs = x.select("movie_id", "event_id", ((c("ev") + c("movie_id")) % 11 != 0).alias("known"), flags.alias("flags"), (k % 37 != 9).alias("same_event"), own(none, c("errs")).alias("errors"), own(c("p.missing"), none).alias("replay"), (~c("old") & (k % 3 != 1)).alias("assessed"), (k % 10 == 5).alias("blocked"))
+    moments = x.select(
+        "movie_id", c("ev").alias("ord"), "event_id", c("event").alias("moment"), own(c("p.kind"), c("kind")).alias("kind"), own(c("p.start_frame"), c("ms")).alias("start_frame"), own(c("p.end_frame"), c("me")).alias("end_frame"), own(-c("event"), k % 25).alias("reuse_key"),
+        (~c("old") & (k % 11 == 0)).alias("weak"), own(F.size(made) == 0, k % 7 != 0).alias("clear"),
+    )
+    return ru.decide_reuse(obs, moments, fx.FPS)
+
+
+_COMPATIBLE_SQL = _EVENTS + ",\n" + _REPLAY + ",\n" + _PROJECTED + ",\n" + _RC + ",\n" + _COMPATIBLE
+
+
+@query(_sql(("sh",), _COMPATIBLE_SQL, "SELECT movie_id, event, decision, reasons, CAST(windows AS BIGINT) AS windows, again FROM pf"))
+def p04_policy_v2_compatible(spark: SparkSession, d: str) -> DataFrame:
+    """As p04, older observations through the compatibility projection."""
+    return _compatible(spark, d).withColumnRenamed("event_id", "event")
+
+
+@query(_sql(("sh",), _COMPATIBLE_SQL, "SELECT movie_id, count(*) FILTER (decision = 'KEEP') AS keep, count(*) FILTER (decision = 'REVIEW') AS review, count(*) FILTER (decision = 'REJECT') AS reject, count(*) FILTER (decision = 'PROVIDER_BLOCKED') AS blocked, CAST(sum(windows) AS BIGINT) AS windows, count(*) FILTER (again) AS again FROM pf GROUP BY movie_id"))
+def p07_catalog_replay_compatible(spark: SparkSession, d: str) -> DataFrame:
+    n = lambda s: F.count_if(F.col("decision") == s)
+    return _compatible(spark, d).groupBy("movie_id").agg(n("KEEP").alias("keep"), n("REVIEW").alias("review"), n("REJECT").alias("reject"), n("PROVIDER_BLOCKED").alias("blocked"), F.sum("windows").alias("windows"), F.count_if("again").alias("again"))
+
+
 @query(_sql(("sh",), _EVENTS, "SELECT movie_id, event, complete AS raw, CASE WHEN status = 'reusable_state' THEN 'true' ELSE complete END AS effective FROM em"))
 def p08_temporal_projection(spark: SparkSession, d: str) -> DataFrame:
     return _events(spark, d).select("movie_id", "event", F.col("complete").alias("raw"), ru.effective_completeness(F.col("status"), F.col("complete")).alias("effective"))
