@@ -7,6 +7,7 @@ found by the fit, which draws weights and factors without evidence to zero and t
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -189,13 +190,24 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         kind = "term bigint, n bigint"
         often = sample.select("text").mapInArrow(_terms, kind).groupBy("term").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_ROWS)
         terms = np.sort(often.select("term").toArrow()["term"].to_numpy().astype(np.int64).view(np.uint64))
-    encoded = sample.mapInArrow(_encode(terms), "terms binary, toxic int").toArrow()
-    # rows come in no certain order: sort them, so that every run fits the same model
-    keyed = sorted((y, len(t), t) for t, y in zip(encoded["terms"].to_pylist(), encoded["toxic"].to_pylist(), strict=True))
-    lists, y = [np.frombuffer(t, "<i4") for _, _, t in keyed], np.array([y for y, _, _ in keyed], np.float64)
-    model = _fit(lists, y, terms)
-    left = np.flatnonzero((model.w != 0) | (model.v != 0).any(1))
-    return Model(model.terms[left], model.bias, model.w[left], model.v[left])
+    # the bounded sample is fitted in one task; only the model comes to the driver
+    fitted = sample.mapInArrow(_encode(terms), "terms binary, toxic int").repartition(1).mapInArrow(_fit_sample(terms), "model binary").toArrow()["model"]
+    with np.load(io.BytesIO(fitted[0].as_py())) as m:
+        return Model(m["terms"], float(m["bias"]), m["w"], m["v"])
+
+
+def _fit_sample(terms: np.ndarray):
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # rows come in no certain order: sort them, so that every run fits the same model
+        keyed = sorted((y, len(t), t) for b in batches for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+        lists, y = [np.frombuffer(t, "<i4") for _, _, t in keyed], np.array([y for y, _, _ in keyed], np.float64)
+        model = _fit(lists, y, terms)
+        left = np.flatnonzero((model.w != 0) | (model.v != 0).any(1))
+        out = io.BytesIO()
+        np.savez(out, terms=model.terms[left], bias=model.bias, w=model.w[left], v=model.v[left])
+        yield pa.RecordBatch.from_arrays([pa.array([out.getvalue()], pa.binary())], names=["model"])
+
+    return fit
 
 
 def _score(model: Model):
