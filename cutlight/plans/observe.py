@@ -78,8 +78,12 @@ def b02_position(spark: SparkSession, d: str) -> DataFrame:
     return geo.position(fx.boxes(spark, d), 1920.0).select("movie_id", "shot_id", "sample", "person", _r("cx"), "where")
 
 
-@query(with_("""SELECT movie_id, shot_id, CAST(sample AS INTEGER) AS sample, CAST(pa AS INTEGER) AS person_a, CAST(pb AS INTEGER) AS person_b, round(i / (u - i) + 1e-7, 4) AS iou FROM (SELECT a.movie_id, a.shot_id, a.sample, a.person AS pa, b.person AS pb, greatest(0, least(a.x + a.w, b.x + b.w) - greatest(a.x, b.x)) * greatest(0, least(a.y + a.h, b.y + b.h) - greatest(a.y, b.y)) AS i, a.w * a.h + b.w * b.h AS u
-FROM bx a JOIN bx b ON a.movie_id = b.movie_id AND a.shot_id = b.shot_id AND a.sample = b.sample AND a.person < b.person) WHERE i / (u - i) >= 0.2""", "bx"))
+# the boxes of a frame as one list, whose pairs are unnested: no join of the table with itself
+@query(with_("SELECT", "bx").removesuffix("\nSELECT") + """,
+fr AS (SELECT movie_id, shot_id, sample, list(struct_pack(p := person, x := x, y := y, w := w, h := h) ORDER BY person) AS bs FROM bx GROUP BY movie_id, shot_id, sample HAVING count(*) > 1),
+pa AS (SELECT movie_id, shot_id, sample, unnest(flatten(list_transform(bs, lambda a: list_transform(list_filter(bs, lambda b: b.p > a.p), lambda b: struct_pack(a := a, b := b))))) AS q FROM fr),
+ov AS (SELECT movie_id, shot_id, sample, q.a.p AS pa, q.b.p AS pb, greatest(0, least(q.a.x + q.a.w, q.b.x + q.b.w) - greatest(q.a.x, q.b.x)) * greatest(0, least(q.a.y + q.a.h, q.b.y + q.b.h) - greatest(q.a.y, q.b.y)) AS i, q.a.w * q.a.h + q.b.w * q.b.h AS u FROM pa)
+SELECT movie_id, shot_id, CAST(sample AS INTEGER) AS sample, CAST(pa AS INTEGER) AS person_a, CAST(pb AS INTEGER) AS person_b, round(i / (u - i) + 1e-7, 4) AS iou FROM ov WHERE i / (u - i) >= 0.2""")
 def b04_box_overlap(spark: SparkSession, d: str) -> DataFrame:
     return geo.overlapping_pairs(fx.boxes(spark, d), 0.2).select("movie_id", "shot_id", "sample", "person_a", "person_b", _r("iou"))
 
