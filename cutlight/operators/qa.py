@@ -63,3 +63,49 @@ def classify(assets: DataFrame) -> DataFrame:
     hard = F.array_distinct(F.concat(whole, of("shots", shot_hard), of("audit", audit_hard), face_hard))
     soft = F.array_distinct(F.concat(of("shots", shot_soft), of("audit", audit_soft), face_soft))
     return assets.withColumns({"hard": hard.cast(_NONE), "soft": soft.cast(_NONE)})
+
+
+#: Share of the crop that must stay free beside what is protected; shares for empty space and for a jump of the crop (fixed values).
+SAFE, EMPTY, JUMP = 0.08, 0.20, 0.18
+
+
+def focal_core(focus: Column, crop: Column) -> Column:
+    """struct(x, w): the head region of a person's box; nearer to the middle where the box is much wider than the crop."""
+    wide = focus["w"] >= crop * 1.5
+    return F.struct((focus["x"] + focus["w"] * F.when(wide, 0.40).otherwise(0.30)).alias("x"), (focus["w"] * F.when(wide, 0.22).otherwise(0.40)).alias("w"))
+
+
+def shot_geometry(rules: DataFrame, margin: float = SAFE) -> DataFrame:
+    """rules with what a planned crop does to each shot: requirement, present, full_bbox_clipping, critical_focus_clipping, introduced_subject_clipping, source_edge_exception, empty_space_while_clipped, interaction_preserved, action_preserved, crop_stable, status.
+
+    rules: crop, x, source (widths and place in pixels), focus (struct(x, w) of the required box, or null), person (must a person be seen?), subject (environment,
+    action_region or another), together (must all stay in the picture?), review (did the plan ask for one?), bound (true, false; null: no target was named), directive (is
+    there one?), keeps_action, regions (array of struct(x, w)), anchors (array of x in time), faces (array of struct(decision, limited), the judgment at each time, or
+    empty: then the focus decides). A box at the edge of the source is no fault of the crop.
+    """
+    c = F.col
+    yes = lambda x, otherwise: F.coalesce(x, F.lit(otherwise))
+    free, right = c("crop") * margin, c("x") + c("crop")
+    inside = lambda b: (b["x"] >= c("x") + free) & (b["x"] + b["w"] <= right - free)
+    together, person = yes(c("together"), False), yes(c("person"), False)
+    critical = F.when(together, F.struct(c("focus")["x"].alias("x"), c("focus")["w"].alias("w"))).otherwise(focal_core(c("focus"), c("crop")))
+    has = c("focus").isNotNull()
+    edge = has & ((c("focus")["x"] <= 1) | (c("focus")["x"] + c("focus")["w"] >= c("source") - 1))
+    full = has & ~inside(c("focus"))
+    clipped = has & ~inside(critical) & ~edge
+    apart = F.abs(critical["x"] + critical["w"] / 2 - (c("x") + c("crop") / 2)) > c("crop") * EMPTY
+    looked = F.coalesce(F.size("faces"), F.lit(0)) > 0
+    repair = F.exists("faces", lambda f: f["decision"] == "REPAIR")
+    by_face = lambda face, box: F.when(looked, face).otherwise(box)
+    x = rules.withColumns({
+        "full_bbox_clipping": yes(full, False), "critical_focus_clipping": yes(by_face(repair, clipped), False), "introduced_subject_clipping": yes(by_face(repair, clipped & person), False),
+        "source_edge_exception": yes(by_face(F.exists("faces", lambda f: f["limited"]), edge), False), "empty_space_while_clipped": yes(by_face(repair, clipped & person & apart), False),
+    })
+    regions = F.forall(F.coalesce("regions", F.array().cast("array<struct<x: double, w: double>>")), lambda r: (r["x"] >= c("x")) & (r["x"] + r["w"] <= right))
+    jumps = F.transform(F.sequence(F.lit(1), F.size("anchors") - 1), lambda i: F.abs(F.get("anchors", i) - F.get("anchors", i - 1)))
+    stable = F.when(F.coalesce(F.size("anchors"), F.lit(0)) <= 1, True).otherwise(F.array_max(jumps) <= c("crop") * JUMP + 1)
+    x = x.withColumns({"interaction_preserved": F.when(together, ~yes(c("review"), False)).otherwise(True), "action_preserved": yes(c("keeps_action"), True) & regions, "crop_stable": stable, "present": F.when(person, has)})
+    x = x.withColumn("requirement", F.when(person, "person").when(c("subject") == "environment", "environment").when(c("subject") == "action_region", "action").otherwise("none"))
+    bound = F.when(person, yes(c("bound"), True)).otherwise(True)
+    fine = yes(c("directive"), True) & (~person | has) & bound & ~c("introduced_subject_clipping") & ~c("empty_space_while_clipped") & c("crop_stable") & c("interaction_preserved") & c("action_preserved")
+    return x.withColumn("status", F.when(fine, "PASS").otherwise("FAIL"))

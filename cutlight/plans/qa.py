@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cutlight import fixtures as fx
+from cutlight.fixtures import with_
 from cutlight.operators import qa
 from cutlight.registry import query
 
@@ -64,3 +65,33 @@ g AS (SELECT f.asset, list_concat(list_concat(list_concat([CASE WHEN {_three("f.
 SELECT asset, list_filter(h, lambda x, i: x IS NOT NULL AND NOT list_contains(h[:i - 1], x)) AS hard, list_filter(w, lambda x, i: x IS NOT NULL AND NOT list_contains(w[:i - 1], x)) AS soft FROM g""")
 def b17_qa_classes(spark: SparkSession, d: str) -> DataFrame:
     return qa.classify(_assets(spark, d)).select("asset", "hard", "soft")
+
+
+def _rules(spark: SparkSession, d: str) -> DataFrame:
+    """A planned crop for every shot, around its first person in the middle sample, by a rule that goes wrong in many ways."""
+    k, e = F.col("k"), F.col("event_id")
+    b = fx.boxes(spark, d).where("sample = 2 and person = 1")
+    w = F.when(k % 9 == 4, F.col("w") * 5).otherwise(F.col("w"))
+    at = F.floor(F.greatest(F.lit(0.0), F.least(F.lit(1320.0), F.col("x") + F.col("w") / 2 - 300 + e % 5 * 70 - 140)))
+    box = lambda x, w: F.struct(x.cast("double").alias("x"), w.cast("double").alias("w"))
+    face = F.struct(fx.pick(FACES, k % 4).alias("decision"), (k % 3 == 0).alias("limited"))
+    return b.select(
+        "movie_id", "shot_id", F.lit(600.0).alias("crop"), at.cast("double").alias("x"), F.lit(1920.0).alias("source"), F.when(k % 13 != 5, box(F.col("x"), w)).alias("focus"), (k % 3 != 2).alias("person"), F.when(k % 6 == 2, "environment").when(k % 6 == 5, "action_region").alias("subject"),
+        (k % 7 == 3).alias("together"), (k % 14 == 3).alias("review"), F.when(k % 8 == 1, e % 2 == 0).alias("bound"), F.when(k % 17 != 4, k % 17 != 5).alias("directive"), F.when(k % 19 == 6, False).alias("keeps_action"),
+        F.when(k % 5 == 2, F.array(box(at + 10, F.lit(100)), box(at + k * 7, F.lit(60)))).alias("regions"), F.when(k % 4 == 1, F.array(at, at + e % 3 * 60, at)).alias("anchors").cast("array<double>"), F.when(k % 10 == 7, F.array(face)).alias("faces"),
+    )
+
+
+@query(with_("SELECT", "bx").removesuffix("\nSELECT") + f""",
+r0 AS (SELECT movie_id, shot_id, k, event_id, x AS fx, CASE WHEN k % 9 = 4 THEN w * 5 ELSE w END AS fw, floor(greatest(0, least(1320, x + w / 2 - 300 + event_id % 5 * 70 - 140))) AS x, k % 13 <> 5 AS has, k % 3 <> 2 AS person, k % 7 = 3 AS tog FROM bx WHERE sample = 2 AND person = 1),
+r1 AS (SELECT *, CASE WHEN tog THEN fx WHEN fw >= 900 THEN fx + fw * 0.4::DOUBLE ELSE fx + fw * 0.3::DOUBLE END AS cx, CASE WHEN tog THEN fw WHEN fw >= 900 THEN fw * 0.22::DOUBLE ELSE fw * 0.4::DOUBLE END AS cw, has AND (fx <= 1 OR fx + fw >= 1919) AS edge, CASE WHEN k % 10 = 7 THEN {fx._list(FACES)}[k % 4 + 1] = 'REPAIR' END AS face FROM r0),
+r2 AS (SELECT *, has AND NOT (fx >= x + 48 AND fx + fw <= x + 552) AS full_, has AND NOT (cx >= x + 48 AND cx + cw <= x + 552) AND NOT edge AS clip FROM r1),
+r3 AS (SELECT *, coalesce(face, clip) AS crit, coalesce(face, clip AND person) AS intro, coalesce(face, clip AND person AND abs(cx + cw / 2 - (x + 300)) > 120) AS gap, CASE WHEN face IS NOT NULL THEN k % 3 = 0 ELSE edge END AS exception, NOT tog OR k % 14 <> 3 AS inter,
+  k % 19 <> 6 AND (k % 5 <> 2 OR (k * 7 + 60 <= 600)) AS act, k % 4 <> 1 OR event_id % 3 * 60 <= 109 AS stable FROM r2)
+SELECT movie_id, shot_id, CASE WHEN person THEN 'person' WHEN k % 6 = 2 THEN 'environment' WHEN k % 6 = 5 THEN 'action' ELSE 'none' END AS requirement, CASE WHEN person THEN has END AS present, full_ AS full_bbox_clipping, crit AS critical_focus_clipping, intro AS introduced_subject_clipping, exception AS source_edge_exception, gap AS empty_space_while_clipped,
+ inter AS interaction_preserved, act AS action_preserved, stable AS crop_stable, CASE WHEN k % 17 <> 5 AND (NOT person OR has) AND (NOT person OR k % 8 <> 1 OR event_id % 2 = 0) AND NOT intro AND NOT gap AND stable AND inter AND act THEN 'PASS' ELSE 'FAIL' END AS status FROM r3""")
+def b15_shot_geometry(spark: SparkSession, d: str) -> DataFrame:
+    x = qa.shot_geometry(_rules(spark, d))
+    return x.select(
+        "movie_id", "shot_id", "requirement", "present", "full_bbox_clipping", "critical_focus_clipping", "introduced_subject_clipping", "source_edge_exception", "empty_space_while_clipped", "interaction_preserved", "action_preserved", "crop_stable", "status",
+    )
