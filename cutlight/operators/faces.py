@@ -67,13 +67,15 @@ def choose_target(boxes: DataFrame, wanted: DataFrame, width: float) -> DataFram
     return x.groupBy(*_KEYS).agg(F.min_by("person", F.struct(F.coalesce("_d", F.lit(0.0)), -F.col("confidence"), "person")).alias("person"))
 
 
-def resolve_identities(identities: DataFrame, persons: DataFrame, most: float = 0.95) -> DataFrame:
+def resolve_identities(identities: DataFrame, persons: DataFrame, most: float = 0.95, bare: bool = False) -> DataFrame:
     """keys, identity, local, reason: the person that an id (owner:P1) names in its shot, or why it names nobody.
 
-    identities: movie_id, shot_id, sample, identity; persons: keys, label, x, y, w, h.
+    identities: movie_id, shot_id, sample, identity; persons: keys, label, x, y, w, h. bare: an id without owner (P1) is of its shot.
     """
     pattern = r"^([A-Za-z0-9_][A-Za-z0-9_.-]*):(P[1-9][0-9]*)$"
-    x = identities.withColumn("owner", F.regexp_extract("identity", pattern, 1)).withColumn("label", F.regexp_extract("identity", pattern, 2))
+    named = F.concat_ws(":", "shot_id", "identity") if bare else None
+    said = F.when(F.col("identity").rlike(r"^P[1-9][0-9]*$"), named).otherwise(F.col("identity")) if bare else F.col("identity")
+    x = identities.withColumn("owner", F.regexp_extract(said, pattern, 1)).withColumn("label", F.regexp_extract(said, pattern, 2))
     all_ = persons.groupBy(*_KEYS).agg(F.collect_list(F.struct("label", F.struct("x", "y", "w", "h").alias("box"))).alias("all"))
     x = x.join(all_, _KEYS, "left")
     mine = F.filter("all", lambda p: p["label"] == F.col("label"))

@@ -79,36 +79,51 @@ def editorial_geometry(boxes: DataFrame, crop: DataFrame, keys: tuple[str, ...]
     return x.groupBy(*keys).agg(F.count(F.lit(1)).alias("samples"), F.avg(F.col("inside").cast("double")).alias("visible"), F.median(F.abs(F.col("cx") - 0.5)).alias("center"), F.avg(F.col("w") / F.col("width")).alias("occupancy"), F.count_if(F.col("moved") > jump).alias("jumps"))
 
 
-def smooth_anchors(anchors: DataFrame, keys: list[str], dead: float = 0.06, speed: float = 0.08) -> DataFrame:
-    """Anchors smoothed in time: keys, t, x.
+def median_of(values: Column) -> Column:
+    """Median of a sorted array of numbers; null if it is empty."""
+    n = F.size(values)
+    return (F.get(values, F.floor((n + 1) / 2).cast("int") - 1) + F.get(values, F.floor(n / 2).cast("int"))) / 2
+
+
+def smoothed(g: DataFrame, dead: float = 0.06, speed: float = 0.08) -> DataFrame:
+    """g with anchors: array of struct(t, x).
 
-    anchors: keys, t, x (what is preferred), low, high (the legal interval), crop (its width), start and end of the shot or null. Preferences are brought
-    into their intervals first. If they differ by less than the dead zone (share of crop) and one place is legal for all, that
-    place, nearest to their median, is the only anchor. Else within the dead zone a crop stays, beyond it moves at most
-    speed * crop a second, and the interval wins over both. Each step begins where the last one ended, so it is a fold over a
-    shot. A start before the first anchor and an end behind the last one have anchors of their own.
+    g: rows (array of struct(t, x, low, high) in time: what is preferred, and the legal interval), crop (its width), start and end of the shot or
+    null. Preferences are brought into their intervals first. If they differ by less than the dead zone (share of crop) and one place is
+    legal for all, that place, nearest to their median, is the only anchor. Else within the dead zone a crop stays, beyond it
+    moves at most speed * crop a second, and the interval wins over both. Each step begins where the last one ended, so it is a fold
+    over a shot. A start before the first anchor and an end behind the last one have anchors of their own. Where low and high are
+    null in all rows nothing is bounded, and the first anchor moves to the start. No rows give no anchors.
     """
     into = lambda v, r: F.greatest(r["low"], F.least(r["high"], v))
-    row = F.struct(F.col("t").cast("double").alias("t"), F.col("x").cast("double").alias("x"), F.col("low").cast("double").alias("low"), F.col("high").cast("double").alias("high"))
-    g = anchors.groupBy(*keys).agg(F.sort_array(F.collect_list(row)).alias("rows"), F.min("crop").cast("double").alias("crop"), F.min("start").cast("double").alias("start"), F.max("end").cast("double").alias("end"), F.max("low").alias("lo"), F.min("high").alias("hi"))
-    g = g.withColumn("raw", F.array_sort(F.transform("rows", lambda r: into(r["x"], r)))).withColumn("n", F.size("raw"))
-    middle = (F.element_at("raw", F.floor((F.col("n") + 1) / 2).cast("int")) + F.element_at("raw", F.floor(F.col("n") / 2).cast("int") + 1)) / 2
-    still = (F.array_max("raw") - F.array_min("raw") < F.col("crop") * dead) & (F.col("lo") <= F.col("hi"))
-    first, last = F.element_at("rows", 1), F.element_at("rows", -1)
+    lo, hi = F.array_max(F.transform("rows", lambda r: r["low"])), F.array_min(F.transform("rows", lambda r: r["high"]))
+    g = g.withColumns({"sm_lo": lo, "sm_hi": hi, "sm_raw": F.array_sort(F.transform("rows", lambda r: into(r["x"], r)))})
+    still = (F.array_max("sm_raw") - F.array_min("sm_raw") < F.col("crop") * dead) & F.coalesce(F.col("sm_lo") <= F.col("sm_hi"), F.lit(True))
+    first, last = F.get("rows", 0), F.element_at("rows", F.when(F.size("rows") > 0, F.lit(-1)))
+    kind = "struct<t: double, x: double, out: array<struct<t: double, x: double>>>"
 
     def step(s: Column, r: Column) -> Column:
         most = speed * F.col("crop") * F.greatest(F.lit(0.0), r["t"] - s["t"])
         wish = into(r["x"], r)
         wish = F.when(F.abs(wish - s["x"]) < F.col("crop") * dead, s["x"]).otherwise(wish)
-        x = F.when(s["t"].isNull(), wish).otherwise(into(F.greatest(s["x"] - most, F.least(s["x"] + most, wish)), r))
-        x = F.when(s["t"].isNull(), into(r["x"], r)).otherwise(x)
+        x = F.when(s["t"].isNull(), into(r["x"], r)).otherwise(into(F.greatest(s["x"] - most, F.least(s["x"] + most, wish)), r))
         return F.struct(r["t"].alias("t"), x.alias("x"), F.concat(s["out"], F.array(F.struct(r["t"].alias("t"), x.alias("x")))).alias("out"))
 
-    seed = F.from_json(F.lit('{"out":[]}'), "struct<t:double,x:double,out:array<struct<t:double,x:double>>>")
-    g = g.withColumn("out", F.when(~still, F.aggregate("rows", seed, step)["out"]))
+    seed = F.from_json(F.lit('{"out":[]}'), kind)
+    g = g.withColumn("sm_out", F.when(~still, F.aggregate("rows", seed, step)["out"]))
     at = lambda t, x: F.struct(t.alias("t"), x.alias("x"))
     none = F.array().cast("array<struct<t:double,x:double>>")
-    before = F.when(F.col("start") < first["t"], F.array(at(F.col("start"), F.element_at("out", 1)["x"]))).otherwise(none)
-    after = F.when(F.col("end") > last["t"], F.array(at(F.col("end"), into(F.element_at("out", -1)["x"], last)))).otherwise(none)
-    one = F.array(at(F.coalesce("start", first["t"]), F.greatest(F.col("lo"), F.least(F.col("hi"), middle))))
-    return g.select(*keys, F.explode(F.when(still, one).otherwise(F.concat(before, F.col("out"), after))).alias("z")).select(*keys, "z.t", "z.x")
+    free, begin = F.col("sm_lo").isNull(), F.get("sm_out", 0)["x"]
+    before = F.when(F.col("start") < first["t"], F.array(at(F.col("start"), begin))).otherwise(none)
+    after = F.when(F.col("end") > last["t"], F.array(at(F.col("end"), into(F.element_at("sm_out", F.when(F.size("sm_out") > 0, F.lit(-1)))["x"], last)))).otherwise(none)
+    body = F.when(free, F.concat(F.array(at(F.coalesce("start", first["t"]), begin)), F.slice("sm_out", 2, F.greatest(F.size("sm_out"), F.lit(0))))).otherwise(F.concat(before, F.col("sm_out")))
+    one = F.array(at(F.coalesce("start", first["t"]), F.greatest(F.col("sm_lo"), F.least(F.col("sm_hi"), median_of(F.col("sm_raw"))))))
+    anchors = F.when(F.coalesce(F.size("rows"), F.lit(0)) <= 0, none).when(still, one).otherwise(F.concat(body, after))
+    return g.withColumn("anchors", anchors).drop("sm_lo", "sm_hi", "sm_raw", "sm_out")
+
+
+def smooth_anchors(anchors: DataFrame, keys: list[str], dead: float = 0.06, speed: float = 0.08) -> DataFrame:
+    """Anchors smoothed in time, as smoothed() does: keys, t, x. anchors: keys, t, x, low, high, crop, start, end."""
+    row = F.struct(*[F.col(c).cast("double").alias(c) for c in ("t", "x", "low", "high")])
+    g = anchors.groupBy(*keys).agg(F.sort_array(F.collect_list(row)).alias("rows"), F.min("crop").cast("double").alias("crop"), F.min("start").cast("double").alias("start"), F.max("end").cast("double").alias("end"))
+    return smoothed(g, dead, speed).select(*keys, F.explode("anchors").alias("z")).select(*keys, "z.t", "z.x")

@@ -113,16 +113,16 @@ def tracks(samples: DataFrame, boxes: DataFrame, targets: DataFrame, width: floa
     return x.select(*_SHOT, "target", "seed", F.coalesce(complete, F.lit(False)).alias("complete"), reason.alias("reason"), "track", said.alias("steps"))
 
 
-def joint_tracks(samples: DataFrame, boxes: DataFrame, groups: DataFrame, width: float) -> DataFrame:
+def joint_tracks(samples: DataFrame, boxes: DataFrame, groups: DataFrame, width: float, followed: DataFrame | None = None) -> DataFrame:
     """Several persons who must be in the picture together, followed one by one, and the boxes around all of them.
 
     groups: movie_id, shot_id, targets (array of labels). Returns movie_id, shot_id, targets, complete, reason, failed (the first target that is not
     found throughout), track: array of struct(t, x, y, w, h), empty unless complete. reason: that of the failed target,
     incomplete_multi_person_tracking (a time has not one box of each target), or required_participants_collapsed (two
-    targets share one box at a time).
+    targets share one box at a time). followed: what tracks() gave for all of these targets, if it is there already.
     """
     one = groups.select(*_SHOT, "targets", F.posexplode("targets").alias("nth", "target"))
-    single = tracks(samples, boxes, one.select(*_SHOT, "target").distinct(), width)
+    single = tracks(samples, boxes, one.select(*_SHOT, "target").distinct(), width) if followed is None else followed
     x = one.join(single, [*_SHOT, "target"])
     first_failed = F.min(F.when(~F.col("complete"), F.struct("nth", "target", "reason"))).alias("failed")
     x = x.groupBy(*_SHOT, "targets").agg(first_failed, F.flatten(F.collect_list("track")).alias("all"))

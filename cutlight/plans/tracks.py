@@ -47,7 +47,7 @@ te AS MATERIALIZED (SELECT *, CASE WHEN dest IS NULL THEN 'no_person_candidates'
 """
 _HEAD = with_("SELECT", "bx").removesuffix("\nSELECT") + _TB
 # two walks along the continuations, from each label of the middle sample on
-_WALK = """, wf(movie_id, shot_id, target, sample, label, step, reason, cost) AS (
+_WALKED = """, wf(movie_id, shot_id, target, sample, label, step, reason, cost) AS (
  SELECT movie_id, shot_id, label, 2, label, 1, NULL::VARCHAR, NULL::DOUBLE FROM tb WHERE sample = 2
  UNION ALL SELECT w.movie_id, w.shot_id, w.target, w.sample + 1, CASE WHEN e.reason = 'geometry_continuity' THEN e.dest END, 1, e.reason, CASE WHEN e.reason IN ('geometry_continuity', 'identity_discontinuity') THEN e.cost END
  FROM wf w JOIN te e ON e.movie_id = w.movie_id AND e.shot_id = w.shot_id AND e.sample = w.sample AND e.label = w.label AND e.step = 1),
@@ -56,7 +56,9 @@ wb(movie_id, shot_id, target, sample, label, step, reason, cost) AS (
  UNION ALL SELECT w.movie_id, w.shot_id, w.target, w.sample - 1, CASE WHEN e.reason = 'geometry_continuity' THEN e.dest END, -1, e.reason, CASE WHEN e.reason IN ('geometry_continuity', 'identity_discontinuity') THEN e.cost END
  FROM wb w JOIN te e ON e.movie_id = w.movie_id AND e.shot_id = w.shot_id AND e.sample = w.sample AND e.label = w.label AND e.step = -1),
 wk AS MATERIALIZED (SELECT * FROM wf UNION ALL SELECT * FROM wb WHERE sample < 2),
-wr AS MATERIALIZED (SELECT w.movie_id, w.shot_id, w.target, w.sample, CASE WHEN k = 77 AND w.sample = 3 THEN 2 ELSE w.sample END AS t, x, y, w.w, h FROM (SELECT wk.*, tb.k, x, y, tb.w, h FROM wk JOIN tb ON tb.movie_id = wk.movie_id AND tb.shot_id = wk.shot_id AND tb.sample = wk.sample AND tb.label = wk.label) w),
+wr AS MATERIALIZED (SELECT w.movie_id, w.shot_id, w.target, w.sample, CASE WHEN k = 77 AND w.sample = 3 THEN 2 ELSE w.sample END AS t, x, y, w.w, h FROM (SELECT wk.*, tb.k, x, y, tb.w, h FROM wk JOIN tb ON tb.movie_id = wk.movie_id AND tb.shot_id = wk.shot_id AND tb.sample = wk.sample AND tb.label = wk.label) w)
+"""
+_WALK = _WALKED + """,
 tg AS MATERIALIZED (SELECT movie_id, shot_id, k, unnest(CASE WHEN k % 3 = 2 THEN [1, 2] WHEN k % 3 = 1 THEN [1, 2, 2] ELSE [1] END) AS target, generate_subscripts(CASE WHEN k % 3 = 2 THEN [1, 2] WHEN k % 3 = 1 THEN [1, 2, 2] ELSE [1] END, 1) AS nth FROM sh),
 td AS MATERIALIZED (SELECT g.movie_id, g.shot_id, g.k, g.nth, g.target, (SELECT count(*) FROM wr WHERE wr.movie_id = g.movie_id AND wr.shot_id = g.shot_id AND wr.target = g.target) AS n,
  (SELECT arg_min(reason, (-step, abs(sample - 2))) FROM wk WHERE wk.movie_id = g.movie_id AND wk.shot_id = g.shot_id AND wk.target = g.target AND reason <> 'geometry_continuity') AS failure FROM tg g)
