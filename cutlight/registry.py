@@ -26,4 +26,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["flagship_event_decisions"](spark, sf_dir)
 
 
-from cutlight.plans import beats, consolidate, crops, maps, narrative, observe, operations, publish, qa, recovery, reuse, review, semantics, shots, streams, tracks, windows  # noqa: E402, F401
+from cutlight.plans import audit, beats, consolidate, crops, maps, narrative, observe, operations, publish, qa, recovery, reuse, review, semantics, shots, streams, tracks, windows  # noqa: E402, F401
