@@ -47,10 +47,10 @@ up AS MATERIALIZED (SELECT b.movie_id, b.shot_id, b.sample, b.person, (b.x + CAS
   FROM (SELECT *, CASE WHEN k % 7 = 4 THEN 0.2 WHEN k % 8 = 3 AND person = 2 THEN 1.6 WHEN k % 29 = 11 THEN 0.002 ELSE 1 END::DOUBLE AS z FROM bx) b JOIN ua u ON u.movie_id = b.movie_id AND u.shot_id = b.shot_id
   WHERE NOT ((b.k % 9 = 1 AND b.sample >= 1) OR (b.k % 9 = 2 AND b.sample >= 3) OR (b.k % 9 = 5 AND b.person = 1 AND b.sample <> 2)) AND b.w * z / 2 > 1 AND b.h * z / 2 > 1),
 uf AS MATERIALIZED (SELECT u.*, s.sample, NOT ((k + s.sample) % 10 = 3 OR (k % 12 = 5 AND s.sample >= 2)) AS decoded, k % 31 = 6 AND s.sample = 3 AS failed, (s.sample * 10 + 2) / 50 * 5 AS t FROM ua u, unnest(range(0, 5)) s(sample) WHERE k % 37 <> 8),
-ux AS (SELECT f.*, b.w / 2 AS tw, CASE WHEN f.k % 6 = 1 THEN 150 ELSE (b.x + b.w / 2 - round_even(CASE WHEN f.k % 3 = 0 THEN f."left" WHEN t <= 4 THEN f."left" + f.k % 3 * 42 * t / 4 ELSE f."left" + f.k % 3 * 42 END, 0)) / 2 END AS spot FROM uf f JOIN bx b ON b.movie_id = f.movie_id AND b.shot_id = f.shot_id AND b.sample = f.sample AND b.person = 1),
+ux AS (SELECT f.*, b.w / 2 AS tw, CASE WHEN f.k % 6 = 1 THEN 150 ELSE (b.x + b.w / 2 - round_even(CASE WHEN f.k % 3 = 0 THEN f."left" WHEN t <= 4 THEN f."left" + f.k % 3 * 42 * t / 4 ELSE f."left" + f.k % 3 * 42 END, 0)) * 300 / 600 END AS spot FROM uf f JOIN bx b ON b.movie_id = f.movie_id AND b.shot_id = f.shot_id AND b.sample = f.sample AND b.person = 1),
 un AS MATERIALIZED (SELECT x.*, p.person, p.x, p.w, p.h, row_number() OVER (PARTITION BY x.movie_id, x.shot_id, x.sample ORDER BY abs(p.x + p.w / 2 - spot), p.person) AS o FROM ux x LEFT JOIN up p ON x.decoded AND p.movie_id = x.movie_id AND p.shot_id = x.shot_id AND p.sample = x.sample),
 uq AS (SELECT movie_id, asset, shot_id, sample, decoded, failed, count(person) AS n, max(w * h) AS most, coalesce(bool_or(x < 180 AND x + w > 120), false) AS covered, any_value(k) AS k, any_value(spot) AS spot, any_value(tw) AS tw FROM un GROUP BY ALL),
-us AS (SELECT q.*, b.x, b.w, b.h, b.person IS NOT NULL AND (q.k % 6 = 1 OR abs(b.x + b.w / 2 - q.spot) <= greatest(84, q.tw * 0.9::DOUBLE)) AS seen FROM uq q JOIN un b ON b.movie_id = q.movie_id AND b.shot_id = q.shot_id AND b.sample = q.sample AND b.o = 1),
+us AS (SELECT q.*, b.x, b.w, b.h, b.person IS NOT NULL AND (q.k % 6 = 1 OR abs(b.x + b.w / 2 - q.spot) <= greatest(300 * 0.28::DOUBLE, q.tw * 0.9::DOUBLE)) AS seen FROM uq q JOIN un b ON b.movie_id = q.movie_id AND b.shot_id = q.shot_id AND b.sample = q.sample AND b.o = 1),
 ul AS (SELECT *, lead(x + w / 2) OVER (PARTITION BY movie_id, shot_id ORDER BY sample) AS next FROM us WHERE seen),
 um AS (SELECT movie_id, shot_id, count(*) AS hit, count(*) FILTER (x <= 12 OR x + w >= 288) AS edge, count(*) FILTER (most > w * h * 1.15::DOUBLE) AS rival, count(*) FILTER (abs(x + w / 2 - 150) / 300 <= 0.33) AS centered, median(w * h / 120000) AS occ, median(abs(x + w / 2 - 150) / 300) AS off, count(*) FILTER (abs(next - (x + w / 2)) / 300 > 0.38) AS leaps FROM ul GROUP BY ALL),
 uc AS (SELECT movie_id, shot_id, count(*) AS samples, count(*) FILTER (decoded) AS dec, count(*) FILTER (n > 0) AS pres, count(*) FILTER (n >= 2) AS tog, count(*) FILTER (n >= 2 AND NOT covered) AS hol, bool_or(failed) AS failed FROM us GROUP BY ALL),
