@@ -133,13 +133,37 @@ def test_exact_duplicates(spark):
 
 
 def test_digest_index_persists(spark, tmp_path):
-    first, second = docs(spark, ODD[:5]), docs(spark, ODD[3:9])
+    first, second = (exact_dedup.digests(docs(spark, rows)) for rows in (ODD[:5], ODD[3:9]))
     index = exact_dedup.DigestIndex(spark, str(tmp_path / "i"), 4)
     assert exact_dedup.ingest(index, first).count() == 3
     index.close()
     again = exact_dedup.DigestIndex(spark, str(tmp_path / "i"), 4)
     assert {r.keep_id for r in exact_dedup.ingest(again, second).collect()} == {6, 7, 8, 9}
-    assert again.read().count() == 7
+    assert again.kept().count() == 7
+    groups = {}
+    for r in ODD[:5] + ODD[3:9]:
+        groups.setdefault((r[1] or "").translate(LOW), []).append(r[0])
+    assert sorted(r.group_size for r in again.kept().collect()) == sorted(map(len, groups.values()))
+
+
+def test_the_anti_join_drops_copies_of_later_batches(spark, monkeypatch):
+    rows = [(i, f"Text {i % 7}", "", "", 0) for i in range(1, 41)] + [(None, "TEXT 3", "", "", 0), (None, "alone", "", "", 0)]
+    fresh, ingest = [], exact_dedup.ingest
+    monkeypatch.setattr(exact_dedup, "ingest", lambda index, part: fresh.append((part.count(), ingest(index, part).count())))
+    got = sorted(((r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_duplicates(docs(spark, rows), buckets=4, batches=3).collect()), key=repr)
+    groups = {}
+    for r in rows:
+        groups.setdefault(r[1].translate(LOW), []).append(r[0])
+    tops = {t: max((i for i in g if i is not None), default=None) for t, g in groups.items()}
+    assert got == sorted(((i, tops[t], len(g), i == tops[t]) for t, g in groups.items() for i in g), key=repr)
+    # the first batch brings all seven texts; of the later ones, which hold most rows, only the row without id has a text of its own
+    assert [n for _, n in fresh] == [7, 0, 1] and sum(n for n, _ in fresh) == len(rows)
+
+
+def test_exact_duplicates_of_nothing(spark):
+    assert exact_dedup.exact_duplicates(docs(spark, ODD[:0]), buckets=4).count() == 0
+    one_id = [(5, "a", "", "", 0), (5, "A", "", "", 0), (5, "b", "", "", 0)]
+    assert sorted((r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_duplicates(docs(spark, one_id), buckets=4, batches=4).collect()) == [(5, 1, True), (5, 2, True), (5, 2, True)]
 
 
 @pytest.mark.parametrize("name", sorted(queries.SQL))
