@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cutlight.functions.columns import iou
 from cutlight.operators.geometry import required_margin
+from cutlight.session import shuffled
 
 _KEYS = ["movie_id", "shot_id", "sample"]
 
@@ -25,12 +26,12 @@ def bind_faces(faces: DataFrame, persons: DataFrame) -> DataFrame:
     it is no wider than 1.1 of the person, lies in the person by 0.8, and by 0.15 more than in any other of another place or width.
     """
     f, p = F.col("f"), F.col("p")
-    x = faces.select(*_KEYS, "face", F.col("box").alias("f")).join(persons.select(*_KEYS, "person", F.col("box").alias("p")), _KEYS)
+    x = faces.select(*_KEYS, "face", F.col("box").alias("f")).join(shuffled(persons.select(*_KEYS, "person", F.col("box").alias("p"))), _KEYS)
     x = x.withColumn("own", containment(f, p))
     cx, cy = f["x"] + f["w"] / 2, f["y"] + f["h"] / 2
     fits = (p["x"] <= cx) & (cx <= p["x"] + p["w"]) & (p["y"] <= cy) & (cy <= p["y"] + p["h"] * 0.8) & (f["w"] <= p["w"] * 1.1)
     all_ = x.groupBy(*_KEYS, "face").agg(F.collect_list(F.struct("p", "own")).alias("others"))  # persons of one frame: few
-    x = x.where(fits & (F.col("own") >= 0.8)).join(all_, [*_KEYS, "face"])
+    x = x.where(fits & (F.col("own") >= 0.8)).join(shuffled(all_), [*_KEYS, "face"])
     rivals = F.transform(F.filter("others", lambda o: F.abs(o["p"]["x"] - p["x"]) + F.abs(o["p"]["w"] - p["w"]) > 2), lambda o: o["own"])
     x = x.where(F.coalesce(F.col("own") - F.array_max(rivals) >= 0.15, F.lit(True)))
     g = x.groupBy(*_KEYS, F.col("person").alias("target")).agg(F.count(F.lit(1)).alias("n"), F.min("face").alias("face"))
@@ -61,7 +62,7 @@ def choose_target(boxes: DataFrame, wanted: DataFrame, width: float) -> DataFram
     by = Window.partitionBy(*_KEYS)
     x = boxes.withColumn("_b", F.max(~F.col("foreground")).over(by)).where(~F.col("_b") | ~F.col("foreground"))
     x = x.withColumn("_f", F.max("face").over(by)).where(~F.col("_f") | F.col("face")).withColumn("_n", F.count(F.lit(1)).over(by))
-    x = x.join(wanted.select(*_KEYS, "where"), _KEYS)
+    x = x.join(shuffled(wanted.select(*_KEYS, "where")), _KEYS)
     at = F.when(F.col("where") == "left", 0.25).when(F.col("where") == "center", 0.5).when(F.col("where") == "right", 0.75) * width
     x = x.withColumn("_d", F.abs(F.col("x") + F.col("w") / 2 - at)).where((F.col("_n") == 1) | F.col("_d").isNotNull())
     return x.groupBy(*_KEYS).agg(F.min_by("person", F.struct(F.coalesce("_d", F.lit(0.0)), -F.col("confidence"), "person")).alias("person"))
@@ -77,7 +78,7 @@ def resolve_identities(identities: DataFrame, persons: DataFrame, most: float =
     said = F.when(F.col("identity").rlike(r"^P[1-9][0-9]*$"), named).otherwise(F.col("identity")) if bare else F.col("identity")
     x = identities.withColumn("owner", F.regexp_extract(said, pattern, 1)).withColumn("label", F.regexp_extract(said, pattern, 2))
     all_ = persons.groupBy(*_KEYS).agg(F.collect_list(F.struct("label", F.struct("x", "y", "w", "h").alias("box"))).alias("all"))
-    x = x.join(all_, _KEYS, "left")
+    x = x.join(shuffled(all_), _KEYS, "left")
     mine = F.filter("all", lambda p: p["label"] == F.col("label"))
     box = F.get(mine, 0)["box"]
     n = F.coalesce(F.size(mine), F.lit(0))
