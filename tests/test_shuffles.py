@@ -11,6 +11,6 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["b04_box_overlap", "b05_track_continuity", "b06_bidirectional_track", "b07_joint_tracks", "b11_face_binding", "l06_package_completeness", "l02_publication_readiness", "l05_closing_manifest"])
+@pytest.mark.parametrize("name", ["b04_box_overlap", "b05_track_continuity", "b06_bidirectional_track", "b07_joint_tracks", "b11_face_binding", "l06_package_completeness", "l02_publication_readiness", "l05_closing_manifest", "a19_reason_frequency"])
 def test_boxes_meet_by_shuffle(spark, name):
     assert "BroadcastHashJoin" not in _plan(registry.QUERIES[name](spark, SF))
