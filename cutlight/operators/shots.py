@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cutlight.functions.columns import clamp, errors
+from cutlight.functions.columns import clamp, errors, rounded
 
 #: Event types and the durations that suit them: from, to, and the longest that is still allowed (fixed values).
 DURATION_RANGES = {
@@ -239,13 +239,13 @@ def score_events(events: DataFrame) -> DataFrame:
 
     Needs duration_s, kind, sharpness, brightness, near_black, continuity, occupancy, motion, n_shots.
     """
-    part = lambda x: F.round(clamp(x, 0.0, 100.0), 2)
+    part = lambda x: rounded(clamp(x, 0.0, 100.0), 2)
     quality = 25 * (0.45 * F.least(F.lit(1.0), F.col("sharpness") / 150) + 0.35 * (1 - F.abs(F.col("brightness") - 110) / 145) + 0.20 * (1 - F.col("near_black")))
     continuity = 20 * (0.6 * F.col("continuity") + 0.4 * (1 - F.least(F.lit(1.0), F.col("occupancy"))))
     motion = 15 * (1 - F.least(F.lit(1.0), F.abs(F.col("motion") - 12) / 20))
     simple = 15 * (1 / (1 + 0.18 * (F.col("n_shots") - 1)))
     x = events.withColumns({"p_duration": part(duration_fit(F.col("duration_s"), F.col("kind"))), "p_quality": part(quality), "p_continuity": part(continuity), "p_motion": part(motion), "p_simple": part(simple)})
-    x = x.withColumn("total", F.round(F.col("p_duration") + F.col("p_quality") + F.col("p_continuity") + F.col("p_motion") + F.col("p_simple"), 2))
+    x = x.withColumn("total", rounded(F.col("p_duration") + F.col("p_quality") + F.col("p_continuity") + F.col("p_motion") + F.col("p_simple"), 2))
     return x.withColumn("structural", F.when(F.col("total") >= KEEP, "KEEP").when(F.col("total") >= REVIEW, "REVIEW").otherwise("REJECT"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cutlight import fixtures as fx
 from cutlight.fixtures import with_
+from cutlight.functions.columns import rounded
 from cutlight.operators import geometry as geo
 from cutlight.operators import intervals as iv
 from cutlight.operators import shots as sh
@@ -293,7 +294,7 @@ def a06_event_rollup(spark: SparkSession, d: str) -> DataFrame:
 
 @query(_with_runs("SELECT movie_id, CAST(run AS BIGINT) AS run, round(total, 1) AS total, CASE WHEN total >= 70 THEN 'KEEP' WHEN total >= 50 THEN 'REVIEW' ELSE 'REJECT' END AS structural FROM scored"))
 def p02_event_scores(spark: SparkSession, d: str) -> DataFrame:
-    return _events(spark, d).select("movie_id", "run", F.round("total", 1).alias("total"), "structural")
+    return _events(spark, d).select("movie_id", "run", rounded(F.col("total"), 1).alias("total"), "structural")
 
 
 @query(with_("SELECT movie_id, shot_id, round(CASE WHEN d >= lo AND d <= hi THEN 25 WHEN d < lo THEN 25 * (0.45::DOUBLE + 0.55::DOUBLE * d / lo) WHEN d <= al THEN 25 * (1 - 0.35::DOUBLE * (d - hi) / (al - hi)) ELSE greatest(0, 25 * 0.65::DOUBLE * (1 - (d - al) / greatest(8, al))) END, 4) AS fit FROM (SELECT movie_id, shot_id, end_s - start_s AS d, [3, 4, 7, 5][event_id % 4 + 1] AS lo, [7, 9, 15, 10][event_id % 4 + 1] AS hi, [10, 12, 18, 15][event_id % 4 + 1] AS al FROM sh)", "sh"))

@@ -130,3 +130,16 @@ def test_smoothing_keeps_to_the_legal_interval(spark):
     rows = [(*r, 100.0, -1.0, 3.0) for r in rows] + [(2, 0, 10.0, 0.0, 50.0, 100.0, None, None), (2, 1, 14.0, 0.0, 50.0, 100.0, None, None)]
     got = geo.smooth_anchors(spark.createDataFrame(rows, "s int, t int, x double, low double, high double, crop double, start double, end double"), ["s"]).orderBy("s", "t").collect()
     assert [(r.s, r.t, r.x) for r in got] == [(1, -1.0, 100.0), (1, 0.0, 100.0), (1, 1.0, 100.0), (1, 2.0, 150.0), (1, 3.0, 150.0), (2, 0.0, 12.0)]
+
+
+def test_parts_of_a_score_are_rounded_as_in_sql(spark):
+    import duckdb
+
+    from cutlight.operators.shots import score_events
+
+    values = [v / 100 for v in range(0, 30000)]
+    parts = "25 * (0.45::DOUBLE * least(1, v / 150) + 0.35::DOUBLE * (1 - abs(60 + v / 5 - 110) / 145) + 0.20::DOUBLE * (1 - 0.1::DOUBLE))"
+    want = dict(duckdb.sql(f"SELECT v, round(greatest(0, least(100, {parts})), 2) FROM (SELECT i / 100 AS v FROM range(30000) t(i))").fetchall())
+    x = spark.range(len(values)).selectExpr("id / 100 AS sharpness", "60 + id / 100 / 5 AS brightness", "0.1D AS near_black", "5.0D AS duration_s", "'action' AS kind", "1.0D AS continuity", "0.0D AS occupancy", "12.0D AS motion", "1 AS n_shots")
+    got = {r["sharpness"]: r["p_quality"] for r in score_events(x).select("sharpness", "p_quality").collect()}
+    assert got == want
