@@ -63,12 +63,13 @@ def x03_stream_failure_streaks(spark: SparkSession, d: str) -> DataFrame:
     log = log.withColumn("stretch", F.floor((F.col("seq") - 1) * 4 / F.max("seq").over(Window.partitionBy("movie_id")))).select("movie_id", "seq", "ts_us", "status", "stretch")
     log.write.partitionBy("stretch").parquet(f"{at}/all")
     all_ = spark.read.parquet(f"{at}/all")
+    files = max(2, spark.sparkContext.defaultParallelism)  # of one stretch: a batch of the stream
     for stretches in ((0, 1), (1, 2, 3)):
         for n in stretches:
-            all_.where(F.col("stretch") == n).drop("stretch").repartition(2, "movie_id").write.mode("append").parquet(f"{at}/log")
-        out = sl.failure_streaks(sl.read_log(spark, f"{at}/log", "movie_id bigint, seq bigint, ts_us bigint, status string"), 3)
-        out.writeStream.format("parquet").outputMode("append").option("path", f"{at}/out").option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start().awaitTermination()
-    return sl.longest(spark.read.schema(out.schema).parquet(f"{at}/out")).select("movie_id", "status", "started", "n")
+            all_.where(F.col("stretch") == n).drop("stretch").repartition(files, "movie_id").write.mode("append").parquet(f"{at}/log")
+        log = sl.read_log(spark, f"{at}/log", "movie_id bigint, seq bigint, ts_us bigint, status string", files)
+        sl.upsert_streaks(log, f"{at}/runs", f"{at}/checkpoint", 3)
+    return sl.longest(sl.read_streaks(spark, f"{at}/runs")).select("movie_id", "status", "started", "n")
 
 
 def _stamped(spark: SparkSession, d: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
@@ -14,9 +14,9 @@ from cutlight.sources.versions import closed, drop
 LATENESS = "10 minutes"
 
 
-def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The log's Parquet files as a stream."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(path)
+def read_log(spark: SparkSession, path: str, schema: str, files: int = 2) -> DataFrame:
+    """The log's Parquet files as a stream, so many a batch."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def latest(rows: DataFrame) -> DataFrame:
@@ -112,6 +112,48 @@ def failure_streaks(log: DataFrame, least: int = 5, forget: str | None = None) -
     return keyed.applyInPandasWithState(step, "movie_id bigint, run bigint, status string, started bigint, n bigint", kind, "append", GroupStateTimeout.ProcessingTimeTimeout if forget else GroupStateTimeout.NoTimeout)
 
 
+_STREAK = "movie_id bigint, run bigint, status string, started bigint, n bigint, seq bigint"
+
+
+def upsert_streaks(log: DataFrame, target: str, checkpoint: str, least: int = 5) -> None:
+    """What failure_streaks puts out, under target, of all there is, without Python: for logs of many titles with few rows a batch each.
+
+    A batch and the titles' open runs after the batch before it meet by one shuffle on the title; windows number the runs. Each batch writes its streaks
+    and all open runs; of these only the last two are kept. A batch that runs again reads the open runs before it, so it writes the same.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        before = [n for n in closed(spark, target, "runs") if n < number]
+        at = f"{target}/runs={before[-1]}/kind=open" if before else None
+        state = spark.read.schema(_STREAK).parquet(at) if at else spark.createDataFrame([], _STREAK)
+        one = F.lit(1).cast("bigint").alias("n")
+        rows = batch.select("movie_id", F.lit(None).cast("bigint").alias("run"), "status", F.col("ts_us").alias("started"), one, "seq")
+        title = Window.partitionBy("movie_id")
+        by = title.orderBy("seq")
+        x = state.unionByName(rows).withColumn("read", F.max(F.when(F.col("run").isNotNull(), F.col("seq"))).over(title))
+        x = x.where(F.col("run").isNotNull() | F.col("read").isNull() | (F.col("seq") > F.col("read")))
+        x = x.withColumn("last", F.lag("seq").over(by)).where(F.col("last").isNull() | (F.col("last") != F.col("seq")))  # a row that came twice counts once
+        begins = F.when(F.col("run").isNotNull() | (F.row_number().over(by) > 1) & F.col("status").eqNullSafe(F.lag("status").over(by)), 0).otherwise(1)
+        x = x.withColumns({"begins": begins, "base": F.coalesce(F.max("run").over(title), F.lit(0).cast("bigint"))})
+        x = x.withColumn("no", F.col("base") + F.sum("begins").over(by))
+        g = x.groupBy("movie_id", F.col("no").alias("run")).agg(F.max("status").alias("status"), F.min_by("started", "seq").alias("started"), F.sum("n").alias("n"), F.max("seq").alias("seq"), F.bool_or(F.col("run").isNull()).alias("grew"))
+        last = F.col("run") == F.max("run").over(title)
+        kinds = F.array_compact(F.array(F.when(last, F.lit("open")), F.when(F.col("grew") & (F.col("n") >= least) & F.col("status").startswith("FAILED"), F.lit("streak"))))
+        g = g.withColumn("kinds", kinds)
+        g.select(*[c.split()[0] for c in _STREAK.split(", ")], F.explode("kinds").alias("kind")).write.mode("overwrite").partitionBy("kind").parquet(f"{target}/runs={number}")
+        for n in before[:-1]:
+            drop(spark, f"{target}/runs={n}/kind=open")
+
+    log.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def read_streaks(spark: SparkSession, target: str) -> DataFrame:
+    """The rows of all batches that upsert_streaks has written, as failure_streaks gives them."""
+    x = spark.read.schema(f"{_STREAK}, runs bigint, kind string").parquet(target)
+    return x.where("kind = 'streak'").select("movie_id", "run", "status", "started", "n")
+
+
 def longest(streaks: DataFrame) -> DataFrame:
     """One row a run of what failure_streaks has put out."""
     return streaks.groupBy("movie_id", "run").agg(F.max_by("status", "n").alias("status"), F.min("started").alias("started"), F.max("n").alias("n"))

@@ -51,3 +51,32 @@ def test_streaks_grow_over_batches_and_skip_replays(spark, tmp_path):
     got = sl.longest(spark.read.schema(got.schema).parquet(out)).select("movie_id", "status", "started", "n")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and want.count() > 3
     assert got.where(F.col("n") >= 5).count() > 0
+
+
+def test_streaks_by_tables_grow_over_batches_and_skip_replays(spark, tmp_path):
+    log, out = f"{tmp_path}/log", f"{tmp_path}/out"
+    rng, data = random.Random(3), []
+    for i in range(200):
+        data.append((i % 2, 0, "a", i, i, data[-2][5] if i > 1 and rng.random() < 0.8 else rng.choice(STATES), 0))
+    schema = "movie_id bigint, seq bigint, ts_us bigint, status string"
+    for a, b in ((0, 60), (40, 110), (110, 111), (111, 200), (0, 30)):
+        part = data[a:b] + data[a : a + 3]  # rows that come twice
+        spark.createDataFrame(part, LOG).select("movie_id", "seq", "ts_us", "status").coalesce(1).write.mode("append").parquet(log)
+        sl.upsert_streaks(sl.read_log(spark, log, schema), out, f"{tmp_path}/checkpoint", 4)
+    want = op.failure_streaks(spark.createDataFrame(data, LOG), ["seq"], 4)
+    got = sl.longest(sl.read_streaks(spark, out)).select("movie_id", "status", "started", "n")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and want.count() > 3
+    assert sum(os.path.exists(f"{out}/runs={n}/kind=open") for n in closed(spark, out, "runs")) <= 2
+    # a batch that runs again, as after a crash before its commit, writes the same
+    for name in ("4", ".4.crc"):
+        os.remove(f"{tmp_path}/checkpoint/commits/{name}")
+    sl.upsert_streaks(sl.read_log(spark, log, schema), out, f"{tmp_path}/checkpoint", 4)
+    got = sl.longest(sl.read_streaks(spark, out)).select("movie_id", "status", "started", "n")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_streaks_query_starts_no_python_by_title(spark, monkeypatch):
+    from cutlight import registry
+
+    monkeypatch.setattr(sl, "failure_streaks", None)
+    assert registry.QUERIES["x03_stream_failure_streaks"](spark, "/root/testdata/sf0.001").count() > 0
