@@ -18,7 +18,7 @@ _BOX = ("x", "y", "w", "h")
 
 def _inputs(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     """Shots with directives of all kinds: none at all, nobody named, names that are wrong in each way, one or two persons, regions; shots that were not sampled; faces found by themselves."""
-    s, k, e = fx.shots(spark, d), F.col("k"), F.col("event_id")
+    s, k, e = fx.dealt_shots(spark, d), F.col("k"), F.col("event_id")
     p = lambda *ids: F.array(*[F.lit(i) if isinstance(i, str) else i for i in ids])
     own = F.concat("shot_id", F.lit(":P1"))
     wrong = {5: p("P1", "P1"), 6: p("OTHER:P1"), 7: p("P9"), 8: p("p1"), 9: F.array().cast("array<string>")}

@@ -15,7 +15,7 @@ WIDTH = 1920.0
 
 def _samples(spark: SparkSession, d: str) -> DataFrame:
     """Five samples of every shot; where k is 77, the fourth one has the time of the third."""
-    s = fx.shots(spark, d).select("movie_id", "shot_id", "k", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("sample"))
+    s = fx.dealt_shots(spark, d).select("movie_id", "shot_id", "k", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("sample"))
     return s.select("movie_id", "shot_id", "sample", F.when((F.col("k") == 77) & (F.col("sample") == 3), 2.0).otherwise(F.col("sample").cast("double")).alias("t"))
 
 
@@ -74,7 +74,7 @@ def b05_track_continuity(spark: SparkSession, d: str) -> DataFrame:
 def _targets(spark: SparkSession, d: str) -> DataFrame:
     p = lambda *n: F.array(*[F.lit(f"P{i}") for i in n])
     k = F.col("k")
-    return fx.shots(spark, d).select("movie_id", "shot_id", F.when(k % 3 == 2, p(1, 2)).when(k % 3 == 1, p(1, 2, 2)).otherwise(p(1)).alias("targets"))
+    return fx.dealt_shots(spark, d).select("movie_id", "shot_id", F.when(k % 3 == 2, p(1, 2)).when(k % 3 == 1, p(1, 2, 2)).otherwise(p(1)).alias("targets"))
 
 
 @query(_HEAD + _WALK + """SELECT movie_id, shot_id, 'P' || target AS target, n = 5 AS complete, CASE WHEN n = 0 THEN 'target_not_found_at_reference_sample' ELSE failure END AS reason, CAST(n AS INTEGER) AS found,

@@ -28,3 +28,12 @@ def test_missing_and_changed_files(spark):
     files = spark.createDataFrame([(1, "a", "x", "x"), (1, "b", "x", "y"), (2, "b", None, "y"), (2, "c", "x", "y")], "asset long, name string, sha string, recorded_sha string")
     got = {r["asset"]: (r["missing"], r["mismatched"], r["complete"]) for r in completeness(assets, files, ["b", "a"]).collect()}
     assert got == {1: ([], ["b"], True), 2: (["a", "b"], [], False), 3: (["a", "b"], [], False)}
+
+
+def test_neighbouring_boxes_meet_in_the_row_of_their_shot(spark):
+    plan = _plan(registry.QUERIES["b05_track_continuity"](spark, SF))
+    assert "REPARTITION_BY_NUM" in plan and "sample" not in "".join(line for line in plan.splitlines() if "Exchange hashpartitioning" in line)
+
+
+def test_cues_are_exploded_behind_the_shuffle(spark):
+    assert "REPARTITION_BY_NUM" in _plan(registry.QUERIES["j06_chunk_membership"](spark, SF))
