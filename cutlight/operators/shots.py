@@ -254,11 +254,16 @@ def event_rollup(shots: DataFrame, group: str) -> DataFrame:
 
     Needs shot_ord, occupancy, ids (narrative segments) and similarity (to the shot before in the event) beside the signals.
     """
-    order = F.sort_array(F.collect_list(F.struct("shot_ord", "shot_id", "ids")))
-    g = shots.groupBy("movie_id", group).agg(
-        F.min("start_s").alias("start_s"), F.max("end_s").alias("end_s"), F.count(F.lit(1)).alias("n_shots"), *[F.avg(c).alias(c) for c in ("brightness", "sharpness", "motion", "near_black", "occupancy")],
-        order.alias("_l"), F.coalesce(F.avg("similarity"), F.lit(1.0)).alias("continuity"),
-    )
+    signals = ("brightness", "sharpness", "motion", "near_black", "occupancy", "similarity")
+    order = F.sort_array(F.collect_list(F.struct("shot_ord", "shot_id", "ids", *[F.col(c).cast("double").alias(c) for c in signals])))
+
+    def mean(c: str) -> Column:
+        """The mean of what is known, added up in the order of shots: in another order it may lie on the other side of a rounding's edge."""
+        known = F.filter(F.transform("_l", lambda x: x[c]), lambda v: v.isNotNull())
+        return F.try_divide(F.aggregate(known, F.lit(0.0), lambda s, v: s + v), F.size(known))
+
+    g = shots.groupBy("movie_id", group).agg(F.min("start_s").alias("start_s"), F.max("end_s").alias("end_s"), F.count(F.lit(1)).alias("n_shots"), order.alias("_l"))
+    g = g.withColumns({c: mean(c) for c in signals[:-1]} | {"continuity": F.coalesce(mean("similarity"), F.lit(1.0))})
     g = g.withColumn("shot_ids", F.transform("_l", lambda x: x["shot_id"])).withColumn("narrative_ids", F.array_distinct(F.flatten(F.transform("_l", lambda x: x["ids"])))).drop("_l")
     many, talk = F.col("n_shots") > 1, F.col("occupancy") >= 0.22
     reasons = errors((F.lit(True), "technical_shot_continuity"), (many, "camera_cut_not_treated_as_asset_boundary"), (F.size("narrative_ids") == 1, "same_narrative_segment"), (talk, "subtitle_continuity"))

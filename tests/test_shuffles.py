@@ -37,3 +37,20 @@ def test_neighbouring_boxes_meet_in_the_row_of_their_shot(spark):
 
 def test_cues_are_exploded_behind_the_shuffle(spark):
     assert "REPARTITION_BY_NUM" in _plan(registry.QUERIES["j06_chunk_membership"](spark, SF))
+
+
+def test_means_of_an_event_are_added_up_in_the_order_of_shots(spark):
+    from functools import reduce
+    from operator import add
+
+    from pyspark.sql import functions as F
+
+    from cutlight.operators import shots as sh
+
+    values = [0.1, 0.2, 0.3, 0.7, 1e16, -1e16, 0.4, 1.1]
+    rows = [(1, 1, i, f"S{i}", float(i), i + 1.0, v, v, v, v, v, v, ["N"]) for i, v in enumerate(values)]
+    names = "movie_id long, run long, shot_ord int, shot_id string, start_s double, end_s double, brightness double, sharpness double, motion double, near_black double, occupancy double, similarity double, ids array<string>"
+    want = reduce(add, values, 0.0) / len(values)  # sum() would make up for what rounding loses
+    for order in (F.col("shot_ord"), F.desc("shot_ord"), F.hash("shot_id")):
+        got = sh.event_rollup(spark.createDataFrame(rows, names).repartition(4).sortWithinPartitions(order), "run").first()
+        assert [got[c] for c in ("brightness", "sharpness", "motion", "near_black", "occupancy", "continuity")] == [want] * 6
