@@ -210,14 +210,25 @@ def continuity(pairs: DataFrame) -> DataFrame:
     return x.withColumn("breaks", breaks).withColumn("merge", F.size("breaks") == 0).withColumn("similarity", like)
 
 
-def adjacent_edges(shots: DataFrame) -> DataFrame:
+def _edge_columns(shots: DataFrame) -> list[str]:
+    return [*EDGE_COLUMNS, *[c for c in ("hist", "vec_id") if c in shots.columns]]
+
+
+def with_hists(pairs: DataFrame, hists: DataFrame | None) -> DataFrame:
+    """pairs with hist and n_hist of their vec_id and n_vec_id (hists: vec_id, hist): shots go through shuffles with the number of their vector only."""
+    if hists is None:
+        return pairs
+    return pairs.join(hists, "vec_id", "left").join(hists.select(F.col("vec_id").alias("n_vec_id"), F.col("hist").alias("n_hist")), "n_vec_id", "left")
+
+
+def adjacent_edges(shots: DataFrame, hists: DataFrame | None = None) -> DataFrame:
     """Continuity of each shot with the next one of its title: movie_id, shot_id, next_id, merge, reasons, breaks, dialogue, similarity.
 
-    shots: movie_id, shot_ord, EDGE_COLUMNS, and hist where similarity counts. One window over a title, no join.
+    shots: movie_id, shot_ord, EDGE_COLUMNS, and where similarity counts hist, or vec_id with hists (vec_id, hist). One window over a title.
     """
     by = _title().orderBy("shot_ord")
-    cols = [*EDGE_COLUMNS, *(["hist"] if "hist" in shots.columns else [])]
-    x = continuity(shots.withColumns({f"n_{c}": F.lead(c).over(by) for c in cols}).where("n_shot_id is not null"))
+    cols = _edge_columns(shots)
+    x = continuity(with_hists(shots.withColumns({f"n_{c}": F.lead(c).over(by) for c in cols}).where("n_shot_id is not null"), hists))
     return x.select("movie_id", "shot_id", F.col("n_shot_id").alias("next_id"), "merge", "reasons", "breaks", "dialogue", "similarity")
 
 
@@ -287,11 +298,11 @@ def event_health(events: DataFrame) -> DataFrame:
     return events.withColumn("bucket", bucket).groupBy("bucket").agg(F.count(F.lit(1)).alias("events"), F.count_if(F.col("n_shots") > 1).alias("multi_shot"), F.median(d).alias("median_s"), F.avg(d).alias("mean_s"))
 
 
-def grouping_rows(shots: DataFrame) -> DataFrame:
+def grouping_rows(shots: DataFrame, hists: DataFrame | None = None) -> DataFrame:
     """shots (as for adjacent_edges, with start_s, end_s, alone) as bounded_groups reads them: joined, talk and why tell of the edge to the next shot."""
     by = _title().orderBy("shot_ord")
-    cols = [*EDGE_COLUMNS, *(["hist"] if "hist" in shots.columns else [])]
-    x = baseline_join(continuity(shots.withColumns({f"n_{c}": F.lead(c).over(by) for c in cols})))
+    cols = _edge_columns(shots)
+    x = baseline_join(continuity(with_hists(shots.withColumns({f"n_{c}": F.lead(c).over(by) for c in cols}), hists)))
     next_ = F.col("n_shot_id").isNotNull()
     no = lambda c: next_ & F.coalesce(c, F.lit(False))
     return x.select("movie_id", "shot_ord", "shot_id", (F.col("end_s") - F.col("start_s")).alias("duration_s"), no(F.col("joined")).alias("joined"), no(F.col("dialogue")).alias("talk"), no(F.size("reasons") > 0).alias("why"), "alone")
@@ -340,7 +351,7 @@ def bounded_groups(rows: DataFrame, longest: float = LONGEST) -> DataFrame:
     return g.select("movie_id", group_no.alias("group_no"), "first_ord", "duration_s", "alone", F.transform("_l", lambda r: r["shot_id"]).alias("shot_ids"))
 
 
-def rescue_orphans(groups: DataFrame, shots: DataFrame, low: float = 3.0, high: float = 4.5, longest: float = LONGEST) -> DataFrame:
+def rescue_orphans(groups: DataFrame, shots: DataFrame, low: float = 3.0, high: float = 4.5, longest: float = LONGEST, hists: DataFrame | None = None) -> DataFrame:
     """Groups after those of low to high seconds have gone to a neighbour: movie_id, event_no, first_ord, duration_s, shot_ids.
 
     groups: as bounded_groups gives them; shots: as for adjacent_edges. A short group goes to the one before it, else to the one after it, if
@@ -348,13 +359,13 @@ def rescue_orphans(groups: DataFrame, shots: DataFrame, low: float = 3.0, high:
     joined. What a merge has made longer is no orphan any more, so one pass in order settles a title; it runs over islands of
     groups whose seams would be joined.
     """
-    cols = [*EDGE_COLUMNS, *(["hist"] if "hist" in shots.columns else [])]
+    cols = _edge_columns(shots)
     by = _title().orderBy("group_no")
     g = groups.withColumns({"next_d": F.lead("duration_s").over(by), "next_alone": F.lead("alone").over(by), "_left": F.element_at("shot_ids", -1), "_right": F.lead(F.element_at("shot_ids", 1)).over(by)})
     seams = g.where("_right is not null").select("movie_id", "group_no", "_left", "_right")
     left = shots.select("movie_id", F.col("shot_id").alias("_left"), *cols)
     right = shots.select("movie_id", F.col("shot_id").alias("_right"), *[F.col(c).alias(f"n_{c}") for c in cols])
-    joined = baseline_join(continuity(seams.join(left, ["movie_id", "_left"]).join(right, ["movie_id", "_right"]))).select("movie_id", "group_no", F.col("joined").alias("link"))
+    joined = baseline_join(continuity(with_hists(seams.join(left, ["movie_id", "_left"]).join(right, ["movie_id", "_right"]), hists))).select("movie_id", "group_no", F.col("joined").alias("link"))
     g = g.join(joined, ["movie_id", "group_no"], "left").withColumn("link", F.coalesce("link", F.lit(False)))
     g = g.withColumn("island", F.sum(F.when(F.coalesce(F.lag("link").over(by), F.lit(False)), 0).otherwise(1)).over(by))
 

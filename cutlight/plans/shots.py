@@ -12,7 +12,7 @@ from cutlight.operators import geometry as geo
 from cutlight.operators import intervals as iv
 from cutlight.operators import shots as sh
 from cutlight.registry import query
-from cutlight.session import cut
+from cutlight.session import cut, shuffled
 
 _r = lambda c: F.round(c, 4).alias(c)
 #: Means of few values lie on the edge of rounding; both engines are moved off it.
@@ -165,11 +165,14 @@ def _shots_with_context(spark: SparkSession, d: str) -> DataFrame:
     return x.withColumn("occupancy", F.coalesce("occupancy", F.lit(0.0)))
 
 
-def _with_hist(spark: SparkSession, d: str) -> DataFrame:
-    """Shots with occupancy and the histogram of the vector at their event's number, counted round all vectors."""
-    e = fx.table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("hist"))
-    x = _shots_with_context(spark, d).withColumn("vec_id", F.col("event_id") % max(1, e.count())).withColumn("alone", F.col("k") == 7)
-    return x.join(e, "vec_id", "left").drop("vec_id")
+def _hists(spark: SparkSession, d: str) -> DataFrame:
+    return fx.table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("hist"))
+
+
+def _with_vectors(spark: SparkSession, d: str) -> DataFrame:
+    """Shots with occupancy and the number of the vector at their event's number, counted round all vectors."""
+    n = fx.table(spark, d, "embeddings").count()
+    return _shots_with_context(spark, d).withColumn("vec_id", F.col("event_id") % max(1, n)).withColumn("alone", F.col("k") == 7)
 
 
 _EDGE_COLUMNS = ", ".join(f"{{a}}.{c} AS {{n}}{c}" for c in (*sh.EDGE_COLUMNS, "vec_id"))
@@ -212,7 +215,7 @@ def g02_adjacent_continuity(spark: SparkSession, d: str) -> DataFrame:
 
 @query(_with_edges("SELECT movie_id, shot_id, n_shot_id AS next_id, merge, joined, round(similarity, 4) AS similarity FROM edge"))
 def g03_baseline_join(spark: SparkSession, d: str) -> DataFrame:
-    return sh.baseline_join(sh.adjacent_edges(_with_hist(spark, d))).select("movie_id", "shot_id", "next_id", "merge", "joined", F.round("similarity", 4).alias("similarity"))
+    return sh.baseline_join(sh.adjacent_edges(_with_vectors(spark, d), _hists(spark, d))).select("movie_id", "shot_id", "next_id", "merge", "joined", F.round("similarity", 4).alias("similarity"))
 
 
 _GROUPS = f""", seq AS MATERIALIZED (SELECT ctx.movie_id, ctx.shot_ord AS i, ctx.shot_id, end_s - start_s AS d, k = 7 AS alone, coalesce(joined, false) AS joined, NOT coalesce(dialogue, false) AND coalesce(len(reasons), 0) = 0 AS quiet FROM ctx LEFT JOIN edge ON edge.movie_id = ctx.movie_id AND edge.shot_id = ctx.shot_id),
@@ -235,8 +238,8 @@ def _with_groups(body: str) -> str:
 
 def _groups(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """(shots with context, bounded groups of them)."""
-    x = cut(_with_hist(spark, d), "shots")
-    return x, cut(sh.bounded_groups(sh.grouping_rows(x)), "groups")
+    x = cut(_with_vectors(spark, d), "shots")
+    return x, cut(sh.bounded_groups(sh.grouping_rows(x, _hists(spark, d))), "groups")
 
 
 @query(_with_groups("SELECT movie_id, group_no, round(duration_s, 4) AS duration_s, shot_ids FROM grp"))
@@ -247,7 +250,7 @@ def g04_bounded_groups(spark: SparkSession, d: str) -> DataFrame:
 @query(_with_groups("SELECT movie_id, event_no, round(duration_s, 4) AS duration_s, shot_ids FROM evt"))
 def g05_rescued_groups(spark: SparkSession, d: str) -> DataFrame:
     x, groups = _groups(spark, d)
-    return sh.rescue_orphans(groups, x).select("movie_id", "event_no", F.round("duration_s", 4).alias("duration_s"), "shot_ids")
+    return sh.rescue_orphans(groups, x, hists=_hists(spark, d)).select("movie_id", "event_no", F.round("duration_s", 4).alias("duration_s"), "shot_ids")
 
 
 @query(_with_edges("SELECT movie_id, CAST(run AS BIGINT) AS run, count(*) AS n_shots, list(shot_id ORDER BY shot_ord) AS shot_ids FROM (SELECT ctx.movie_id, ctx.shot_id, ctx.shot_ord, sum(CASE WHEN coalesce(merge, false) THEN 0 ELSE 1 END) OVER (PARTITION BY ctx.movie_id ORDER BY ctx.shot_ord) AS run FROM ctx LEFT JOIN edge ON edge.movie_id = ctx.movie_id AND edge.n_shot_id = ctx.shot_id) GROUP BY ALL"))
@@ -258,13 +261,16 @@ def g06_scene_runs(spark: SparkSession, d: str) -> DataFrame:
 def _events(spark: SparkSession, d: str) -> DataFrame:
     """Bounded events after the rescue of orphans, rolled up and scored."""
     x, groups = _groups(spark, d)
-    events = cut(sh.rescue_orphans(groups, x), "events")
+    hists = _hists(spark, d)
+    events = cut(sh.rescue_orphans(groups, x, hists=hists), "events")
     of = events.select("movie_id", F.col("event_no").alias("run"), F.posexplode("shot_ids").alias("at", "shot_id"))
-    by = Window.partitionBy("movie_id", "run").orderBy("at")
-    x = x.join(of, ["movie_id", "shot_id"]).withColumn("before", F.lag("hist").over(by))
-    x = x.withColumn("similarity", F.when(F.col("at") > 0, sh.histogram_similarity(F.col("before"), F.col("hist")))).drop("hist", "before", "at")
     ids = iv.overlapped_ids(x, fx.segments(spark, d), ["shot_id"], "segment_id")
-    return sh.score_events(sh.event_rollup(x.join(ids, ["movie_id", "shot_id"]), "run"))
+    by = Window.partitionBy("movie_id", "run").orderBy("at")
+    x = x.select("movie_id", "shot_id", "shot_ord", "start_s", "end_s", "brightness", "sharpness", "motion", "near_black", "occupancy", F.col("vec_id").alias("n_vec_id"))
+    # of goes by shuffle: it is exploded from a small file
+    x = x.join(shuffled(of), ["movie_id", "shot_id"]).join(ids, ["movie_id", "shot_id"]).withColumn("vec_id", F.lag("n_vec_id").over(by))
+    x = sh.with_hists(x, hists).withColumn("similarity", F.when(F.col("at") > 0, sh.histogram_similarity(F.col("hist"), F.col("n_hist")))).drop("hist", "n_hist", "at")
+    return sh.score_events(sh.event_rollup(x, "run"))
 
 
 _RUN = _GROUPS + """, sho AS (SELECT movie_id, event_no, unnest(shot_ids) AS shot_id, generate_subscripts(shot_ids, 1) AS nth FROM evt),

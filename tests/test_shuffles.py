@@ -54,3 +54,11 @@ def test_means_of_an_event_are_added_up_in_the_order_of_shots(spark):
     for order in (F.col("shot_ord"), F.desc("shot_ord"), F.hash("shot_id")):
         got = sh.event_rollup(spark.createDataFrame(rows, names).repartition(4).sortWithinPartitions(order), "run").first()
         assert [got[c] for c in ("brightness", "sharpness", "motion", "near_black", "occupancy", "continuity")] == [want] * 6
+
+
+@pytest.mark.parametrize("name", ["g05_rescued_groups", "g03_baseline_join"])
+def test_vectors_stay_out_of_shuffles(spark, name):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    lines = registry.QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    windows = [line for line in lines if "Window" in line]
+    assert windows and not any("hist#" in line for line in windows)
