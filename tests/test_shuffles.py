@@ -62,3 +62,8 @@ def test_vectors_stay_out_of_shuffles(spark, name):
     lines = registry.QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString().splitlines()
     windows = [line for line in lines if "Window" in line]
     assert windows and not any("hist#" in line for line in windows)
+
+
+def test_frames_of_a_plan_are_exploded_in_tasks_of_fixed_number(spark):
+    plan = _plan(registry.QUERIES["w15_sample_plan"](spark, SF))
+    assert "REPARTITION_BY_NUM" in plan and "ENSURE_REQUIREMENTS" not in plan
