@@ -77,8 +77,10 @@ def resolve_identities(identities: DataFrame, persons: DataFrame, most: float =
     named = F.concat_ws(":", "shot_id", "identity") if bare else None
     said = F.when(F.col("identity").rlike(r"^P[1-9][0-9]*$"), named).otherwise(F.col("identity")) if bare else F.col("identity")
     x = identities.withColumn("owner", F.regexp_extract(said, pattern, 1)).withColumn("label", F.regexp_extract(said, pattern, 2))
-    all_ = persons.groupBy(*_KEYS).agg(F.collect_list(F.struct("label", F.struct("x", "y", "w", "h").alias("box"))).alias("all"))
-    x = x.join(shuffled(all_), _KEYS, "left")
+    # they meet by shot: where both are dealt by it already, no row of a sample is shuffled
+    shot = ["movie_id", "shot_id"]
+    all_ = persons.groupBy(*shot).agg(F.collect_list(F.struct("sample", "label", F.struct("x", "y", "w", "h").alias("box"))).alias("_all"))
+    x = x.join(shuffled(all_), shot, "left").withColumn("all", F.filter("_all", lambda p: p["sample"] == F.col("sample")))
     mine = F.filter("all", lambda p: p["label"] == F.col("label"))
     box = F.get(mine, 0)["box"]
     n = F.coalesce(F.size(mine), F.lit(0))

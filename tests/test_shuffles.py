@@ -67,3 +67,8 @@ def test_vectors_stay_out_of_shuffles(spark, name):
 def test_frames_of_a_plan_are_exploded_in_tasks_of_fixed_number(spark):
     plan = _plan(registry.QUERIES["w15_sample_plan"](spark, SF))
     assert "REPARTITION_BY_NUM" in plan and "ENSURE_REQUIREMENTS" not in plan
+
+
+def test_identities_meet_persons_without_a_shuffle_of_samples(spark):
+    plan = _plan(registry.QUERIES["b03_person_identities"](spark, SF))
+    assert "REPARTITION_BY_NUM" in plan and "sample" not in "".join(line for line in plan.splitlines() if "Exchange hashpartitioning" in line)
