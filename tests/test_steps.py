@@ -33,3 +33,9 @@ def test_a_projected_moment_is_judged_once(spark):
 def test_the_projection_is_written_once_and_judges_three_moments(spark, cuts, name):
     registry.QUERIES[name](spark, SF)
     assert [p.count("missing_moment_shot_support") for p in cuts] == [3]
+
+
+@pytest.mark.parametrize("name", ["p04_policy_v2", "p07_catalog_replay"])
+def test_moments_are_judged_once_for_all_that_reads_them(spark, cuts, name):
+    plan = _plan(registry.QUERIES[name](spark, SF))
+    assert "missing_moment_shot_support" not in plan and [p.count("missing_moment_shot_support") for p in cuts] == [1]
