@@ -11,7 +11,7 @@ from cutlight import fixtures as fx
 from cutlight.fixtures import with_
 from cutlight.operators import windows as wi
 from cutlight.registry import query
-from cutlight.session import shared_dir
+from cutlight.session import cut, shared_dir
 
 SUMMARIES = (
     "Two people talk at night", "A mother and daughter argue", "Una madre e hijo y su padre e hija", "The opening logo of the house", "Two siblings meet a romantic partner",
@@ -123,7 +123,7 @@ SELECT movie_id, key AS window_id, round(start_s, 3) AS start_s, round(end_s, 3)
 )
 def w18_window_registry(spark: SparkSession, d: str) -> DataFrame:
     """Select, select again, try the windows of one title in three, and select once more, all from disk."""
-    s = _segments(spark, d)
+    s = cut(_segments(spark, d), "segments")  # each of the five steps below reads them several times
     registry = wi.WindowRegistry(spark, f"{shared_dir(spark)}/registry-{uuid.uuid4().hex}")
     registry.publish(_registry(s))
     registry.select(s, _durations(s))

@@ -39,3 +39,12 @@ def test_the_projection_is_written_once_and_judges_three_moments(spark, cuts, na
 def test_moments_are_judged_once_for_all_that_reads_them(spark, cuts, name):
     plan = _plan(registry.QUERIES[name](spark, SF))
     assert "missing_moment_shot_support" not in plan and [p.count("missing_moment_shot_support") for p in cuts] == [1]
+
+
+def test_a_registry_reads_segments_that_are_written_once(spark, monkeypatch):
+    from cutlight.operators import windows as wi
+
+    seen, choose = [], wi.next_windows
+    monkeypatch.setattr(wi, "next_windows", lambda s, *more: seen.append(_plan(s)) or choose(s, *more))
+    registry.QUERIES["w18_window_registry"](spark, SF)
+    assert len(seen) == 3 and not any("split(" in p for p in seen)
