@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cutlight import fixtures as fx
 from cutlight.operators import consolidate as co
 from cutlight.operators import narrative as nv
-from cutlight.plans.review import g11_seam_choice
+from cutlight.plans.review import seam_choice
 from cutlight.registry import SQL, query
 from cutlight.session import cut
 
@@ -30,11 +30,13 @@ last_ AS (SELECT fo.movie_id, unnest(kept) AS k, generate_subscripts(kept, 1) AS
 
 
 def _consolidated(spark: SparkSession, d: str) -> DataFrame:
-    c = cut(nv.chunk_cues(fx.cues(spark, d), 60.0, 10.0).select("movie_id", "chunk", "cue_ord"), "chunks")
+    # both written once: seams and maps read them in many places
+    cues = cut(fx.cues(spark, d).select("movie_id", "cue_ord", "start_s", "end_s"), "cues")
+    c = cut(nv.chunk_cues(cues, 60.0, 10.0).select("movie_id", "chunk", "cue_ord"), "chunks")
     spans = c.groupBy("movie_id", "chunk").agg(F.min("cue_ord").alias("lo"), F.max("cue_ord").alias("hi"))
     s = c.groupBy("movie_id", "chunk", F.floor((F.col("cue_ord") + F.col("chunk")) / 5).alias("segment")).agg(F.min("cue_ord").alias("first"), F.max("cue_ord").alias("last")).join(spans, ["movie_id", "chunk"])
     s = s.select("movie_id", "chunk", "segment", "first", "last", F.col("lo").alias("chunk_first"), F.col("hi").alias("chunk_last"), (F.col("first") % 4 == 0).alias("ends_new"), F.lit(False).alias("starts_new"), F.lit(1).alias("known"), F.lit(0.5).alias("confidence"))
-    return co.consolidate(s, co.seams(spans, g11_seam_choice(spark, d)))
+    return co.consolidate(s, co.seams(spans, seam_choice(cues, c)))
 
 
 @query(_FOLD + "SELECT movie_id, segment_no, k.f AS first, k.l AS last, k.c AS chunk, k.s AS segment FROM last_")

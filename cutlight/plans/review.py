@@ -59,7 +59,11 @@ SELECT movie_id, chunk, "at" AS seam, CASE WHEN fb THEN 'midpoint_fallback' WHEN
 FROM sc QUALIFY row_number() OVER (PARTITION BY movie_id, chunk ORDER BY nw DESC, both_ DESC, near_ DESC, pause DESC, central DESC, "at") = 1"""))
 def g11_seam_choice(spark: SparkSession, d: str) -> DataFrame:
     cues = fx.cues(spark, d)
-    c = nv.chunk_cues(cues, 60.0, 10.0)
+    return seam_choice(cues, nv.chunk_cues(cues, 60.0, 10.0))
+
+
+def seam_choice(cues: DataFrame, c: DataFrame) -> DataFrame:
+    """Seams between the chunks c (movie_id, chunk, cue_ord) of cues, by what a model might have answered for each chunk."""
     b = c.groupBy("movie_id", "chunk", F.floor((F.col("cue_ord") + F.col("chunk")) / 5).alias("n")).agg(F.min("cue_ord").alias("f"), F.max("cue_ord").alias("at"))
     b = b.select("movie_id", "chunk", "at", (F.col("f") % 4 == 0).alias("new"))
     span = c.groupBy("movie_id", "chunk").agg(F.min("cue_ord").alias("lo"), F.max("cue_ord").alias("hi"))

@@ -48,3 +48,8 @@ def test_a_registry_reads_segments_that_are_written_once(spark, monkeypatch):
     monkeypatch.setattr(wi, "next_windows", lambda s, *more: seen.append(_plan(s)) or choose(s, *more))
     registry.QUERIES["w18_window_registry"](spark, SF)
     assert len(seen) == 3 and not any("split(" in p for p in seen)
+
+
+@pytest.mark.parametrize("name", ["g12_reconciled_map", "g13_consolidation_report"])
+def test_seams_and_maps_read_cues_that_are_written_once(spark, name):
+    assert "split(" not in _plan(registry.QUERIES[name](spark, SF))
