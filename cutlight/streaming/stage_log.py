@@ -21,9 +21,8 @@ def read_log(spark: SparkSession, path: str, schema: str, files: int = 2) -> Dat
 
 def latest(rows: DataFrame) -> DataFrame:
     """movie_id, event_id, stage, ts_us, seq, status, fingerprint: the row of each stage with the greatest (ts_us, seq)."""
-    at = F.struct("ts_us", "seq")
-    g = rows.groupBy("movie_id", "event_id", "stage").agg(F.max(at).alias("at"), F.max_by(F.struct("status", "fingerprint"), at).alias("s"))
-    return g.select("movie_id", "event_id", "stage", "at.ts_us", "at.seq", "s.status", "s.fingerprint")
+    g = rows.groupBy("movie_id", "event_id", "stage").agg(F.max(F.struct("ts_us", "seq", "status", "fingerprint")).alias("s"))
+    return g.select("movie_id", "event_id", "stage", "s.*")
 
 
 #: Batches whose rows stand by themselves before they are merged into one base.
@@ -47,7 +46,7 @@ def upsert_states(log: DataFrame, target: str, checkpoint: str, deltas: int = DE
         latest(batch).write.mode("overwrite").parquet(f"{target}/delta={number}")
         waiting = [n for n in closed(spark, target, "delta") if not bases or n > bases[-1]]
         if len(waiting) >= deltas:
-            latest(_rows(spark, target)).write.mode("overwrite").parquet(f"{target}/base={number}")
+            _latest(spark, target).write.mode("overwrite").parquet(f"{target}/base={number}")
             for kind, numbers in (("delta", closed(spark, target, "delta")), ("base", bases[:-1])):
                 for n in numbers:
                     drop(spark, f"{target}/{kind}={n}")
@@ -58,20 +57,28 @@ def upsert_states(log: DataFrame, target: str, checkpoint: str, deltas: int = DE
 _STATE = "movie_id bigint, event_id bigint, stage string, ts_us bigint, seq bigint, status string, fingerprint bigint"
 
 
-def _rows(spark: SparkSession, target: str) -> DataFrame:
+def _parts(spark: SparkSession, target: str) -> list[str]:
     bases = closed(spark, target, "base")
-    parts = [f"{target}/base={n}" for n in bases[-1:]] + [f"{target}/delta={n}" for n in closed(spark, target, "delta") if not bases or n > bases[-1]]
-    return spark.read.schema(_STATE).parquet(*parts) if parts else spark.createDataFrame([], _STATE)
+    return [f"{target}/base={n}" for n in bases[-1:]] + [f"{target}/delta={n}" for n in closed(spark, target, "delta") if not bases or n > bases[-1]]
+
+
+def _latest(spark: SparkSession, target: str) -> DataFrame:
+    """The latest row a stage; a base or a delta that stands alone holds one row a stage as it is."""
+    parts = _parts(spark, target)
+    if not parts:
+        return spark.createDataFrame([], _STATE)
+    rows = spark.read.schema(_STATE).parquet(*parts)
+    return latest(rows) if len(parts) > 1 else rows
 
 
 def read_states(spark: SparkSession, target: str) -> DataFrame:
     """movie_id, event_id, stage, status, ts_us: the latest of what upsert_states has written, as the log says it."""
-    return latest(_rows(spark, target)).select("movie_id", "event_id", "stage", "status", "ts_us")
+    return _latest(spark, target).select("movie_id", "event_id", "stage", "status", "ts_us")
 
 
 def read_corrected(spark: SparkSession, target: str) -> DataFrame:
     """read_states with the corrections of operations.stage_state: an event's latest row is the latest of its stages."""
-    return stage_state(latest(_rows(spark, target)), ["seq"])
+    return stage_state(_latest(spark, target), ["seq"])
 
 
 def failure_streaks(log: DataFrame, least: int = 5, forget: str | None = None) -> DataFrame:

@@ -53,3 +53,8 @@ def test_a_registry_reads_segments_that_are_written_once(spark, monkeypatch):
 @pytest.mark.parametrize("name", ["g12_reconciled_map", "g13_consolidation_report"])
 def test_seams_and_maps_read_cues_that_are_written_once(spark, name):
     assert "split(" not in _plan(registry.QUERIES[name](spark, SF))
+
+
+def test_a_base_that_stands_alone_is_read_without_a_shuffle(spark):
+    plan = registry.QUERIES["x01_stream_latest_state"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Aggregate" not in plan
