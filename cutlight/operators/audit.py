@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cutlight.functions.columns import let
 from cutlight.operators.geometry import median_of
 
 _SHOT = ["movie_id", "asset", "shot_id"]
@@ -15,7 +16,7 @@ def place_at(anchors: Column, t: Column) -> Column:
     """Where a crop begins at time t, to a whole pixel (halves to the even one): between two anchors in proportion, before the first and behind the last pair as at the last."""
     pairs = F.transform(F.sequence(F.lit(1), F.size(anchors) - 1), lambda i: F.struct(F.get(anchors, i - 1).alias("a"), F.get(anchors, i).alias("b")))
     pair = F.get(F.filter(pairs, lambda p: (p["a"]["t"] <= t) & (t <= p["b"]["t"])), 0)
-    between = pair["a"]["x"] + (pair["b"]["x"] - pair["a"]["x"]) * (t - pair["a"]["t"]) / F.greatest(F.lit(0.001), pair["b"]["t"] - pair["a"]["t"])
+    between = let(pair, lambda p: p["a"]["x"] + (p["b"]["x"] - p["a"]["x"]) * (t - p["a"]["t"]) / F.greatest(F.lit(0.001), p["b"]["t"] - p["a"]["t"]))
     return F.bround(F.when(F.size(anchors) <= 1, F.get(anchors, 0)["x"]).otherwise(F.coalesce(between, F.element_at(anchors, -1)["x"])))
 
 
@@ -33,7 +34,7 @@ def rendered_target(plan: DataFrame) -> DataFrame:
     scale = lambda v: v * c("width") / F.greatest(F.lit(1.0), c("crop"))
     expected = scale(c("source.x") + c("source.w") / 2 - place_at(c("anchors"), c("t")))
     x = x.withColumn("expected", F.when(known, expected).otherwise(c("width") / 2))
-    best = F.array_min(F.transform("people", lambda p, i: F.struct(F.abs(p["x"] + p["w"] / 2 - c("expected")).alias("off"), i.alias("i"), F.struct(*[p[k].alias(k) for k in _BOX]).alias("p"))))
+    best = let(c("expected"), lambda at: F.array_min(F.transform("people", lambda p, i: F.struct(F.abs(p["x"] + p["w"] / 2 - at).alias("off"), i.alias("i"), F.struct(*[p[k].alias(k) for k in _BOX]).alias("p")))))
     x = x.withColumn("best", best)
     near = c("best.off") <= F.greatest(c("width") * 0.28, scale(c("source.w")) * 0.9)
     return x.withColumn("seen", F.when(~known | near, c("best.p"))).drop("source", "expected", "best")

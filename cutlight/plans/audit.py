@@ -10,6 +10,7 @@ from cutlight.fixtures import with_
 from cutlight.operators import audit as au
 from cutlight.operators.crops import NEEDS, SUBJECTS
 from cutlight.registry import query
+from cutlight.session import cut, tasks
 
 _KEYS = ["movie_id", "asset", "shot_id"]
 FACES = ("PASS", "REPAIR", "AMBIGUOUS", "SOURCE_LIMIT", "PASS")
@@ -19,8 +20,9 @@ def _inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFram
     """Plans, frames and persons: crops of 600 shown at 300 x 400 that move or stand; frames that do not decode, detectors that fail, persons who are lost, small, large, at the edge, or somewhere else."""
     k, e = F.col("k"), F.col("event_id")
     asset = F.floor((F.col("shot_ord") - 1) / 3).alias("asset")
-    s = fx.shots(spark, d).select("movie_id", asset, "shot_id", "k", "event_id")
-    b = fx.boxes(spark, d).join(s.select(*_KEYS), ["movie_id", "shot_id"])
+    # written once; the boxes of a shot are made in tasks of about 10,000 shots, dealt by what the tables below meet by
+    s = cut(fx.shots(spark, d).select("movie_id", asset, "shot_id", "k", "event_id", "value"), "shots")
+    b = fx.boxes_of(s.repartition(tasks(s, 10_000), *_KEYS), "asset")
     one = b.where("person = 1")
     # the crop is planned around the first person of the first sample, or beside it
     left = s.join(one.where("sample = 0").select(*_KEYS, F.floor(F.greatest(F.lit(0.0), F.least(F.lit(1320.0), F.col("x") + F.col("w") / 2 - 300 + e % 4 * 90))).alias("left")), _KEYS)

@@ -58,3 +58,9 @@ def test_seams_and_maps_read_cues_that_are_written_once(spark, name):
 def test_a_base_that_stands_alone_is_read_without_a_shuffle(spark):
     plan = registry.QUERIES["x01_stream_latest_state"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Aggregate" not in plan
+
+
+def test_the_audit_makes_boxes_from_shots_that_are_written_once(spark):
+    from cutlight.plans import audit
+
+    assert not any("get_json_object" in _plan(df) for df in audit._inputs(spark, SF))
