@@ -123,7 +123,7 @@ def crop_plans(shots: DataFrame, samples: DataFrame, boxes: DataFrame, faces: Da
     followed = cut(tr.tracks(samples, persons, wanted.select(*_SHOT, F.explode("locals").alias("target")).distinct(), width).select(*_SHOT, "target", "complete", "reason", "track"), "crop-tracks")
     as_rows = lambda a: F.transform(a, lambda r: F.struct(r["t"].alias("t"), *[r[k].alias(k) for k in _BOX]))
     single = wanted.where("one").select(*_SHOT, c("locals")[0].alias("target")).join(followed, [*_SHOT, "target"]).select(*_SHOT, "complete", "reason", as_rows(c("track")).alias("track"), F.transform("track", lambda r: r["sample"]).alias("at"))
-    joint = tr.joint_tracks(samples, persons, wanted.where("several").select(*_SHOT, c("locals").alias("targets")), width, followed)
+    joint = tr.joint_tracks(samples, persons, wanted.where("several").select(*_SHOT, c("locals").alias("targets")), width)
     joint = joint.select(*_SHOT, "complete", "reason", as_rows(c("track")).alias("track"), F.array().cast("array<int>").alias("at"))
     bound = single.unionByName(joint)
     bound_face = fa.bind_faces(faces, tr.bound_boxes(persons).select(*_SHOT, "sample", c("label").alias("person"), F.struct(*_BOX).alias("box")))
