@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cutlight.functions.columns import let
 from cutlight.operators import faces as fa
 from cutlight.operators import geometry as geo
 from cutlight.operators import tracks as tr
 from cutlight.operators.qa import SAFE
-from cutlight.session import cut
+from cutlight.session import shuffled
 
 _SHOT = ["movie_id", "shot_id"]
 _BOX = ("x", "y", "w", "h")
@@ -40,9 +41,13 @@ def legal_interval(region: Column, width: float, crop: float) -> Column:
 
 def union_box(boxes: Column) -> Column:
     """The box around an array of boxes; null for none."""
-    left, top = F.array_min(F.transform(boxes, lambda b: b["x"])), F.array_min(F.transform(boxes, lambda b: b["y"]))
-    right, bottom = F.array_max(F.transform(boxes, lambda b: b["x"] + b["w"])), F.array_max(F.transform(boxes, lambda b: b["y"] + b["h"]))
-    return F.when(F.coalesce(F.size(boxes), F.lit(0)) > 0, F.struct(left.alias("x"), top.alias("y"), (right - left).alias("w"), (bottom - top).alias("h")))
+
+    def around(boxes: Column) -> Column:
+        left, top = F.array_min(F.transform(boxes, lambda b: b["x"])), F.array_min(F.transform(boxes, lambda b: b["y"]))
+        right, bottom = F.array_max(F.transform(boxes, lambda b: b["x"] + b["w"])), F.array_max(F.transform(boxes, lambda b: b["y"] + b["h"]))
+        return F.when(F.coalesce(F.size(boxes), F.lit(0)) > 0, F.struct(left.alias("x"), top.alias("y"), (right - left).alias("w"), (bottom - top).alias("h")))
+
+    return let(boxes, around)
 
 
 def free_track(seen: Column, found: Column, place: Column, width: float) -> Column:
@@ -52,25 +57,23 @@ def free_track(seen: Column, found: Column, place: Column, width: float) -> Colu
     among them faces. The first choice is the only one left, or the one nearest to the wanted side (of equals the surest); without a side nobody.
     From then on it is the one nearest to the last choice.
     """
-    some = lambda xs, rule: F.when(F.exists(xs, rule), F.filter(xs, rule)).otherwise(xs)
+    some = lambda xs, rule: let(F.filter(xs, rule), lambda ys: F.when(F.size(ys) > 0, ys).otherwise(xs))
     middle = lambda b: b["x"] + b["w"] / 2
     side = F.when(place == "left", 0.25).when(place == "center", 0.5).when(place == "right", 0.75) * width
-    kind = f"struct<last: {_ROW}, out: array<{_ROW}>>"
 
     def nearest(xs: Column, at: Column, sure: bool) -> Column:
         key = lambda b, i: F.struct((F.abs(middle(b) - at) / (width if sure else 1.0)).alias("d"), (-b["confidence"] if sure else F.lit(0.0)).alias("c"), i.alias("i"), b.alias("b"))
         return F.array_min(F.transform(xs, key))["b"]
 
     def step(state: Column, s: Column) -> Column:
-        here = F.filter(found, lambda b: b["sample"] == s["sample"])
-        here = some(some(here, lambda b: ~b["foreground"]), lambda b: b["face"])
-        at = F.coalesce(middle(state["last"]), side)
-        # one let-binding for each sample: the candidates are read by every arm
-        pick = F.transform(F.array(here), lambda h: F.when(F.size(h) <= 0, None).when(state["last"].isNotNull(), nearest(h, at, False)).when(F.size(h) == 1, h[0]).when(side.isNotNull(), nearest(h, at, True)))
-        row = F.transform(pick, lambda b: F.when(b.isNotNull(), F.struct(s["t"].alias("t"), *[b[c].alias(c) for c in _BOX])))
-        return F.transform(row, lambda r: F.when(r.isNull(), state).otherwise(F.struct(r.alias("last"), F.concat(state["out"], F.array(r)).alias("out")).cast(kind)))[0]
+        last = state["last"]
+        choose = lambda h: F.when(F.size(h) <= 0, None).when(last.isNotNull(), nearest(h, middle(last), False)).when(F.size(h) == 1, h[0]).when(side.isNotNull(), nearest(h, side, True))
+        pick = let(F.filter(found, lambda b: b["sample"] == s["sample"]), lambda h: let(some(h, lambda b: ~b["foreground"]), lambda h: let(some(h, lambda b: b["face"]), choose)))
+        row = lambda b: F.struct(s["t"].cast("double").alias("t"), *[b[c].cast("double").alias(c) for c in _BOX])
+        on = lambda r: F.struct(r.alias("last"), F.concat(state["out"], F.array(r)).alias("out"))
+        return let(pick, lambda b: F.when(b.isNull(), state).otherwise(let(row(b), on)))
 
-    return F.aggregate(seen, F.from_json(F.lit('{"out": []}'), kind), step)["out"]
+    return F.aggregate(seen, F.struct(F.lit(None).cast(_ROW).alias("last"), F.array().cast(f"array<{_ROW}>").alias("out")), step)["out"]
 
 
 def crop_plans(shots: DataFrame, samples: DataFrame, boxes: DataFrame, faces: DataFrame, directives: DataFrame, width: float, height: float, strategy: str = "subject_focus") -> DataFrame:
@@ -91,50 +94,41 @@ def crop_plans(shots: DataFrame, samples: DataFrame, boxes: DataFrame, faces: Da
     track, fallback), anchors (array of struct t, x), x (their median), crop, face_bounded, face_review, impossible, review, action_kept.
     """
     crop = float(min(width, round(height * 3 / 4)))
-    persons = boxes.where(~F.col("face"))
     c, size = F.col, lambda a: F.coalesce(F.size(a), F.lit(0))
-    d = shots.select(*_SHOT, "start", "end", "position").join(directives.select(*_SHOT, "subject", "role", "need", "secondary", "place", "targets", "regions", F.lit(True).alias("directed")), _SHOT, "left")
+    said = directives.select(*_SHOT, "subject", "role", "need", "secondary", "place", "targets", "regions", F.lit(True).alias("directed"))
+    d = shots.select(*_SHOT, "start", "end", "position").join(shuffled(said), _SHOT, "left")
     d = d.withColumns({
         "subject": F.when(F.lower("subject").isin(*SUBJECTS), F.lower("subject")).otherwise("unclear"), "role": F.coalesce("role", F.lit("primary")), "need": F.coalesce("need", F.lit("none")), "secondary": F.coalesce("secondary", F.lit(False)),
         "directed": F.coalesce("directed", F.lit(False)), "regions": F.coalesce("regions", F.array().cast("array<struct<x: double, y: double, w: double, h: double>>")), "place": F.lower("place"),
     })
-    seen = samples.groupBy(*_SHOT).agg(F.sort_array(F.collect_list(F.struct("sample", F.col("t").cast("double").alias("t")))).alias("seen"))
-    middle = (F.element_at("seen", 1)["t"] + F.element_at("seen", -1)["t"]) / 2
-    seen = seen.withColumn("seed", F.array_min(F.transform("seen", lambda s: F.struct(F.abs(s["t"] - middle).alias("off"), s["sample"].alias("sample"))))["sample"])
-    d = d.join(seen, _SHOT, "left")
+    # all that is known of a shot lies in its row from here on, so nothing is shuffled by sample, face or target
+    of_shot = boxes.groupBy(*_SHOT).agg(tr.measured_boxes(~c("face")).alias("all"), F.sort_array(F.collect_list(F.struct("sample", "person", *_BOX, "confidence", "foreground", "face"))).alias("found"))
+    shown = faces.groupBy(*_SHOT).agg(F.collect_list(F.struct("sample", "face", F.struct(*[c("box")[k].alias(k) for k in _BOX]).alias("box"))).alias("faces"))
+    for part in (tr.sampled(samples), of_shot, shown):
+        d = d.join(shuffled(part), _SHOT, "left")
+    d = tr.placed_in_row(d)
 
     # who is named: every id in its own shot, in the middle sample
-    ids = d.where("seed is not null").select(*_SHOT, c("seed").alias("sample"), F.explode(F.array_distinct("targets")).alias("identity"))
-    named = fa.resolve_identities(ids, tr.bound_boxes(persons), bare=True)
-    named = named.groupBy(*_SHOT).agg(F.map_from_entries(F.collect_list(F.struct("identity", F.struct("local", "reason").alias("who")))).alias("named"))
-    d = d.join(named, _SHOT, "left")
-    who = F.transform("targets", lambda t: F.try_element_at("named", t))
-    locals_, wrong = F.transform(who, lambda w: w["local"]), F.get(F.filter(F.transform(who, lambda w: w["reason"]), lambda r: r.isNotNull()), 0)
+    people = F.transform(c("middle")["boxes"], lambda b, i: F.struct(F.concat(F.lit("P"), (i + 1).cast("string")).alias("label"), b.alias("box")))
+    d = d.withColumn("who", F.when(c("targets").isNotNull() & c("seed").isNotNull(), let(people, lambda people: F.transform("targets", lambda t: fa.resolved_identity(t, people, bare=True)))))
+    d = d.withColumns({"names": F.transform("who", lambda w: w["local"]), "wrong": F.get(F.filter(F.transform("who", lambda w: w["reason"]), lambda r: r.isNotNull()), 0)})
+    locals_, wrong = c("names"), c("wrong")
     twice = size(F.array_distinct("targets")) != size(c("targets"))
     error = F.when(c("targets").isNull(), None).when(c("seed").isNull() | (size(c("targets")) == 0) | twice, "invalid_target_person_ids").when(wrong.isNotNull(), wrong).when(size(F.array_distinct(locals_)) != size(locals_), "ambiguous_local_target")
     person = c("subject").isin("woman", "man", "multiple_people")
     one = person & (c("subject") != "multiple_people") & (size(c("targets")) == 1) & (c("need") != "simultaneous") & ~c("secondary")
     several = person & (size(c("targets")) >= 2)
-    d = d.withColumn("error", error).withColumn("locals", F.when(c("targets").isNotNull() & c("error").isNull(), locals_)).drop("named")
-    d = d.withColumns({"person": person, "one": one, "several": several, "preserve": (c("need") == "simultaneous") | (c("subject") == "multiple_people") | c("secondary")})
-    d = cut(d, "crop-directives")
-
-    wanted = d.where("error is null and (one or several)")
-    followed = cut(tr.tracks(samples, persons, wanted.select(*_SHOT, F.explode("locals").alias("target")).distinct(), width).select(*_SHOT, "target", "complete", "reason", "track"), "crop-tracks")
-    as_rows = lambda a: F.transform(a, lambda r: F.struct(r["t"].alias("t"), *[r[k].alias(k) for k in _BOX]))
-    single = wanted.where("one").select(*_SHOT, c("locals")[0].alias("target")).join(followed, [*_SHOT, "target"]).select(*_SHOT, "complete", "reason", as_rows(c("track")).alias("track"), F.transform("track", lambda r: r["sample"]).alias("at"))
-    joint = tr.joint_tracks(samples, persons, wanted.where("several").select(*_SHOT, c("locals").alias("targets")), width)
-    joint = joint.select(*_SHOT, "complete", "reason", as_rows(c("track")).alias("track"), F.array().cast("array<int>").alias("at"))
-    bound = single.unionByName(joint)
-    bound_face = fa.bind_faces(faces, tr.bound_boxes(persons).select(*_SHOT, "sample", c("label").alias("person"), F.struct(*_BOX).alias("box")))
-    bound_face = bound_face.join(faces.select(*_SHOT, "sample", "face", c("box").alias("face_box")), [*_SHOT, "sample", "face"]).join(tr.bound_boxes(persons).select(*_SHOT, "sample", c("label").alias("target"), *_BOX), [*_SHOT, "sample", "target"])
-    bound_face = bound_face.groupBy(*_SHOT).agg(F.collect_list(F.struct("sample", *_BOX, F.struct(*[c(f"face_box.{k}").alias(k) for k in _BOX]).alias("face"))).alias("bound_faces"))
-    found = boxes.groupBy(*_SHOT).agg(F.sort_array(F.collect_list(F.struct("sample", "person", *_BOX, "confidence", "foreground", "face"))).alias("found"))
-    x = d.join(bound, _SHOT, "left").join(found, _SHOT, "left").join(bound_face, _SHOT, "left")
+    d = d.withColumn("error", error).withColumn("locals", F.when(c("targets").isNotNull() & c("error").isNull(), locals_)).drop("who", "names", "wrong")
+    d = d.withColumns({"person": person, "one": F.coalesce(one, F.lit(False)), "several": F.coalesce(several, F.lit(False)), "preserve": (c("need") == "simultaneous") | (c("subject") == "multiple_people") | c("secondary")})
+
+    x = d.withColumn("followed", F.when(c("error").isNull() & (c("one") | c("several")), F.transform("locals", lambda t: tr.follow(t, width))))
+    x = x.withColumns({"alone": F.when(c("one"), F.get("followed", 0)), "joint": F.when(c("several") & c("followed").isNotNull(), tr.joint(c("locals"), c("followed")))})
+    x = x.withColumns({"complete": F.coalesce("alone.complete", "joint.complete"), "reason": F.coalesce("alone.reason", "joint.reason")})
+    as_rows = lambda a: F.transform(a, lambda r: F.struct(*[r[k].alias(k) for k in ("t", *_BOX)]))
 
     none = F.array().cast(f"array<{_ROW}>")
-    free = F.coalesce(free_track(c("seen"), F.coalesce("found", F.array().cast(found.schema["found"].dataType)), c("place"), width), none)
-    x = x.withColumn("track", F.when(c("targets").isNull(), free).otherwise(F.coalesce("track", none)))
+    free = F.coalesce(free_track(c("seen"), F.coalesce("found", F.array().cast(of_shot.schema["found"].dataType)), c("place"), width), none)
+    x = x.withColumn("track", F.when(c("targets").isNull(), free).otherwise(F.coalesce(as_rows(c("alone.track")), c("joint.track"), none)))
     x = x.withColumn("resolved", F.when(c("targets").isNotNull(), F.coalesce("complete", F.lit(False))))
     x = x.withColumn("reason", F.when(c("targets").isNotNull(), F.coalesce("error", F.when(c("one") | c("several"), c("reason")).otherwise("insufficient_required_participants"))))
 
@@ -143,19 +137,23 @@ def crop_plans(shots: DataFrame, samples: DataFrame, boxes: DataFrame, faces: Da
     followed_one = c("one") & F.coalesce("resolved", F.lit(False))
     head = lambda b: F.struct(b["x"].alias("x"), b["y"].alias("y"), b["w"].alias("w"), (b["h"] * 0.45).alias("h"))
 
-    def held(b: Column, i: Column) -> Column:
-        mine = F.filter("bound_faces", lambda f: (f["sample"] == F.get("at", i)) & (f["x"] == b["x"]) & (f["y"] == b["y"]) & (f["w"] == b["w"]) & (f["h"] == b["h"]))
-        region = F.coalesce(F.get(mine, 0)["face"], head(b))
-        return F.struct(region.alias("region"), legal_interval(region, width, crop).alias("legal"))
+    def held(b: Column) -> Column:
+        here = lambda of: F.filter(of, lambda f: f["sample"] == b["sample"])
+        others = F.get(F.filter("seen", lambda s: s["sample"] == b["sample"]), 0)["boxes"]
+        face = let(others, lambda others: fa.bound_face(b, here("faces"), others))
+        region = F.coalesce(face, head(b))
+        return let(region, lambda region: F.struct(region.alias("region"), legal_interval(region, width, crop).alias("legal")))
 
-    x = x.withColumn("held", F.when(protected & followed_one, F.transform("track", held)))
+    x = x.withColumn("held", F.when(protected & followed_one, F.transform(c("alone.track"), held)))
     unbounded = F.when(c("held").isNotNull(), F.exists("held", lambda h: ~h["legal"]["fits"])).otherwise(size(c("seen")) > 0)
     x = x.withColumn("face_review", protected & c("one") & F.coalesce(unbounded, F.lit(False))).withColumn("face_bounded", c("held").isNotNull())
     anchor = lambda b: F.greatest(F.lit(0.0), F.least(F.lit(width - crop), b["x"] + b["w"] / 2 - crop / 2))
     null = F.lit(None).cast("double")
 
     def row(b: Column, i: Column) -> Column:
-        h = F.get("held", i)
+        return let(F.get("held", i), lambda h: bounded(b, h))
+
+    def bounded(b: Column, h: Column) -> Column:
         wish = F.when(h.isNotNull(), anchor(h["region"])).otherwise(anchor(b)) if strategy == "face_priority" else anchor(b)
         low, high = (F.when(h["legal"]["fits"], h["legal"][k]).when(h.isNotNull(), F.lit(v)).otherwise(null) for k, v in (("low", 0.0), ("high", width - crop)))
         return F.struct(b["t"].alias("t"), wish.alias("x"), low.alias("low"), high.alias("high"))
@@ -180,6 +178,6 @@ def crop_plans(shots: DataFrame, samples: DataFrame, boxes: DataFrame, faces: Da
     unresolved, failed = c("person") & c("focus").isNull(), c("person") & c("targets").isNotNull() & ~c("resolved")
     mode = F.when(c("targets").isNotNull() & c("one"), "semantic_bound_geometry").when(c("targets").isNotNull() & c("several"), "semantic_bound_multi_geometry").otherwise("bounded_linear")
     return x.select(
-        *_SHOT, mode.alias("mode"), "locals", F.when(c("person"), c("resolved")).alias("bound"), "reason", "track", "focus", "required", "preserve", "how", "anchors", geo.median_of(F.array_sort(F.transform("anchors", lambda a: a["x"]))).alias("x"),
+        *_SHOT, mode.alias("mode"), "locals", F.when(c("person"), c("resolved")).alias("bound"), "reason", "track", "focus", "required", "preserve", "how", "anchors", let(F.array_sort(F.transform("anchors", lambda a: a["x"])), geo.median_of).alias("x"),
         "crop", "face_bounded", "face_review", "impossible", (c("impossible") | unresolved | F.coalesce(failed, F.lit(False)) | c("face_review") | ~c("directed")).alias("review"), (~action | c("required").isNotNull()).alias("action_kept"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cutlight.functions.columns import iou
+from cutlight.functions.columns import iou, let, let_all
 from cutlight.operators.geometry import required_margin
 from cutlight.session import shuffled
 
@@ -38,6 +38,19 @@ def bind_faces(faces: DataFrame, persons: DataFrame) -> DataFrame:
     return g.where("n = 1").drop("n")
 
 
+def bound_face(person: Column, faces: Column, persons: Column) -> Column:
+    """What bind_faces() says of one person (struct x, y, w, h) of a frame, in a row: the box of its one face, or null. faces: array of struct(face, box) and persons: array of boxes, of the frame."""
+
+    def fits(f: Column) -> Column:
+        cx, cy = f["x"] + f["w"] / 2, f["y"] + f["h"] / 2
+        inside = (person["x"] <= cx) & (cx <= person["x"] + person["w"]) & (person["y"] <= cy) & (cy <= person["y"] + person["h"] * 0.8) & (f["w"] <= person["w"] * 1.1)
+        rivals = F.filter(persons, lambda o: F.abs(o["x"] - person["x"]) + F.abs(o["w"] - person["w"]) > 2)
+        alone = lambda own: (own >= 0.8) & F.coalesce(own - F.array_max(F.transform(rivals, lambda o: containment(f, o))) >= 0.15, F.lit(True))
+        return inside & let(containment(f, person), alone)
+
+    return let(F.filter(faces, lambda f: fits(f["box"])), lambda mine: F.when(F.size(mine) == 1, F.get(mine, 0)["box"]))
+
+
 def assess_face(face: Column, crop_x: Column, crop: float, width: float, height: float, bound: Column) -> Column:
     """struct(decision, reason): does a crop keep a face (struct x, y, w, h, or null)?"""
     x, y, w, h = (face[c] for c in ("x", "y", "w", "h"))
@@ -73,23 +86,31 @@ def resolve_identities(identities: DataFrame, persons: DataFrame, most: float =
 
     identities: movie_id, shot_id, sample, identity; persons: keys, label, x, y, w, h. bare: an id without owner (P1) is of its shot.
     """
-    pattern = r"^([A-Za-z0-9_][A-Za-z0-9_.-]*):(P[1-9][0-9]*)$"
-    named = F.concat_ws(":", "shot_id", "identity") if bare else None
-    said = F.when(F.col("identity").rlike(r"^P[1-9][0-9]*$"), named).otherwise(F.col("identity")) if bare else F.col("identity")
-    x = identities.withColumn("owner", F.regexp_extract(said, pattern, 1)).withColumn("label", F.regexp_extract(said, pattern, 2))
     # they meet by shot: where both are dealt by it already, no row of a sample is shuffled
     shot = ["movie_id", "shot_id"]
     all_ = persons.groupBy(*shot).agg(F.collect_list(F.struct("sample", "label", F.struct("x", "y", "w", "h").alias("box"))).alias("_all"))
-    x = x.join(shuffled(all_), shot, "left").withColumn("all", F.filter("_all", lambda p: p["sample"] == F.col("sample")))
-    mine = F.filter("all", lambda p: p["label"] == F.col("label"))
-    box = F.get(mine, 0)["box"]
-    n = F.coalesce(F.size(mine), F.lit(0))
-    twin = F.exists("all", lambda p: (p["label"] != F.col("label")) & (iou(p["box"], box) >= most))
-    reason = (
-        F.when(F.coalesce(F.col("owner"), F.lit("")) == "", "malformed_person_identity").when(F.col("owner") != F.col("shot_id"), "cross_shot_person_identity").when(n > 1, "ambiguous_local_target").when(n < 1, "missing_local_target")
-        .when((box["w"] <= 1) | (box["h"] <= 1), "unusable_reference_geometry").when(twin, "ambiguous_reference_geometry")
-    )
-    return x.withColumn("reason", reason).select(*_KEYS, "identity", F.when(F.col("reason").isNull(), F.col("label")).alias("local"), "reason")
+    x = identities.join(shuffled(all_), shot, "left").withColumn("all", F.filter("_all", lambda p: p["sample"] == F.col("sample")))
+    return x.withColumn("who", resolved_identity(F.col("identity"), F.col("all"), most, bare)).select(*_KEYS, "identity", "who.local", "who.reason")
+
+
+def resolved_identity(identity: Column, persons: Column, most: float = 0.95, bare: bool = False) -> Column:
+    """struct(local, reason) of an id in the row of its shot (shot_id); persons: array of struct(label, box), those of the frame."""
+    pattern = r"^([A-Za-z0-9_][A-Za-z0-9_.-]*):(P[1-9][0-9]*)$"
+    said = F.when(identity.rlike(r"^P[1-9][0-9]*$"), F.concat_ws(":", F.col("shot_id"), identity)).otherwise(identity) if bare else identity
+
+    def judge(owner: Column, label: Column) -> Column:
+        def find(mine: Column) -> Column:
+            box, n = F.get(mine, 0)["box"], F.coalesce(F.size(mine), F.lit(0))
+            twin = F.exists(persons, lambda p: (p["label"] != label) & (iou(p["box"], box) >= most))
+            return (
+                F.when(F.coalesce(owner, F.lit("")) == "", "malformed_person_identity").when(owner != F.col("shot_id"), "cross_shot_person_identity").when(n > 1, "ambiguous_local_target").when(n < 1, "missing_local_target")
+                .when((box["w"] <= 1) | (box["h"] <= 1), "unusable_reference_geometry").when(twin, "ambiguous_reference_geometry")
+            )
+
+        reason = let(F.filter(persons, lambda p: p["label"] == label), find)
+        return let(reason, lambda reason: F.struct(F.when(reason.isNull(), label).alias("local"), reason.alias("reason")))
+
+    return let(said, lambda said: let_all({"owner": F.regexp_extract(said, pattern, 1), "label": F.regexp_extract(said, pattern, 2)}, judge))
 
 
 def boundary_holds(target: Column, outside: Column) -> Column:

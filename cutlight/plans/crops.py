@@ -32,16 +32,17 @@ def _inputs(spark: SparkSession, d: str) -> dict[str, DataFrame]:
         (k % 11 == 3).alias("secondary"), fx.pick(_SIDES, F.floor(e / 6) % 4).alias("place"), targets.alias("targets"), F.when(k % 9 == 2, F.array(region)).alias("regions"),
     )
     shots = s.select("movie_id", "shot_id", F.lit(-0.5).alias("start"), F.when(k % 2 == 0, 4.5).otherwise(3.0).alias("end"), fx.pick(("left", "center", "right"), k % 3).alias("position"))
-    looked = s.where(k % 19 != 7).select("movie_id", "shot_id")
-    persons = pt._boxes(spark, d).join(looked, ["movie_id", "shot_id"])
-    found = persons.where((k % 7 == 2) & (F.col("person") == 1) & (F.col("sample") <= 2)).select(
-        "movie_id", "shot_id", "sample", F.lit(11).alias("person"), (F.col("x") + F.col("w") * 0.3).alias("x"), "y", (F.col("w") * 0.4).alias("w"), (F.col("h") * 0.2).alias("h"), F.lit(0.7).alias("confidence"), F.lit(False).alias("foreground"), F.lit(True).alias("face"),
+    looked = k % 19 != 7
+    persons = pt._boxes(spark, d).where(looked)
+    seen = F.struct("sample", "person", *_BOX, "confidence", ((F.col("person") == 2) & (k % 5 == 1)).alias("foreground"), F.lit(False).alias("face"))
+    found = F.struct(
+        "sample", F.lit(11).alias("person"), (F.col("x") + F.col("w") * 0.3).alias("x"), "y", (F.col("w") * 0.4).alias("w"), (F.col("h") * 0.2).alias("h"), F.lit(0.7).alias("confidence"), F.lit(False).alias("foreground"), F.lit(True).alias("face"),
     )
-    boxes = persons.select("movie_id", "shot_id", "sample", "person", *_BOX, "confidence", ((F.col("person") == 2) & (k % 5 == 1)).alias("foreground"), F.lit(False).alias("face")).unionByName(found)
+    boxes = persons.select("movie_id", "shot_id", F.inline(F.when((k % 7 == 2) & (F.col("person") == 1) & (F.col("sample") <= 2), F.array(seen, found)).otherwise(F.array(seen))))
     wide = F.col("w") * F.when(k % 6 == 1, 1.2).otherwise(0.4)
     face = F.struct((F.col("x") + F.col("w") * 0.3).alias("x"), (F.col("y") + F.col("h") * 0.05).alias("y"), wide.alias("w"), (F.col("h") * 0.25).alias("h"))
     faces = persons.where((k + F.col("sample") + F.col("person")) % 4 != 1).select("movie_id", "shot_id", "sample", F.col("person").alias("face"), face.alias("box"))
-    return {"shots": shots, "samples": pt._samples(spark, d).join(looked, ["movie_id", "shot_id"]), "boxes": boxes, "faces": faces, "directives": directives}
+    return {"shots": shots, "samples": pt._samples(spark, d, looked), "boxes": boxes, "faces": faces, "directives": directives}
 
 
 _ID = "'^([A-Za-z0-9_][A-Za-z0-9_.-]*):P([1-9][0-9]*)$'"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cutlight import fixtures as fx
@@ -13,9 +13,10 @@ from cutlight.registry import query
 WIDTH = 1920.0
 
 
-def _samples(spark: SparkSession, d: str) -> DataFrame:
-    """Five samples of every shot; where k is 77, the fourth one has the time of the third."""
-    s = fx.dealt_shots(spark, d).select("movie_id", "shot_id", "k", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("sample"))
+def _samples(spark: SparkSession, d: str, looked: Column | None = None) -> DataFrame:
+    """Five samples of every shot, or of those looked at; where k is 77, the fourth one has the time of the third."""
+    s = fx.dealt_shots(spark, d)
+    s = (s if looked is None else s.where(looked)).select("movie_id", "shot_id", "k", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("sample"))
     return s.select("movie_id", "shot_id", "sample", F.when((F.col("k") == 77) & (F.col("sample") == 3), 2.0).otherwise(F.col("sample").cast("double")).alias("t"))
 
 

@@ -1,6 +1,11 @@
 """Crop plans against the rules written out by hand: a frame of 1000 x 400, so a crop is 300 wide and holds what is up to 252 wide."""
 
+import pytest
+from pyspark.sql import functions as F
+
+from cutlight import registry
 from cutlight.operators import crops
+from cutlight.operators import faces as fa
 
 BOX = "movie_id bigint, shot_id string, sample int, person int, x double, y double, w double, h double, confidence double, foreground boolean, face boolean"
 FACE = "movie_id bigint, shot_id string, sample int, face int, box struct<x: double, y: double, w: double, h: double>"
@@ -106,3 +111,24 @@ def test_need_of_interaction(spark):
     df = spark.createDataFrame(rows, "said string, both boolean, preserve boolean, text string, seen array<string>")
     got = [r[0] for r in df.select(crops.interaction_need(df.said, df.both, df.preserve, df.text, df.seen)).collect()]
     assert got == ["sequence", "simultaneous", "simultaneous", "sequence", "sequence", "none"]
+
+
+@pytest.mark.parametrize("name", ["b14_crop_plans", "b14_crop_plans_by_face", "b14_crop_plans_of_interaction"])
+def test_a_plan_is_made_in_the_row_of_its_shot(spark, name):
+    plan = registry.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    # boxes, samples, faces and directives of a shot meet where it was dealt to, and nothing is written in between
+    assert "REPARTITION_BY_NUM" in plan and "BroadcastHashJoin" not in plan and "shot_id" not in "".join(line for line in plan.splitlines() if "ENSURE_REQUIREMENTS" in line)
+    assert "crop-tracks" not in plan and "crop-directives" not in plan
+
+
+def test_faces_are_bound_alike_in_a_row_and_over_tables(spark):
+    person = lambda i, n: (1, "s", i, n, (float(i * 37 % 300), 20.0, 100.0 + i % 3 * 40, 250.0))
+    persons = [person(7 * i + n, n)[:2] + (i, n, person(7 * i + n, n)[4]) for i in range(40) for n in range(1 + i % 3)]
+    faces = [(1, "s", i, 10 * n + m, (b[0] + (8 + 31 * m) % b[2] * 0.7, b[1] + 20, b[2] * 0.3, 60.0)) for _, _, i, n, b in persons for m in range(1 + i % 2)]
+    box = "struct<x: double, y: double, w: double, h: double>"
+    p, f = spark.createDataFrame(persons, f"movie_id bigint, shot_id string, sample int, person int, box {box}"), spark.createDataFrame(faces, f"movie_id bigint, shot_id string, sample int, face int, box {box}")
+    by_face = {r["face"] + 1000 * r["sample"]: r.box for r in f.collect()}
+    want = {(r["sample"], r.target): by_face[r.face + 1000 * r["sample"]] for r in fa.bind_faces(f, p).collect()}
+    rows = p.join(f.groupBy("sample").agg(F.collect_list(F.struct("face", "box")).alias("faces")), "sample").join(p.groupBy("sample").agg(F.collect_list("box").alias("persons")), "sample")
+    got = {(r["sample"], r.person): r.b for r in rows.select("sample", "person", fa.bound_face(F.col("box"), F.col("faces"), F.col("persons")).alias("b")).collect() if r.b is not None}
+    assert got == want and 0 < len(want) < len(persons)
