@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cutlight.functions.columns import clamp, errors, rounded
+from cutlight.session import cut
 
 #: Event types and the durations that suit them: from, to, and the longest that is still allowed (fixed values).
 DURATION_RANGES = {
@@ -214,11 +215,15 @@ def _edge_columns(shots: DataFrame) -> list[str]:
     return [*EDGE_COLUMNS, *[c for c in ("hist", "vec_id") if c in shots.columns]]
 
 
-def with_hists(pairs: DataFrame, hists: DataFrame | None) -> DataFrame:
-    """pairs with hist and n_hist of their vec_id and n_vec_id (hists: vec_id, hist): shots go through shuffles with the number of their vector only."""
-    if hists is None:
-        return pairs
-    return pairs.join(hists, "vec_id", "left").join(hists.select(F.col("vec_id").alias("n_vec_id"), F.col("hist").alias("n_hist")), "n_vec_id", "left")
+def similarities(pairs: DataFrame, hists: DataFrame) -> DataFrame:
+    """pairs with the similarity of the vectors vec_id and n_vec_id (hists: vec_id, hist) in their place; one that is missing counts like one without variance.
+
+    Where the vectors are too many to be sent to all tasks, each pair goes through a shuffle with one of them: pairs should be those that need it, with few columns. A vector travels
+    as it is stored, and its numbers become doubles where they are compared.
+    """
+    x = pairs.join(hists, "vec_id", "left").join(hists.select(F.col("vec_id").alias("n_vec_id"), F.col("hist").alias("n_hist")), "n_vec_id", "left")
+    x = x.withColumns({c: F.col(c).cast("array<double>") for c in ("hist", "n_hist")})
+    return x.withColumn("similarity", histogram_similarity(F.col("hist"), F.col("n_hist"))).drop("hist", "n_hist", "vec_id", "n_vec_id")
 
 
 def adjacent_edges(shots: DataFrame, hists: DataFrame | None = None) -> DataFrame:
@@ -227,9 +232,9 @@ def adjacent_edges(shots: DataFrame, hists: DataFrame | None = None) -> DataFram
     shots: movie_id, shot_ord, EDGE_COLUMNS, and where similarity counts hist, or vec_id with hists (vec_id, hist). One window over a title.
     """
     by = _title().orderBy("shot_ord")
-    cols = _edge_columns(shots)
-    x = continuity(with_hists(shots.withColumns({f"n_{c}": F.lead(c).over(by) for c in cols}).where("n_shot_id is not null"), hists))
-    return x.select("movie_id", "shot_id", F.col("n_shot_id").alias("next_id"), "merge", "reasons", "breaks", "dialogue", "similarity")
+    x = continuity(shots.withColumns({f"n_{c}": F.lead(c).over(by) for c in _edge_columns(shots)}).where("n_shot_id is not null"))
+    names = ["movie_id", "shot_id", F.col("n_shot_id").alias("next_id"), "merge", "reasons", "breaks", "dialogue"]
+    return x.select(*names, "similarity") if hists is None else similarities(x.select(*names, "vec_id", "n_vec_id"), hists)
 
 
 def baseline_join(edges: DataFrame, least: float = LIKE) -> DataFrame:
@@ -237,6 +242,17 @@ def baseline_join(edges: DataFrame, least: float = LIKE) -> DataFrame:
     return edges.withColumn("joined", F.col("merge") & (F.coalesce(F.col("similarity") >= least, F.lit(False)) | F.col("dialogue") | (F.size("reasons") > 0)))
 
 
+def joined_edges(edges: DataFrame, columns: list[str], hists: DataFrame | None, least: float = LIKE) -> DataFrame:
+    """columns of edges (as continuity() gives them) and joined, as baseline_join() says it. Vectors (hists; edges have vec_id and n_vec_id) are looked up for those merges only that neither speech nor a reason supports."""
+    if hists is None:
+        return baseline_join(edges, least).select(*columns, "joined")
+    unsure = F.col("merge") & ~F.coalesce("dialogue", F.lit(False)) & (F.size("reasons") == 0)
+    known = F.col("merge") & (F.col("dialogue") | (F.size("reasons") > 0))
+    x = cut(edges.select(*columns, known.alias("joined"), F.coalesce(unsure, F.lit(False)).alias("unsure"), "vec_id", "n_vec_id"), "edges")
+    like = similarities(x.where("unsure").select(*columns, "vec_id", "n_vec_id"), hists).withColumn("joined", F.coalesce(F.col("similarity") >= least, F.lit(False)))
+    return x.where("not unsure").select(*columns, "joined").unionByName(like.select(*columns, "joined"))
+
+
 def duration_fit(duration: Column, kind: Column) -> Column:
     """0..25: how well a duration suits an event type, fading on both sides without a cliff."""
     low, high, allowed = (F.coalesce(F.create_map(*[F.lit(x) for k, v in DURATION_RANGES.items() for x in (k, v[i])])[F.lower(kind)], F.lit(OTHER_RANGE[i])) for i in range(3))
@@ -301,11 +317,12 @@ def event_health(events: DataFrame) -> DataFrame:
 def grouping_rows(shots: DataFrame, hists: DataFrame | None = None) -> DataFrame:
     """shots (as for adjacent_edges, with start_s, end_s, alone) as bounded_groups reads them: joined, talk and why tell of the edge to the next shot."""
     by = _title().orderBy("shot_ord")
-    cols = _edge_columns(shots)
-    x = baseline_join(continuity(with_hists(shots.withColumns({f"n_{c}": F.lead(c).over(by) for c in cols}), hists)))
+    x = continuity(shots.withColumns({f"n_{c}": F.lead(c).over(by) for c in _edge_columns(shots)}))
     next_ = F.col("n_shot_id").isNotNull()
     no = lambda c: next_ & F.coalesce(c, F.lit(False))
-    return x.select("movie_id", "shot_ord", "shot_id", (F.col("end_s") - F.col("start_s")).alias("duration_s"), no(F.col("joined")).alias("joined"), no(F.col("dialogue")).alias("talk"), no(F.size("reasons") > 0).alias("why"), "alone")
+    x = x.withColumns({"duration_s": F.col("end_s") - F.col("start_s"), "talk": no(F.col("dialogue")), "why": no(F.size("reasons") > 0), "next": next_, "merge": next_ & F.col("merge")})
+    x = joined_edges(x, ["movie_id", "shot_ord", "shot_id", "duration_s", "talk", "why", "alone", "next"], hists)
+    return x.select("movie_id", "shot_ord", "shot_id", "duration_s", (F.col("next") & F.coalesce("joined", F.lit(False))).alias("joined"), "talk", "why", "alone")
 
 
 def _fold(rows: DataFrame, order: str, columns: list[str], state: str, start: str, step) -> DataFrame:
@@ -365,7 +382,7 @@ def rescue_orphans(groups: DataFrame, shots: DataFrame, low: float = 3.0, high:
     seams = g.where("_right is not null").select("movie_id", "group_no", "_left", "_right")
     left = shots.select("movie_id", F.col("shot_id").alias("_left"), *cols)
     right = shots.select("movie_id", F.col("shot_id").alias("_right"), *[F.col(c).alias(f"n_{c}") for c in cols])
-    joined = baseline_join(continuity(with_hists(seams.join(left, ["movie_id", "_left"]).join(right, ["movie_id", "_right"]), hists))).select("movie_id", "group_no", F.col("joined").alias("link"))
+    joined = joined_edges(continuity(seams.join(left, ["movie_id", "_left"]).join(right, ["movie_id", "_right"])), ["movie_id", "group_no"], hists).withColumnRenamed("joined", "link")
     g = g.join(joined, ["movie_id", "group_no"], "left").withColumn("link", F.coalesce("link", F.lit(False)))
     g = g.withColumn("island", F.sum(F.when(F.coalesce(F.lag("link").over(by), F.lit(False)), 0).otherwise(1)).over(by))
 

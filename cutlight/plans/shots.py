@@ -166,7 +166,7 @@ def _shots_with_context(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _hists(spark: SparkSession, d: str) -> DataFrame:
-    return fx.table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("hist"))
+    return fx.table(spark, d, "embeddings").select("vec_id", F.col("embedding").alias("hist"))
 
 
 def _with_vectors(spark: SparkSession, d: str) -> DataFrame:
@@ -265,11 +265,13 @@ def _events(spark: SparkSession, d: str) -> DataFrame:
     events = cut(sh.rescue_orphans(groups, x, hists=hists), "events")
     of = events.select("movie_id", F.col("event_no").alias("run"), F.posexplode("shot_ids").alias("at", "shot_id"))
     ids = iv.overlapped_ids(x, fx.segments(spark, d), ["shot_id"], "segment_id")
+    # likeness is worked out for shots that have one before them in their event, with nothing but their keys, and comes back to where shots meet
     by = Window.partitionBy("movie_id", "run").orderBy("at")
-    x = x.select("movie_id", "shot_id", "shot_ord", "start_s", "end_s", "brightness", "sharpness", "motion", "near_black", "occupancy", F.col("vec_id").alias("n_vec_id"))
-    # of goes by shuffle: it is exploded from a small file
-    x = x.join(shuffled(of), ["movie_id", "shot_id"]).join(ids, ["movie_id", "shot_id"]).withColumn("vec_id", F.lag("n_vec_id").over(by))
-    x = sh.with_hists(x, hists).withColumn("similarity", F.when(F.col("at") > 0, sh.histogram_similarity(F.col("hist"), F.col("n_hist")))).drop("hist", "n_hist", "at")
+    pairs = of.join(shuffled(x.select("movie_id", "shot_id", F.col("vec_id").alias("n_vec_id"))), ["movie_id", "shot_id"]).withColumn("vec_id", F.lag("n_vec_id").over(by)).where("at > 0")
+    like = sh.similarities(pairs.select("movie_id", "shot_id", "vec_id", "n_vec_id"), hists)
+    x = x.select("movie_id", "shot_id", "shot_ord", "start_s", "end_s", "brightness", "sharpness", "motion", "near_black", "occupancy")
+    # of and like go by shuffle: they are exploded from a small file
+    x = x.join(shuffled(of.drop("at")), ["movie_id", "shot_id"]).join(ids, ["movie_id", "shot_id"]).join(shuffled(like), ["movie_id", "shot_id"], "left")
     return sh.score_events(sh.event_rollup(x, "run"))
 
 

@@ -72,3 +72,29 @@ def test_frames_of_a_plan_are_exploded_in_tasks_of_fixed_number(spark):
 def test_identities_meet_persons_without_a_shuffle_of_samples(spark):
     plan = _plan(registry.QUERIES["b03_person_identities"](spark, SF))
     assert "REPARTITION_BY_NUM" in plan and "sample" not in "".join(line for line in plan.splitlines() if "Exchange hashpartitioning" in line)
+
+
+def test_vectors_are_looked_up_for_merges_that_nothing_else_decides(spark):
+    from pyspark.sql import functions as F
+
+    from cutlight.operators import shots as sh
+
+    # id, merge, dialogue, reasons, own vector and the next one's (3 has none, and counts as alike): 0 and 1 are alike, 0 and 2 opposite
+    rows = [
+        (1, True, False, [], 0, 1), (2, True, False, [], 0, 2), (3, True, False, [], 0, 3), (4, True, False, [], 0, None), (5, True, False, [], None, 0), (6, False, False, [], 0, 1), (7, True, True, [], 0, 2), (8, True, False, ["r"], 0, 2),
+        (9, True, None, [], 0, 1), (10, False, True, ["r"], 0, 2),
+    ]
+    edges = spark.createDataFrame(rows, "id long, merge boolean, dialogue boolean, reasons array<string>, vec_id long, n_vec_id long").repartition(3)
+    hists = spark.createDataFrame([(0, [1.0, 2.0, 3.0]), (1, [2.0, 4.0, 6.0]), (2, [3.0, 2.0, 1.0])], "vec_id long, hist array<float>")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        x = sh.joined_edges(edges, ["id"], hists)
+        got, plan = {r.id: r.joined for r in x.collect()}, x._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    whole = sh.baseline_join(edges.withColumn("similarity", F.when(F.expr("vec_id = 0 and n_vec_id = 1"), 1.0).when(F.expr("vec_id = 0 and n_vec_id = 2"), 0.0).otherwise(1.0)))
+    assert got == {r.id: r.joined for r in whole.collect()} and sorted(i for i, j in got.items() if j) == [1, 3, 4, 5, 7, 8, 9]
+    # what meets a vector has been told to need it, and vectors are still floats there
+    lines = plan.splitlines()
+    last = max(i for i, line in enumerate(lines) if "Join" in line)
+    assert any("Filter" in line and "unsure" in line for line in lines[last:]) and not any("as array<double>" in line for line in lines[last:])
